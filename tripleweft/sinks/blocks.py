@@ -1,0 +1,41 @@
+"""Grouping of triples by subject with bounded groups."""
+
+from pyspark.sql import functions as F
+
+from tripleweft.vocab import TRIPLE_COLUMNS
+
+# A subject with more triples than this is written as several blocks.
+BLOCK_TRIPLES = 50_000
+# At most this many subjects are treated as large at once.
+LARGE_SUBJECTS = 10_000
+
+
+def large_subjects(triples, block_triples=BLOCK_TRIPLES, max_subjects=LARGE_SUBJECTS):
+    """Subjects with more triples than a block takes, and their number of blocks.
+
+    The count is pre-aggregated per task. If there are more such subjects than
+    may be broadcast, the block size is doubled until there are not: the
+    number of subjects above a size falls with that size.
+    """
+    counts = triples.groupBy("s").agg(F.count(F.lit(1)).alias("_n"))
+    while True:
+        large = counts.filter(F.col("_n") > block_triples)
+        if large.limit(max_subjects + 1).count() <= max_subjects:
+            return large.select("s", F.ceil(F.col("_n") / block_triples).alias("_blocks"))
+        block_triples *= 2
+
+
+def with_block(triples, block_triples=BLOCK_TRIPLES):
+    """Triples and the columns to group them by for output.
+
+    That is the subject alone, unless some subject is large; then a `block`
+    number is added, 0 but for large subjects, whose triples are spread by
+    their content, so that copies of a triple meet in one block.
+    """
+    large = large_subjects(triples, block_triples)
+    if large.isEmpty():
+        return triples, ["s"]
+    spread = F.pmod(F.xxhash64(*TRIPLE_COLUMNS), F.col("_blocks"))
+    out = triples.join(F.broadcast(large), "s", "left")
+    out = out.withColumn("block", F.coalesce(spread, F.lit(0).cast("bigint"))).drop("_blocks")
+    return out, ["s", "block"]
