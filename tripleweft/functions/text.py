@@ -4,19 +4,22 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 
+# Fixed pattern: text that may come from a JSON number.
+_NUMBER_LIKE = r"^-?\d[-+.\deE]*$"
+
+
 def variant_text(col):
     """Text of a JSON value held as a variant.
 
     Numbers with a fraction or exponent print as doubles do (`1.50` as `1.5`,
-    `1e3` as `1000.0`); objects and arrays print as JSON.
+    `1e3` as `1000.0`); objects and arrays print as JSON. Only text that looks
+    like a number needs its kind looked up, to tell it from a string.
     """
-    kind = F.schema_of_variant(col)
-    return (
-        F.when(F.is_variant_null(col), F.lit(None).cast("string"))
-        .when(kind.rlike("^(DECIMAL|DOUBLE|FLOAT)"), F.try_variant_get(col, "$", "double").cast("string"))
-        .when(kind.rlike("^(OBJECT|ARRAY)"), F.to_json(col))
-        .otherwise(F.try_variant_get(col, "$", "string"))
-    )
+    text = F.try_variant_get(col, "$", "string")
+    fraction = F.schema_of_variant(col).rlike("^(DECIMAL|DOUBLE|FLOAT)")
+    return F.when(
+        text.rlike(_NUMBER_LIKE) & fraction, F.try_variant_get(col, "$", "double").cast("string")
+    ).otherwise(text)
 
 
 def value_text(col, data_type):

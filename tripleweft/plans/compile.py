@@ -59,12 +59,12 @@ def map_terms(tm, resolve, encode=False):
 
 
 def term_table(records, maps, encode=False, keep=()):
-    """Evaluate subjects and objects once per record.
+    """Subjects and objects side by side, one row per record.
 
-    Returns the projected DataFrame and, per map, the name of its subject
-    column with (term, value column) pairs that refer to it.
+    Returns the projection and, per map, the name of its subject column with
+    (term, value column) pairs that refer to it.
     """
-    cols, plan = [F.col(c) for c in keep], []
+    cols, plan = [], []
     for i, tm in enumerate(maps):
         subject, terms = map_terms(tm, resolver(records, tm.formulation), encode)
         cols.append(subject.alias(f"_s{i}"))
@@ -76,8 +76,7 @@ def term_table(records, maps, encode=False, keep=()):
                 cols.append(term.value.alias(f"_o{i}_{j}"))
                 pairs.append((term, F.col(f"_o{i}_{j}")))
         plan.append((f"_s{i}", pairs))
-    any_subject = reduce(lambda a, b: a | b, [F.col(s).isNotNull() for s, _ in plan])
-    return records.select(*cols).filter(any_subject), plan
+    return records.select(*keep, *cols), plan
 
 
 def _cell(subject, term, value):
@@ -132,17 +131,52 @@ def is_set_already(maps):
     )
 
 
+def _signature(term):
+    return (term.predicate, term.kind, term.datatype, term.lang)
+
+
+def _rule_rows(records, maps, signatures, encode):
+    """Rows (rule, s, o), where rule numbers what is fixed about a triple."""
+    table, plan = term_table(records, maps, encode)
+    cells = []
+    for s, pairs in plan:
+        for term, value in pairs:
+            rule = signatures.setdefault(_signature(term), len(signatures))
+            cells.append(F.struct(F.lit(rule).alias("rule"), F.col(s).alias("s"), value.alias("o")))
+    rows = table.select(F.inline(F.array(*cells)))
+    return rows.filter(F.col("s").isNotNull() & F.col("o").isNotNull())
+
+
+def _spell_out(rows, signatures):
+    """Rows (rule, s, o) as triples."""
+    def part(i):
+        values = F.array(*[F.lit(sig[i]).cast("string") for sig in signatures])
+        return F.get(values, F.col("rule"))
+
+    return rows.select(
+        "s",
+        part(0).alias("p"),
+        "o",
+        part(1).alias("o_kind"),
+        part(2).alias("o_datatype"),
+        part(3).alias("o_lang"),
+    )
+
+
 def materialise(mapping, inputs, distinct=False, encode=False):
     """Triples of a whole mapping; `inputs` maps source names to DataFrames.
 
-    A bag by default. `distinct` gives a set, without a shuffle where the
-    declared keys already make it one.
+    A bag by default. `distinct` gives a set: without a shuffle where the
+    declared keys already make it one, else by a shuffle of rule number,
+    subject and object only, since the rule fixes all other columns.
     """
-    frames = [triples_of(inputs[key[0]], maps, encode) for key, maps in mapping.scans().items()]
-    out = union_all(frames).select(*TRIPLE_COLUMNS)
-    if distinct and not is_set_already(mapping.maps):
-        out = out.distinct()
-    return out
+    scans = mapping.scans().items()
+    if not distinct or is_set_already(mapping.maps):
+        frames = [triples_of(inputs[key[0]], maps, encode) for key, maps in scans]
+        return union_all(frames).select(*TRIPLE_COLUMNS)
+    signatures = {}
+    rows = union_all([_rule_rows(inputs[key[0]], maps, signatures, encode) for key, maps in scans])
+    return _spell_out(rows.distinct(), signatures)
 
 
 def count_triples(records, maps):

@@ -5,10 +5,13 @@ concatenated where its terms are evaluated (`concat_ws` leaves out the null
 ones). The plan is a scan, a projection and a text write.
 """
 
+from functools import reduce
+
 from pyspark.sql import functions as F
 
 from tripleweft.functions.text import escape_literal, escape_literal_text
 from tripleweft.plans.compile import term_table
+from tripleweft.plans.once import evaluate_once
 from tripleweft.vocab import IRI, RDF_TYPE
 
 
@@ -32,9 +35,29 @@ def _as_list(maps):
     return list(maps) if isinstance(maps, (list, tuple)) else [maps]
 
 
+def _any(conditions):
+    return reduce(lambda a, b: a | b, conditions)
+
+
+def _has_triples(s, pairs):
+    """Whether a map yields anything for a record, from its null values alone."""
+    subject = F.col(s).isNotNull()
+    if not pairs or any(term.fixed is not None for term, _ in pairs):
+        return subject
+    return subject & _any([value.isNotNull() for _, value in pairs])
+
+
+def _evaluated(records, maps, encode):
+    """Terms of the records that yield any triple, each computed once."""
+    table, plan = term_table(records, maps, encode)
+    plan = [(s, pairs) for s, pairs in plan if pairs]
+    table = evaluate_once(table, *table.columns)
+    return table.filter(_any([_has_triples(s, pairs) for s, pairs in plan])), plan
+
+
 def ntriples_text(records, maps, encode=False):
     """One `value` row per record: its N-Triples lines joined by line breaks."""
-    table, plan = term_table(records, _as_list(maps), encode)
+    table, plan = _evaluated(records, _as_list(maps), encode)
     lines = []
     for s, pairs in plan:
         for term, value in pairs:
@@ -43,23 +66,21 @@ def ntriples_text(records, maps, encode=False):
                     F.lit("<"), F.col(s), F.lit(f"> <{term.predicate}> "), object_text(term, value), F.lit(" .")
                 )
             )
-    text = table.select(F.concat_ws("\n", *lines).alias("value"))
-    return text.filter(F.col("value") != "")
+    return table.select(F.concat_ws("\n", *lines).alias("value"))
 
 
 def turtle_text(records, maps, encode=False):
     """One `value` row per record: a subject block for each map."""
-    table, plan = term_table(records, _as_list(maps), encode)
+    table, plan = _evaluated(records, _as_list(maps), encode)
     blocks = []
     for s, pairs in plan:
         parts = []
         for term, value in pairs:
             verb = "a " if term.predicate == RDF_TYPE else f"<{term.predicate}> "
             parts.append(F.concat(F.lit(verb), object_text(term, value)))
-        body = F.nullif(F.concat_ws(" ;\n    ", *parts), F.lit(""))
-        blocks.append(F.concat(F.lit("<"), F.col(s), F.lit(">\n    "), body, F.lit(" .\n")))
-    text = table.select(F.concat_ws("\n", *blocks).alias("value"))
-    return text.filter(F.col("value") != "")
+        block = F.concat(F.lit("<"), F.col(s), F.lit(">\n    "), F.concat_ws(" ;\n    ", *parts), F.lit(" .\n"))
+        blocks.append(F.when(_has_triples(s, pairs), block))
+    return table.select(F.concat_ws("\n", *blocks).alias("value"))
 
 
 def jsonld_text(records, maps, encode=False):
@@ -71,7 +92,7 @@ def jsonld_text(records, maps, encode=False):
     maps = _as_list(maps)
     if not all(tm.unique_subject for tm in maps):
         raise ValueError("per-record JSON-LD needs maps with unique subjects")
-    table, plan = term_table(records, maps, encode)
+    table, plan = _evaluated(records, maps, encode)
     nodes = []
     for s, pairs in plan:
         grouped = {}
@@ -89,9 +110,8 @@ def jsonld_text(records, maps, encode=False):
                 kept = F.array_distinct(F.array_compact(F.array(*cells)))
                 column = F.when(F.size(kept) > 0, kept)
             fields.append(column.alias(predicate))
-        nodes.append(F.when(F.col(s).isNotNull(), F.to_json(F.struct(*fields))))
-    text = table.select(F.concat_ws("\n", *nodes).alias("value"))
-    return text.filter(F.col("value") != "")
+        nodes.append(F.when(_has_triples(s, pairs), F.to_json(F.struct(*fields))))
+    return table.select(F.concat_ws("\n", *nodes).alias("value"))
 
 
 def _jsonld_cell(term, value):

@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from tripleweft.mapping import TriplesMap, ref, template
+from tripleweft.mapping import Mapping, TriplesMap, ref, template
 from tripleweft.operators.aggregates import (
     distinct_triple_count,
     duplicate_ids,
@@ -25,7 +25,7 @@ from tripleweft.operators.graph import (
 )
 from tripleweft.operators.setops import graph_diff, graph_distinct, graph_merge
 from tripleweft.functions.text import short_key
-from tripleweft.plans.compile import count_triples, triples_of
+from tripleweft.plans.compile import count_triples, materialise, triples_of
 from tripleweft.queries.common import (
     COLS,
     CUSTOMER_SQL,
@@ -328,6 +328,13 @@ def graph_distinct_query(spark, sf_dir):
     return graph_distinct(lineitem_triples(spark, sf_dir))
 
 
+@registry.add("mapping_distinct", f"SELECT DISTINCT {COLS} FROM ({LINEITEM_SQL} UNION ALL {CUSTOMER_SQL})")
+def mapping_distinct(spark, sf_dir):
+    """A mapping over two tables as a set, shuffled by rule number, subject and object."""
+    inputs = {name: table(spark, sf_dir, name) for name in ("lineitem", "customer")}
+    return materialise(Mapping((lineitem_map(), customer_map())), inputs, distinct=True)
+
+
 @registry.add("graph_merge", f"SELECT {COLS} FROM ({CUSTOMER_SQL} UNION ALL {ORDERS_SQL} UNION ALL {NATION_SQL})")
 def graph_merge_query(spark, sf_dir):
     return graph_merge(

@@ -10,9 +10,6 @@ SETTINGS = {
     # split costs one more exchange further up.
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
-    # collect_set/collect_list groups are small and many (one per subject), so
-    # the default limit of 128 groups in memory would sort nearly always.
-    "spark.sql.objectHashAggregate.sortBased.fallbackThreshold": "65536",
 }
 
 

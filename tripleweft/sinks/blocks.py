@@ -11,31 +11,37 @@ LARGE_SUBJECTS = 10_000
 
 
 def large_subjects(triples, block_triples=BLOCK_TRIPLES, max_subjects=LARGE_SUBJECTS):
-    """Subjects with more triples than a block takes, and their number of blocks.
+    """Hashes of subjects with more triples than a block takes, and their number of blocks.
 
-    The count is pre-aggregated per task. If there are more such subjects than
-    may be broadcast, the block size is doubled until there are not: the
-    number of subjects above a size falls with that size.
+    Only hashes are shuffled, pre-aggregated per task; two subjects that share
+    one are merely cut up together. If there are more large subjects than may
+    be broadcast, the block size is doubled until there are not: the number of
+    subjects above a size falls with that size.
     """
-    counts = triples.groupBy("s").agg(F.count(F.lit(1)).alias("_n"))
+    counts = triples.groupBy(F.xxhash64("s").alias("_h")).agg(F.count(F.lit(1)).alias("_n"))
     while True:
         large = counts.filter(F.col("_n") > block_triples)
-        if large.limit(max_subjects + 1).count() <= max_subjects:
-            return large.select("s", F.ceil(F.col("_n") / block_triples).alias("_blocks"))
+        found = large.limit(max_subjects + 1).count()
+        if found == 0:
+            return None
+        if found <= max_subjects:
+            return large.select("_h", F.ceil(F.col("_n") / block_triples).alias("_blocks"))
         block_triples *= 2
 
 
-def with_block(triples, block_triples=BLOCK_TRIPLES):
+def with_block(triples, block_triples=BLOCK_TRIPLES, few_per_subject=False):
     """Triples and the columns to group them by for output.
 
     That is the subject alone, unless some subject is large; then a `block`
     number is added, 0 but for large subjects, whose triples are spread by
-    their content, so that copies of a triple meet in one block.
+    their content, so that copies of a triple meet in one block. The counting
+    pass is left out if the caller knows that subjects are small, as those of a
+    mapping with unique subjects are.
     """
-    large = large_subjects(triples, block_triples)
-    if large.isEmpty():
+    large = None if few_per_subject else large_subjects(triples, block_triples)
+    if large is None:
         return triples, ["s"]
     spread = F.pmod(F.xxhash64(*TRIPLE_COLUMNS), F.col("_blocks"))
-    out = triples.join(F.broadcast(large), "s", "left")
-    out = out.withColumn("block", F.coalesce(spread, F.lit(0).cast("bigint"))).drop("_blocks")
+    out = triples.withColumn("_h", F.xxhash64("s")).join(F.broadcast(large), "_h", "left")
+    out = out.withColumn("block", F.coalesce(spread, F.lit(0).cast("bigint"))).drop("_blocks", "_h")
     return out, ["s", "block"]

@@ -6,44 +6,51 @@ from tripleweft.sinks.blocks import BLOCK_TRIPLES, with_block
 from tripleweft.vocab import IRI, RDF_TYPE
 
 
-def jsonld_nodes(triples, block_triples=BLOCK_TRIPLES):
+def json_string(col):
+    """A string as quoted JSON text."""
+    text = F.to_json(F.array(col))
+    return F.substr(text, F.lit(2), F.length(text) - 2)
+
+
+def jsonld_nodes(triples, block_triples=BLOCK_TRIPLES, few_per_subject=False):
     """Rows (s, value) of the distinct graph, predicates and values sorted.
 
-    One shuffle on the subject serves both groupings: by predicate, where
-    repeated triples fall together, and by subject.
+    Values are serialised before the one shuffle, so a group is a set of short
+    texts, in which repeated triples fall together. In sorted order each entry
+    knows from the one before whether it opens a new predicate.
     """
     is_iri = F.col("o_kind") == IRI
-    plain = F.lit(None).cast("string")
+    is_type = (F.col("p") == RDF_TYPE) & is_iri
     cell = F.struct(
         F.when(is_iri, F.col("o")).alias("@id"),
-        F.when(~is_iri, F.col("o_datatype")).otherwise(plain).alias("@type"),
-        F.when(~is_iri, F.col("o_lang")).otherwise(plain).alias("@language"),
+        F.when(~is_iri, F.col("o_datatype")).alias("@type"),
+        F.when(~is_iri, F.col("o_lang")).alias("@language"),
         F.when(~is_iri, F.col("o")).alias("@value"),
     )
-    rows, keys = with_block(triples, block_triples)
-    rows = rows.select(*keys, "p", cell.alias("cell"))
-    by_predicate = (
-        rows.repartition(*keys)
-        .groupBy(*keys, "p")
-        .agg(F.sort_array(F.collect_set("cell")).alias("cells"))
-    )
-    is_type = F.col("p") == RDF_TYPE
-    entry = F.struct("p", "cells")
-    nodes = by_predicate.groupBy(*keys).agg(
-        F.max(F.when(is_type, F.transform("cells", lambda c: c["@id"]))).alias("types"),
-        F.map_from_entries(F.sort_array(F.collect_list(F.when(~is_type, entry)))).alias("fields"),
-    )
-    head = F.to_json(F.struct(F.col("s").alias("@id"), F.col("types").alias("@type")))
-    body = F.to_json("fields")
-    text = F.when(F.size("fields") == 0, head).otherwise(
-        F.concat(F.substr(head, F.lit(1), F.length(head) - 1), F.lit(","), F.substr(body, F.lit(2)))
+    entry = F.struct(
+        F.when(is_type, F.lit("@type")).otherwise(F.col("p")).alias("key"),
+        F.when(is_type, json_string(F.col("o"))).otherwise(F.to_json(cell)).alias("text"),
     )
+    rows, keys = with_block(triples, block_triples, few_per_subject)
+    rows = rows.select(*keys, entry.alias("entry"))
+    nodes = rows.groupBy(*keys).agg(F.sort_array(F.collect_set("entry")).alias("entries"))
+
+    def piece(e, i):
+        opened = F.concat(json_string(e["key"]), F.lit(":["), e["text"])
+        return (
+            F.when(i == 0, opened)
+            .when(F.get("entries", i - 1)["key"] == e["key"], F.concat(F.lit(","), e["text"]))
+            .otherwise(F.concat(F.lit("],"), opened))
+        )
+
+    body = F.array_join(F.transform("entries", piece), "")
+    text = F.concat(F.lit('{"@id":'), json_string(F.col("s")), F.lit(","), body, F.lit("]}"))
     return nodes.select("s", text.alias("value"))
 
 
-def write_jsonld(triples, path, mode="overwrite"):
+def write_jsonld(triples, path, mode="overwrite", few_per_subject=False):
     """Node objects, one per line."""
-    jsonld_nodes(triples).select("value").write.mode(mode).text(path)
+    jsonld_nodes(triples, few_per_subject=few_per_subject).select("value").write.mode(mode).text(path)
 
 
 def parse_jsonld(nodes, column="value"):

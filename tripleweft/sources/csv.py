@@ -3,6 +3,8 @@
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tripleweft.plans.once import evaluate_once
+
 # A separator that no line contains, so that the reader hands over whole lines.
 _NO_SEPARATOR = "\x01"
 
@@ -14,7 +16,8 @@ _QUOTED_BODY = r'^"([^"]*+(?:""[^"]*+)*+)'
 
 def cells_of(line):
     """Cells of a CSV line as an array of raw (still quoted) strings."""
-    return F.regexp_extract_all(F.concat(F.lit(","), line), F.lit(_CELL), 1)
+    quoted = F.regexp_extract_all(F.concat(F.lit(","), line), F.lit(_CELL), 1)
+    return F.when(F.contains(line, F.lit('"')), quoted).otherwise(F.split(line, ","))
 
 
 def unquote(cell):
@@ -50,8 +53,8 @@ def exact_csv(spark, path, references=None):
         .option("quote", "")
         .csv(path)
     )
-    cells = lines.select(cells_of(F.col("line")).alias("cells"))
-    return cells.select(*[unquote(F.get("cells", position[n])).alias(n) for n in wanted])
+    cells = evaluate_once(lines, cells_of(F.col("line")).alias("cells"))
+    return evaluate_once(cells, *[unquote(F.get("cells", position[n])).alias(n) for n in wanted])
 
 
 def fast_csv(spark, path, references=None, empty_cells="empty"):
