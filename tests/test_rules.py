@@ -56,6 +56,8 @@ def test_rules_equal_mapping(spark):
         records.withColumn("tenant", F.lit("t")).withColumn("source", F.lit("in")), ["id", "name", "city"], ["tenant", "source"]
     )
     assert graph_diff(triples_of(records, tm), apply_rules(maps, rules), bag=True).isEmpty()
+    # Too many rules to broadcast: the same triples by the salted join.
+    assert graph_diff(triples_of(records, tm), apply_rules(maps, rules, broadcast_rows=1), bag=True).isEmpty()
 
 
 def test_rules_from_triples(spark):

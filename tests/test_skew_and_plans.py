@@ -8,7 +8,7 @@ from tripleweft import Mapping, TriplesMap, materialise, ref, triples_of
 from tripleweft.operators.events import merge_bins
 from tripleweft.operators.graph import dangling_links, star, star_join
 from tripleweft.plans.fused import ntriples_text, turtle_text
-from tripleweft.plans.joins import checked_join, fits, hot_keys, salted_join
+from tripleweft.plans.joins import checked_join, fits, hot_keys, row_spread, salted_join
 from tripleweft.plans.rowindex import global_row_index
 from tripleweft.scratch import new_path, write_and_read
 from tripleweft.vocab import SCHEMA, TRIPLES_SCHEMA
@@ -44,6 +44,15 @@ def test_salted_join_spreads_the_hot_key(hot, side):
     assert "_salt" in plan_of(keyed)
 
 
+def test_copies_are_spread(spark):
+    """Exact copies of one row lie in many partitions and so get many numbers."""
+    copies = spark.range(0, 4000, 1, 16).select(F.lit("same").alias("key"), F.create_map(F.lit("a"), F.lit("b")).alias("m"))
+    spread = copies.select(row_spread(copies, 64).alias("n")).groupBy("n").count().collect()
+    assert len(spread) > 8 and max(r["count"] for r in spread) <= 1000
+    side = spark.createDataFrame([("same", 1), ("same", 2)], "key string, v int")
+    assert salted_join(copies, side, ["key"], hot_rows=500, salts=8).count() == 8000
+
+
 def test_salted_join_rejects_other_kinds(hot, side):
     with pytest.raises(ValueError):
         salted_join(hot, side, ["key"], "full")
@@ -61,6 +70,8 @@ def test_row_index_over_many_partitions(spark):
     df = spark.range(1000).select((F.col("id") * 37 % 1000).alias("v"))
     indexed = global_row_index(df, ["v"], partitions=7)
     assert indexed.filter("v <> row_index").isEmpty() and indexed.count() == 1000
+    tied = global_row_index(spark.range(600).select(F.lit(1).alias("v")), ["v"], partitions=5)
+    assert rows(tied.select("row_index")) == rows(spark.range(600))
     bins = merge_bins(df, ["v"], 3)
     assert bins.filter(F.col("bin_id") != F.floor(F.col("v") / 3)).isEmpty()
 

@@ -62,12 +62,13 @@ def links(triples, predicate, subject="subject", target="target"):
     return rows.select(F.col("s").alias(subject), F.col("o").alias(target))
 
 
-def path_join(left, right, on, how="inner"):
+def path_join(left, right, on, how="inner", counts_from=None):
     """Follow links: rows that point at IRIs meet the rows of those IRIs.
 
-    Very many rows may point at one IRI, so its rows are spread.
+    Very many rows may point at one IRI, so its rows are spread. `counts_from`
+    takes the plain links, if `left` is costly, to find such IRIs.
     """
-    return salted_join(left, right, [on], how)
+    return salted_join(left, right, [on], how, counts_from=counts_from)
 
 
 def coreference_merge(graphs):

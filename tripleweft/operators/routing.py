@@ -3,6 +3,7 @@
 from pyspark.sql import functions as F
 
 from tripleweft.plans.joins import checked_join
+from tripleweft.scratch import write_and_read
 
 # Default size threshold (50 MiB) and reason codes.
 SIZE_THRESHOLD = 50 * 1024 * 1024
@@ -61,9 +62,10 @@ def failure_routing(records, file, is_bad, error_type, error_message, per_record
     """Split into (good records, failed inputs).
 
     By default one bad record rejects its whole input; `per_record` keeps the
-    good records of such an input.
+    good records of such an input. The failed inputs are written to the shared
+    folder, so that the records are not searched for them twice.
     """
-    failures = failed_inputs(records, file, is_bad, error_type, error_message)
+    failures = write_and_read(failed_inputs(records, file, is_bad, error_type, error_message), "failed-inputs")
     if per_record:
         return records.filter(~F.coalesce(is_bad, F.lit(False))), failures
     return checked_join(records, failures.select(file), [file], "left_anti"), failures

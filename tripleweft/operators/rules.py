@@ -9,10 +9,11 @@ from functools import reduce
 
 from pyspark.sql import functions as F
 
-from tripleweft.functions.names import expand_curie, looks_like_iri
-from tripleweft.plans.joins import checked_join, fits, salted_join
+from tripleweft.functions.names import looks_like_iri
+from tripleweft.plans.joins import BROADCAST_ROWS, checked_join, fits, salted_join
+from tripleweft.plans.once import evaluate_once
 from tripleweft.scratch import write_and_read
-from tripleweft.vocab import FORMULATIONS, IRI, LITERAL, QL, RDF_TYPE, RML, RR, TRIPLE_COLUMNS
+from tripleweft.vocab import FORMULATIONS, IRI, LITERAL, QL, RDF_TYPE, RML, RR
 
 RULE_COLUMNS = (
     "tenant",
@@ -134,13 +135,25 @@ def braces(col):
     return F.regexp_replace(col, _DOLLAR_REF, "{$1}")
 
 
-def prefix_maps(prefixes):
-    """Prefix table (tenant, prefix, iri) as one map per tenant.
+def expand_prefixes(rows, prefixes, columns):
+    """Expand `prefix:local` in the given columns by a table (tenant, prefix, iri).
 
-    A tenant's prefixes are a short list; a repeated prefix counts once.
+    One look-up join per column; texts without a known prefix stay as they are.
     """
     single = prefixes.groupBy("tenant", "prefix").agg(F.max("iri").alias("iri"))
-    return single.groupBy("tenant").agg(F.map_from_entries(F.collect_list(F.struct("prefix", "iri"))).alias("_prefixes"))
+    single = write_and_read(single, "prefixes")
+    small = fits(single)
+    for name in columns:
+        colon = F.instr(name, ":")
+        rows = rows.withColumn("_prefix", F.when(colon > 1, F.substr(F.col(name), F.lit(1), colon - 1)))
+        side = single.select("tenant", F.col("prefix").alias("_prefix"), F.col("iri").alias("_iri"))
+        if small:
+            rows = rows.join(F.broadcast(side), ["tenant", "_prefix"], "left")
+        else:
+            rows = salted_join(rows, side, ["tenant", "_prefix"], "left")
+        full = F.concat("_iri", F.substr(F.col(name), F.instr(name, ":") + 1))
+        rows = rows.withColumn(name, F.coalesce(full, name)).drop("_prefix", "_iri")
+    return rows
 
 
 def canonical_formulation(col):
@@ -155,33 +168,37 @@ def normalise_short_rules(rows, prefixes):
     A lone `$(x)` is a reference, any other text with `$(` a template, the
     rest a constant. The predicate `a` gives a class, as a constant rule.
     """
-    rows = checked_join(rows, prefix_maps(prefixes), ["tenant"], "left")
-    known = F.col("_prefixes")
     alone = F.col("o").rlike("^" + _DOLLAR_REF + "$")
     mixed = F.contains("o", F.lit("$("))
-    is_type = F.col("p") == "a"
+    kinds = rows.select(
+        "*",
+        (F.col("p") == "a").alias("_type"),
+        F.when(F.col("p") == "a", F.lit("constant"))
+        .when(alone, F.lit("reference"))
+        .when(mixed, F.lit("template"))
+        .otherwise(F.lit("constant"))
+        .alias("obj_kind"),
+        # Classes and templates may start with a prefix; plain constants stay as written.
+        F.when((F.col("p") == "a") | (mixed & ~alone), F.col("o")).alias("_named"),
+    )
+    full = expand_prefixes(kinds, prefixes, ["s", "p", "_named", "datatype"])
     value = (
-        F.when(is_type, expand_curie(F.col("o"), known))
-        .when(alone, F.regexp_extract("o", _DOLLAR_REF, 1))
-        .when(mixed, braces(expand_curie(F.col("o"), known)))
-        .otherwise(F.col("o"))
+        F.when(F.col("obj_kind") == "reference", F.regexp_extract("o", _DOLLAR_REF, 1))
+        .when(F.col("obj_kind") == "template", braces(F.col("_named")))
+        .otherwise(F.coalesce("_named", "o"))
     )
-    return rows.select(
+    return full.select(
         "tenant",
         "triples_map",
         "source",
         canonical_formulation(F.col("formulation")).alias("formulation"),
         "iterator",
-        braces(expand_curie(F.col("s"), known)).alias("subject_template"),
+        braces(F.col("s")).alias("subject_template"),
         F.array().cast("array<string>").alias("classes"),
-        F.when(is_type, F.lit(RDF_TYPE)).otherwise(expand_curie(F.col("p"), known)).alias("predicate"),
-        F.when(is_type, F.lit("constant"))
-        .when(alone, F.lit("reference"))
-        .when(mixed, F.lit("template"))
-        .otherwise(F.lit("constant"))
-        .alias("obj_kind"),
+        F.when(F.col("_type"), F.lit(RDF_TYPE)).otherwise(F.col("p")).alias("predicate"),
+        "obj_kind",
         value.alias("obj_value"),
-        expand_curie(F.col("datatype"), known).alias("datatype"),
+        "datatype",
         "lang",
     )
 
@@ -222,7 +239,7 @@ def validate_rules(rules, sources=None):
     if sources is None:
         return checked
     known = sources.select("tenant", "source").distinct().withColumn("_known", F.lit(True))
-    joined = checked_join(checked, known, ["tenant", "source"], "left")
+    joined = checked_join(checked, known, ["tenant", "source"], "left", write_right=True)
     unknown = F.when(F.col("_known").isNull() & F.col("source").isNotNull(), F.lit("unknown_source"))
     return joined.withColumn("errors", F.array_compact(F.array_append("errors", unknown))).drop("_known")
 
@@ -277,11 +294,10 @@ def fill_parts(parts, record):
     return F.aggregate(parts, F.lit(""), lambda text, piece: F.concat(text, value(piece)))
 
 
-def compiled_rules(rules):
-    """One row per (tenant, source, triples map) with the subject parts and its rules.
+def rule_rows(rules):
+    """One row per triple a record can yield, templates cut into pieces.
 
-    Classes become constant rules. A triples map holds a handful of rules, so
-    the collected array is short.
+    Classes become constant rules, once per triples map.
     """
     keys = ["tenant", "source", "triples_map", "subject_template"]
     rows = rules.filter(F.col("predicate").isNotNull() & F.col("obj_kind").isNotNull()).select(
@@ -300,40 +316,54 @@ def compiled_rules(rules):
             null.alias("lang"),
         )
     )
-    every = rows.unionByName(classes)
     is_iri = (F.col("obj_kind") == "template") | (
         (F.col("obj_kind") == "constant") & (looks_like_iri(F.col("obj_value")) | (F.col("predicate") == RDF_TYPE))
     )
-    rule = F.struct(
+    return rows.unionByName(classes).select(
+        "tenant",
+        "source",
+        template_parts(F.col("subject_template")).alias("subject_parts"),
         F.col("predicate").alias("p"),
         "obj_kind",
         "obj_value",
-        F.when(F.col("obj_kind") == "template", template_parts(F.col("obj_value"))).alias("parts"),
+        F.when(F.col("obj_kind") == "template", template_parts(F.col("obj_value"))).alias("obj_parts"),
         F.when(is_iri, F.lit(IRI)).otherwise(F.lit(LITERAL)).alias("o_kind"),
         F.when(~is_iri, F.col("datatype")).alias("o_datatype"),
         F.when(~is_iri & F.col("datatype").isNull(), F.col("lang")).alias("o_lang"),
     )
-    grouped = every.select(*keys, rule.alias("rule")).groupBy(*keys).agg(F.collect_list("rule").alias("rules"))
-    return grouped.select(
-        "tenant", "source", "triples_map", template_parts(F.col("subject_template")).alias("subject_parts"), "rules"
-    )
 
 
-def apply_rules(records, rules, keep=()):
-    """Triples of records (tenant, source, record map) by the rules of their tenant.
+def compile_rules(rules):
+    """Rule rows as a table in the shared folder, to be applied any number of times."""
+    return write_and_read(rule_rows(rules), "compiled-rules")
+
+
+def apply_compiled(records, compiled, keep=(), broadcast_rows=BROADCAST_ROWS):
+    """Triples of records (tenant, source, record map) by compiled rules.
 
     Rules go to the records by broadcast if they measure small; else records
     are shuffled to them, those of a large tenant spread over many tasks.
     """
-    compiled = write_and_read(compiled_rules(rules), "compiled-rules")
-    joined = checked_join(records, compiled, ["tenant", "source"])
-    subject = fill_parts(F.col("subject_parts"), F.col("record"))
-    rows = joined.select(*keep, "record", subject.alias("s"), "rules").filter(F.col("s").isNotNull())
-    rows = rows.select(*keep, "record", "s", F.explode("rules").alias("r"))
+    joined = checked_join(records, compiled, ["tenant", "source"], max_rows=broadcast_rows)
+    record = F.col("record")
     value = (
-        F.when(F.col("r.obj_kind") == "reference", F.try_element_at("record", F.col("r.obj_value")))
-        .when(F.col("r.obj_kind") == "template", fill_parts(F.col("r.parts"), F.col("record")))
-        .otherwise(F.col("r.obj_value"))
+        F.when(F.col("obj_kind") == "reference", F.try_element_at(record, F.col("obj_value")))
+        .when(F.col("obj_kind") == "template", fill_parts(F.col("obj_parts"), record))
+        .otherwise(F.col("obj_value"))
+    )
+    rows = evaluate_once(
+        joined,
+        fill_parts(F.col("subject_parts"), record).alias("s"),
+        "p",
+        value.alias("o"),
+        "o_kind",
+        "o_datatype",
+        "o_lang",
+        keep=keep,
     )
-    out = rows.select(*keep, "s", F.col("r.p").alias("p"), value.alias("o"), "r.o_kind", "r.o_datatype", "r.o_lang")
-    return out.filter(F.col("o").isNotNull()).select(*keep, *TRIPLE_COLUMNS)
+    return rows.filter(F.col("s").isNotNull() & F.col("o").isNotNull())
+
+
+def apply_rules(records, rules, keep=(), broadcast_rows=BROADCAST_ROWS):
+    """Triples of records by the rules of their tenant."""
+    return apply_compiled(records, compile_rules(rules), keep, broadcast_rows)

@@ -1,6 +1,9 @@
 """Joins that stay safe when a side grows or one key is hot."""
 
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from tripleweft.scratch import write_and_read
 
 # Bounds under which a side may be copied to every executor.
 BROADCAST_ROWS = 200_000
@@ -15,13 +18,30 @@ SALTS = 64
 def fits(df, max_rows=BROADCAST_ROWS, max_bytes=BROADCAST_BYTES):
     """Measure whether `df` is small enough to broadcast.
 
-    Reads at most one row beyond the bound, so a large side is not counted in full.
+    Rows are reduced to their sizes first, and at most one size beyond the
+    bound is read, so a large side is neither moved nor counted in full.
     """
-    size = F.sum(F.octet_length(F.to_json(F.struct(*df.columns))))
-    row = df.limit(max_rows + 1).agg(F.count(F.lit(1)).alias("n"), size.alias("b")).first()
+    size = F.octet_length(F.to_json(F.struct(*df.columns))).alias("b")
+    row = df.select(size).limit(max_rows + 1).agg(F.count(F.lit(1)).alias("n"), F.sum("b").alias("b")).first()
     return row.n <= max_rows and (row.b or 0) <= max_bytes
 
 
+def row_spread(df, parts):
+    """A number below `parts` for each row, to spread rows that share a key.
+
+    It comes from the row's content and the number of its partition. Exact
+    copies of a row are spread as well, since they lie in many partitions, and
+    a task that runs again gives its rows the same numbers.
+    """
+    cols = []
+    for f in df.schema:
+        if isinstance(f.dataType, T.MapType):
+            cols.append(F.map_entries(f.name))
+        elif not isinstance(f.dataType, T.VariantType):
+            cols.append(F.col(f"`{f.name}`"))
+    return F.pmod(F.xxhash64(*cols, F.spark_partition_id()), F.lit(parts)).cast("int")
+
+
 def hot_keys(df, keys, hot_rows=HOT_ROWS, max_keys=HOT_KEYS):
     """The keys with the most rows, at most `max_keys` of them.
 
@@ -34,32 +54,37 @@ def hot_keys(df, keys, hot_rows=HOT_ROWS, max_keys=HOT_KEYS):
     return top.select(*keys, F.lit(True).alias("_hot"))
 
 
-def salted_join(left, right, keys, how="inner", hot_rows=HOT_ROWS, salts=SALTS):
+def salted_join(left, right, keys, how="inner", hot_rows=HOT_ROWS, salts=SALTS, counts_from=None):
     """Equi-join in which `left` may have hot keys.
 
     Rows of a hot key get one of `salts` numbers on the left; the few right
     rows of that key are copied once per number. All other keys join as usual.
-    The number comes from the row's content, so a recomputed task repeats it.
+    `counts_from` names a cheaper DataFrame in which the same keys are hot.
     """
     if how not in ("inner", "left", "left_semi", "left_anti"):
         raise ValueError(f"cannot salt a {how} join")
     keys = list(keys)
-    hot = F.broadcast(hot_keys(left, keys, hot_rows))
-    spread = F.pmod(F.xxhash64(*left.columns), F.lit(salts)).cast("int")
+    hot = F.broadcast(hot_keys(left if counts_from is None else counts_from, keys, hot_rows))
     # Null keys match nothing, so they may be spread too.
     no_key = F.lit(False)
     for key in keys:
         no_key = no_key | F.col(key).isNull()
-    l = left.join(hot, keys, "left").withColumn(
-        "_salt", F.when(F.col("_hot") | no_key, spread).otherwise(0)
-    )
+    salt = F.when(F.col("_hot") | no_key, F.col("_spread")).otherwise(0)
+    l = left.withColumn("_spread", row_spread(left, salts)).join(hot, keys, "left")
+    l = l.withColumn("_salt", salt).drop("_hot", "_spread")
     copies = F.when(F.col("_hot"), F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(F.array(F.lit(0)))
     r = right.join(hot, keys, "left").withColumn("_salt", F.explode(copies)).drop("_hot")
-    return l.drop("_hot").join(r, [*keys, "_salt"], how).drop("_salt")
+    return l.join(r, [*keys, "_salt"], how).drop("_salt")
+
 
+def checked_join(left, right, keys, how="inner", max_rows=BROADCAST_ROWS, max_bytes=BROADCAST_BYTES, write_right=False):
+    """Broadcast `right` if it measures small, else join with salted hot keys.
 
-def checked_join(left, right, keys, how="inner", max_rows=BROADCAST_ROWS, max_bytes=BROADCAST_BYTES):
-    """Broadcast `right` if it measures small, else join with salted hot keys."""
+    `write_right` writes a costly right side to the shared folder first, so
+    that measuring and joining do not both compute it.
+    """
+    if write_right:
+        right = write_and_read(right, "join-side")
     if fits(right, max_rows, max_bytes):
         return left.join(F.broadcast(right), list(keys), how)
     return salted_join(left, right, keys, how)

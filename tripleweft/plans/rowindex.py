@@ -3,6 +3,7 @@
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
+from tripleweft.plans.joins import row_spread
 from tripleweft.scratch import write_and_read
 
 # Bits that monotonically_increasing_id gives to the row within its partition.
@@ -14,11 +15,14 @@ def global_row_index(df, order, name="row_index", partitions=None):
 
     Rows are range-partitioned and sorted, numbered within their partition,
     and written once to the shared folder, since range bounds are sampled and
-    must not be drawn twice. The offset of a partition is the sum of the sizes
-    before it: a table with one row per partition, small by construction.
+    must not be drawn twice. Rows that are equal in the order are parted by
+    content and origin, so that no range grows with them. The offset of a
+    partition is the sum of the sizes before it: a table with one row per
+    partition, small by construction.
     """
     parts = [partitions] if partitions else []
-    ordered = df.repartitionByRange(*parts, *order).sortWithinPartitions(*order)
+    tied = df.withColumn("_tie", row_spread(df, 1 << 30))
+    ordered = tied.repartitionByRange(*parts, *order, "_tie").sortWithinPartitions(*order, "_tie").drop("_tie")
     marked = write_and_read(ordered.withColumn("_id", F.monotonically_increasing_id()), "row-index")
     part = F.shiftright("_id", _ROW_BITS)
     row = F.col("_id").bitwiseAND(F.lit((1 << _ROW_BITS) - 1))

@@ -128,7 +128,8 @@ def bgp_query(spark, sf_dir):
         graph, {"name": SCHEMA + "name", "balance": EX + "balance"}, "customer", of_class=SCHEMA + "Person"
     )
     rich = people.filter(F.col("balance").try_cast("decimal(38,10)") > 5000)
-    return path_join(offers, rich, "customer").select("name", "balance", "price")
+    pointing = links(graph, SCHEMA + "customer", "order", "customer")
+    return path_join(offers, rich, "customer", counts_from=pointing).select("name", "balance", "price")
 
 
 def _three_sources(spark, sf_dir):

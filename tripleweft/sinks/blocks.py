@@ -29,19 +29,22 @@ def large_subjects(triples, block_triples=BLOCK_TRIPLES, max_subjects=LARGE_SUBJ
         block_triples *= 2
 
 
-def with_block(triples, block_triples=BLOCK_TRIPLES, few_per_subject=False):
+def with_block(triples, block_triples=BLOCK_TRIPLES, few_per_subject=False, copies_meet=True):
     """Triples and the columns to group them by for output.
 
     That is the subject alone, unless some subject is large; then a `block`
     number is added, 0 but for large subjects, whose triples are spread by
-    their content, so that copies of a triple meet in one block. The counting
+    their content, so that copies of a triple meet in one block, where a set
+    keeps one of them. For a bag, `copies_meet=False` spreads copies too. The counting
     pass is left out if the caller knows that subjects are small, as those of a
     mapping with unique subjects are.
     """
     large = None if few_per_subject else large_subjects(triples, block_triples)
     if large is None:
         return triples, ["s"]
-    spread = F.pmod(F.xxhash64(*TRIPLE_COLUMNS), F.col("_blocks"))
-    out = triples.withColumn("_h", F.xxhash64("s")).join(F.broadcast(large), "_h", "left")
-    out = out.withColumn("block", F.coalesce(spread, F.lit(0).cast("bigint"))).drop("_blocks", "_h")
+    origin = [] if copies_meet else [F.spark_partition_id()]
+    spread = F.xxhash64(*TRIPLE_COLUMNS, *origin)
+    out = triples.withColumns({"_h": F.xxhash64("s"), "_spread": spread}).join(F.broadcast(large), "_h", "left")
+    block = F.coalesce(F.pmod("_spread", "_blocks"), F.lit(0).cast("bigint"))
+    out = out.withColumn("block", block).drop("_blocks", "_h", "_spread")
     return out, ["s", "block"]

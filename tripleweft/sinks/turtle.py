@@ -15,7 +15,7 @@ def turtle_blocks(triples, distinct=False, block_triples=BLOCK_TRIPLES, few_per_
     """
     verb = F.when(F.col("p") == RDF_TYPE, F.lit("a")).otherwise(F.concat(F.lit("<"), F.col("p"), F.lit(">")))
     line = F.concat(verb, F.lit(" "), object_column())
-    rows, keys = with_block(triples, block_triples, few_per_subject)
+    rows, keys = with_block(triples, block_triples, few_per_subject, copies_meet=distinct)
     rows = rows.select(*keys, line.alias("line"))
     collect = F.collect_set if distinct else F.collect_list
     lines = F.array_join(F.sort_array(collect("line")), " ;\n    ")

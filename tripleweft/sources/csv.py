@@ -5,8 +5,8 @@ from pyspark.sql import types as T
 
 from tripleweft.plans.once import evaluate_once
 
-# A separator that no line contains, so that the reader hands over whole lines.
-_NO_SEPARATOR = "\x01"
+# A separator that no line can contain, so that the reader hands over whole lines.
+_NO_SEPARATOR = "\n"
 
 # One cell after a comma: quoted (inner quotes doubled, text may follow the
 # closing quote, a missing closing quote ends with the line) or plain.

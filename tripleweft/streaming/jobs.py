@@ -11,7 +11,7 @@ from pyspark.sql import Observation
 from pyspark.sql import functions as F
 
 from tripleweft.operators.routing import failure_routing
-from tripleweft.operators.rules import apply_rules
+from tripleweft.operators.rules import apply_compiled, compile_rules
 from tripleweft.plans.compile import triples_of
 from tripleweft.plans.rowindex import global_row_index
 
@@ -52,7 +52,7 @@ def stream_merge(streams, order, path, checkpoint, size=3, every="10 seconds"):
 
 
 class RefreshedRules:
-    """Rules table that is read again once it is older than the TTL (0: always)."""
+    """Compiled rules, read again once they are older than the TTL (0: always)."""
 
     def __init__(self, read, ttl_seconds, clock):
         self._read, self._ttl, self._clock = read, ttl_seconds, clock
@@ -61,7 +61,7 @@ class RefreshedRules:
     def get(self):
         now = self._clock()
         if self._rules is None or now - self._at >= self._ttl:
-            self._rules, self._at = self._read(), now
+            self._rules, self._at = compile_rules(self._read()), now
         return self._rules
 
 
@@ -69,7 +69,7 @@ def stream_mapping_refresh(records, rules, path, checkpoint, every=None):
     """Map record maps (tenant, source, record) by rules that may change between batches."""
 
     def handle(batch, batch_id):
-        triples = apply_rules(batch, rules.get())
+        triples = apply_compiled(batch, rules.get())
         triples.write.mode("overwrite").parquet(_batch_path(path, batch_id))
 
     return _per_batch(records, handle, checkpoint, every)
