@@ -13,7 +13,7 @@ from tripleweft.operators.setops import graph_diff, graph_distinct
 from tripleweft.plans.fused import jsonld_text, ntriples_text, turtle_text
 from tripleweft.sinks.blocks import with_block
 from tripleweft.sinks.files import convert_ntriples, write_ntriples_partitioned, write_partitioned, write_rdf, write_text
-from tripleweft.sinks.jsonld import jsonld_nodes, parse_jsonld
+from tripleweft.sinks.jsonld import jsonld_nodes, jsonld_scan, parse_jsonld, write_jsonld
 from tripleweft.sinks.ntriples import write_ntriples
 from tripleweft.sinks.rdfxml import rdfxml_fragments
 from tripleweft.sinks.turtle import turtle_blocks
@@ -100,6 +100,17 @@ def test_jsonld_round_trip(people):
     assert graph_diff(graph_distinct(triples), parse_jsonld(nodes), bag=True).isEmpty()
 
 
+def test_jsonld_documents(spark, people, tmp_path):
+    triples = triples_of(people, person_map())
+    write_jsonld(triples.repartition(3), str(tmp_path / "docs"), documents=True)
+    ids = []
+    for part in glob.glob(str(tmp_path / "docs" / "part-*")):
+        with open(part, encoding="utf-8") as f:
+            ids += [node["@id"] for node in json.load(f)["@graph"]]
+    assert sorted(ids) == [EX + "person/1", EX + "person/2", EX + "person/3"]
+    assert graph_diff(graph_distinct(triples), jsonld_scan(spark, str(tmp_path / "docs")), bag=True).isEmpty()
+
+
 def test_fused_jsonld(people):
     unique = people.dropDuplicates(["id"])
     nodes = jsonld_text(unique, person_map(unique=True))

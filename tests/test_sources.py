@@ -147,6 +147,16 @@ def test_xml_predicates(spark, put):
     assert rows(records.filter(is_class & ~base).select(name)) == [("Car",)]
 
 
+def test_xml_attribute_fallback(spark, put):
+    path = put("a.xml", '<r><i id="1"><v>x</v></i><i v="y"><id>2</id></i><i id="3" v="z"><id/></i></r>')
+    got = []
+    for fallback in (False, True):
+        records = xml_records(spark, path, "/r/i", ["id", "v"], attr_fallback=fallback)
+        value = resolver(records, "xml")
+        got.append([tuple(r) for r in records.select(value("id"), value("v")).collect()])
+    assert got == [[(None, "x"), ("2", None), (None, None)], [("1", "x"), ("2", "y"), ("3", "z")]]
+
+
 def test_ntriples_lines(spark):
     lines = [
         "# comment",

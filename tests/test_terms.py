@@ -134,6 +134,18 @@ def test_bag_and_set(spark):
     assert graph_diff(triples_of(df, tm), distinct).isEmpty()
 
 
+def test_only_the_asked_predicates(spark):
+    df = spark.createDataFrame([("1", "a", "b")], "id string, a string, b string")
+    tm = TriplesMap("t", EX + "{id}", (EX + "C",), (("p:a", ref("a")), ("p:b", ref("b"))))
+    other = TriplesMap("u", EX + "{id}", objects=(("p:b", ref("b")),))
+    mapping = Mapping((tm, other))
+    got = materialise(mapping, {"t": df, "u": df}, predicates=["p:a", RDF_TYPE])
+    assert {r.p for r in got.collect()} == {"p:a", RDF_TYPE}
+    assert materialise(mapping, {"t": df, "u": df}, distinct=True, predicates=["p:b"]).count() == 1
+    with pytest.raises(ValueError):
+        triples_of(df, tm, predicates=["p:none"])
+
+
 def test_declared_keys_avoid_distinct():
     unique = TriplesMap("t", EX + "a/{id}", (EX + "C",), (("p:a", ref("a")),), unique_subject=True)
     other = TriplesMap("u", EX + "b/{id}", objects=(("p:a", ref("a")),), unique_subject=True)

@@ -68,16 +68,11 @@ def throughput(df, amount, millis, *keys):
 def pivot_ratio(df, key, column, values, measure):
     """Means of two categories side by side, and their ratio (first by second).
 
-    The values are given, so no job has to look for them.
+    The values are given, so both means come from one grouped pass.
     """
-    first, second = values
-    wide = df.groupBy(key).pivot(column, [first, second]).agg(F.avg(measure))
-    return wide.select(
-        key,
-        F.col(f"`{first}`").alias("first_mean"),
-        F.col(f"`{second}`").alias("second_mean"),
-        F.try_divide(F.col(f"`{first}`"), F.col(f"`{second}`")).alias("ratio"),
-    )
+    first, second = [F.avg(F.when(F.col(column) == v, F.col(measure))) for v in values]
+    wide = df.groupBy(key).agg(first.alias("first_mean"), second.alias("second_mean"))
+    return wide.withColumn("ratio", F.try_divide("first_mean", "second_mean"))
 
 
 def duplicate_ids(df, *ids):

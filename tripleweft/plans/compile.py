@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from tripleweft.functions.paths import resolver
 from tripleweft.functions.templates import expand, template_pieces
+from tripleweft.mapping import Mapping
 from tripleweft.vocab import IRI, LITERAL, RDF_TYPE, TRIPLE_COLUMNS, is_iri_constant
 
 
@@ -58,15 +59,18 @@ def map_terms(tm, resolve, encode=False):
     return subject, terms
 
 
-def term_table(records, maps, encode=False, keep=()):
+def term_table(records, maps, encode=False, keep=(), predicates=None):
     """Subjects and objects side by side, one row per record.
 
+    `predicates` leaves out all rules with other predicates.
+
     Returns the projection and, per map, the name of its subject column with
     (term, value column) pairs that refer to it.
     """
     cols, plan = [], []
     for i, tm in enumerate(maps):
         subject, terms = map_terms(tm, resolver(records, tm.formulation), encode)
+        terms = [t for t in terms if predicates is None or t.predicate in predicates]
         cols.append(subject.alias(f"_s{i}"))
         pairs = []
         for j, term in enumerate(terms):
@@ -90,13 +94,24 @@ def _cell(subject, term, value):
     )
 
 
-def triples_of(records, maps, encode=False, keep=()):
+def map_predicates(tm):
+    """Predicates that a triples map can yield."""
+    return {p for p, _ in tm.objects} | ({RDF_TYPE} if tm.classes else set())
+
+
+def triples_of(records, maps, encode=False, keep=(), predicates=None):
     """Triples of all maps over one record DataFrame, in one narrow pass.
 
     `keep` names record columns to carry along (a tenant, a file name).
+    `predicates` limits the triples to those that a graph pattern asks for,
+    which also keeps the columns of all other rules from being read.
     """
     maps = [maps] if not isinstance(maps, (list, tuple)) else list(maps)
-    table, plan = term_table(records, maps, encode, keep)
+    if predicates is not None:
+        maps = [tm for tm in maps if map_predicates(tm) & set(predicates)]
+    if not maps:
+        raise ValueError("the mapping yields no triples")
+    table, plan = term_table(records, maps, encode, keep, predicates)
     cells = [_cell(F.col(s), term, value) for s, pairs in plan for term, value in pairs]
     if not cells:
         raise ValueError("the mapping yields no triples")
@@ -135,9 +150,9 @@ def _signature(term):
     return (term.predicate, term.kind, term.datatype, term.lang)
 
 
-def _rule_rows(records, maps, signatures, encode):
+def _rule_rows(records, maps, signatures, encode, predicates):
     """Rows (rule, s, o), where rule numbers what is fixed about a triple."""
-    table, plan = term_table(records, maps, encode)
+    table, plan = term_table(records, maps, encode, predicates=predicates)
     cells = []
     for s, pairs in plan:
         for term, value in pairs:
@@ -163,19 +178,24 @@ def _spell_out(rows, signatures):
     )
 
 
-def materialise(mapping, inputs, distinct=False, encode=False):
+def materialise(mapping, inputs, distinct=False, encode=False, predicates=None):
     """Triples of a whole mapping; `inputs` maps source names to DataFrames.
 
+    With `predicates`, only rules with those predicates are applied, and
+    sources that have none of them are not scanned.
+
     A bag by default. `distinct` gives a set: without a shuffle where the
     declared keys already make it one, else by a shuffle of rule number,
     subject and object only, since the rule fixes all other columns.
     """
+    if predicates is not None:
+        mapping = Mapping(tuple(tm for tm in mapping.maps if map_predicates(tm) & set(predicates)))
     scans = mapping.scans().items()
     if not distinct or is_set_already(mapping.maps):
-        frames = [triples_of(inputs[key[0]], maps, encode) for key, maps in scans]
+        frames = [triples_of(inputs[key[0]], maps, encode, predicates=predicates) for key, maps in scans]
         return union_all(frames).select(*TRIPLE_COLUMNS)
     signatures = {}
-    rows = union_all([_rule_rows(inputs[key[0]], maps, signatures, encode) for key, maps in scans])
+    rows = union_all([_rule_rows(inputs[key[0]], maps, signatures, encode, predicates) for key, maps in scans])
     return _spell_out(rows.distinct(), signatures)
 
 

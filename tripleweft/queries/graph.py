@@ -25,6 +25,7 @@ from tripleweft.operators.graph import (
 )
 from tripleweft.operators.setops import graph_diff, graph_distinct, graph_merge
 from tripleweft.functions.text import short_key
+from tripleweft.functions.times import start_text
 from tripleweft.plans.compile import count_triples, materialise, triples_of
 from tripleweft.queries.common import (
     COLS,
@@ -45,7 +46,7 @@ from tripleweft.queries.common import (
     table,
     triples_sql,
 )
-from tripleweft.vocab import SCHEMA, TRIPLE_COLUMNS
+from tripleweft.vocab import RDF_TYPE, SCHEMA
 
 registry = Registry()
 
@@ -62,8 +63,11 @@ def lineitem_triples(spark, sf_dir):
     return triples_of(table(spark, sf_dir, "lineitem"), lineitem_map())
 
 
-def shop_graph(spark, sf_dir):
-    return graph_merge(orders_triples(spark, sf_dir), customer_triples(spark, sf_dir))
+def shop_graph(spark, sf_dir, *predicates):
+    """Orders and customers as one graph, limited to what a pattern asks for."""
+    mapping = Mapping((orders_map(), customer_map()))
+    inputs = {name: table(spark, sf_dir, name) for name in ("orders", "customer")}
+    return materialise(mapping, inputs, predicates=predicates)
 
 
 # --- graph patterns -----------------------------------------------------------
@@ -74,7 +78,8 @@ def shop_graph(spark, sf_dir):
     f"SELECT {COLS} FROM ({ORDERS_SQL}) WHERE p = '{SCHEMA}price' AND TRY_CAST(o AS DECIMAL(38,10)) > 300000",
 )
 def typed_filter_query(spark, sf_dir):
-    return typed_filter(orders_triples(spark, sf_dir), SCHEMA + "price", lambda v: v > 300000)
+    prices = triples_of(table(spark, sf_dir, "orders"), orders_map(), predicates=[SCHEMA + "price"])
+    return typed_filter(prices, SCHEMA + "price", lambda v: v > 300000)
 
 
 @registry.add(
@@ -88,7 +93,9 @@ def typed_filter_query(spark, sf_dir):
 )
 def bgp_star_join(spark, sf_dir):
     variables = {"customer": SCHEMA + "customer", "price": SCHEMA + "price"}
-    return star(orders_triples(spark, sf_dir), variables, "order", of_class=SCHEMA + "Order")
+    asked = {RDF_TYPE, *variables.values()}
+    orders = triples_of(table(spark, sf_dir, "orders"), orders_map(), predicates=asked)
+    return star(orders, variables, "order", of_class=SCHEMA + "Order")
 
 
 @registry.add(
@@ -100,9 +107,8 @@ def bgp_star_join(spark, sf_dir):
     """,
 )
 def bgp_path_join(spark, sf_dir):
-    graph = shop_graph(spark, sf_dir)
-    pointing = links(graph, SCHEMA + "customer", "order", "customer")
-    named = star(graph, {"name": SCHEMA + "name"}, "customer")
+    pointing = links(shop_graph(spark, sf_dir, SCHEMA + "customer"), SCHEMA + "customer", "order", "customer")
+    named = star(shop_graph(spark, sf_dir, SCHEMA + "name"), {"name": SCHEMA + "name"}, "customer")
     return path_join(pointing, named, "customer").select("order", "customer", "name")
 
 
@@ -120,15 +126,16 @@ def bgp_path_join(spark, sf_dir):
 )
 def bgp_query(spark, sf_dir):
     """Two stars joined by a link, with a numeric filter ahead of the join."""
-    graph = shop_graph(spark, sf_dir)
+    offer_graph = shop_graph(spark, sf_dir, RDF_TYPE, SCHEMA + "customer", SCHEMA + "price")
+    people_graph = shop_graph(spark, sf_dir, RDF_TYPE, SCHEMA + "name", EX + "balance")
     offers = star(
-        graph, {"customer": SCHEMA + "customer", "price": SCHEMA + "price"}, "order", of_class=SCHEMA + "Order"
+        offer_graph, {"customer": SCHEMA + "customer", "price": SCHEMA + "price"}, "order", of_class=SCHEMA + "Order"
     )
     people = star(
-        graph, {"name": SCHEMA + "name", "balance": EX + "balance"}, "customer", of_class=SCHEMA + "Person"
+        people_graph, {"name": SCHEMA + "name", "balance": EX + "balance"}, "customer", of_class=SCHEMA + "Person"
     )
     rich = people.filter(F.col("balance").try_cast("decimal(38,10)") > 5000)
-    pointing = links(graph, SCHEMA + "customer", "order", "customer")
+    pointing = links(shop_graph(spark, sf_dir, SCHEMA + "customer"), SCHEMA + "customer", "order", "customer")
     return path_join(offers, rich, "customer", counts_from=pointing).select("name", "balance", "price")
 
 
@@ -424,3 +431,14 @@ def ordered_report_query(spark, sf_dir):
 @registry.add("url_hash16", "SELECT page_id, substr(sha256(url), 1, 16) AS key FROM pages")
 def url_hash16(spark, sf_dir):
     return table(spark, sf_dir, "pages").select("page_id", short_key(F.col("url")).alias("key"))
+
+
+@registry.add(
+    "epoch_start_text",
+    "SELECT event_id, strftime(ts - INTERVAL 2 SECOND, '%m/%d/%Y %H:%M:%S') || ' UTC' AS start_text FROM events",
+)
+def epoch_start_text(spark, sf_dir):
+    """Event times as epoch milliseconds, printed with the slack taken off."""
+    epoch = F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")
+    millis = F.timestamp_diff("MILLISECOND", epoch, F.col("ts"))
+    return table(spark, sf_dir, "events").select("event_id", start_text(millis).alias("start_text"))

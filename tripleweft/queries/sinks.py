@@ -24,7 +24,7 @@ from tripleweft.queries.common import (
 )
 from tripleweft.scratch import new_path
 from tripleweft.sinks.files import convert_ntriples, write_ntriples_partitioned, write_partitioned, write_text
-from tripleweft.sinks.jsonld import jsonld_nodes, parse_jsonld
+from tripleweft.sinks.jsonld import jsonld_nodes, jsonld_scan
 from tripleweft.sinks.ntriples import ntriples_lines, write_ntriples
 from tripleweft.sinks.rdfxml import rdfxml_fragments
 from tripleweft.sinks.turtle import turtle_blocks
@@ -132,7 +132,7 @@ def convert_rdf(spark, sf_dir):
     source, target = new_path(spark, "orders-nt"), new_path(spark, "orders-jsonld")
     write_ntriples(_orders(spark, sf_dir), source)
     convert_ntriples(spark, source, target, "JSON-LD")
-    return parse_jsonld(spark.read.text(target))
+    return jsonld_scan(spark, target)
 
 
 @registry.add(

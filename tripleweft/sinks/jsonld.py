@@ -1,5 +1,7 @@
 """Triples as flattened JSON-LD, one node object per subject."""
 
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import functions as F
 
 from tripleweft.sinks.blocks import BLOCK_TRIPLES, with_block
@@ -48,9 +50,40 @@ def jsonld_nodes(triples, block_triples=BLOCK_TRIPLES, few_per_subject=False):
     return nodes.select("s", text.alias("value"))
 
 
-def write_jsonld(triples, path, mode="overwrite", few_per_subject=False):
-    """Node objects, one per line."""
-    jsonld_nodes(triples, few_per_subject=few_per_subject).select("value").write.mode(mode).text(path)
+def _framed(batches):
+    """One `@graph` document per partition: an opening line, nodes with commas between, a closing line."""
+
+    def lines(texts):
+        return pa.RecordBatch.from_arrays([pa.array(texts, pa.string())], names=["value"])
+
+    yield lines(['{"@graph":['])
+    first = True
+    for batch in batches:
+        if batch.num_rows:
+            values = pc.binary_join_element_wise(",", batch.column(0).cast(pa.string()), "")
+            if first:
+                values = pa.concat_arrays([batch.column(0).cast(pa.string()).slice(0, 1), values.slice(1)])
+                first = False
+            yield pa.RecordBatch.from_arrays([values], names=["value"])
+    yield lines(["]}"])
+
+
+def write_nodes(nodes, path, mode="overwrite", documents=False):
+    """Node objects (`value`), one per line; with `documents`, each file is a JSON-LD document."""
+    text = nodes.select("value")
+    if documents:
+        text = text.mapInArrow(_framed, "value string")
+    text.write.mode(mode).text(path)
+
+
+def write_jsonld(triples, path, mode="overwrite", few_per_subject=False, documents=False):
+    write_nodes(jsonld_nodes(triples, few_per_subject=few_per_subject), path, mode, documents)
+
+
+def jsonld_scan(spark, path):
+    """Triples of files that this module wrote, in either form."""
+    lines = spark.read.text(path).select(F.regexp_replace("value", "^,", "").alias("value"))
+    return parse_jsonld(lines.filter(F.col("value").startswith('{"@id"')))
 
 
 def parse_jsonld(nodes, column="value"):

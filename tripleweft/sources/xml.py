@@ -2,6 +2,7 @@
 
 import re
 
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tripleweft.functions.paths import xml_steps
@@ -58,9 +59,11 @@ def xml_records(spark, path, iterator, references, also=(), attr_fallback=False,
 
     The schema holds only the references and the `also` paths (those that a
     `where` condition tests). Names are taken raw, prefix included. Put element
-    predicates into `TriplesMap.where` rather than into the iterator.
+    predicates into `TriplesMap.where` rather than into the iterator. With
+    `attr_fallback`, a child that is absent or empty is taken from the
+    attribute of its name.
     """
-    return (
+    records = (
         spark.read.format("xml")
         .schema(schema_for([*references, *also], attr_fallback))
         .option("rowTag", row_tag(iterator))
@@ -68,3 +71,15 @@ def xml_records(spark, path, iterator, references, also=(), attr_fallback=False,
         .option("mode", mode)
         .load(path)
     )
+    return _filled_from_attributes(records) if attr_fallback else records
+
+
+def _filled_from_attributes(records):
+    texts = T.ArrayType(T.StringType())
+    for f in records.schema:
+        if f.dataType == texts and "_" + f.name in records.columns:
+            own = F.get(f"`{f.name}`", 0)
+            attribute = F.col(f"`_{f.name}`")
+            filled = F.when(F.coalesce(own, F.lit("")) == "", F.array(attribute)).otherwise(F.col(f"`{f.name}`"))
+            records = records.withColumn(f.name, filled)
+    return records
