@@ -21,13 +21,11 @@ from tripleweft.queries import all_queries
 from tripleweft.queries.common import DECIMAL, EX, INTEGER, day, lineitem_map, money, table
 from tripleweft.queries.rules import nation_rules
 from tripleweft.session import get_session
-from tripleweft.sinks.files import write_text
-from tripleweft.sinks.jsonld import write_jsonld
+from tripleweft.sinks.files import convert_ntriples, write_text
 from tripleweft.sinks.ntriples import write_ntriples
-from tripleweft.sinks.turtle import write_turtle
 from tripleweft.sources.csv import csv_records
 from tripleweft.sources.json import json_records
-from tripleweft.sources.ntriples import ntriples_scan
+from tripleweft.sources.tables import parquet_table
 from tripleweft.sources.xml import xml_records
 from tripleweft.vocab import SCHEMA
 
@@ -119,6 +117,10 @@ def cases(spark, base, counts):
         )
         write_ntriples(apply_rules(records, nation_rules(spark, SF_DIR)), out("rules"))
 
+    def lineitem():
+        # The file is a single row group.
+        return parquet_table(spark, f"{SF_DIR}/lineitem.parquet", spread=int(CPUS))
+
     def xml_in():
         return xml_records(spark, f"{base}/xml", "/invoices/invoice", xml_map.references())
 
@@ -131,14 +133,12 @@ def cases(spark, base, counts):
         "json_to_ntriples": (lambda: write_text(ntriples_text(json_in(), json_map), out("json_nt")), items),
         "xml_to_turtle": (lambda: write_text(turtle_text(xml_in(), xml_map), out("xml_ttl")), orders),
         "tenant_rules_to_ntriples": (rules_job, None),
-        "ntriples_to_jsonld": (lambda: write_jsonld(ntriples_scan(spark, f"{base}/nt"), out("nt_jsonld")), items),
-        "ntriples_to_turtle": (lambda: write_turtle(ntriples_scan(spark, f"{base}/nt"), out("nt_ttl")), items),
-        "table_fanout": (lambda: noop(triples_of(table(spark, SF_DIR, "lineitem"), lineitem_map())), items),
-        "count_inline": (lambda: noop(count_triples(table(spark, SF_DIR, "lineitem"), lineitem_map())), items),
+        "ntriples_to_jsonld": (lambda: convert_ntriples(spark, f"{base}/nt", out("nt_jsonld"), "JSON-LD"), items),
+        "ntriples_to_turtle": (lambda: convert_ntriples(spark, f"{base}/nt", out("nt_ttl"), "Turtle"), items),
+        "table_fanout": (lambda: noop(triples_of(lineitem(), lineitem_map())), items),
+        "count_inline": (lambda: noop(count_triples(lineitem(), lineitem_map())), items),
         "distinct_graph": (
-            lambda: noop(
-                materialise(Mapping((lineitem_map(),)), {"lineitem": table(spark, SF_DIR, "lineitem")}, distinct=True)
-            ),
+            lambda: noop(materialise(Mapping((lineitem_map(),)), {"lineitem": lineitem()}, distinct=True)),
             items,
         ),
     }

@@ -4,21 +4,19 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 
-# Fixed pattern: text that may come from a JSON number.
-_NUMBER_LIKE = r"^-?\d[-+.\deE]*$"
-
-
 def variant_text(col):
     """Text of a JSON value held as a variant.
 
     Numbers with a fraction or exponent print as doubles do (`1.50` as `1.5`,
-    `1e3` as `1000.0`); objects and arrays print as JSON. Only text that looks
-    like a number needs its kind looked up, to tell it from a string.
+    `1e3` as `1000.0`); objects and arrays print as JSON. The text of a number
+    starts with a digit or a minus and so sorts before a colon; only such text
+    needs its kind looked up, to tell a number from a string.
     """
     text = F.try_variant_get(col, "$", "string")
-    fraction = F.schema_of_variant(col).rlike("^(DECIMAL|DOUBLE|FLOAT)")
+    kind = F.schema_of_variant(col)
+    fraction = kind.startswith("DECIMAL") | kind.startswith("DOUBLE") | kind.startswith("FLOAT")
     return F.when(
-        text.rlike(_NUMBER_LIKE) & fraction, F.try_variant_get(col, "$", "double").cast("string")
+        (text < ":") & fraction, F.try_variant_get(col, "$", "double").cast("string")
     ).otherwise(text)
 
 

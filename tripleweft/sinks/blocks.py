@@ -29,7 +29,7 @@ def large_subjects(triples, block_triples=BLOCK_TRIPLES, max_subjects=LARGE_SUBJ
         block_triples *= 2
 
 
-def with_block(triples, block_triples=BLOCK_TRIPLES, few_per_subject=False, copies_meet=True):
+def with_block(triples, block_triples=BLOCK_TRIPLES, few_per_subject=False, copies_meet=True, subjects=None):
     """Triples and the columns to group them by for output.
 
     That is the subject alone, unless some subject is large; then a `block`
@@ -37,9 +37,10 @@ def with_block(triples, block_triples=BLOCK_TRIPLES, few_per_subject=False, copi
     their content, so that copies of a triple meet in one block, where a set
     keeps one of them. For a bag, `copies_meet=False` spreads copies too. The counting
     pass is left out if the caller knows that subjects are small, as those of a
-    mapping with unique subjects are.
+    mapping with unique subjects are; `subjects` gives it a cheaper DataFrame
+    with the same `s` column to count.
     """
-    large = None if few_per_subject else large_subjects(triples, block_triples)
+    large = None if few_per_subject else large_subjects(triples if subjects is None else subjects, block_triples)
     if large is None:
         return triples, ["s"]
     origin = [] if copies_meet else [F.spark_partition_id()]

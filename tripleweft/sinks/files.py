@@ -1,10 +1,11 @@
 """Output of triples and text to files."""
 
+from tripleweft.operators.setops import graph_distinct
 from tripleweft.sinks.jsonld import write_jsonld
 from tripleweft.sinks.ntriples import ntriples_lines, write_ntriples
 from tripleweft.sinks.rdfxml import write_rdfxml
 from tripleweft.sinks.turtle import write_turtle
-from tripleweft.sources.ntriples import ntriples_scan
+from tripleweft.sources.ntriples import ntriples_scan, ntriples_subjects
 
 
 def write_partitioned(df, path, columns, mode="overwrite", replace_only_written=True, fmt="parquet"):
@@ -30,6 +31,11 @@ def write_text(df, path, mode="overwrite"):
     df.select("value").write.mode(mode).text(path)
 
 
+def format_name(text):
+    """Output format name in its canonical spelling."""
+    return text.strip().upper().replace("-", "").replace("/", "")
+
+
 def write_rdf(triples, path, output_format, mode="overwrite", **options):
     """Triples in one of the formats NTRIPLES, TURTLE, JSONLD, RDFXML."""
     writers = {
@@ -38,12 +44,17 @@ def write_rdf(triples, path, output_format, mode="overwrite", **options):
         "JSONLD": write_jsonld,
         "RDFXML": write_rdfxml,
     }
-    key = output_format.strip().upper().replace("-", "").replace("/", "")
+    key = format_name(output_format)
     if key not in writers:
         raise ValueError(f"unsupported output format: {output_format}")
     writers[key](triples, path, mode=mode, **options)
 
 
 def convert_ntriples(spark, source, target, output_format):
-    """Rewrite N-Triples files in another format."""
-    write_rdf(ntriples_scan(spark, source), target, output_format)
+    """Rewrite N-Triples files in another format, as a graph without repeats."""
+    triples = ntriples_scan(spark, source)
+    if format_name(output_format) == "NTRIPLES":
+        write_ntriples(graph_distinct(triples), target)
+        return
+    options = {"distinct": True} if format_name(output_format) == "TURTLE" else {}
+    write_rdf(triples, target, output_format, subjects=ntriples_subjects(spark, source), **options)

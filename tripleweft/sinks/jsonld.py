@@ -14,7 +14,7 @@ def json_string(col):
     return F.substr(text, F.lit(2), F.length(text) - 2)
 
 
-def jsonld_nodes(triples, block_triples=BLOCK_TRIPLES, few_per_subject=False):
+def jsonld_nodes(triples, block_triples=BLOCK_TRIPLES, few_per_subject=False, subjects=None):
     """Rows (s, value) of the distinct graph, predicates and values sorted.
 
     Values are serialised before the one shuffle, so a group is a set of short
@@ -33,7 +33,7 @@ def jsonld_nodes(triples, block_triples=BLOCK_TRIPLES, few_per_subject=False):
         F.when(is_type, F.lit("@type")).otherwise(F.col("p")).alias("key"),
         F.when(is_type, json_string(F.col("o"))).otherwise(F.to_json(cell)).alias("text"),
     )
-    rows, keys = with_block(triples, block_triples, few_per_subject)
+    rows, keys = with_block(triples, block_triples, few_per_subject, subjects=subjects)
     rows = rows.select(*keys, entry.alias("entry"))
     nodes = rows.groupBy(*keys).agg(F.sort_array(F.collect_set("entry")).alias("entries"))
 
@@ -76,8 +76,9 @@ def write_nodes(nodes, path, mode="overwrite", documents=False):
     text.write.mode(mode).text(path)
 
 
-def write_jsonld(triples, path, mode="overwrite", few_per_subject=False, documents=False):
-    write_nodes(jsonld_nodes(triples, few_per_subject=few_per_subject), path, mode, documents)
+def write_jsonld(triples, path, mode="overwrite", documents=False, **known):
+    """`known` passes what is known of the subjects on to `with_block`."""
+    write_nodes(jsonld_nodes(triples, **known), path, mode, documents)
 
 
 def jsonld_scan(spark, path):

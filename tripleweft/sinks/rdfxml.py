@@ -32,9 +32,9 @@ def property_element():
     return F.concat(F.lit("<"), tag, declared, attribute, rest)
 
 
-def rdfxml_fragments(triples, block_triples=BLOCK_TRIPLES, few_per_subject=False):
+def rdfxml_fragments(triples, block_triples=BLOCK_TRIPLES, few_per_subject=False, subjects=None):
     """Rows (s, value): an `rdf:Description` per subject of the distinct graph."""
-    rows, keys = with_block(triples, block_triples, few_per_subject)
+    rows, keys = with_block(triples, block_triples, few_per_subject, subjects=subjects)
     rows = rows.select(*keys, property_element().alias("element"))
     elements = F.array_join(F.sort_array(F.collect_set("element")), "\n  ")
     blocks = rows.groupBy(*keys).agg(elements.alias("elements"))
@@ -58,7 +58,10 @@ def _framed(batches):
     yield line("</rdf:RDF>")
 
 
-def write_rdfxml(triples, path, mode="overwrite", few_per_subject=False):
-    """RDF/XML files; each part is a document of its own."""
-    text = rdfxml_fragments(triples, few_per_subject=few_per_subject).select("value")
+def write_rdfxml(triples, path, mode="overwrite", **known):
+    """RDF/XML files; each part is a document of its own.
+
+    `known` passes what is known of the subjects on to `with_block`.
+    """
+    text = rdfxml_fragments(triples, **known).select("value")
     text.mapInArrow(_framed, "value string").write.mode(mode).text(path)

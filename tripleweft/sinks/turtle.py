@@ -7,7 +7,7 @@ from tripleweft.sinks.ntriples import object_column
 from tripleweft.vocab import RDF_TYPE
 
 
-def turtle_blocks(triples, distinct=False, block_triples=BLOCK_TRIPLES, few_per_subject=False):
+def turtle_blocks(triples, distinct=False, block_triples=BLOCK_TRIPLES, few_per_subject=False, subjects=None):
     """Rows (s, value): predicate-object lists in sorted order.
 
     One shuffle on the subject; a subject with very many triples is written as
@@ -15,7 +15,7 @@ def turtle_blocks(triples, distinct=False, block_triples=BLOCK_TRIPLES, few_per_
     """
     verb = F.when(F.col("p") == RDF_TYPE, F.lit("a")).otherwise(F.concat(F.lit("<"), F.col("p"), F.lit(">")))
     line = F.concat(verb, F.lit(" "), object_column())
-    rows, keys = with_block(triples, block_triples, few_per_subject, copies_meet=distinct)
+    rows, keys = with_block(triples, block_triples, few_per_subject, distinct, subjects)
     rows = rows.select(*keys, line.alias("line"))
     collect = F.collect_set if distinct else F.collect_list
     lines = F.array_join(F.sort_array(collect("line")), " ;\n    ")
@@ -24,5 +24,6 @@ def turtle_blocks(triples, distinct=False, block_triples=BLOCK_TRIPLES, few_per_
     return blocks.select("s", text.alias("value"))
 
 
-def write_turtle(triples, path, mode="overwrite", distinct=False, few_per_subject=False):
-    turtle_blocks(triples, distinct, few_per_subject=few_per_subject).select("value").write.mode(mode).text(path)
+def write_turtle(triples, path, mode="overwrite", distinct=False, **known):
+    """`known` passes what is known of the subjects on to `with_block`."""
+    turtle_blocks(triples, distinct, **known).select("value").write.mode(mode).text(path)
