@@ -13,8 +13,8 @@ def variant_text(col):
     needs its kind looked up, to tell a number from a string.
     """
     text = F.try_variant_get(col, "$", "string")
-    kind = F.schema_of_variant(col)
-    fraction = kind.startswith("DECIMAL") | kind.startswith("DOUBLE") | kind.startswith("FLOAT")
+    # How the names of the fractional types start (decimal, double, float).
+    fraction = F.substring(F.schema_of_variant(col), 1, 2).isin("DE", "DO", "FL")
     return F.when(
         (text < ":") & fraction, F.try_variant_get(col, "$", "double").cast("string")
     ).otherwise(text)
@@ -59,6 +59,23 @@ def escape_xml(col):
     return replace_all(col, XML_ESCAPES)
 
 
+# The one-letter escapes of N-Triples, without that of the backslash.
+_ECHARS = (("\\n", "\n"), ("\\r", "\r"), ("\\t", "\t"), ("\\b", "\b"), ("\\f", "\f"), ('\\"', '"'), ("\\'", "'"))
+
+
+def unescape_plain(col):
+    """Inverse of `escape_literal` for text without `\\u` and `\\U` escapes.
+
+    Escaped backslashes are set aside as `\\!`, which is no escape and so
+    cannot stand in the text, lest one be taken for the start of the next.
+    """
+    return replace_all(col, (("\\\\", "\\!"), *_ECHARS, ("\\!", "\\")))
+
+
+def has_code_escape(col):
+    return F.contains(col, F.lit("\\u")) | F.contains(col, F.lit("\\U"))
+
+
 def _code_units(col, mark, digits, charset):
     """Decode `\\uXXXX` or `\\UXXXXXXXX` runs: split at the mark, decode each head."""
     pieces = F.split(col, "\\\\" + mark)
@@ -71,24 +88,16 @@ def _code_units(col, mark, digits, charset):
     return F.when(F.contains(col, F.lit("\\" + mark)), F.array_join(decoded, "")).otherwise(col)
 
 
-def _unescape_piece(col):
-    col = _code_units(col, "u", 4, "UTF-16BE")
-    col = _code_units(col, "U", 8, "UTF-32")
-    # The one-letter escapes of N-Triples.
-    return replace_all(
-        col,
-        (("\\n", "\n"), ("\\r", "\r"), ("\\t", "\t"), ("\\b", "\b"), ("\\f", "\f"), ('\\"', '"'), ("\\'", "'")),
-    )
+def unescape_codes(col):
+    """Inverse of `escape_literal` for every escape that N-Triples allows.
 
+    The text is cut at escaped backslashes, and the pieces are decoded.
+    """
 
-def unescape_literal(col):
-    """Inverse of `escape_literal`, for every escape that N-Triples allows.
+    def piece(x):
+        return replace_all(_code_units(_code_units(x, "u", 4, "UTF-16BE"), "U", 8, "UTF-32"), _ECHARS)
 
-    The text is cut at escaped backslashes first, so that the backslash of one
-    escape is never taken for the start of the next.
-    """
-    pieces = F.transform(F.split(col, "\\\\\\\\"), _unescape_piece)
-    return F.when(F.contains(col, F.lit("\\")), F.array_join(pieces, "\\")).otherwise(col)
+    return F.array_join(F.transform(F.split(col, "\\\\\\\\"), piece), "\\")
 
 
 def short_key(col, length=16):

@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from tripleweft.functions.text import unescape_literal
+from tripleweft.functions.text import has_code_escape, unescape_codes, unescape_plain
 from tripleweft.plans.once import evaluate_once
 from tripleweft.vocab import IRI, LITERAL
 
@@ -13,7 +13,7 @@ _LINE = (
     r'(?:<([^>]*)>|(_:[^\s<"]+)|"([^"\\]*+(?:\\.[^"\\]*+)*+)"(?:\^\^<([^>]*)>|@([A-Za-z0-9-]+))?)'
     r"\s*\.\s*(?:#.*)?$"
 )
-_SUBJECT = r'^\s*(?:<([^>]*)>|(_:[^\s<"]+))'
+_BLANK = r'^(_:[^\s<"]+)'
 _MARK = "\x01"
 # Object kind first, literal last: whatever it holds stays within the last piece.
 _PICK = _MARK.join(["$1$2", "$3", "$4$5", "$7", "$8", "$6"])
@@ -101,18 +101,29 @@ def parse_ntriples(lines, column="value", keep=()):
 
     datatype = F.when(F.col("_tail").startswith("^^<"), F.substr("_tail", F.lit(4), F.length("_tail") - 4))
     lang = F.when(F.col("_tail").startswith("@"), F.substr("_tail", F.lit(2)))
-    return evaluate_once(
+    coded = ~done & ~F.col("_iri") & ok & has_code_escape(F.get("_m", 5))
+    literal = F.when(has_code_escape(pick(5)), pick(5)).otherwise(unescape_plain(pick(5)))
+    triples = evaluate_once(
         pattern,
         F.when(done, F.col("_s")).otherwise(pick(0)).alias("s"),
         F.when(done, F.col("_p")).otherwise(pick(1)).alias("p"),
-        F.when(done, F.col("_o"))
-        .otherwise(F.when(F.col("_iri"), pick(2)).otherwise(unescape_literal(pick(5))))
-        .alias("o"),
+        F.when(done, F.col("_o")).otherwise(F.when(F.col("_iri"), pick(2)).otherwise(literal)).alias("o"),
         F.when(F.col("_iri"), IRI).otherwise(LITERAL).alias("o_kind"),
         F.when(done, datatype).otherwise(F.nullif(pick(3), F.lit(""))).alias("o_datatype"),
         F.when(done, lang).otherwise(F.nullif(pick(4), F.lit(""))).alias("o_lang"),
+        F.coalesce(coded, F.lit(False)).alias("_coded"),
         keep=keep,
     )
+    # Code escapes need an array function, which would keep all of the above from being compiled.
+    return triples.select(
+        *keep,
+        "s",
+        "p",
+        F.when(F.col("_coded"), unescape_codes(F.col("o"))).otherwise(F.col("o")).alias("o"),
+        "o_kind",
+        "o_datatype",
+        "o_lang",
+    )
 
 
 def ntriples_scan(spark, path, mode="FAILFAST"):
@@ -126,5 +137,7 @@ def ntriples_scan(spark, path, mode="FAILFAST"):
 
 def ntriples_subjects(spark, path):
     """Only the subjects of N-Triples files, for counting."""
-    line = F.regexp_replace("value", _SUBJECT + ".*$", "$1$2")
-    return spark.read.text(path).select(line.alias("s")).filter(F.col("s") != "")
+    line = F.ltrim("value")
+    iri = F.substr(F.substring_index(line, ">", 1), F.lit(2))
+    subject = F.when(line.startswith("<"), iri).otherwise(F.regexp_extract(line, _BLANK, 1))
+    return spark.read.text(path).select(subject.alias("s")).filter(F.col("s") != "")
