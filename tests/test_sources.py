@@ -56,6 +56,14 @@ def test_csv_header_per_file(spark, put, tmp_path):
     assert rows(csv_records(spark, str(tmp_path / "d"))) == [("1", "a"), ("2", "b"), ("id", "v")]
 
 
+@pytest.mark.parametrize("mode", ["exact", "fast"])
+def test_csv_other_header_fails(spark, put, tmp_path, mode):
+    put("d/1.csv", "id,v\n1,a\n")
+    put("d/2.csv", "v,id\nb,2\n")
+    with pytest.raises(Exception, match="(?i)header"):
+        csv_records(spark, str(tmp_path / "d"), mode=mode).collect()
+
+
 def test_json_values_as_text(spark, put):
     path = put(
         "a.json",

@@ -92,7 +92,10 @@ def rules_from_mapping_triples(triples):
     pairs = triples.filter(F.col("p") == RR + "predicateObjectMap").select(
         "tenant", F.col("s").alias("triples_map"), F.col("o").alias("pom")
     )
-    rules = salted_join(maps, pairs, ["tenant", "triples_map"], "left")
+    # One map may have very many pairs, so the pairs are the side that is spread.
+    keys = ["tenant", "triples_map"]
+    bare = maps.join(pairs.select(*keys).distinct(), keys, "left_anti")
+    rules = salted_join(pairs, maps, keys).unionByName(bare, allowMissingColumns=True)
     rules = look_up(
         rules,
         "pom",

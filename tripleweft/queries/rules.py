@@ -11,7 +11,7 @@ from tripleweft.operators.rules import (
     validate_rules,
 )
 from tripleweft.plans.joins import checked_join
-from tripleweft.queries.common import COLS, DECIMAL, EX, INTEGER, Registry, table
+from tripleweft.queries.common import DECIMAL, EX, INTEGER, Registry, table
 from tripleweft.sources.ntriples import parse_ntriples
 from tripleweft.vocab import QL, RDF_TYPE, RML, RR, SCHEMA, XSD
 

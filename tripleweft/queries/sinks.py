@@ -7,7 +7,6 @@ from tripleweft.plans.compile import triples_of
 from tripleweft.plans.fused import jsonld_text, ntriples_text, turtle_text
 from tripleweft.queries.common import (
     COLS,
-    CUSTOMER_SQL,
     DOCUMENTS_SQL,
     EX,
     LINE_SQL,

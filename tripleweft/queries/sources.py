@@ -7,10 +7,8 @@ from tripleweft.operators.rules import is_fresh, latest_mappings
 from tripleweft.plans.compile import triples_of
 from tripleweft.queries.common import (
     COLS,
-    DECIMAL,
     DOCUMENTS_SQL,
     EX,
-    ORDERS_SQL,
     Registry,
     day,
     day_sql,
@@ -20,12 +18,11 @@ from tripleweft.queries.common import (
     link,
     money,
     money_sql,
-    orders_map,
     rule,
     table,
     triples_sql,
 )
-from tripleweft.mapping import TriplesMap, ref, template
+from tripleweft.mapping import TriplesMap, template
 from tripleweft.scratch import new_path
 from tripleweft.sinks.ntriples import write_ntriples
 from tripleweft.sources.csv import csv_records

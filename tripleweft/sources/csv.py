@@ -29,11 +29,12 @@ def unquote(cell):
 
 
 def header_of(spark, path):
-    """Column names from the first line (one row, read by one task)."""
-    first = spark.read.text(path).limit(1).select(F.transform(cells_of(F.col("value")), unquote).alias("h")).first()
+    """First line and the column names in it (one row, read by one task)."""
+    names = F.transform(cells_of(F.col("value")), unquote)
+    first = spark.read.text(path).limit(1).select("value", names.alias("names")).first()
     if first is None:
         raise ValueError(f"empty CSV input: {path}")
-    return first.h
+    return first.value, first.names
 
 
 def exact_csv(spark, path, references=None):
@@ -41,17 +42,21 @@ def exact_csv(spark, path, references=None):
 
     Lines stay splittable; only the cells that are asked for are unquoted. With
     a repeated header name the last column counts. All files of one path must
-    share one header.
+    share one header; one with another header fails the job.
     """
-    names = header_of(spark, path)
+    header, names = header_of(spark, path)
     position = {name: i for i, name in enumerate(names)}
     wanted = list(position) if references is None else [r for r in references if r in position]
+    # The only column of the reader is the line; its name is the header line,
+    # against which the reader checks the first line of every file.
     lines = (
-        spark.read.schema(T.StructType([T.StructField("line", T.StringType())]))
+        spark.read.schema(T.StructType([T.StructField(header, T.StringType())]))
         .option("header", True)
+        .option("enforceSchema", False)
         .option("sep", _NO_SEPARATOR)
         .option("quote", "")
         .csv(path)
+        .toDF("line")
     )
     cells = evaluate_once(lines, cells_of(F.col("line")).alias("cells"))
     return evaluate_once(cells, *[unquote(F.get("cells", position[n])).alias(n) for n in wanted])
@@ -63,7 +68,7 @@ def fast_csv(spark, path, references=None, empty_cells="empty"):
     Both missing and empty cells come as null from the reader;
     `empty_cells="empty"` turns them into '' and `"null"` leaves them.
     """
-    names = header_of(spark, path)
+    _, names = header_of(spark, path)
     last = {name: i for i, name in enumerate(names)}
     repeated = len(last) < len(names)
     columns = [n if last[n] == i else f"{n}#{i}" for i, n in enumerate(names)]
