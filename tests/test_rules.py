@@ -171,3 +171,31 @@ def test_failures(spark):
     assert rows(failed) == [("f1", "Negative", "-1", 2)]
     good, _ = failure_routing(df, "file", F.col("v") < 0, F.lit("Negative"), F.col("v").cast("string"), per_record=True)
     assert good.count() == 3
+
+
+def test_large_rule_tables_give_the_same(spark, monkeypatch):
+    """With nothing small enough to broadcast, the salted look-ups give the same rules."""
+    doc = [
+        f"<#m> <{RML}logicalSource> _:l .",
+        f'_:l <{RML}source> "a.csv" .',
+        f"<#m> <{RR}subjectMap> _:s .",
+        f'_:s <{RR}template> "{EX}{{id}}" .',
+        f"_:s <{RR}class> <{EX}C> .",
+        f"<#m> <{RR}predicateObjectMap> _:p .",
+        f"_:p <{RR}predicateMap> _:q .",
+        f"_:q <{RR}constant> <p:x> .",
+        f"_:p <{RR}objectMap> _:o .",
+        f'_:o <{RML}reference> "x" .',
+    ]
+    lines = [(str(t), line) for t in range(5) for line in doc]
+    triples = parse_ntriples(spark.createDataFrame(lines, "tenant string, value string"), keep=["tenant"])
+    short = spark.createDataFrame(
+        [(str(t), "m", "s", "csv", None, "ex:$(id)", "ex:p", "ex:$(a)/b", "ex:t", None) for t in range(5)],
+        "tenant string, triples_map string, source string, formulation string, iterator string, s string, p string, o string, datatype string, lang string",
+    )
+    prefixes = spark.createDataFrame([(str(t), "ex", f"http://{t}/") for t in range(4)], "tenant string, prefix string, iri string")
+    before = rows(rules_from_mapping_triples(triples)), rows(normalise_short_rules(short, prefixes))
+    assert len(before[0]) == 5 and before[0][0][7:10] == ("p:x", "reference", "x")
+    monkeypatch.setattr("tripleweft.operators.rules.fits", lambda *a, **k: False)
+    after = rows(rules_from_mapping_triples(triples)), rows(normalise_short_rules(short, prefixes))
+    assert before == after

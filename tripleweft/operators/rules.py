@@ -70,8 +70,9 @@ def rules_from_mapping_triples(triples):
 
     One grouped pass gives a node table, which the links between nodes
     (logical source, subject map, predicate-object maps) are then resolved
-    against. Nodes are small rows with a unique key; the table is written once
-    so that the five look-ups do not compute it anew.
+    against. Nodes are small rows with a unique key; they and the pairs of maps
+    and predicate-object maps are written once, so that the documents are not
+    read again for each look-up.
     """
     nodes = write_and_read(mapping_nodes(triples), "mapping-nodes")
     small = fits(nodes)
@@ -92,10 +93,12 @@ def rules_from_mapping_triples(triples):
     pairs = triples.filter(F.col("p") == RR + "predicateObjectMap").select(
         "tenant", F.col("s").alias("triples_map"), F.col("o").alias("pom")
     )
+    pairs = write_and_read(pairs, "mapping-pairs")
     # One map may have very many pairs, so the pairs are the side that is spread.
     keys = ["tenant", "triples_map"]
     bare = maps.join(pairs.select(*keys).distinct(), keys, "left_anti")
-    rules = salted_join(pairs, maps, keys).unionByName(bare, allowMissingColumns=True)
+    paired = pairs.join(F.broadcast(maps), keys) if small else salted_join(pairs, maps, keys)
+    rules = paired.unionByName(bare, allowMissingColumns=True)
     rules = look_up(
         rules,
         "pom",

@@ -57,14 +57,20 @@ def hot_keys(df, keys, hot_rows=HOT_ROWS, max_keys=HOT_KEYS):
 def salted_join(left, right, keys, how="inner", hot_rows=HOT_ROWS, salts=SALTS, counts_from=None):
     """Equi-join in which `left` may have hot keys.
 
-    Rows of a hot key get one of `salts` numbers on the left; the few right
-    rows of that key are copied once per number. All other keys join as usual.
-    `counts_from` names a cheaper DataFrame in which the same keys are hot.
+    The hot keys are counted first and kept as a small table, so that a chain
+    of such joins does not count them again; without any, this is a plain
+    join. Else rows of a hot key get one of `salts` numbers on the left, and
+    the few right rows of that key are copied once per number. All other keys
+    join as usual. `counts_from` names a cheaper DataFrame in which the same
+    keys are hot.
     """
     if how not in ("inner", "left", "left_semi", "left_anti"):
         raise ValueError(f"cannot salt a {how} join")
     keys = list(keys)
-    hot = F.broadcast(hot_keys(left if counts_from is None else counts_from, keys, hot_rows))
+    hot = write_and_read(hot_keys(left if counts_from is None else counts_from, keys, hot_rows), "hot-keys")
+    if hot.isEmpty():
+        return left.join(right, keys, how)
+    hot = F.broadcast(hot)
     # Null keys match nothing, so they may be spread too.
     no_key = F.lit(False)
     for key in keys:
