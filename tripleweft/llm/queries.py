@@ -3,14 +3,18 @@
 import public_tokenizers
 from pyspark.sql import functions as F
 
+import corpus_pipeline
 from tripleweft.llm.ann import nearest
 from tripleweft.llm.bpe import encode_decode
 from tripleweft.llm.chat import chat_digests, format_chats, with_probe
 from tripleweft.llm.common import table
 from tripleweft.llm.cosine_dedup import link_vectors
+from tripleweft.llm.minhash import near_duplicates
 from tripleweft.llm.mixing import plan_mix
 from tripleweft.llm.pii import BASE, KINDS, find_pii
+from tripleweft.llm.substrings import repeated_passages
 from tripleweft.llm.token_counts import count_tokens
+from tripleweft.llm.toxicity import score_documents
 
 QUERIES, ORACLES = {}, {}
 
@@ -33,6 +37,12 @@ def op2_multiprobe_neighbours(spark, sf_dir):
     return nearest(vectors, vectors.where("vec_id % 100 = 0"))
 
 
+@query
+def op3_toxicity(spark, sf_dir):
+    """Toxicity of every document, learnt from labelled rows that are not held out."""
+    return score_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 @query
 def op4_bpe(spark, sf_dir):
     """Token ids of every document, and the text they decode to."""
@@ -63,6 +73,18 @@ def op7_chat_format(spark, sf_dir):
     return chat_digests(format_chats(with_probe(table(spark, sf_dir, "conversations"))))
 
 
+@query
+def op8_substring_dedup(spark, sf_dir):
+    """What is left of every document without passages of 50 words that earlier documents hold."""
+    return repeated_passages(table(spark, sf_dir, "documents"))
+
+
+@query
+def op9_minhash_classes(spark, sf_dir):
+    """Near-duplicate documents."""
+    return near_duplicates(table(spark, sf_dir, "documents"))
+
+
 def _joined(spans):
     return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"].cast("string"), s["end"].cast("string"))), ",")
 
@@ -74,3 +96,13 @@ def op10_pii(spark, sf_dir):
     counts = [F.size(F.filter("spans", lambda s, k=k: s["kind"] == k)).cast("long").alias(f"n_{k}") for k in KINDS[:BASE]]
     base = F.filter("spans", lambda s: s["base"])
     return found.select("doc_id", *counts, F.sha2(_joined(base), 256).alias("base_sha256"), _joined(F.col("spans")).alias("spans"))
+
+
+@query
+def pipeline(spark, sf_dir):
+    """All stages of the corpus pipeline."""
+    return corpus_pipeline.run(spark, sf_dir)
+
+
+if corpus_pipeline.ORACLE_SQL:
+    ORACLES["pipeline"] = corpus_pipeline.ORACLE_SQL
