@@ -19,7 +19,7 @@ from tripleweft.scratch import write_and_read
 #: Labelled rows of either class that the score is learnt from, by the order of a hash of doc_id, and features that it uses.
 SAMPLE_ROWS, MOST_FEATURES = 20_000, 20_000
 #: Log odds from which a word tells.
-LEAST_ODDS = 4
+LEAST_ODDS = 3
 #: Distinct words that a task counts, or chunks that it remembers, before it starts anew.
 MOST_WORDS = 300_000
 # Letters that the character model tells apart; all others are one further letter.
