@@ -196,6 +196,6 @@ def test_large_rule_tables_give_the_same(spark, monkeypatch):
     prefixes = spark.createDataFrame([(str(t), "ex", f"http://{t}/") for t in range(4)], "tenant string, prefix string, iri string")
     before = rows(rules_from_mapping_triples(triples)), rows(normalise_short_rules(short, prefixes))
     assert len(before[0]) == 5 and before[0][0][7:10] == ("p:x", "reference", "x")
-    monkeypatch.setattr("tripleweft.operators.rules.fits", lambda *a, **k: False)
+    monkeypatch.setattr("tripleweft.plans.joins.fits", lambda *a, **k: False)
     after = rows(rules_from_mapping_triples(triples)), rows(normalise_short_rules(short, prefixes))
     assert before == after

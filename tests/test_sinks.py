@@ -11,14 +11,13 @@ from conftest import rows
 from tripleweft import TriplesMap, constant, ref, template, triples_of
 from tripleweft.operators.setops import graph_diff, graph_distinct
 from tripleweft.plans.fused import jsonld_text, ntriples_text, turtle_text
-from tripleweft.sinks.blocks import with_block
 from tripleweft.sinks.files import convert_ntriples, write_ntriples_partitioned, write_partitioned, write_rdf, write_text
 from tripleweft.sinks.jsonld import jsonld_nodes, jsonld_scan, parse_jsonld, write_jsonld
 from tripleweft.sinks.ntriples import write_ntriples
-from tripleweft.sinks.rdfxml import rdfxml_fragments
-from tripleweft.sinks.turtle import turtle_blocks
+from tripleweft.sinks.rdfxml import rdfxml_lines, write_rdfxml
+from tripleweft.sinks.turtle import predicate_object, turtle_lines
 from tripleweft.sources.ntriples import ntriples_scan, parse_ntriples
-from tripleweft.vocab import RDF, RDF_TYPE, SCHEMA, XSD
+from tripleweft.vocab import RDF, RDF_TYPE, SCHEMA, TRIPLES_SCHEMA, XSD
 
 EX = "http://example.org/"
 NASTY = 'Zoë "q" \\n \\\\ back\\slash\nline\r\ttab <&> \u0001 > <x> .'
@@ -83,13 +82,28 @@ def _turtle_as_triples(spark, texts):
     return parse_ntriples(spark.createDataFrame(lines, "value string"))
 
 
-def test_turtle_holds_the_same_triples(spark, people):
+def _turtle_lines_as_triples(lines):
+    """Triples of rows (s, value) of Turtle lines."""
+    pair = predicate_object(F.col("value"))
+    verb = F.regexp_replace(pair, "^a ", f"<{RDF_TYPE}> ")
+    head = F.when(F.col("s").startswith("_:"), F.col("s")).otherwise(F.concat(F.lit("<"), "s", F.lit(">")))
+    return parse_ntriples(lines.select(F.concat_ws(" ", head, verb, F.lit(".")).alias("value")))
+
+
+def test_turtle_holds_the_same_triples(spark, people, tmp_path):
     triples = triples_of(people, person_map())
-    for blocks in (turtle_blocks(triples), turtle_text(people, person_map())):
-        texts = [r.value for r in blocks.select("value").collect()]
-        assert graph_diff(triples, _turtle_as_triples(spark, texts), bag=True).isEmpty()
-    once = [r.value for r in turtle_blocks(triples, distinct=True).collect()]
-    assert graph_diff(graph_distinct(triples), _turtle_as_triples(spark, once), bag=True).isEmpty()
+    texts = [r.value for r in turtle_text(people, person_map()).select("value").collect()]
+    assert graph_diff(triples, _turtle_as_triples(spark, texts), bag=True).isEmpty()
+    assert graph_diff(triples, _turtle_lines_as_triples(turtle_lines(triples)), bag=True).isEmpty()
+    once = _turtle_lines_as_triples(turtle_lines(triples, distinct=True))
+    assert graph_diff(graph_distinct(triples), once, bag=True).isEmpty()
+    # The lines of a file, in their order, are blocks: a subject, then lines that end in ';', the last in '.'.
+    write_rdf(triples.coalesce(1), str(tmp_path / "ttl"), "turtle")
+    blocks = []
+    for part in glob.glob(str(tmp_path / "ttl" / "part-*")):
+        with open(part, encoding="utf-8") as f:
+            blocks += [b for b in f.read().split("\n\n") if b]
+    assert graph_diff(triples, _turtle_as_triples(spark, blocks), bag=True).isEmpty()
 
 
 def test_jsonld_round_trip(people):
@@ -119,28 +133,80 @@ def test_fused_jsonld(people):
         jsonld_text(people, person_map())
 
 
-def test_rdfxml_files_are_documents(people, tmp_path):
-    clean = people.withColumn("name", F.replace("name", F.lit("\u0001"), F.lit("")))
-    triples = triples_of(clean, person_map())
-    write_rdf(triples, str(tmp_path / "rdf"), "rdf/xml")
-    found = set()
-    for part in glob.glob(str(tmp_path / "rdf" / "part-*")):
+def _rdfxml_triples(folder):
+    found = []
+    for part in glob.glob(f"{folder}/part-*"):
         with open(part, encoding="utf-8", newline="") as f:
             root = ET.fromstring(f.read())
         for node in root:
-            s = node.get("{%s}about" % RDF)
+            label = node.get("{%s}nodeID" % RDF)
+            s = "_:" + label if label else node.get("{%s}about" % RDF)
             for element in node:
                 p = element.tag[1:].replace("}", "")
-                target = element.get("{%s}resource" % RDF)
+                target, inner = element.get("{%s}resource" % RDF), element.get("{%s}nodeID" % RDF)
                 lang = element.get("{http://www.w3.org/XML/1998/namespace}lang")
-                datatype = element.get("{%s}datatype" % RDF)
-                found.add((s, p, target or element.text or "", "iri" if target else "literal", datatype, lang))
-    assert found == {tuple(r) for r in triples.collect()}
+                kind = "iri" if target else "bnode" if inner else "literal"
+                o = target or ("_:" + inner if inner else element.text or "")
+                found.append((s, p, o, kind, element.get("{%s}datatype" % RDF), lang))
+    return found
+
+
+def test_rdfxml_files_are_documents(people, tmp_path):
+    triples = triples_of(people, person_map())
+    with pytest.raises(Exception, match="cannot hold"):
+        write_rdf(triples, str(tmp_path / "raw"), "rdf/xml")
+    write_rdf(triples, str(tmp_path / "rdf"), "rdf/xml", forbidden="replace")
+    want = {tuple(r) for r in triples.withColumn("o", F.replace("o", F.lit("\u0001"), F.lit("\ufffd"))).collect()}
+    found = _rdfxml_triples(tmp_path / "rdf")
+    assert set(found) == want and len(found) == len(want)
+
+
+def test_rdfxml_names(spark, tmp_path):
+    rows = [("s:a", p, "1", "literal", None, None) for p in ("http://e/1a", "http://e/x#b.c-1", "urn:x:y", "http://e/Ünï")]
+    triples = spark.createDataFrame(rows, TRIPLES_SCHEMA)
+    write_rdfxml(triples, str(tmp_path / "ok"))
+    assert {t[1] for t in _rdfxml_triples(tmp_path / "ok")} == {r[1] for r in rows}
+    for bad in ("http://e/", "http://e/12"):
+        with pytest.raises(Exception, match="no XML name"):
+            rdfxml_lines(triples.withColumn("p", F.lit(bad))).collect()
+
+
+BLANK_TRIPLES = [
+    ("_:a", "http://e/knows", "_:b", "bnode", None, None),
+    ("_:b", "http://e/name", "_:not a node", "literal", None, None),
+    ("http://e/x", "http://e/knows", "_:a", "bnode", None, None),
+    ("http://e/x", RDF_TYPE, "http://e/T", "iri", None, None),
+]
+
+
+def test_blank_nodes_through_every_format(spark, tmp_path):
+    triples = spark.createDataFrame(BLANK_TRIPLES, TRIPLES_SCHEMA)
+    source = str(tmp_path / "nt")
+    write_ntriples(triples, source)
+    assert rows(ntriples_scan(spark, source)) == rows(triples)
+    convert_ntriples(spark, source, str(tmp_path / "jsonld"), "JSON-LD")
+    assert rows(jsonld_scan(spark, str(tmp_path / "jsonld"))) == rows(triples)
+    convert_ntriples(spark, source, str(tmp_path / "rdf"), "RDF/XML")
+    assert sorted(_rdfxml_triples(tmp_path / "rdf"), key=repr) == rows(triples)
+    assert rows(_turtle_lines_as_triples(turtle_lines(triples))) == rows(triples)
+    by_file = ntriples_scan(spark, source, blank_nodes="file")
+    assert by_file.where("o_kind = 'bnode' AND o LIKE '_:_-%'").count() == 2
+
+
+def test_jsonld_scan_takes_white_space_and_refuses_other_lines(spark, put):
+    node = '{"@id":"s:a","p:x":[{"@value":"1"}]}'
+    path = put("j/a.jsonld", '{"@graph":[\n' + node + "\n ,{ " + node[1:].replace("s:a", "s:b") + "\n]}\n")
+    assert rows(jsonld_scan(spark, path).select("s")) == [("s:a",), ("s:b",)]
+    with pytest.raises(Exception, match="not a JSON-LD node"):
+        jsonld_scan(spark, put("k/a.jsonld", node + "\nsomething else\n")).collect()
 
 
 @pytest.mark.parametrize("output_format", ["ntriples", "Turtle", "json-ld", "RDF/XML"])
 def test_convert(spark, people, tmp_path, output_format):
     write_ntriples(triples_of(people, person_map()), str(tmp_path / "in"))
+    if output_format == "RDF/XML":
+        people = people.withColumn("name", F.replace("name", F.lit("\u0001"), F.lit("")))
+        write_ntriples(triples_of(people, person_map()), str(tmp_path / "in"))
     convert_ntriples(spark, str(tmp_path / "in"), str(tmp_path / "out"), output_format)
     # JSON-LD has a line per subject, of which there are three; the others have more.
     assert spark.read.text(str(tmp_path / "out")).count() >= 3
@@ -148,27 +214,33 @@ def test_convert(spark, people, tmp_path, output_format):
         write_rdf(triples_of(people, person_map()), str(tmp_path / "x"), "n3")
 
 
-def test_large_subject_is_cut_up(spark):
-    """One subject holds most triples, each of them twice; blocks stay small and whole."""
-    triples = spark.range(2000).select(
-        F.when(F.col("id") < 1600, F.lit("s:hot")).otherwise(F.concat(F.lit("s:"), F.col("id").cast("string"))).alias("s"),
+def test_large_subject_streams(spark, tmp_path):
+    """A million triples on one subject in one partition: all are written, and each once."""
+    n = 1_000_000
+    triples = spark.range(n + 5).select(
+        F.when(F.col("id") < n, F.lit("s:hot")).otherwise(F.concat(F.lit("s:"), F.col("id").cast("string"))).alias("s"),
         F.lit("p:x").alias("p"),
-        F.pmod("id", F.lit(800)).cast("string").alias("o"),
+        F.col("id").cast("string").alias("o"),
         F.lit("literal").alias("o_kind"),
         F.lit(None).cast("string").alias("o_datatype"),
         F.lit(None).cast("string").alias("o_lang"),
     )
-    rows_with_block, keys = with_block(triples, block_triples=100)
-    assert keys == ["s", "block"]
-    assert rows_with_block.count() == 2000
-    sizes = [r["count"] for r in rows_with_block.groupBy(*keys).count().filter("s = 's:hot'").collect()]
-    assert len(sizes) == 16 and max(sizes) < 400
-    nodes = jsonld_nodes(triples, block_triples=100)
-    assert nodes.filter("s = 's:hot'").count() == 16
-    assert graph_diff(graph_distinct(triples), parse_jsonld(nodes), bag=True).isEmpty()
-    assert turtle_blocks(triples, block_triples=100).filter("s <> 's:hot'").count() == 400
-    assert rdfxml_fragments(triples, block_triples=100).filter("s = 's:hot'").count() == 16
-    assert with_block(triples)[1] == ["s"]
+    nodes = jsonld_nodes(triples.unionByName(triples.limit(1000)))
+    assert nodes.agg(F.max(F.length("value"))).first()[0] < 3_000_000
+    back = parse_jsonld(nodes)
+    assert (back.count(), back.distinct().count()) == (n + 5, n + 5)
+    lines = turtle_lines(triples)
+    assert lines.count() == n + 5
+    opened = lines.where(F.col("value").startswith("<")).count()
+    assert opened == lines.where(F.col("value").endswith(" .\n")).count() < 50
+
+
+def test_folders_have_few_files(spark, tmp_path):
+    """Sixteen tasks and fifty folders do not make 800 files."""
+    df = spark.range(0, 5000, 1, 16).select("id", F.pmod("id", F.lit(50)).alias("k"))
+    write_partitioned(df, str(tmp_path / "p"), ["k"])
+    files = glob.glob(str(tmp_path / "p" / "k=*" / "part-*"))
+    assert len(files) <= 100 and spark.read.parquet(str(tmp_path / "p")).count() == 5000
 
 
 def test_partitioned_sinks(spark, people, tmp_path):

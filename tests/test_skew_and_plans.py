@@ -33,24 +33,42 @@ def side(spark):
 @pytest.mark.parametrize("how", ["inner", "left", "left_semi", "left_anti"])
 def test_salted_join_equals_join(hot, side, how):
     want = hot.join(side, ["key"], how)
-    got = salted_join(hot, side, ["key"], how, hot_rows=500, salts=8)
+    got = salted_join(hot, side, ["key"], how, hot_rows=500)
     assert got.columns == want.columns
     assert rows(got) == rows(want)
 
 
 def test_salted_join_spreads_the_hot_key(hot, side):
-    assert rows(hot_keys(hot, ["key"], hot_rows=500)) == [("hot", True)]
-    keyed = salted_join(hot, side, ["key"], hot_rows=500, salts=8)
+    assert rows(hot_keys(hot, ["key"], hot_rows=500)) == [("hot", 2)]
+    keyed = salted_join(hot, side, ["key"], hot_rows=500)
     assert "_salt" in plan_of(keyed)
 
 
+def test_salts_follow_the_count(spark):
+    """A key of n rows gets n / rows-per-task salts, whatever the number of keys."""
+    df = spark.range(40_000).select(F.when(F.col("id") < 20_000, F.lit(-1)).otherwise(F.col("id") % 10).alias("k"))
+    assert rows(hot_keys(df, ["k"], hot_rows=1000)) == [(-1, 20), *[(k, 2) for k in range(10)]]
+    side = df.select("k").distinct()
+    joined = salted_join(df, side, ["k"], hot_rows=1000)
+    assert joined.count() == 40_000
+
+
+def test_no_row_level_input_goes_to_one_task(spark, hot, side):
+    from tripleweft.operators.rules import expand_prefixes
+
+    prefixes = spark.createDataFrame([("hot", "ex", "http://e/")], "key string, prefix string, iri string").withColumnRenamed("key", "tenant")
+    named = hot.withColumnRenamed("key", "tenant").withColumn("o", F.lit("ex:a"))
+    for frame in (salted_join(hot, side, ["key"], hot_rows=500), checked_join(hot, side, ["key"], max_rows=2), expand_prefixes(named, prefixes, ["o"])):
+        assert "SinglePartition" not in plan_of(frame)
+
+
 def test_copies_are_spread(spark):
     """Exact copies of one row lie in many partitions and so get many numbers."""
     copies = spark.range(0, 4000, 1, 16).select(F.lit("same").alias("key"), F.create_map(F.lit("a"), F.lit("b")).alias("m"))
     spread = copies.select(row_spread(copies, 64).alias("n")).groupBy("n").count().collect()
     assert len(spread) > 8 and max(r["count"] for r in spread) <= 1000
     side = spark.createDataFrame([("same", 1), ("same", 2)], "key string, v int")
-    assert salted_join(copies, side, ["key"], hot_rows=500, salts=8).count() == 8000
+    assert salted_join(copies, side, ["key"], hot_rows=500).count() == 8000
 
 
 def test_salted_join_rejects_other_kinds(hot, side):
@@ -112,10 +130,18 @@ def test_star_and_star_join(spark):
     assert plan_of(single).count("Exchange hashpartitioning") == 1
     assert rows(single) == [("a", "1", "2")]
     assert rows(star_join(triples, variables)) == [("a", "1", "2"), ("c", "4", "6"), ("c", "5", "6")]
+    with pytest.raises(Exception, match="several values"):
+        star(triples, variables).collect()
+    skewed = star_join(triples, variables, hot_rows=2)
+    assert rows(skewed) == rows(star_join(triples, variables))
     typed = triples.unionByName(
         spark.createDataFrame([("a", "http://www.w3.org/1999/02/22-rdf-syntax-ns#type", "C", "iri", None, None)], TRIPLES_SCHEMA)
     )
-    assert rows(star(typed, {"x": "p:x"}, of_class="C")) == [("a", "1")]
+    # A literal with the text of the class is no type.
+    typed = typed.unionByName(
+        spark.createDataFrame([("b", "http://www.w3.org/1999/02/22-rdf-syntax-ns#type", "C", "literal", None, None)], TRIPLES_SCHEMA)
+    )
+    assert rows(star(typed.filter("s <> 'c'"), {"x": "p:x"}, of_class="C")) == [("a", "1")]
     assert rows(star_join(typed, {"x": "p:x"}, of_class="C")) == [("a", "1")]
 
 

@@ -10,7 +10,7 @@ from tripleweft.sources.json import iterate_variant, json_records, parse_text, v
 from tripleweft.sources.ntriples import ntriples_scan, parse_ntriples
 from tripleweft.sources.synthetic import generate_ids, rate_ids, synthetic_customers, synthetic_invoices
 from tripleweft.sources.tables import parquet_table
-from tripleweft.sources.xml import row_tag, xml_records
+from tripleweft.sources.xml import xml_records
 
 
 def test_csv_exact_cells(spark, put):
@@ -145,14 +145,54 @@ def test_xml_predicates(spark, put):
         '<packagedElement x:type="m:Class" name="Car"><generalization general="B"/></packagedElement>'
         '<packagedElement x:type="m:Enum" name="Colour"/></m:Model></x:XMI>',
     )
-    iterator = ".//packagedElement[@x:type='m:Class' and not(generalization)]"
-    assert row_tag(iterator) == "packagedElement"
-    records = xml_records(spark, path, iterator, ["@name"], also=["@x:type", "generalization/@general"])
-    is_class = F.col("`_x:type`") == "m:Class"
-    base = F.col("generalization").isNull()
-    name = resolver(records, "xml")("@name")
-    assert rows(records.filter(is_class & base).select(name)) == [("Base",)]
-    assert rows(records.filter(is_class & ~base).select(name)) == [("Car",)]
+
+    def names(predicate):
+        records = xml_records(spark, path, f".//packagedElement{predicate}", ["@name"])
+        return rows(records.select(resolver(records, "xml")("@name")))
+
+    assert names("[@x:type='m:Class' and not(generalization)]") == [("Base",)]
+    assert names("[@x:type='m:Class'][generalization]") == [("Car",)]
+    assert names("[generalization/@general='B' or @x:type=\"m:Enum\"]") == [("Car",), ("Colour",)]
+    assert names("[@none]") == []
+    for bad in ("[1]", "[position()=1]", "[starts-with(@name,'B')]", "[(a)]"):
+        with pytest.raises(ValueError, match="unsupported XML predicate"):
+            names(bad)
+
+
+def test_xml_iterator_paths(spark, put):
+    path = put(
+        "p.xml",
+        "<r><a t='1'><item kind='z'><n>1</n></item><item><n>2</n></item></a><b><item kind='z'><n>3</n></item></b><item><n>4</n></item></r>",
+    )
+
+    def found(iterator, **options):
+        records = xml_records(spark, path, iterator, ["n"], **options)
+        return rows(records.select(resolver(records, "xml")("n")))
+
+    assert found("/r/a/item") == [("1",), ("2",)]
+    assert found("/r/b/item") == [("3",)]
+    assert found("/r/a/item[@kind='z']") == [("1",)]
+    assert found("/r/a[@t='2']/item") == []
+    assert found("//item[@kind='z']") == [("1",), ("3",)]
+    assert found("/r/item", exact=True) == [("4",)]
+    assert found("/r/a/item", exact=True) == [("1",), ("2",)]
+    for bad in ("/r/*", "item", "/r//item", "/r[@x]/item"):
+        with pytest.raises(ValueError):
+            found(bad)
+
+
+def test_csv_keeps_lines_of_white_space(spark, put):
+    path = put("w.csv", "a\nx\n   \n\n\t\ny\n")
+    assert rows(csv_records(spark, path)) == [("   ",), ("\t",), ("x",), ("y",)]
+
+
+def test_json_lists_are_text(spark, put):
+    path = put("l.json", '{"a":[{"b":1,"c":"x"},{"b":null},{"c":"y"}],"t":["p","q"]}\n{"a":null}\n')
+    for records in (json_records(spark, path, ["a[*].c", "t[*]"]), variant_documents(spark, path, multi_line=False)):
+        value = resolver(records, "json")
+        assert rows(records.select(value("a[*].c"), value("$.t[*]"))) == [('["x","y"]', '["p","q"]'), (None, None)]
+        with pytest.raises(ValueError):
+            value("a[*].b[*]")
 
 
 def test_xml_attribute_fallback(spark, put):
@@ -182,7 +222,7 @@ def test_ntriples_lines(spark):
     assert [tuple(r) for r in parse_ntriples(df).collect()] == [
         ("a:b", "c:d", 'A😀\\u0041 "q" \n', "literal", None, None),
         ("a:b", "c:d", "x", "literal", None, "en-US"),
-        ("_:b1", "p:q", "_:b2", "iri", None, None),
+        ("_:b1", "p:q", "_:b2", "bnode", None, None),
         ("a", "b", "", "literal", None, None),
         ("a", "b", "x > y", "literal", "t:d", None),
         ("a", "b", 'say "> <" .', "literal", None, None),

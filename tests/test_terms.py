@@ -5,10 +5,11 @@ from pyspark.sql import functions as F
 
 from conftest import rows
 from tripleweft import Mapping, ObjectMap, TriplesMap, constant, materialise, ref, template, triples_of
-from tripleweft.functions.names import expand_curie, format_key, looks_like_iri, output_name, split_predicate
+from tripleweft.functions.names import expand_curie, format_key, looks_like_iri, output_name, xml_name
 from tripleweft.functions.paths import json_steps
-from tripleweft.functions.templates import expand, fill_then_expand, template_pieces
+from tripleweft.functions.templates import expand, fill_text, fill_then_expand, template_pieces
 from tripleweft.functions.text import short_key
+from tripleweft.operators.aggregates import run_metrics
 from tripleweft.operators.setops import graph_diff
 from tripleweft.plans.compile import count_triples, is_set_already
 from tripleweft.sources.csv import csv_records
@@ -176,10 +177,10 @@ def test_names(spark):
     ).withColumn("m", F.create_map(F.lit("ex"), F.lit(EX)))
     assert [r[0] for r in df.select(expand_curie(F.col("c"), F.col("m"))).collect()] == [EX + "a:b", "no:x", ":x", "plain"]
     one = spark.range(1)
-    local = split_predicate(F.lit("http://a/b#c"))
+    local = xml_name(F.lit("http://a/b#c"))
     got = one.select(
         *local,
-        *split_predicate(F.lit("http://a/b")),
+        *xml_name(F.lit("http://a/b")),
         format_key(F.lit("rdf/xml ")),
         output_name(F.lit("a.b.csv"), F.lit("turtle")),
         output_name(F.lit("noext"), F.lit("N-Triples")),
@@ -197,3 +198,30 @@ def test_json_steps():
     assert json_steps("a.b") == ["a", "b"]
     with pytest.raises(ValueError):
         json_steps("$.a[?(@.x)]")
+
+
+def test_attributes_in_a_mapping(spark):
+    df = spark.createDataFrame([("1", "x"), ("2", None)], "id string, v string").withColumn("attrs", F.create_map(F.lit("t"), F.lit("acme")))
+    tm = TriplesMap(
+        "d",
+        "http://${t}.example.org/{id}",
+        objects=(("p:v", ref("v")), ("p:t", constant("${t}")), ("p:l", template("http://${host:-h}/{v}")), ("p:gone", constant("a ${none}"))),
+    )
+    got = rows(triples_of(df, tm, attrs="attrs").select("s", "p", "o", "o_kind"))
+    assert got == [
+        ("http://acme.example.org/1", "p:l", "http://h/x", "iri"),
+        ("http://acme.example.org/1", "p:t", "acme", "literal"),
+        ("http://acme.example.org/1", "p:v", "x", "literal"),
+        ("http://acme.example.org/2", "p:t", "acme", "literal"),
+    ]
+    with pytest.raises(ValueError, match="no attributes"):
+        triples_of(df, tm)
+    assert fill_text("/${a}/x[@k='${b:-c}']", {"a": "r"}) == "/r/x[@k='c']"
+    with pytest.raises(ValueError):
+        fill_text("${a}", {})
+
+
+def test_inputs_without_triples_have_metrics(spark):
+    df = spark.createDataFrame([("f1", 5, "1"), ("f2", 7, None)], "file_name string, file_size long, id string")
+    tm = TriplesMap("d", "s:{id}", ("c:C",))
+    assert rows(run_metrics(df, tm).select("file_name", "input_bytes", "triples")) == [("f1", 5, 1), ("f2", 7, 0)]

@@ -25,10 +25,14 @@ def expand_curie(col, prefixes):
     ).otherwise(col)
 
 
-def split_predicate(col):
-    """Predicate IRI as (namespace, local name), cut after the last `#` or `/`."""
-    local = F.regexp_extract(col, "([^#/]*)$", 1)
-    return F.substr(col, F.lit(1), F.length(col) - F.length(local)), local
+def xml_name(col):
+    """Predicate IRI as (namespace, local name), cut at the first place from which an XML name reaches to the end.
+
+    An IRI without such a place is an error, as RDF/XML cannot say it.
+    """
+    local = F.regexp_extract(col, r"([\p{L}_][\p{L}\p{N}_.\-]*)$", 1)
+    none = F.raise_error(F.concat(F.lit("no XML name at the end of predicate "), col)).cast("string")
+    return F.substr(col, F.lit(1), F.length(col) - F.length(local)), F.when(local == "", none).otherwise(local)
 
 
 def format_key(col):

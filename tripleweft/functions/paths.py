@@ -58,15 +58,35 @@ def field(name):
     return F.col("`" + name.replace("`", "``") + "`")
 
 
+def variant_at(col, steps):
+    """Value below a variant as (column, type); a path with `[*]` gives the JSON text of the list."""
+    if "*" not in steps:
+        return F.try_variant_get(col, variant_path(steps), "variant"), T.VariantType()
+    cut = steps.index("*")
+    if "*" in steps[cut + 1 :]:
+        raise ValueError("a reference may have one [*]")
+    items = F.try_variant_get(col, variant_path(steps[:cut]), "array<variant>")
+    if steps[cut + 1 :]:
+        rest = variant_path(steps[cut + 1 :])
+        items = F.filter(F.transform(items, lambda x: F.try_variant_get(x, rest, "variant")), lambda x: x.isNotNull())
+    return F.to_json(items), T.StringType()
+
+
 def walk_json(schema, steps):
-    """Follow steps through typed columns; returns (column, type) or None on a miss."""
+    """Follow steps through typed columns; returns (column, type) or None on a miss.
+
+    `[*]` gives the JSON text of the list; on typed columns it may only be the last step.
+    """
     if isinstance(steps[0], int) or steps[0] not in schema.names:
         return None
     col, kind = field(steps[0]), schema[steps[0]].dataType
     for i, step in enumerate(steps[1:], start=1):
         if isinstance(kind, T.VariantType):
-            rest = variant_path(steps[i:])
-            return F.try_variant_get(col, rest, "variant"), kind
+            return variant_at(col, steps[i:])
+        if step == "*":
+            if i < len(steps) - 1 or not isinstance(kind, T.ArrayType):
+                raise ValueError(f"no value for [*] in {steps}")
+            return F.to_json(col), T.StringType()
         if isinstance(step, int) and isinstance(kind, T.ArrayType):
             col, kind = F.get(col, step), kind.elementType
         elif isinstance(kind, T.StructType) and step in kind.names:
@@ -82,7 +102,7 @@ def json_value(schema, reference):
     """Value of a JSON reference as a string column."""
     steps = reference_steps(reference)
     if RECORD in schema.names and isinstance(schema[RECORD].dataType, T.VariantType):
-        return variant_text(F.try_variant_get(RECORD, variant_path(steps), "variant"))
+        return value_text(*variant_at(F.col(RECORD), steps))
     found = walk_json(schema, steps)
     return null_text() if found is None else value_text(*found)
 
@@ -138,6 +158,18 @@ def xml_value(schema, reference):
     return F.nullif(col.cast("string"), F.lit(""))
 
 
+def xml_present(schema, path):
+    """Whether an XML path of one step matches, empty elements included; a longer path must end in a value."""
+    steps = xml_steps(path)
+    if len(steps) > 1:
+        return xml_value(schema, path).isNotNull()
+    name = "_VALUE" if steps[0] == "text()" else "_" + steps[0][1:] if steps[0].startswith("@") else steps[0]
+    if name not in schema.names:
+        return F.lit(False)
+    col = field(name)
+    return F.coalesce(F.size(col) > 0, F.lit(False)) if isinstance(schema[name].dataType, T.ArrayType) else col.isNotNull()
+
+
 def resolver(records, formulation):
     """Function from a reference (name, path or Column) to a string column."""
     schema = records.schema

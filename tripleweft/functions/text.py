@@ -59,6 +59,18 @@ def escape_xml(col):
     return replace_all(col, XML_ESCAPES)
 
 
+# Fixed value: characters that XML 1.0 cannot hold, even escaped.
+_NO_XML = r"[\x00-\x08\x0B\x0C\x0E-\x1F\uFFFE\uFFFF]"
+
+
+def xml_characters(col, forbidden="raise"):
+    """Text without characters that XML cannot hold: they are an error, or become U+FFFD with `forbidden="replace"`."""
+    if forbidden == "replace":
+        return F.regexp_replace(col, _NO_XML, "\uFFFD")
+    failed = F.raise_error(F.lit("text with characters that XML 1.0 cannot hold")).cast("string")
+    return F.when(col.rlike(_NO_XML), failed).otherwise(col)
+
+
 # The one-letter escapes of N-Triples, without that of the backslash.
 _ECHARS = (("\\n", "\n"), ("\\r", "\r"), ("\\t", "\t"), ("\\b", "\b"), ("\\f", "\f"), ('\\"', '"'), ("\\'", "'"))
 

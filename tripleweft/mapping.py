@@ -11,14 +11,15 @@ from tripleweft.functions.templates import template_refs
 class ObjectMap:
     """One of reference, template or constant; none of them means no triple.
 
-    A reference is a field name or path of the source, or any `Column`.
+    A reference is a field name or path of the source, or any `Column`; the
+    language may be a `Column` too, where the triples are built.
     """
 
     reference: str | Column | None = None
     template: str | None = None
     constant: str | None = None
     datatype: str | None = None
-    lang: str | None = None
+    lang: str | Column | None = None
 
     def references(self):
         if isinstance(self.reference, str):

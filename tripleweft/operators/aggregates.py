@@ -3,6 +3,7 @@
 from pyspark.sql import functions as F
 
 from tripleweft.functions.names import mime_type
+from tripleweft.plans.compile import with_triple_count
 from tripleweft.vocab import TRIPLE_COLUMNS
 
 
@@ -37,14 +38,18 @@ def record_count(records, maps):
     return records.agg(*counts).select(F.inline(rows))
 
 
-def run_metrics(triples, file="file_name", size="file_size", output_format="NTRIPLES", engine="spark", reason="STRICT"):
+def triples_per_input(records, maps, file="file_name", size="file_size", attrs=None):
+    """Size and number of triples of every input, also of those that yield none; triples are counted, not built."""
+    counted = with_triple_count(records, maps, keep=(file, size), attrs=attrs)
+    return counted.groupBy(F.col(file).alias(file)).agg(F.max(size).alias("input_bytes"), F.sum("triples").alias("triples"))
+
+
+def run_metrics(records, maps, file="file_name", size="file_size", output_format="NTRIPLES", engine="spark", reason="STRICT"):
     """One row per input: what was run, how much came in, how much came out."""
     name = F.lit(output_format)
-    return triples.groupBy(F.col(file).alias("file_name")).agg(
-        F.max(size).alias("input_bytes"),
-        F.count("s").alias("triples"),
-    ).select(
-        "file_name",
+    per_input = triples_per_input(records, maps, file, size)
+    return per_input.select(
+        F.col(file).alias("file_name"),
         F.lit(engine).alias("engine"),
         F.lit(reason).alias("reason"),
         "input_bytes",

@@ -5,8 +5,9 @@ from functools import reduce
 from pyspark.sql import functions as F
 
 from tripleweft.plans.compile import union_all
-from tripleweft.plans.joins import salted_join
-from tripleweft.vocab import IRI, RDF_TYPE, TRIPLE_COLUMNS
+from tripleweft.plans.joins import HOT_ROWS, fits, hot_keys, salted_join
+from tripleweft.scratch import write_and_read
+from tripleweft.vocab import IRI, LITERAL, RDF_TYPE, TRIPLE_COLUMNS
 
 
 def number(col):
@@ -20,40 +21,53 @@ def typed_filter(triples, predicate, test):
     `test` maps a number column to a condition; text that is no number fails.
     """
     value = number(F.col("o"))
-    return triples.filter((F.col("p") == predicate) & (F.col("o_kind") != IRI) & F.coalesce(test(value), F.lit(False)))
+    return triples.filter((F.col("p") == predicate) & (F.col("o_kind") == LITERAL) & F.coalesce(test(value), F.lit(False)))
+
+
+def _of_class(name):
+    return (F.col("p") == RDF_TYPE) & (F.col("o_kind") == IRI) & (F.col("o") == name)
 
 
 def star(triples, variables, subject="subject", of_class=None):
-    """Subjects that have all the given predicates, one column each.
+    """Subjects that have all the given predicates, one column each, where a subject has one value of each.
 
-    For predicates with one value per subject: a single grouped pass, with
-    partial aggregates before the shuffle. `variables` maps column names to
-    predicates; `of_class` asks for a type as well.
+    A single grouped pass, with partial aggregates before the shuffle. A subject with two values of a predicate is an
+    error; `star_join` takes those. `variables` maps column names to predicates; `of_class` asks for a type as well.
     """
     wanted = F.col("p").isin(list(variables.values()))
     if of_class is not None:
-        is_class = (F.col("p") == RDF_TYPE) & (F.col("o") == of_class)
-        wanted = wanted | is_class
-    columns = [F.max(F.when(F.col("p") == p, F.col("o"))).alias(name) for name, p in variables.items()]
+        wanted = wanted | _of_class(of_class)
+    columns = []
+    for name, p in variables.items():
+        value = F.when(F.col("p") == p, F.col("o"))
+        columns += [F.max(value).alias(name), F.min(value).alias(f"_min_{name}")]
     if of_class is not None:
-        columns.append(F.max(is_class).alias("_typed"))
+        columns.append(F.max(_of_class(of_class)).alias("_typed"))
     rows = triples.filter(wanted).groupBy(F.col("s").alias(subject)).agg(*columns)
     found = [F.col(name).isNotNull() for name in variables]
     if of_class is not None:
         found.append(F.col("_typed"))
-    return rows.filter(reduce(lambda a, b: a & b, found)).select(subject, *variables)
+    several = F.raise_error(F.lit("a subject has several values of a predicate: use star_join")).cast("string")
+    single = [F.when(F.col(name) != F.col(f"_min_{name}"), several).otherwise(F.col(name)).alias(name) for name in variables]
+    return rows.filter(reduce(lambda a, b: a & b, found)).select(subject, *single)
 
 
-def star_join(triples, variables, subject="subject", of_class=None):
-    """As `star` for predicates with several values: every combination, by equi-joins."""
+def star_join(triples, variables, subject="subject", of_class=None, hot_rows=HOT_ROWS):
+    """Every combination of the values that a subject has for the given predicates, by equi-joins on the subject.
+
+    Subjects with very many triples are counted once and spread in each of the joins.
+    """
+    wanted = triples.filter(F.col("p").isin(list(variables.values())))
     parts = [
         triples.filter(F.col("p") == p).select(F.col("s").alias(subject), F.col("o").alias(name)).distinct()
         for name, p in variables.items()
     ]
     if of_class is not None:
-        typed = (F.col("p") == RDF_TYPE) & (F.col("o") == of_class)
-        parts.append(triples.filter(typed).select(F.col("s").alias(subject)).distinct())
-    return reduce(lambda a, b: a.join(b, subject), parts)
+        parts.append(triples.filter(_of_class(of_class)).select(F.col("s").alias(subject)).distinct())
+    if len(parts) == 1:
+        return parts[0]
+    hot = hot_keys(wanted.select(F.col("s").alias(subject)), [subject], hot_rows)
+    return reduce(lambda a, b: salted_join(a, b, [subject], hot=hot), parts)
 
 
 def links(triples, predicate, subject="subject", target="target"):
@@ -65,9 +79,12 @@ def links(triples, predicate, subject="subject", target="target"):
 def path_join(left, right, on, how="inner", counts_from=None):
     """Follow links: rows that point at IRIs meet the rows of those IRIs.
 
-    Very many rows may point at one IRI, so its rows are spread. `counts_from`
-    takes the plain links, if `left` is costly, to find such IRIs.
+    The described side is written once; if it measures small it goes to the links. Else very many rows may point at one
+    IRI, so its rows are spread; `counts_from` takes the plain links, if `left` is costly, to find such IRIs.
     """
+    right = write_and_read(right, "described")
+    if fits(right):
+        return left.join(F.broadcast(right), on, how)
     return salted_join(left, right, [on], how, counts_from=counts_from)
 
 

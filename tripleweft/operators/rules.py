@@ -9,9 +9,8 @@ from functools import reduce
 
 from pyspark.sql import functions as F
 
-from tripleweft.functions.names import looks_like_iri
-from tripleweft.plans.joins import BROADCAST_ROWS, checked_join, fits, salted_join
-from tripleweft.plans.once import evaluate_once
+from tripleweft.functions.names import expand_curie, looks_like_iri
+from tripleweft.plans.joins import BROADCAST_ROWS, checked_join
 from tripleweft.scratch import write_and_read
 from tripleweft.vocab import FORMULATIONS, IRI, LITERAL, QL, RDF_TYPE, RML, RR
 
@@ -68,49 +67,43 @@ def mapping_nodes(triples):
 def rules_from_mapping_triples(triples):
     """Rules of all mapping documents; `tenant` names the document of a triple.
 
-    One grouped pass gives a node table, which the links between nodes
-    (logical source, subject map, predicate-object maps) are then resolved
-    against. Nodes are small rows with a unique key; they and the pairs of maps
-    and predicate-object maps are written once, so that the documents are not
-    read again for each look-up.
+    One grouped pass gives a node table, gathered into one map of nodes per document: a mapping document is small, as
+    one engine run reads it whole. Pairs of maps and predicate-object maps meet the map of their document in one join,
+    and all links between nodes (logical source, subject map, object map) are look-ups in it.
     """
     nodes = write_and_read(mapping_nodes(triples), "mapping-nodes")
-    small = fits(nodes)
-
-    def look_up(rows, link, columns, how):
-        side = nodes.select("tenant", F.col("node").alias(link), *[F.col(c).alias(n) for n, c in columns.items()])
-        if small:
-            return rows.join(F.broadcast(side), ["tenant", link], how)
-        return salted_join(rows, side, ["tenant", link], how)
-
-    maps = nodes.filter(F.col("logical_source").isNotNull()).select(
-        "tenant", F.col("node").alias("triples_map"), "logical_source", "subject_map"
-    )
-    maps = look_up(
-        maps, "logical_source", {"source": "source", "formulation": "formulation", "iterator": "iterator"}, "left"
-    )
-    maps = look_up(maps, "subject_map", {"subject_template": "template", "classes": "classes"}, "left")
+    named = [c for c in nodes.columns if c not in ("tenant", "node")]
+    entry = F.struct("node", F.struct(*named).alias("n"))
+    documents = nodes.groupBy("tenant").agg(F.map_from_entries(F.collect_list(entry)).alias("nodes"))
+    maps = nodes.filter(F.col("logical_source").isNotNull()).select("tenant", F.col("node").alias("triples_map"))
     pairs = triples.filter(F.col("p") == RR + "predicateObjectMap").select(
         "tenant", F.col("s").alias("triples_map"), F.col("o").alias("pom")
     )
-    pairs = write_and_read(pairs, "mapping-pairs")
-    # One map may have very many pairs, so the pairs are the side that is spread.
-    keys = ["tenant", "triples_map"]
-    bare = maps.join(pairs.select(*keys).distinct(), keys, "left_anti")
-    paired = pairs.join(F.broadcast(maps), keys) if small else salted_join(pairs, maps, keys)
-    rules = paired.unionByName(bare, allowMissingColumns=True)
-    rules = look_up(
-        rules,
-        "pom",
-        {"_predicate": "predicate", "predicate_map": "predicate_map", "object_map": "object_map", "_object": "object"},
-        "left",
+    paired = maps.join(pairs, ["tenant", "triples_map"], "left")
+    rows = checked_join(paired, documents, ["tenant"], write_right=True)
+
+    def at(node, name):
+        return F.try_element_at("nodes", node)[name]
+
+    own = F.col("triples_map")
+    rows = rows.select(
+        "tenant",
+        "triples_map",
+        "nodes",
+        *[at(at(own, "logical_source"), c).alias(c) for c in ("source", "formulation", "iterator")],
+        at(at(own, "subject_map"), "template").alias("subject_template"),
+        at(at(own, "subject_map"), "classes").alias("classes"),
+        at(F.col("pom"), "predicate").alias("_predicate"),
+        at(F.col("pom"), "predicate_map").alias("_predicate_map"),
+        at(F.col("pom"), "object_map").alias("_object_map"),
+        at(F.col("pom"), "object").alias("_object"),
     )
-    rules = look_up(rules, "predicate_map", {"_constant_predicate": "constant"}, "left")
-    rules = look_up(
-        rules,
-        "object_map",
-        {"_reference": "reference", "_template": "template", "_constant": "constant", "datatype": "datatype", "lang": "lang"},
-        "left",
+    target = F.col("_object_map")
+    rules = rows.select(
+        "*",
+        at(F.col("_predicate_map"), "constant").alias("_constant_predicate"),
+        *[at(target, c).alias("_" + c) for c in ("reference", "template", "constant")],
+        *[at(target, c).alias(c) for c in ("datatype", "lang")],
     )
     fixed = F.coalesce("_constant", "_object")
     formulation = F.coalesce(F.replace("formulation", F.lit(QL), F.lit("")), F.lit("JSONPath"))
@@ -144,22 +137,12 @@ def braces(col):
 def expand_prefixes(rows, prefixes, columns):
     """Expand `prefix:local` in the given columns by a table (tenant, prefix, iri).
 
-    One look-up join per column; texts without a known prefix stay as they are.
+    The prefixes of a tenant are one map, which meets the rows in one join; texts without a known prefix stay as they are.
     """
     single = prefixes.groupBy("tenant", "prefix").agg(F.max("iri").alias("iri"))
-    single = write_and_read(single, "prefixes")
-    small = fits(single)
-    for name in columns:
-        colon = F.instr(name, ":")
-        rows = rows.withColumn("_prefix", F.when(colon > 1, F.substr(F.col(name), F.lit(1), colon - 1)))
-        side = single.select("tenant", F.col("prefix").alias("_prefix"), F.col("iri").alias("_iri"))
-        if small:
-            rows = rows.join(F.broadcast(side), ["tenant", "_prefix"], "left")
-        else:
-            rows = salted_join(rows, side, ["tenant", "_prefix"], "left")
-        full = F.concat("_iri", F.substr(F.col(name), F.instr(name, ":") + 1))
-        rows = rows.withColumn(name, F.coalesce(full, name)).drop("_prefix", "_iri")
-    return rows
+    maps = single.groupBy("tenant").agg(F.map_from_entries(F.collect_list(F.struct("prefix", "iri"))).alias("_prefixes"))
+    rows = checked_join(rows, maps, ["tenant"], "left", write_right=True)
+    return rows.withColumns({name: expand_curie(F.col(name), F.col("_prefixes")) for name in columns}).drop("_prefixes")
 
 
 def canonical_formulation(col):
@@ -340,33 +323,32 @@ def rule_rows(rules):
 
 
 def compile_rules(rules):
-    """Rule rows as a table in the shared folder, to be applied any number of times."""
-    return write_and_read(rule_rows(rules), "compiled-rules")
+    """Rules as a table in the shared folder, to be applied any number of times: one array per tenant and source."""
+    rows = rule_rows(rules)
+    rule = F.struct(*[c for c in rows.columns if c not in ("tenant", "source")])
+    return write_and_read(rows.groupBy("tenant", "source").agg(F.collect_list(rule).alias("rules")), "compiled-rules")
 
 
 def apply_compiled(records, compiled, keep=(), broadcast_rows=BROADCAST_ROWS):
     """Triples of records (tenant, source, record map) by compiled rules.
 
-    Rules go to the records by broadcast if they measure small; else records
-    are shuffled to them, those of a large tenant spread over many tasks.
+    The rules of a tenant and source come as one array, so each record meets them in one row. They go to the records by
+    broadcast if they measure small; else records are shuffled to them, those of a large tenant spread over many tasks.
     """
     joined = checked_join(records, compiled, ["tenant", "source"], max_rows=broadcast_rows)
     record = F.col("record")
-    value = (
-        F.when(F.col("obj_kind") == "reference", F.try_element_at(record, F.col("obj_value")))
-        .when(F.col("obj_kind") == "template", fill_parts(F.col("obj_parts"), record))
-        .otherwise(F.col("obj_value"))
-    )
-    rows = evaluate_once(
-        joined,
-        fill_parts(F.col("subject_parts"), record).alias("s"),
-        "p",
-        value.alias("o"),
-        "o_kind",
-        "o_datatype",
-        "o_lang",
-        keep=keep,
-    )
+
+    def triple(r):
+        value = (
+            F.when(r["obj_kind"] == "reference", F.try_element_at(record, r["obj_value"]))
+            .when(r["obj_kind"] == "template", fill_parts(r["obj_parts"], record))
+            .otherwise(r["obj_value"])
+        )
+        return F.struct(
+            fill_parts(r["subject_parts"], record).alias("s"), r["p"].alias("p"), value.alias("o"), r["o_kind"], r["o_datatype"], r["o_lang"]
+        )
+
+    rows = joined.select(*keep, F.inline(F.transform("rules", triple))).toDF(*keep, "s", "p", "o", "o_kind", "o_datatype", "o_lang")
     return rows.filter(F.col("s").isNotNull() & F.col("o").isNotNull())
 
 

@@ -5,14 +5,14 @@ array per record, which `inline` turns into rows. Nothing here shuffles, apart
 from the `distinct` that set semantics may ask for.
 """
 
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 from functools import reduce
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from tripleweft.functions.paths import resolver
-from tripleweft.functions.templates import expand, template_pieces
+from tripleweft.functions.templates import expand, fill_attributes, has_attributes, template_pieces
 from tripleweft.mapping import Mapping
 from tripleweft.vocab import IRI, LITERAL, RDF_TYPE, TRIPLE_COLUMNS, is_iri_constant
 
@@ -25,19 +25,22 @@ class Term:
     value: Column
     kind: str
     datatype: str | None = None
-    lang: str | None = None
+    lang: str | Column | None = None
     fixed: str | None = None
 
 
-def object_term(predicate, obj, resolve, encode=False):
+def object_term(predicate, obj, resolve, encode=False, attrs=None):
     """Rule as a Term, or None if the object map names nothing."""
     if obj.reference is not None:
         value, kind, fixed = resolve(obj.reference), LITERAL, None
     elif obj.template is not None:
-        value, kind, fixed = expand(obj.template, resolve, encode), IRI, None
+        value, kind, fixed = expand(obj.template, resolve, encode, attrs), IRI, None
     elif obj.constant is not None:
         kind = IRI if is_iri_constant(obj.constant) else LITERAL
         value, fixed = F.lit(obj.constant), obj.constant
+        if has_attributes(obj.constant):
+            # Its start, ahead of any attribute, tells whether it is an IRI.
+            value, fixed = fill_attributes(obj.constant, attrs), None
     else:
         return None
     if kind == IRI:
@@ -46,34 +49,39 @@ def object_term(predicate, obj, resolve, encode=False):
     return Term(predicate, value, kind, obj.datatype, lang, fixed)
 
 
-def map_terms(tm, resolve, encode=False):
+def map_terms(tm, resolve, encode=False, attrs=None):
     """Subject column and terms of a triples map."""
-    subject = expand(tm.subject, resolve, encode)
+    subject = expand(tm.subject, resolve, encode, attrs)
     if tm.where is not None:
         subject = F.when(tm.where, subject)
     terms = [Term(RDF_TYPE, F.lit(c), IRI, fixed=c) for c in tm.classes]
     for predicate, obj in tm.objects:
-        term = object_term(predicate, obj, resolve, encode)
+        term = object_term(predicate, obj, resolve, encode, attrs)
         if term is not None:
             terms.append(term)
     return subject, terms
 
 
-def term_table(records, maps, encode=False, keep=(), predicates=None):
+def term_table(records, maps, encode=False, keep=(), predicates=None, attrs=None):
     """Subjects and objects side by side, one row per record.
 
-    `predicates` leaves out all rules with other predicates.
+    `predicates` leaves out all rules with other predicates. `attrs` is a map
+    column (or its name) that fills `${name}` and `${name:-default}`.
 
     Returns the projection and, per map, the name of its subject column with
     (term, value column) pairs that refer to it.
     """
     cols, plan = [], []
+    attrs = F.col(attrs) if isinstance(attrs, str) else attrs
     for i, tm in enumerate(maps):
-        subject, terms = map_terms(tm, resolver(records, tm.formulation), encode)
+        subject, terms = map_terms(tm, resolver(records, tm.formulation), encode, attrs)
         terms = [t for t in terms if predicates is None or t.predicate in predicates]
         cols.append(subject.alias(f"_s{i}"))
         pairs = []
         for j, term in enumerate(terms):
+            if isinstance(term.lang, Column):
+                cols.append(term.lang.cast("string").alias(f"_l{i}_{j}"))
+                term = replace(term, lang=F.col(f"_l{i}_{j}"))
             if term.fixed is not None:
                 pairs.append((term, F.lit(term.fixed)))
             else:
@@ -90,7 +98,7 @@ def _cell(subject, term, value):
         value.alias("o"),
         F.lit(term.kind).alias("o_kind"),
         F.lit(term.datatype).cast("string").alias("o_datatype"),
-        F.lit(term.lang).cast("string").alias("o_lang"),
+        (term.lang if isinstance(term.lang, Column) else F.lit(term.lang).cast("string")).alias("o_lang"),
     )
 
 
@@ -99,10 +107,11 @@ def map_predicates(tm):
     return {p for p, _ in tm.objects} | ({RDF_TYPE} if tm.classes else set())
 
 
-def triples_of(records, maps, encode=False, keep=(), predicates=None):
+def triples_of(records, maps, encode=False, keep=(), predicates=None, attrs=None):
     """Triples of all maps over one record DataFrame, in one narrow pass.
 
-    `keep` names record columns to carry along (a tenant, a file name).
+    `keep` names record columns to carry along (a tenant, a file name); `attrs`
+    names the map column of input attributes that `${name}` stands for.
     `predicates` limits the triples to those that a graph pattern asks for,
     which also keeps the columns of all other rules from being read.
     """
@@ -111,7 +120,7 @@ def triples_of(records, maps, encode=False, keep=(), predicates=None):
         maps = [tm for tm in maps if map_predicates(tm) & set(predicates)]
     if not maps:
         raise ValueError("the mapping yields no triples")
-    table, plan = term_table(records, maps, encode, keep, predicates)
+    table, plan = term_table(records, maps, encode, keep, predicates, attrs)
     cells = [_cell(F.col(s), term, value) for s, pairs in plan for term, value in pairs]
     if not cells:
         raise ValueError("the mapping yields no triples")
@@ -156,6 +165,8 @@ def _rule_rows(records, maps, signatures, encode, predicates):
     cells = []
     for s, pairs in plan:
         for term, value in pairs:
+            if isinstance(term.lang, Column):
+                raise ValueError("a set of triples needs fixed language tags: drop repeats from `triples_of` instead")
             rule = signatures.setdefault(_signature(term), len(signatures))
             cells.append(F.struct(F.lit(rule).alias("rule"), F.col(s).alias("s"), value.alias("o")))
     rows = table.select(F.inline(F.array(*cells)))
@@ -199,10 +210,10 @@ def materialise(mapping, inputs, distinct=False, encode=False, predicates=None):
     return _spell_out(rows.distinct(), signatures)
 
 
-def count_triples(records, maps):
-    """Number of triples as one row, counted per record without building them."""
+def with_triple_count(records, maps, keep=(), attrs=None):
+    """The kept columns of every record and the number of its triples, which are not built."""
     maps = [maps] if not isinstance(maps, (list, tuple)) else list(maps)
-    table, plan = term_table(records, maps)
+    table, plan = term_table(records, maps, keep=keep, attrs=attrs)
     per_record = F.lit(0).cast("bigint")
     for s, pairs in plan:
         fixed = sum(1 for term, _ in pairs if term.fixed is not None)
@@ -211,4 +222,9 @@ def count_triples(records, maps):
             if term.fixed is None:
                 here = here + value.isNotNull().cast("bigint")
         per_record = per_record + F.when(F.col(s).isNotNull(), here).otherwise(F.lit(0).cast("bigint"))
-    return table.agg(F.coalesce(F.sum(per_record), F.lit(0).cast("bigint")).alias("triples"))
+    return table.select(*keep, per_record.alias("triples"))
+
+
+def count_triples(records, maps, attrs=None):
+    """Number of triples as one row, counted per record without building them."""
+    return with_triple_count(records, maps, attrs=attrs).agg(F.coalesce(F.sum("triples"), F.lit(0).cast("bigint")).alias("triples"))

@@ -7,6 +7,7 @@ ones). The plan is a scan, a projection and a text write.
 
 from functools import reduce
 
+from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from tripleweft.functions.text import escape_literal, escape_literal_text
@@ -47,17 +48,19 @@ def _has_triples(s, pairs):
     return subject & _any([value.isNotNull() for _, value in pairs])
 
 
-def _evaluated(records, maps, encode):
+def _evaluated(records, maps, encode, attrs=None):
     """Terms of the records that yield any triple, each computed once."""
-    table, plan = term_table(records, maps, encode)
+    table, plan = term_table(records, maps, encode, attrs=attrs)
     plan = [(s, pairs) for s, pairs in plan if pairs]
+    if any(isinstance(term.lang, Column) for _, pairs in plan for term, _ in pairs):
+        raise ValueError("language tags from a column need triples: use `triples_of`")
     table = evaluate_once(table, *table.columns)
     return table.filter(_any([_has_triples(s, pairs) for s, pairs in plan])), plan
 
 
-def ntriples_text(records, maps, encode=False):
+def ntriples_text(records, maps, encode=False, attrs=None):
     """One `value` row per record: its N-Triples lines joined by line breaks."""
-    table, plan = _evaluated(records, _as_list(maps), encode)
+    table, plan = _evaluated(records, _as_list(maps), encode, attrs)
     lines = []
     for s, pairs in plan:
         for term, value in pairs:
@@ -69,9 +72,9 @@ def ntriples_text(records, maps, encode=False):
     return table.select(F.concat_ws("\n", *lines).alias("value"))
 
 
-def turtle_text(records, maps, encode=False):
+def turtle_text(records, maps, encode=False, attrs=None):
     """One `value` row per record: a subject block for each map."""
-    table, plan = _evaluated(records, _as_list(maps), encode)
+    table, plan = _evaluated(records, _as_list(maps), encode, attrs)
     blocks = []
     for s, pairs in plan:
         parts = []
@@ -83,7 +86,7 @@ def turtle_text(records, maps, encode=False):
     return table.select(F.concat_ws("\n", *blocks).alias("value"))
 
 
-def jsonld_text(records, maps, encode=False):
+def jsonld_text(records, maps, encode=False, attrs=None):
     """One node object per record and map.
 
     Right as a set only where no two records share a subject, which the maps
@@ -92,7 +95,7 @@ def jsonld_text(records, maps, encode=False):
     maps = _as_list(maps)
     if not all(tm.unique_subject for tm in maps):
         raise ValueError("per-record JSON-LD needs maps with unique subjects")
-    table, plan = _evaluated(records, maps, encode)
+    table, plan = _evaluated(records, maps, encode, attrs)
     nodes = []
     for s, pairs in plan:
         grouped = {}

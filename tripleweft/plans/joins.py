@@ -1,5 +1,8 @@
 """Joins that stay safe when a side grows or one key is hot."""
 
+import math
+
+from pyspark.sql import Observation
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -9,20 +12,19 @@ from tripleweft.scratch import write_and_read
 BROADCAST_ROWS = 200_000
 BROADCAST_BYTES = 64 * 1024 * 1024
 
-# Hot keys: at most this many, each with at least this many rows.
-HOT_KEYS = 1_000
+# Rows of a key that one task takes before the key is split; and hot keys that may be found at most, which bounds their
+# broadcast: no more keys than this can each have the same share of all rows.
 HOT_ROWS = 1_000_000
-SALTS = 64
+HOT_KEYS = 100_000
 
 
 def fits(df, max_rows=BROADCAST_ROWS, max_bytes=BROADCAST_BYTES):
-    """Measure whether `df` is small enough to broadcast.
+    """Measure whether `df` is small enough to broadcast: one count, partial in every task.
 
-    Rows are reduced to their sizes first, and at most one size beyond the
-    bound is read, so a large side is neither moved nor counted in full.
+    It computes `df` once; write a costly side first (`checked_join` does with `write_right`).
     """
-    size = F.octet_length(F.to_json(F.struct(*df.columns))).alias("b")
-    row = df.select(size).limit(max_rows + 1).agg(F.count(F.lit(1)).alias("n"), F.sum("b").alias("b")).first()
+    size = F.octet_length(F.to_json(F.struct(*df.columns)))
+    row = df.agg(F.count(F.lit(1)).alias("n"), F.sum(size).alias("b")).first()
     return row.n <= max_rows and (row.b or 0) <= max_bytes
 
 
@@ -42,32 +44,31 @@ def row_spread(df, parts):
     return F.pmod(F.xxhash64(*cols, F.spark_partition_id()), F.lit(parts)).cast("int")
 
 
-def hot_keys(df, keys, hot_rows=HOT_ROWS, max_keys=HOT_KEYS):
-    """The keys with the most rows, at most `max_keys` of them.
+def hot_keys(df, keys, hot_rows=HOT_ROWS):
+    """Keys with more rows than a task takes, and the number of salts for each: rows over rows per task.
 
-    The count is pre-aggregated before its shuffle, and the bound on the number
-    of keys is what allows broadcasting them. Keys left out lose no rows: they
-    only go unsalted.
+    The count is pre-aggregated before its shuffle. A task takes `hot_rows`, or the 100,000th part of all rows if that is
+    more, so there can be no more than 100,000 such keys whatever the data: the table is small enough to broadcast, and
+    no key is left out.
     """
-    counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
-    top = counts.filter(F.col("_n") >= hot_rows).orderBy(F.desc("_n")).limit(max_keys)
-    return top.select(*keys, F.lit(True).alias("_hot"))
+    seen = Observation()
+    counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).observe(seen, F.sum("_n").alias("rows"))
+    counts = write_and_read(counts.where(F.col("_n") > hot_rows), "hot-keys")
+    per_task = max(hot_rows, math.ceil((seen.get["rows"] or 0) / HOT_KEYS))
+    return counts.where(F.col("_n") > per_task).select(*keys, F.ceil(F.col("_n") / per_task).cast("int").alias("_salts"))
 
 
-def salted_join(left, right, keys, how="inner", hot_rows=HOT_ROWS, salts=SALTS, counts_from=None):
+def salted_join(left, right, keys, how="inner", hot_rows=HOT_ROWS, counts_from=None, hot=None):
     """Equi-join in which `left` may have hot keys.
 
-    The hot keys are counted first and kept as a small table, so that a chain
-    of such joins does not count them again; without any, this is a plain
-    join. Else rows of a hot key get one of `salts` numbers on the left, and
-    the few right rows of that key are copied once per number. All other keys
-    join as usual. `counts_from` names a cheaper DataFrame in which the same
-    keys are hot.
+    Hot keys are counted first; without any, this is a plain join. Else rows of a hot key get one of that key's salts on
+    the left, and the right rows of the key are copied once per salt. All other keys join as usual. `counts_from` names
+    a cheaper DataFrame in which the same keys are hot; `hot` is the result of `hot_keys`, for chains of joins on one key.
     """
     if how not in ("inner", "left", "left_semi", "left_anti"):
         raise ValueError(f"cannot salt a {how} join")
     keys = list(keys)
-    hot = write_and_read(hot_keys(left if counts_from is None else counts_from, keys, hot_rows), "hot-keys")
+    hot = hot_keys(left if counts_from is None else counts_from, keys, hot_rows) if hot is None else hot
     if hot.isEmpty():
         return left.join(right, keys, how)
     hot = F.broadcast(hot)
@@ -75,11 +76,11 @@ def salted_join(left, right, keys, how="inner", hot_rows=HOT_ROWS, salts=SALTS,
     no_key = F.lit(False)
     for key in keys:
         no_key = no_key | F.col(key).isNull()
-    salt = F.when(F.col("_hot") | no_key, F.col("_spread")).otherwise(0)
-    l = left.withColumn("_spread", row_spread(left, salts)).join(hot, keys, "left")
-    l = l.withColumn("_salt", salt).drop("_hot", "_spread")
-    copies = F.when(F.col("_hot"), F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(F.array(F.lit(0)))
-    r = right.join(hot, keys, "left").withColumn("_salt", F.explode(copies)).drop("_hot")
+    spread = F.when(no_key, F.col("_spread") % 1024).otherwise(F.coalesce(F.pmod("_spread", "_salts"), F.lit(0)))
+    l = left.withColumn("_spread", row_spread(left, 1 << 30)).join(hot, keys, "left")
+    l = l.withColumn("_salt", spread.cast("int")).drop("_salts", "_spread")
+    copies = F.sequence(F.lit(0), F.coalesce("_salts", F.lit(1)) - 1)
+    r = right.join(hot, keys, "left").withColumn("_salt", F.explode(copies)).drop("_salts")
     return l.join(r, [*keys, "_salt"], how).drop("_salt")
 
 

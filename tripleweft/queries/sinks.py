@@ -7,6 +7,7 @@ from tripleweft.plans.compile import triples_of
 from tripleweft.plans.fused import jsonld_text, ntriples_text, turtle_text
 from tripleweft.queries.common import (
     COLS,
+    CUSTOMER_SQL,
     DOCUMENTS_SQL,
     EX,
     LINE_SQL,
@@ -23,10 +24,10 @@ from tripleweft.queries.common import (
 )
 from tripleweft.scratch import new_path
 from tripleweft.sinks.files import convert_ntriples, write_ntriples_partitioned, write_partitioned, write_text
-from tripleweft.sinks.jsonld import jsonld_nodes, jsonld_scan
+from tripleweft.sinks.jsonld import jsonld_scan, write_jsonld
 from tripleweft.sinks.ntriples import ntriples_lines, write_ntriples
-from tripleweft.sinks.rdfxml import rdfxml_fragments
-from tripleweft.sinks.turtle import turtle_blocks
+from tripleweft.sinks.rdfxml import write_rdfxml
+from tripleweft.sinks.turtle import predicate_object, turtle_lines
 from tripleweft.sources.ntriples import parse_ntriples
 from tripleweft.vocab import RDF_TYPE, SCHEMA
 
@@ -61,16 +62,10 @@ def write_ntriples_records(spark, sf_dir):
 _TURTLE_LINE = f"CASE WHEN p = '{RDF_TYPE}' THEN 'a' ELSE '<' || p || '>' END || ' ' || {OBJECT_SQL}"
 
 
-@registry.add(
-    "write_turtle",
-    f"""
-    SELECT s, '<' || s || '>' || chr(10) || '    ' || string_agg({_TURTLE_LINE}, ' ;' || chr(10) || '    ' ORDER BY {_TURTLE_LINE}) || ' .' || chr(10) AS value
-    FROM ({LINEITEM_SQL}) GROUP BY s
-    """,
-)
+@registry.add("write_turtle", f"SELECT s, {_TURTLE_LINE} AS line FROM ({LINEITEM_SQL})")
 def write_turtle_query(spark, sf_dir):
-    """Blocks of subjects that come from several records each."""
-    return turtle_blocks(_lineitem(spark, sf_dir))
+    """Predicate-object lines by subject, of subjects that come from several records each."""
+    return turtle_lines(_lineitem(spark, sf_dir)).select("s", predicate_object(F.col("value")).alias("line"))
 
 
 @registry.add(
@@ -95,11 +90,13 @@ _JSONLD_SQL = f"""
 """
 
 
-@registry.add("write_jsonld", _JSONLD_SQL)
+@registry.add("write_jsonld", f"SELECT {COLS} FROM ({CUSTOMER_SQL})")
 def write_jsonld_query(spark, sf_dir):
-    """Node objects of a graph that holds every triple twice."""
+    """Documents of a graph that holds every triple twice, read back from their files."""
+    path = new_path(spark, "customer-jsonld")
     once = triples_of(table(spark, sf_dir, "customer"), customer_map())
-    return jsonld_nodes(once.unionByName(once))
+    write_jsonld(once.unionByName(once), path)
+    return jsonld_scan(spark, path)
 
 
 @registry.add("write_jsonld_records", f"SELECT value FROM ({_JSONLD_SQL})")
@@ -108,21 +105,22 @@ def write_jsonld_records(spark, sf_dir):
     return jsonld_text(table(spark, sf_dir, "customer"), customer_map())
 
 
-def _xml_sql(expr):
-    return f"replace(replace(replace(replace(replace({expr}, '&', '&amp;'), '<', '&lt;'), '>', '&gt;'), '\"', '&quot;'), chr(13), '&#13;')"
-
-
 @registry.add(
     "write_rdfxml",
     f"""
-    SELECT s, '<rdf:Description rdf:about="' || s || '">' || chr(10) || '  ' ||
-           '<j:source xmlns:j="{EX}">' || source || '</j:source>' || chr(10) || '  ' ||
-           '<j:text xmlns:j="{SCHEMA}">' || {_xml_sql("text")} || '</j:text>' || chr(10) || '</rdf:Description>' AS value
-    FROM (SELECT {iri("document", "doc_id")} AS s, * FROM documents)
+    SELECT {iri("document", "doc_id")} AS s, '{EX}source' AS p, source AS o FROM documents
+    UNION ALL SELECT {iri("document", "doc_id")}, '{SCHEMA}text', text FROM documents
     """,
 )
 def write_rdfxml_query(spark, sf_dir):
-    return rdfxml_fragments(_documents(spark, sf_dir))
+    """Documents in RDF/XML, read back by Spark's XML reader."""
+    path = new_path(spark, "documents-rdf")
+    write_rdfxml(_documents(spark, sf_dir), path)
+    value = "struct<_VALUE:string,`_xmlns:j`:string>"
+    schema = f"`_rdf:about` string, `j:source` array<{value}>, `j:text` array<{value}>"
+    rows = spark.read.format("xml").schema(schema).option("rowTag", "rdf:Description").option("ignoreSurroundingSpaces", False).load(path)
+    parts = [rows.select(F.col("`_rdf:about`").alias("s"), F.explode(f"`j:{n}`").alias("v"), F.lit(n).alias("n")) for n in ("source", "text")]
+    return parts[0].unionByName(parts[1]).select("s", F.concat("v.`_xmlns:j`", "n").alias("p"), F.col("v._VALUE").alias("o"))
 
 
 @registry.add("convert_rdf", f"SELECT DISTINCT {COLS} FROM ({ORDERS_SQL})")
@@ -134,6 +132,32 @@ def convert_rdf(spark, sf_dir):
     return jsonld_scan(spark, target)
 
 
+@registry.add(
+    "convert_blank_nodes",
+    f"""
+    SELECT '_:c' || c_custkey AS s, '{SCHEMA}name' AS p, c_name AS o, 'literal' AS o_kind, CAST(NULL AS VARCHAR) AS o_datatype,
+           CAST(NULL AS VARCHAR) AS o_lang FROM customer
+    UNION ALL SELECT {iri("order", "o_orderkey")}, '{SCHEMA}customer', '_:c' || o_custkey, 'bnode', NULL, NULL FROM orders
+    """,
+)
+def convert_blank_nodes(spark, sf_dir):
+    """Customers as blank nodes that orders point at, through N-Triples and JSON-LD files."""
+    source, target = new_path(spark, "blank-nt"), new_path(spark, "blank-jsonld")
+    null = F.lit(None).cast("string")
+    named = table(spark, sf_dir, "customer").select(
+        F.concat(F.lit("_:c"), "c_custkey").alias("s"), F.lit(SCHEMA + "name").alias("p"), F.col("c_name").alias("o"), F.lit("literal").alias("o_kind")
+    )
+    placed = table(spark, sf_dir, "orders").select(
+        F.concat(F.lit(EX + "order/"), "o_orderkey").alias("s"),
+        F.lit(SCHEMA + "customer").alias("p"),
+        F.concat(F.lit("_:c"), "o_custkey").alias("o"),
+        F.lit("bnode").alias("o_kind"),
+    )
+    write_ntriples(named.unionByName(placed).withColumns({"o_datatype": null, "o_lang": null}), source)
+    convert_ntriples(spark, source, target, "JSON-LD")
+    return jsonld_scan(spark, target)
+
+
 @registry.add(
     "output_naming",
     """
@@ -172,16 +196,13 @@ def write_files(spark, sf_dir):
 
 @registry.add(
     "tenant_partitioned_sink",
-    f"SELECT 't' || c_nationkey AS tenant, {iri('customer', 'c_custkey')} AS s, '{SCHEMA}name' AS p, c_name AS o, 'literal' AS o_kind, "
-    "CAST(NULL AS VARCHAR) AS o_datatype, CAST(NULL AS VARCHAR) AS o_lang FROM customer",
+    f"SELECT tenant, {COLS} FROM ({CUSTOMER_SQL}) JOIN (SELECT 't' || c_nationkey AS tenant, {iri('customer', 'c_custkey')} AS s FROM customer) USING (s)",
 )
 def tenant_partitioned_sink(spark, sf_dir):
     """N-Triples in a folder per tenant, read back with the tenant of the folder."""
     path = new_path(spark, "tenants-nt")
-    tm = customer_map()
-    named = type(tm)(source=tm.source, subject=tm.subject, objects=tm.objects[:1])
     customer = table(spark, sf_dir, "customer").withColumn(
         "tenant", F.concat(F.lit("t"), F.col("c_nationkey").cast("string"))
     )
-    write_ntriples_partitioned(triples_of(customer, named, keep=("tenant",)), path, ["tenant"])
+    write_ntriples_partitioned(triples_of(customer, customer_map(), keep=("tenant",)), path, ["tenant"])
     return parse_ntriples(spark.read.text(path), keep=["tenant"])

@@ -191,25 +191,38 @@ def xml_scan(spark, sf_dir):
 )
 def iterator_predicate(spark, sf_dir):
     """Elements chosen by attribute and by presence of a child, in one scan."""
-    is_class = F.col("_kind") == "uml:Class"
-    base = F.col("generalization").isNull()
     subject = EX + "class/{@id}"
-    maps = [
-        TriplesMap("orders", subject, ("http://www.w3.org/2002/07/owl#Class",), (), "xml", where=is_class & base),
-        TriplesMap(
-            "orders",
-            subject,
-            (EX + "Derived",),
-            ((EX + "general", template(EX + "class/{generalization/@general}")),),
-            "xml",
-            where=is_class & ~base,
-        ),
-    ]
-    references = [r for tm in maps for r in tm.references()]
-    records = xml_records(
-        spark, write_orders_xml(spark, sf_dir), "//order[@kind='uml:Class']", references, also=["@kind"]
+    base = TriplesMap("orders", subject, ("http://www.w3.org/2002/07/owl#Class",), (), "xml")
+    derived = TriplesMap(
+        "orders", subject, (EX + "Derived",), ((EX + "general", template(EX + "class/{generalization/@general}")),), "xml"
     )
-    return triples_of(records, maps)
+    path = write_orders_xml(spark, sf_dir)
+    plain = xml_records(spark, path, "//order[@kind='uml:Class' and not(generalization)]", base.references())
+    special = xml_records(spark, path, "//order[@kind='uml:Class'][generalization]", derived.references())
+    return triples_of(plain, base).unionByName(triples_of(special, derived))
+
+
+@registry.add(
+    "xml_iterator_path",
+    f"""
+    SELECT CAST(o_orderkey AS VARCHAR) AS id, CAST(o_custkey AS VARCHAR) AS customer FROM orders
+    WHERE o_orderstatus = 'O' AND o_orderpriority <> '1-URGENT'
+    """,
+)
+def xml_iterator_path(spark, sf_dir):
+    """Elements of one name below two parents, chosen by the path and a predicate of its last step."""
+    path = new_path(spark, "orders-by-state")
+    order = F.struct(
+        F.col("o_orderkey").cast("string").alias("_id"), F.col("o_orderpriority").alias("_priority"), F.col("o_custkey").cast("string").alias("customer")
+    )
+    is_open = F.col("o_orderstatus") == "O"
+    batches = table(spark, sf_dir, "orders").groupBy(F.floor(F.col("o_orderkey") / 50).alias("batch"))
+    groups = batches.agg(F.collect_list(F.when(is_open, order)).alias("a"), F.collect_list(F.when(~is_open, order)).alias("b"))
+    rows = groups.select(F.struct(F.col("a").alias("order")).alias("open"), F.struct(F.col("b").alias("order")).alias("closed"))
+    rows.write.format("xml").option("rootTag", "orders").option("rowTag", "batch").save(path)
+    records = xml_records(spark, path, "/orders/batch/open/order[not(@priority='1-URGENT')]", ["@id", "customer"])
+    value = resolver(records, "xml")
+    return records.select(value("@id").alias("id"), value("customer").alias("customer"))
 
 
 @registry.add(

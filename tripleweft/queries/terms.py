@@ -27,7 +27,7 @@ from tripleweft.queries.common import (
 )
 from tripleweft.scratch import new_path
 from tripleweft.sources.json import json_records, parse_text
-from tripleweft.vocab import SCHEMA
+from tripleweft.vocab import RDF_TYPE, SCHEMA
 
 registry = Registry()
 
@@ -173,28 +173,19 @@ def typed_literal(spark, sf_dir):
     return triples_of(table(spark, sf_dir, "part"), tm)
 
 
-_LANGUAGES = ("en", "fr", "de", "es")
-
-
 @registry.add(
     "lang_literal",
-    " UNION ALL ".join(
-        triples_sql("documents", iri("document", "doc_id"), [rule(SCHEMA + "text", "text", lang=tag)], f"lang = '{tag}'")
-        for tag in _LANGUAGES
-    ),
+    f"""
+    SELECT {iri("document", "doc_id")} AS s, '{SCHEMA}text' AS p, text AS o, 'literal' AS o_kind, CAST(NULL AS VARCHAR) AS o_datatype,
+           lang AS o_lang FROM documents WHERE text IS NOT NULL
+    """,
 )
 def lang_literal(spark, sf_dir):
-    """One map per language tag, all in one scan."""
-    maps = [
-        TriplesMap(
-            "documents",
-            EX + "document/{doc_id}",
-            objects=((SCHEMA + "text", ref("text", lang=tag)),),
-            where=F.col("lang") == tag,
-        )
-        for tag in _LANGUAGES
-    ]
-    return triples_of(table(spark, sf_dir, "documents"), maps)
+    """Language tags that come from a column, whatever languages there are."""
+    tm = TriplesMap(
+        "documents", EX + "document/{doc_id}", objects=((SCHEMA + "text", ref("text", lang=F.col("lang"))),)
+    )
+    return triples_of(table(spark, sf_dir, "documents"), tm)
 
 
 @registry.add(
@@ -295,6 +286,37 @@ def attr_substitute(spark, sf_dir):
     )
 
 
+_SEGMENT = "'http://' || lower(c_mktsegment) || '.example.org/"
+
+
+@registry.add(
+    "attr_mapping",
+    f"""
+    SELECT s, p, o, o_kind, o_datatype, CAST(NULL AS VARCHAR) AS o_lang FROM (
+      SELECT {_SEGMENT}customer/' || c_custkey AS s, '{RDF_TYPE}' AS p, '{SCHEMA}Person' AS o, 'iri' AS o_kind, CAST(NULL AS VARCHAR) AS o_datatype FROM customer
+      UNION ALL SELECT {_SEGMENT}customer/' || c_custkey, '{SCHEMA}name', c_name, 'literal', NULL FROM customer
+      UNION ALL SELECT {_SEGMENT}customer/' || c_custkey, '{EX}nation', {_SEGMENT}nation/' || c_nationkey, 'iri', NULL FROM customer
+      UNION ALL SELECT {_SEGMENT}customer/' || c_custkey, '{EX}tenant', lower(c_mktsegment), 'literal', NULL FROM customer
+      UNION ALL SELECT {_SEGMENT}customer/' || c_custkey, '{EX}home', {_SEGMENT}at/eu', 'iri', NULL FROM customer)
+    """,
+)
+def attr_mapping(spark, sf_dir):
+    """A mapping with input attributes in its subject, a template and two constants."""
+    customer = table(spark, sf_dir, "customer").withColumn("attrs", F.create_map(F.lit("tenant.id"), F.lower("c_mktsegment")))
+    tm = TriplesMap(
+        "customer",
+        "http://${tenant.id}.example.org/customer/{c_custkey}",
+        (SCHEMA + "Person",),
+        (
+            (SCHEMA + "name", ref("c_name")),
+            (EX + "nation", template("http://${tenant.id}.example.org/nation/{c_nationkey}")),
+            (EX + "tenant", constant("${tenant.id}")),
+            (EX + "home", constant("http://${tenant.id}.example.org/at/${region:-eu}")),
+        ),
+    )
+    return triples_of(customer, tm, attrs="attrs")
+
+
 @registry.add("nested_path_links", ORDERS_SQL)
 def nested_path_links(spark, sf_dir):
     """Nested objects in JSON: the customer inside an order becomes a link."""

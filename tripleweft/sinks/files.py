@@ -5,17 +5,18 @@ from tripleweft.sinks.jsonld import write_jsonld
 from tripleweft.sinks.ntriples import ntriples_lines, write_ntriples
 from tripleweft.sinks.rdfxml import write_rdfxml
 from tripleweft.sinks.turtle import write_turtle
-from tripleweft.sources.ntriples import ntriples_scan, ntriples_subjects
+from tripleweft.sources.ntriples import ntriples_scan
 
 
 def write_partitioned(df, path, columns, mode="overwrite", replace_only_written=True, fmt="parquet"):
     """One folder per value of the columns.
 
     With `replace_only_written`, overwriting touches only the folders that the
-    new rows fall into. Rows are not gathered per folder: a folder that takes a
-    third of all rows is written by all tasks.
+    new rows fall into. Rows are gathered by folder before they are written, and
+    adaptive execution splits large folders over tasks and joins small ones, so
+    neither tasks times folders make files nor one task writes a hot folder.
     """
-    writer = df.write.mode(mode).partitionBy(*columns).format(fmt)
+    writer = df.hint("rebalance", *columns).write.mode(mode).partitionBy(*columns).format(fmt)
     if replace_only_written and mode == "overwrite":
         writer = writer.option("partitionOverwriteMode", "dynamic")
     writer.save(path)
@@ -57,4 +58,4 @@ def convert_ntriples(spark, source, target, output_format):
         write_ntriples(graph_distinct(triples), target)
         return
     options = {"distinct": True} if format_name(output_format) == "TURTLE" else {}
-    write_rdf(triples, target, output_format, subjects=ntriples_subjects(spark, source), **options)
+    write_rdf(triples, target, output_format, **options)

@@ -1,53 +1,87 @@
 """Triples as flattened JSON-LD, one node object per subject."""
 
+import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import functions as F
 
-from tripleweft.sinks.blocks import BLOCK_TRIPLES, with_block
-from tripleweft.vocab import IRI, RDF_TYPE
+from tripleweft.sinks.subjects import choose, sorted_ranges, subject_runs, text_of
+from tripleweft.vocab import BLANK, BNODE, IRI, LITERAL, RDF_TYPE
+
+# The lines around the nodes of a document.
+OPENING, CLOSING = '{"@graph":[', "]}"
+#: Bytes of a node that are held before it is closed and its subject opened again.
+NODE_BYTES = 1_000_000
+# Fixed value: characters that JSON text must escape.
+_ESCAPED = r'[\x00-\x1F"\\]'
 
 
 def json_string(col):
     """A string as quoted JSON text."""
-    text = F.to_json(F.array(col))
-    return F.substr(text, F.lit(2), F.length(text) - 2)
-
-
-def jsonld_nodes(triples, block_triples=BLOCK_TRIPLES, few_per_subject=False, subjects=None):
+    escaped = F.to_json(F.array(col))
+    plain = F.concat(F.lit('"'), col, F.lit('"'))
+    return F.when(col.rlike(_ESCAPED), F.substr(escaped, F.lit(2), F.length(escaped) - 2)).otherwise(plain)
+
+
+def _cell():
+    """A value object; its parts in the order of their keys."""
+    o = json_string(F.col("o"))
+    typed = F.concat(F.lit('{"@type":'), json_string(F.col("o_datatype")), F.lit(',"@value":'), o, F.lit("}"))
+    tagged = F.concat(F.lit('{"@language":'), json_string(F.col("o_lang")), F.lit(',"@value":'), o, F.lit("}"))
+    plain = F.concat(F.lit('{"@value":'), o, F.lit("}"))
+    node = F.concat(F.lit('{"@id":'), o, F.lit("}"))
+    return F.when(F.col("o_kind").isin(IRI, BNODE), node).otherwise(F.coalesce(typed, tagged, plain))
+
+
+def _nodes(batches):
+    """Node objects from sorted rows; what is not yet closed waits as pieces, up to `NODE_BYTES`."""
+    held, size, fresh = [], 0, False
+    for rows, opens, turns, ends in subject_runs(batches, True):
+        if fresh:  # the node was closed early: its subject goes on in a new one
+            opens, turns = opens.copy(), turns.copy()
+            opens[0] = turns[0] = True
+            fresh = False
+        s, text = text_of(rows, "s"), text_of(rows, "text")
+        key = pc.binary_join_element_wise(text_of(rows, "label"), ":[", "")
+        start = pc.binary_join_element_wise('{"@id":', text_of(rows, "head"), ",", key, "")
+        start = choose(opens, start, choose(turns, pc.binary_join_element_wise("],", key, ""), ","))
+        piece = pc.binary_join_element_wise(start, text, choose(ends, "]}", ""), "")
+        stops = np.flatnonzero(ends) + 1
+        done, names = [], []
+        if len(stops):
+            offsets = pa.array(np.append(0, stops).astype(np.int32))
+            joined = pc.binary_join(pa.ListArray.from_arrays(offsets, piece.slice(0, int(stops[-1]))), "")
+            done = joined.to_pylist()
+            done[0] = "".join([*held, done[0]])
+            names = s.take(pa.array(stops - 1)).to_pylist()
+            held, size = [], 0
+        rest = piece.slice(int(stops[-1]) if len(stops) else 0)
+        held += rest.to_pylist()
+        size += rest.nbytes
+        if size > NODE_BYTES:
+            done.append("".join([*held, "]}"]))
+            names.append(s[len(s) - 1].as_py())
+            held, size, fresh = [], 0, True
+        if done:
+            yield pa.RecordBatch.from_arrays([pa.array(names, pa.string()), pa.array(done, pa.string())], ["s", "value"])
+
+
+def jsonld_nodes(triples):
     """Rows (s, value) of the distinct graph, predicates and values sorted.
 
-    Values are serialised before the one shuffle, so a group is a set of short
-    texts, in which repeated triples fall together. In sorted order each entry
-    knows from the one before whether it opens a new predicate.
+    Values are serialised before the one shuffle, a sort by ranges in which repeated triples meet. A subject has one
+    node, or one per range that it spans and per megabyte of its text, so that no group is ever held in memory.
     """
-    is_iri = F.col("o_kind") == IRI
-    is_type = (F.col("p") == RDF_TYPE) & is_iri
-    cell = F.struct(
-        F.when(is_iri, F.col("o")).alias("@id"),
-        F.when(~is_iri, F.col("o_datatype")).alias("@type"),
-        F.when(~is_iri, F.col("o_lang")).alias("@language"),
-        F.when(~is_iri, F.col("o")).alias("@value"),
-    )
-    entry = F.struct(
-        F.when(is_type, F.lit("@type")).otherwise(F.col("p")).alias("key"),
-        F.when(is_type, json_string(F.col("o"))).otherwise(F.to_json(cell)).alias("text"),
+    is_type = (F.col("p") == RDF_TYPE) & F.col("o_kind").isin(IRI, BNODE)
+    key = F.when(is_type, F.lit("@type")).otherwise(F.col("p"))
+    rows = triples.select(
+        "s",
+        json_string(F.col("s")).alias("head"),
+        key.alias("key"),
+        json_string(key).alias("label"),
+        F.when(is_type, json_string(F.col("o"))).otherwise(_cell()).alias("text"),
     )
-    rows, keys = with_block(triples, block_triples, few_per_subject, subjects=subjects)
-    rows = rows.select(*keys, entry.alias("entry"))
-    nodes = rows.groupBy(*keys).agg(F.sort_array(F.collect_set("entry")).alias("entries"))
-
-    def piece(e, i):
-        opened = F.concat(json_string(e["key"]), F.lit(":["), e["text"])
-        return (
-            F.when(i == 0, opened)
-            .when(F.get("entries", i - 1)["key"] == e["key"], F.concat(F.lit(","), e["text"]))
-            .otherwise(F.concat(F.lit("],"), opened))
-        )
-
-    body = F.array_join(F.transform("entries", piece), "")
-    text = F.concat(F.lit('{"@id":'), json_string(F.col("s")), F.lit(","), body, F.lit("]}"))
-    return nodes.select("s", text.alias("value"))
+    return sorted_ranges(rows).mapInArrow(_nodes, "s string, value string")
 
 
 def _framed(batches):
@@ -56,7 +90,7 @@ def _framed(batches):
     def lines(texts):
         return pa.RecordBatch.from_arrays([pa.array(texts, pa.string())], names=["value"])
 
-    yield lines(['{"@graph":['])
+    yield lines([OPENING])
     first = True
     for batch in batches:
         if batch.num_rows:
@@ -65,39 +99,47 @@ def _framed(batches):
                 values = pa.concat_arrays([batch.column(0).cast(pa.string()).slice(0, 1), values.slice(1)])
                 first = False
             yield pa.RecordBatch.from_arrays([values], names=["value"])
-    yield lines(["]}"])
+    yield lines([CLOSING])
 
 
-def write_nodes(nodes, path, mode="overwrite", documents=False):
-    """Node objects (`value`), one per line; with `documents`, each file is a JSON-LD document."""
+def write_nodes(nodes, path, mode="overwrite", documents=True):
+    """Node objects (`value`): each file is a JSON-LD document, or, without `documents`, lines of nodes."""
     text = nodes.select("value")
     if documents:
         text = text.mapInArrow(_framed, "value string")
     text.write.mode(mode).text(path)
 
 
-def write_jsonld(triples, path, mode="overwrite", documents=False, **known):
-    """`known` passes what is known of the subjects on to `with_block`."""
-    write_nodes(jsonld_nodes(triples, **known), path, mode, documents)
+def write_jsonld(triples, path, mode="overwrite", documents=True):
+    write_nodes(jsonld_nodes(triples), path, mode, documents)
 
 
 def jsonld_scan(spark, path):
-    """Triples of files that this module wrote, in either form."""
-    lines = spark.read.text(path).select(F.regexp_replace("value", "^,", "").alias("value"))
-    return parse_jsonld(lines.filter(F.col("value").startswith('{"@id"')))
+    """Triples of files with one node object per line, with or without the document around them.
+
+    Other lines than the two of the document and nodes (which may follow a comma) are an error.
+    """
+    lines = spark.read.text(path).select(F.trim(F.regexp_replace("value", r"^\s*,", "")).alias("value"))
+    return parse_jsonld(lines.where(~F.col("value").isin(OPENING, CLOSING, "")))
+
+
+def _node_kind(col):
+    return F.when(col.startswith(BLANK), BNODE).otherwise(IRI)
 
 
 def parse_jsonld(nodes, column="value"):
-    """Triples of node objects as this module writes them (one per row)."""
+    """Triples of flattened node objects, one per row; text that is none is an error."""
     node = F.try_parse_json(column)
-    head = nodes.select(
-        F.try_variant_get(node, "$['@id']", "string").alias("s"),
+    wrong = F.raise_error(F.concat(F.lit("not a JSON-LD node: "), F.substring(F.col(column), 1, 200))).cast("boolean")
+    named = F.try_variant_get(node, "$['@id']", "string")
+    head = nodes.where(F.when(named.isNotNull(), F.lit(True)).otherwise(wrong)).select(
+        named.alias("s"),
         F.coalesce(F.try_variant_get(node, "$['@type']", "array<string>"), F.array().cast("array<string>")).alias("types"),
         F.from_json(column, "map<string,string>").alias("fields"),
     )
     null = F.lit(None).cast("string")
     types = head.select("s", F.explode("types").alias("o")).select(
-        "s", F.lit(RDF_TYPE).alias("p"), "o", F.lit(IRI).alias("o_kind"), null.alias("o_datatype"), null.alias("o_lang")
+        "s", F.lit(RDF_TYPE).alias("p"), "o", _node_kind(F.col("o")).alias("o_kind"), null.alias("o_datatype"), null.alias("o_lang")
     )
     cells = head.select("s", F.explode("fields").alias("p", "cells")).filter(~F.col("p").startswith("@"))
     cells = cells.select("s", "p", F.explode(F.from_json("cells", "array<map<string,string>>")).alias("c"))
@@ -109,7 +151,7 @@ def parse_jsonld(nodes, column="value"):
         "s",
         "p",
         F.coalesce(part("@id"), part("@value")).alias("o"),
-        F.when(part("@id").isNotNull(), IRI).otherwise("literal").alias("o_kind"),
+        F.when(part("@id").isNotNull(), _node_kind(part("@id"))).otherwise(LITERAL).alias("o_kind"),
         part("@type").alias("o_datatype"),
         part("@language").alias("o_lang"),
     )

@@ -3,53 +3,54 @@
 import pyarrow as pa
 from pyspark.sql import functions as F
 
-from tripleweft.functions.names import split_predicate
-from tripleweft.functions.text import escape_xml
-from tripleweft.sinks.blocks import BLOCK_TRIPLES, with_block
-from tripleweft.vocab import IRI, RDF, RDF_TYPE
+from tripleweft.functions.names import xml_name
+from tripleweft.functions.text import escape_xml, xml_characters
+from tripleweft.sinks.subjects import subject_lines
+from tripleweft.vocab import BLANK, BNODE, IRI, RDF, RDF_TYPE
 
 
-def property_element():
-    """Property element of a triples row, with its namespace declared in place."""
-    namespace, local = split_predicate(F.col("p"))
+def _quoted(name, col):
+    return F.concat(F.lit(f' {name}="'), escape_xml(col), F.lit('"'))
+
+
+def _label(col):
+    """A blank node as a name."""
+    return F.substr(col, F.lit(len(BLANK) + 1))
+
+
+def property_element(forbidden="raise"):
+    """Property element of a triples row, with its namespace declared in place.
+
+    A predicate that no XML name ends is an error, and so are characters that XML 1.0 cannot hold, unless
+    `forbidden="replace"` puts U+FFFD in their place.
+    """
+    namespace, local = xml_name(F.col("p"))
     is_type = F.col("p") == RDF_TYPE
     tag = F.when(is_type, F.lit("rdf:type")).otherwise(F.concat(F.lit("j:"), local))
-    declared = F.when(is_type, F.lit("")).otherwise(
-        F.concat(F.lit(' xmlns:j="'), escape_xml(namespace), F.lit('"'))
-    )
-    attribute = F.when(
-        F.col("o_kind") == IRI, F.concat(F.lit(' rdf:resource="'), escape_xml(F.col("o")), F.lit('"'))
-    ).otherwise(
-        F.coalesce(
-            F.concat(F.lit(' rdf:datatype="'), escape_xml(F.col("o_datatype")), F.lit('"')),
-            F.concat(F.lit(' xml:lang="'), F.col("o_lang"), F.lit('"')),
-            F.lit(""),
-        )
-    )
-    rest = F.when(F.col("o_kind") == IRI, F.lit("/>")).otherwise(
-        F.concat(F.lit(">"), escape_xml(F.col("o")), F.lit("</"), tag, F.lit(">"))
+    declared = F.when(is_type, F.lit("")).otherwise(_quoted("xmlns:j", namespace))
+    kind, o = F.col("o_kind"), F.col("o")
+    attribute = (
+        F.when(kind == IRI, _quoted("rdf:resource", o))
+        .when(kind == BNODE, _quoted("rdf:nodeID", _label(o)))
+        .otherwise(F.coalesce(_quoted("rdf:datatype", F.col("o_datatype")), _quoted("xml:lang", F.col("o_lang")), F.lit("")))
     )
+    text = escape_xml(xml_characters(o, forbidden))
+    rest = F.when(kind.isin(IRI, BNODE), F.lit("/>")).otherwise(F.concat(F.lit(">"), text, F.lit("</"), tag, F.lit(">")))
     return F.concat(F.lit("<"), tag, declared, attribute, rest)
 
 
-def rdfxml_fragments(triples, block_triples=BLOCK_TRIPLES, few_per_subject=False, subjects=None):
-    """Rows (s, value): an `rdf:Description` per subject of the distinct graph."""
-    rows, keys = with_block(triples, block_triples, few_per_subject, subjects=subjects)
-    rows = rows.select(*keys, property_element().alias("element"))
-    elements = F.array_join(F.sort_array(F.collect_set("element")), "\n  ")
-    blocks = rows.groupBy(*keys).agg(elements.alias("elements"))
-    text = F.concat(
-        F.lit('<rdf:Description rdf:about="'),
-        escape_xml(F.col("s")),
-        F.lit('">\n  '),
-        F.col("elements"),
-        F.lit("\n</rdf:Description>"),
-    )
-    return blocks.select("s", text.alias("value"))
+def rdfxml_lines(triples, forbidden="raise"):
+    """Rows (s, value): the distinct graph as lines, an `rdf:Description` opening where the subject changes."""
+    s = F.col("s")
+    about = F.when(s.startswith(BLANK), _quoted("rdf:nodeID", _label(s))).otherwise(_quoted("rdf:about", s))
+    head = F.concat(F.lit("<rdf:Description"), about, F.lit(">"))
+    rows = triples.select("s", head.alias("head"), F.lit("").alias("key"), property_element(forbidden).alias("text"))
+    return subject_lines(rows, True, "\n  ", "  ", "", "\n</rdf:Description>")
 
 
 def _framed(batches):
     """Put the document start before the rows of a partition and the end after them."""
+
     def line(text):
         return pa.RecordBatch.from_pydict({"value": [text]}, schema=pa.schema([("value", pa.string())]))
 
@@ -58,10 +59,7 @@ def _framed(batches):
     yield line("</rdf:RDF>")
 
 
-def write_rdfxml(triples, path, mode="overwrite", **known):
-    """RDF/XML files; each part is a document of its own.
-
-    `known` passes what is known of the subjects on to `with_block`.
-    """
-    text = rdfxml_fragments(triples, **known).select("value")
+def write_rdfxml(triples, path, mode="overwrite", forbidden="raise"):
+    """RDF/XML files; each part is a document of its own."""
+    text = rdfxml_lines(triples, forbidden).select("value")
     text.mapInArrow(_framed, "value string").write.mode(mode).text(path)

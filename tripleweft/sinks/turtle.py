@@ -1,29 +1,27 @@
-"""Triples as Turtle, one block per subject."""
+"""Triples as Turtle, predicate-object lines by subject."""
 
 from pyspark.sql import functions as F
 
-from tripleweft.sinks.blocks import BLOCK_TRIPLES, with_block
-from tripleweft.sinks.ntriples import object_column
+from tripleweft.sinks.ntriples import node_text, object_column
+from tripleweft.sinks.subjects import subject_lines
 from tripleweft.vocab import RDF_TYPE
 
+# What `turtle_lines` puts around a predicate-object pair.
+_AROUND = r"^(?:\S+\n)?    (.*) [;.]\n?$"
 
-def turtle_blocks(triples, distinct=False, block_triples=BLOCK_TRIPLES, few_per_subject=False, subjects=None):
-    """Rows (s, value): predicate-object lists in sorted order.
 
-    One shuffle on the subject; a subject with very many triples is written as
-    several blocks, which Turtle allows.
-    """
+def turtle_lines(triples, distinct=False):
+    """Rows (s, value): lines of Turtle, sorted by subject; in this order they make up the file."""
     verb = F.when(F.col("p") == RDF_TYPE, F.lit("a")).otherwise(F.concat(F.lit("<"), F.col("p"), F.lit(">")))
     line = F.concat(verb, F.lit(" "), object_column())
-    rows, keys = with_block(triples, block_triples, few_per_subject, distinct, subjects)
-    rows = rows.select(*keys, line.alias("line"))
-    collect = F.collect_set if distinct else F.collect_list
-    lines = F.array_join(F.sort_array(collect("line")), " ;\n    ")
-    blocks = rows.groupBy(*keys).agg(lines.alias("lines"))
-    text = F.concat(F.lit("<"), F.col("s"), F.lit(">\n    "), F.col("lines"), F.lit(" .\n"))
-    return blocks.select("s", text.alias("value"))
-
-
-def write_turtle(triples, path, mode="overwrite", distinct=False, **known):
-    """`known` passes what is known of the subjects on to `with_block`."""
-    turtle_blocks(triples, distinct, **known).select("value").write.mode(mode).text(path)
+    rows = triples.select("s", node_text(F.col("s")).alias("head"), F.lit("").alias("key"), line.alias("text"))
+    return subject_lines(rows, distinct, "\n    ", "    ", " ;", " .\n")
+
+
+def predicate_object(value):
+    """The predicate and object of a line of `turtle_lines`."""
+    return F.regexp_extract(value, _AROUND, 1)
+
+
+def write_turtle(triples, path, mode="overwrite", distinct=False):
+    turtle_lines(triples, distinct).select("value").write.mode(mode).text(path)

@@ -19,7 +19,7 @@ def _insert(tree, steps):
 def schema_for(references, iterator=None, leaf=None):
     """Schema that holds the references below the iterator, and nothing else.
 
-    A path that goes through a position (`a[0].b`) is kept as one JSON value
+    A path that goes through a position (`a[0].b`) or `[*]` is kept as one JSON value
     from there on. Leaves are variants, which keep numbers apart from strings,
     unless `leaf` names another type.
     """
@@ -27,7 +27,7 @@ def schema_for(references, iterator=None, leaf=None):
     tree, opaque = {}, set()
     for reference in references:
         steps = reference_steps(reference)
-        cut = next((i for i, s in enumerate(steps) if isinstance(s, int)), None)
+        cut = next((i for i, s in enumerate(steps) if isinstance(s, int) or s == "*"), None)
         if cut == 0:
             continue
         _insert(tree, steps[:cut])

@@ -4,7 +4,7 @@ from pyspark.sql import functions as F
 
 from tripleweft.functions.text import has_code_escape, unescape_codes, unescape_plain
 from tripleweft.plans.once import evaluate_once
-from tripleweft.vocab import IRI, LITERAL
+from tripleweft.vocab import BLANK, BNODE, IRI, LITERAL
 
 # Subject, predicate, then one of IRI, blank node, literal with optional tag.
 _NODE = r'(?:<([^>]*)>|(_:[^\s<"]+))'
@@ -13,7 +13,6 @@ _LINE = (
     r'(?:<([^>]*)>|(_:[^\s<"]+)|"([^"\\]*+(?:\\.[^"\\]*+)*+)"(?:\^\^<([^>]*)>|@([A-Za-z0-9-]+))?)'
     r"\s*\.\s*(?:#.*)?$"
 )
-_BLANK = r'^(_:[^\s<"]+)'
 _MARK = "\x01"
 # Object kind first, literal last: whatever it holds stays within the last piece.
 _PICK = _MARK.join(["$1$2", "$3", "$4$5", "$7", "$8", "$6"])
@@ -108,7 +107,7 @@ def parse_ntriples(lines, column="value", keep=()):
         F.when(done, F.col("_s")).otherwise(pick(0)).alias("s"),
         F.when(done, F.col("_p")).otherwise(pick(1)).alias("p"),
         F.when(done, F.col("_o")).otherwise(F.when(F.col("_iri"), pick(2)).otherwise(literal)).alias("o"),
-        F.when(F.col("_iri"), IRI).otherwise(LITERAL).alias("o_kind"),
+        F.when(~F.col("_iri"), LITERAL).when(~done & F.startswith(pick(2), F.lit(BLANK)), BNODE).otherwise(IRI).alias("o_kind"),
         F.when(done, datatype).otherwise(F.nullif(pick(3), F.lit(""))).alias("o_datatype"),
         F.when(done, lang).otherwise(F.nullif(pick(4), F.lit(""))).alias("o_lang"),
         F.coalesce(coded, F.lit(False)).alias("_coded"),
@@ -126,18 +125,27 @@ def parse_ntriples(lines, column="value", keep=()):
     )
 
 
-def ntriples_scan(spark, path, mode="FAILFAST"):
-    """Triples of N-Triples files. A malformed line fails the job unless `mode="DROP"`."""
-    triples = parse_ntriples(spark.read.text(path))
+def ntriples_scan(spark, path, mode="FAILFAST", blank_nodes="graph"):
+    """Triples of N-Triples files. A malformed line fails the job unless `mode="DROP"`.
+
+    The files of a path are one graph, as Spark writes one in many files. Where each file is a graph of its own,
+    `blank_nodes="file"` keeps their blank nodes apart by adding a hash of the file's name to the labels.
+    """
+    lines = spark.read.text(path)
+    if blank_nodes == "file":
+        triples = parse_ntriples(lines.select("value", F.hex(F.xxhash64(F.input_file_name())).alias("_file")), keep=["_file"])
+        own = F.concat(F.lit("-"), F.col("_file"))
+        triples = triples.select(
+            F.when(F.col("s").startswith(BLANK), F.concat("s", own)).otherwise(F.col("s")).alias("s"),
+            "p",
+            F.when(F.col("o_kind") == BNODE, F.concat("o", own)).otherwise(F.col("o")).alias("o"),
+            "o_kind",
+            "o_datatype",
+            "o_lang",
+        )
+    else:
+        triples = parse_ntriples(lines)
     if mode == "DROP":
         return triples.filter(F.col("s").isNotNull())
     checked = F.coalesce("s", F.raise_error(F.lit("malformed N-Triples line")).cast("string"))
     return triples.withColumn("s", checked)
-
-
-def ntriples_subjects(spark, path):
-    """Only the subjects of N-Triples files, for counting."""
-    line = F.ltrim("value")
-    iri = F.substr(F.substring_index(line, ">", 1), F.lit(2))
-    subject = F.when(line.startswith("<"), iri).otherwise(F.regexp_extract(line, _BLANK, 1))
-    return spark.read.text(path).select(subject.alias("s")).filter(F.col("s") != "")

@@ -1,28 +1,69 @@
 """XML files as records, one per element of the iterator."""
 
 import re
+from functools import reduce
 
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tripleweft.functions.paths import xml_steps
+from tripleweft.functions.paths import xml_present, xml_steps, xml_value
 
-_LAST_STEP = re.compile(r"([\w:.-]+)(?:\[.*\])?$")
+_STEP = re.compile(r"(//?)([\w:.-]+)((?:\[[^\]]*\])*)")
+_TEST = re.compile(r"""^(not\()?\s*(@?[^\W\d][\w:.-]*(?:/@?[^\W\d][\w:.-]*)*)\s*(?:=\s*(?:'([^']*)'|"([^"]*)"))?\s*(?(1)\))$""")
 
 
-def row_tag(iterator):
-    """Element name that an iterator path ends in."""
-    m = _LAST_STEP.search(iterator)
-    if not m:
-        raise ValueError(f"no element name at the end of the XML iterator: {iterator}")
-    return m.group(1)
+def iterator_steps(iterator):
+    """Steps of an iterator path as (name, predicates), and whether it starts with `//`."""
+    steps, pos = [], 0
+    text = iterator.strip().removeprefix(".")
+    while pos < len(text):
+        m = _STEP.match(text, pos)
+        if not m or m.group(1) == "//" and pos:
+            raise ValueError(f"unsupported XML iterator: {iterator}")
+        steps.append((m.group(2), re.findall(r"\[([^\]]*)\]", m.group(3))))
+        pos = m.end()
+    if not steps:
+        raise ValueError(f"unsupported XML iterator: {iterator}")
+    return steps, text.startswith("//")
 
 
-def schema_for(references, attr_fallback=False):
+def _tests(predicate):
+    """A predicate as alternatives of conjunctions of (negated, path, value or None)."""
+    out = []
+    for alternative in re.split(r"\s+or\s+", predicate.strip()):
+        tests = []
+        for part in re.split(r"\s+and\s+", alternative):
+            m = _TEST.match(part.strip())
+            if not m:
+                raise ValueError(f"unsupported XML predicate: [{predicate}]")
+            value = m.group(3) if m.group(3) is not None else m.group(4)
+            tests.append((m.group(1) is not None, m.group(2), value))
+        out.append(tests)
+    return out
+
+
+def _predicate_paths(predicates):
+    return [path for p in predicates for tests in _tests(p) for _, path, _ in tests]
+
+
+def _holds(schema, predicate):
+    """A predicate as a condition on records of the schema."""
+
+    def test(negated, path, value):
+        if value is not None:
+            found = F.coalesce(xml_value(schema, path) == value, F.lit(False))
+        else:
+            found = xml_present(schema, path)
+        return ~found if negated else found
+
+    alternatives = [reduce(lambda a, b: a & b, [test(*t) for t in tests]) for tests in _tests(predicate)]
+    return reduce(lambda a, b: a | b, alternatives)
+
+
+def schema_for(references, nested=""):
     """Read schema for element paths: elements are arrays, since they may repeat.
 
-    `attr_fallback` also reads, for each plain child name, the attribute of
-    that name.
+    `nested` is a path (ending in `/`) whose elements hold structures even where nothing below them is named.
     """
     tree = {}
     for reference in references:
@@ -36,15 +77,16 @@ def schema_for(references, attr_fallback=False):
             node.setdefault("_VALUE", None)
         else:
             node.setdefault(last, {}).setdefault("_VALUE", None)
-            if attr_fallback and len(steps) == 1:
-                tree.setdefault("_" + last, None)
+    node = tree
+    for step in xml_steps(nested):
+        node = node.setdefault(step, {})
 
     def build(node):
         fields = []
         for name, inner in node.items():
             if inner is None:
                 kind = T.StringType()
-            elif set(inner) == {"_VALUE"}:
+            elif set(inner) <= {"_VALUE"}:
                 kind = T.ArrayType(T.StringType())
             else:
                 kind = T.ArrayType(build(inner))
@@ -54,23 +96,46 @@ def schema_for(references, attr_fallback=False):
     return build(tree)
 
 
-def xml_records(spark, path, iterator, references, also=(), attr_fallback=False, mode="FAILFAST"):
-    """Records of an XML path: the elements named by the iterator's last step.
+def xml_records(spark, path, iterator, references, also=(), attr_fallback=False, mode="FAILFAST", exact=False):
+    """Records of an XML path: the elements that the iterator names.
+
+    `//name` takes elements of that name wherever they are. `/root/a/b` reads the elements below the root's child `a`
+    in splits and walks down from there; it takes `a` to occur as a child of the root only. `exact` reads each file as
+    one tree from its root instead, which holds in any document but needs a task's memory for a file.
 
-    The schema holds only the references and the `also` paths (those that a
-    `where` condition tests). Names are taken raw, prefix included. Put element
-    predicates into `TriplesMap.where` rather than into the iterator. With
-    `attr_fallback`, a child that is absent or empty is taken from the
-    attribute of its name.
+    Steps may have predicates: `@name='x'`, `path='x'`, `path`, `not(...)`, joined by `and` and `or`. Others are an
+    error. The schema holds only the references, what predicates test, and the `also` paths. Names are taken raw,
+    prefix included. With `attr_fallback`, a child that is absent or empty is taken from the attribute of its name.
     """
+    steps, anywhere = iterator_steps(iterator)
+    if anywhere or len(steps) == 1:
+        walked = steps
+    else:
+        if steps[0][1] and not exact:
+            raise ValueError(f"a predicate on the root needs exact=True: {iterator}")
+        walked = steps if exact else steps[1:]
+    paths, prefix = [], ""
+    for i, (name, predicates) in enumerate(walked):
+        if i:
+            prefix += name + "/"
+        paths += [prefix + p for p in _predicate_paths(predicates)]
+    paths += [prefix + r for r in (*references, *also)]
+    fallbacks = [f"{prefix}@{r}" for r in references if attr_fallback and len(xml_steps(r)) == 1 and not r.startswith("@")]
     records = (
         spark.read.format("xml")
-        .schema(schema_for([*references, *also], attr_fallback))
-        .option("rowTag", row_tag(iterator))
+        .schema(schema_for([*paths, *fallbacks], nested=prefix))
+        .option("rowTag", walked[0][0])
         .option("ignoreSurroundingSpaces", False)
         .option("mode", mode)
         .load(path)
     )
+    for i, (name, predicates) in enumerate(walked):
+        if i:
+            records = records.select(F.explode(F.col(f"`{name}`")).alias("_e"))
+            structured = isinstance(records.schema["_e"].dataType, T.StructType)
+            records = records.select("_e.*") if structured else records.select(F.col("_e").alias("_VALUE"))
+        for p in predicates:
+            records = records.where(_holds(records.schema, p))
     return _filled_from_attributes(records) if attr_fallback else records
 
 

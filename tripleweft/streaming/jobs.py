@@ -10,6 +10,7 @@ itself.
 from pyspark.sql import Observation
 from pyspark.sql import functions as F
 
+from tripleweft.operators.aggregates import triples_per_input
 from tripleweft.operators.routing import failure_routing
 from tripleweft.operators.rules import apply_compiled, compile_rules
 from tripleweft.plans.compile import triples_of
@@ -92,18 +93,15 @@ def stream_metrics(records, maps, path, metrics_path, checkpoint, file="file_nam
     """Write triples, and per batch and input file the size and triple count.
 
     The batch total is observed while the triples are written, so it costs no
-    further pass; the per-file rows are read back from what was written.
+    further pass; the per-file rows are counted over the records, so that a file
+    without triples has one too.
     """
 
     def handle(batch, batch_id):
-        spark = batch.sparkSession
         seen = Observation(f"triples-{batch_id}")
         triples = triples_of(batch, maps, keep=(file, size)).observe(seen, F.count(F.lit(1)).alias("triples"))
-        here = _batch_path(path, batch_id)
-        triples.write.mode("overwrite").parquet(here)
-        per_file = spark.read.parquet(here).groupBy(file).agg(
-            F.max(size).alias("input_bytes"), F.count(F.lit(1)).alias("triples")
-        )
+        triples.write.mode("overwrite").parquet(_batch_path(path, batch_id))
+        per_file = triples_per_input(batch, maps, file, size)
         per_file = per_file.withColumn("batch_triples", F.lit(seen.get["triples"]).cast("bigint"))
         per_file.write.mode("overwrite").parquet(_batch_path(metrics_path, batch_id))
 

@@ -27,6 +27,9 @@ OUTPUT_FORMATS = (
 
 IRI = "iri"
 LITERAL = "literal"
+BNODE = "bnode"
+# Fixed value: how a blank node starts, as subject or object.
+BLANK = "_:"
 
 TRIPLE_COLUMNS = ("s", "p", "o", "o_kind", "o_datatype", "o_lang")
 
