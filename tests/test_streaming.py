@@ -1,5 +1,8 @@
 """Streams end with the same rows as the batch jobs."""
 
+import time
+from pathlib import Path
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -7,6 +10,7 @@ from conftest import rows
 from tripleweft import TriplesMap, ref, triples_of
 from tripleweft.operators.rules import record_maps
 from tripleweft.operators.setops import graph_diff
+from tripleweft.scratch import base_dir
 from tripleweft.sources.streams import file_stream, with_file_attributes
 from tripleweft.streaming.jobs import (
     RefreshedRules,
@@ -102,3 +106,23 @@ def test_consumed_files_are_archived(spark, files, tmp_path):
     stream = source(spark, files, done="archive", archive=str(tmp_path / "archive"))
     stream_map(stream, TM, str(tmp_path / "out"), str(tmp_path / "cp")).awaitTermination()
     assert spark.read.parquet(str(tmp_path / "out")).count() == 7
+
+
+def test_batches_leave_no_folders(spark, tmp_path):
+    """After five batches only the folders of the last one are left."""
+    base = Path(base_dir(spark).removeprefix("file:"))
+    before = set(base.iterdir())
+    schema = "tenant string, source string, record map<string,string>"
+    source = tmp_path / "in"
+    for i in range(5):
+        spark.createDataFrame([("t", "s", {"id": str(i)})], schema).coalesce(1).write.mode("append").parquet(str(source))
+    rules = spark.createDataFrame(
+        [("t", "m", "s", "CSV", None, "s:{id}", ["c:C"], None, None, None, None, None)],
+        "tenant string, triples_map string, source string, formulation string, iterator string, subject_template string, "
+        "classes array<string>, predicate string, obj_kind string, obj_value string, datatype string, lang string",
+    )
+    stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(str(source))
+    refreshed = RefreshedRules(lambda: rules, 0, time.monotonic)
+    stream_mapping_refresh(stream, refreshed, str(tmp_path / "out"), str(tmp_path / "checkpoint")).awaitTermination()
+    assert spark.read.parquet(str(tmp_path / "out")).count() == 5
+    assert len(set(base.iterdir()) - before) <= 3

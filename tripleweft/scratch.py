@@ -2,10 +2,13 @@
 
 import tempfile
 import uuid
+from contextlib import contextmanager
 
 SETTING = "spark.checkpoint.dir"
 
 _local_dirs = {}
+# Lists that take down the folders of tables written now.
+_noting = []
 
 
 def base_dir(spark):
@@ -30,5 +33,46 @@ def write_and_read(df, label):
     """Cut lineage: write `df` as a table in the shared folder and read it back."""
     spark = df.sparkSession
     path = new_path(spark, label)
+    for made in _noting:
+        made.append(path)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def drop_path(spark, path):
+    """Delete a folder below the shared folder that nothing will read again."""
+    inside = base_dir(spark)
+    if not path.startswith(inside + "/"):
+        raise ValueError(f"{path} is not below {inside}")
+    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
+
+
+@contextmanager
+def untracked():
+    """Note the folders of tables written meanwhile for the caller alone, who deletes them."""
+    outer, made = list(_noting), []
+    _noting[:] = [made]
+    try:
+        yield made
+    finally:
+        _noting[:] = outer
+
+
+class BatchScratch:
+    """Folders that the micro-batches of a stream make: those of a batch go once a later one begins, when it is committed."""
+
+    def __init__(self):
+        self._made, self._batch = [], None
+
+    def begin(self, spark, batch_id):
+        """Call at the start of a batch: folders of earlier batches are deleted, further ones noted."""
+        if batch_id != self._batch:
+            for path in self._made:
+                drop_path(spark, path)
+            self._made, self._batch = [], batch_id
+        _noting.append(self._made)
+
+    def end(self):
+        """Call at the end of a batch."""
+        _noting.pop()

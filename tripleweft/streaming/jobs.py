@@ -15,6 +15,7 @@ from tripleweft.operators.routing import failure_routing
 from tripleweft.operators.rules import apply_compiled, compile_rules
 from tripleweft.plans.compile import triples_of
 from tripleweft.plans.rowindex import global_row_index
+from tripleweft.scratch import BatchScratch, drop_path, untracked
 
 
 def _trigger(writer, every=None):
@@ -29,8 +30,18 @@ def stream_map(records, maps, path, checkpoint, every=None, keep=()):
     return _trigger(writer, every).start()
 
 
-def _per_batch(records, handle, checkpoint, every):
-    writer = records.writeStream.foreachBatch(handle).option("checkpointLocation", checkpoint)
+def _per_batch(records, handle, checkpoint, every, scratch=None):
+    """Start a query that hands each batch on; intermediate tables of a batch go when the next one begins."""
+    scratch = scratch or BatchScratch()
+
+    def run(batch, batch_id):
+        scratch.begin(batch.sparkSession, batch_id)
+        try:
+            handle(batch, batch_id)
+        finally:
+            scratch.end()
+
+    writer = records.writeStream.foreachBatch(run).option("checkpointLocation", checkpoint)
     return _trigger(writer, every).start()
 
 
@@ -58,11 +69,18 @@ class RefreshedRules:
     def __init__(self, read, ttl_seconds, clock):
         self._read, self._ttl, self._clock = read, ttl_seconds, clock
         self._rules, self._at = None, None
+        self._made, self._stale = [], []
 
     def get(self):
         now = self._clock()
         if self._rules is None or now - self._at >= self._ttl:
-            self._rules, self._at = compile_rules(self._read()), now
+            with untracked() as made:
+                rules = compile_rules(self._read())
+            for path in self._stale:
+                drop_path(rules.sparkSession, path)
+            # The batch before may still be repeated with the rules it had.
+            self._stale, self._made = self._made, made
+            self._rules, self._at = rules, now
         return self._rules
 
 
