@@ -118,8 +118,8 @@ def _formatted(held, part):
     )
 
 
-def _assemble_all(batches):
-    """Format conversations whole; the last one of a batch waits for the next, up to `PART_BYTES`."""
+def _assemble_all(batches, part_bytes):
+    """Format conversations whole; the last one of a batch waits for the next, up to `part_bytes`."""
     held, part, given = None, 0, None
     for batch in batches:
         if not batch.num_rows:
@@ -136,26 +136,26 @@ def _assemble_all(batches):
         if cut:
             yield from _formatted(held.slice(0, cut), part).to_batches()
             held, part = held.slice(cut), 0
-        if held.nbytes > PART_BYTES:
+        if held.nbytes > part_bytes:
             yield from _formatted(held, part).to_batches()
             held, given = None, (ids[-1], part + 1)
     if held is not None:
         yield from _formatted(held, part).to_batches()
 
 
-def format_chats(turns):
+def format_chats(turns, part_bytes=PART_BYTES):
     """Conversations as training text: conv_id, part, n_turns, formatted, loss.
 
     `turns` needs conv_id, turn, role and text; further columns are ignored. Turns come in ascending order, null first,
     ties by role and text, and repeated rows are repeated turns. Null roles and texts are empty; rows without conv_id are
     one conversation. `loss` holds the spans (code points of `formatted`, end exclusive) of what the assistant says.
-    A conversation beyond `PART_BYTES` goes on in further rows, numbered by `part` and cut between turns; all its rows
+    A conversation beyond `part_bytes` goes on in further rows, numbered by `part` and cut between turns; all its rows
     are in one partition in order. No turns, no rows.
     """
     kind = dict(turns.dtypes)["conv_id"]
     ordered = turns.select("conv_id", "turn", "role", "text").repartition("conv_id").sortWithinPartitions("conv_id", "turn", "role", "text")
     return ordered.select("conv_id", "role", "text").mapInArrow(
-        _assemble_all, f"conv_id {kind}, part bigint, n_turns bigint, formatted string, loss array<struct<start:bigint,end:bigint>>"
+        lambda batches: _assemble_all(batches, part_bytes), f"conv_id {kind}, part bigint, n_turns bigint, formatted string, loss array<struct<start:bigint,end:bigint>>"
     )
 
 
