@@ -6,6 +6,7 @@ files and writes its output files in full. `BENCH_SF_DIR` and `BENCH_CPUS`
 choose data and cores.
 """
 
+import glob
 import json
 import os
 import tempfile
@@ -22,6 +23,7 @@ from tripleweft.queries.common import DECIMAL, EX, INTEGER, day, lineitem_map, m
 from tripleweft.queries.rules import nation_rules
 from tripleweft.session import get_session
 from tripleweft.sinks.files import convert_ntriples, write_text
+from tripleweft.sinks.jsonld import write_jsonld
 from tripleweft.sinks.ntriples import write_ntriples
 from tripleweft.sources.csv import csv_records
 from tripleweft.sources.json import json_records
@@ -67,6 +69,18 @@ def invoice_map():
     )
 
 
+def one_array(folder, target):
+    """The lines of JSON files as one file that holds an array."""
+    with open(target, "w", encoding="utf-8") as out:
+        start = "["
+        for part in sorted(glob.glob(f"{folder}/part-*")):
+            with open(part, encoding="utf-8") as lines:
+                for line in lines:
+                    out.write(start + line.rstrip("\n"))
+                    start = ",\n"
+        out.write("]\n")
+
+
 def prepare(spark, base):
     """Line items and orders in file formats; ids are made unique by row number."""
     items = table(spark, SF_DIR, "lineitem").select(
@@ -78,6 +92,7 @@ def prepare(spark, base):
     items = items.repartition(int(CPUS))
     items.write.option("header", True).csv(f"{base}/csv")
     items.write.json(f"{base}/json")
+    one_array(f"{base}/json", f"{base}/array.json")
     orders = table(spark, SF_DIR, "orders").select(
         F.col("o_orderkey").alias("_id"),
         F.struct(F.col("o_custkey").alias("id")).alias("customer"),
@@ -105,6 +120,9 @@ def cases(spark, base, counts):
     def json_in():
         return json_records(spark, f"{base}/json", json_map.references())
 
+    def array_in():
+        return json_records(spark, f"{base}/array.json", json_map.references(), multi_line=True)
+
     def out(name):
         return f"{base}/out/{name}"
 
@@ -128,6 +146,9 @@ def cases(spark, base, counts):
         "csv_to_turtle": (lambda: write_text(turtle_text(csv_in("exact"), csv_map), out("csv_ttl")), items),
         "csv_fast_to_turtle": (lambda: write_text(turtle_text(csv_in("fast"), csv_map), out("csvf_ttl")), items),
         "csv_to_jsonld": (lambda: write_text(jsonld_text(csv_in("exact"), csv_map), out("csv_jsonld")), items),
+        # Without declared keys the triples are sorted into a set.
+        "csv_to_jsonld_undeclared": (lambda: write_jsonld(triples_of(csv_in("exact"), csv_map), out("csv_jsonld_set")), items),
+        "json_array_to_turtle": (lambda: write_text(turtle_text(array_in(), json_map), out("array_ttl")), items),
         "json_to_turtle": (lambda: write_text(turtle_text(json_in(), json_map), out("json_ttl")), items),
         "json_to_jsonld": (lambda: write_text(jsonld_text(json_in(), json_map), out("json_jsonld")), items),
         "json_to_ntriples": (lambda: write_text(ntriples_text(json_in(), json_map), out("json_nt")), items),
@@ -154,6 +175,7 @@ def main():
         spark__sql__shuffle__partitions=CPUS,
         spark__ui__enabled="false",
         spark__driver__memory="16g",
+        spark__checkpoint__dir="file://" + tempfile.mkdtemp(prefix="run-"),
     )
     spark.sparkContext.setLogLevel("ERROR")
     base = tempfile.mkdtemp(prefix="run-")
