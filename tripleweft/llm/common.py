@@ -1,6 +1,7 @@
 """What the operators of this subpackage share: words, 64-bit hashes, union of labels."""
 
 import numpy as np
+import pyarrow as pa
 import xxhash
 from pyspark.sql import functions as F
 
@@ -82,3 +83,28 @@ class Groups:
             return False
         self.up[max(a, b)] = min(a, b)
         return True
+
+
+def whole_groups(batches, keys):
+    """Tables of whole groups from batches that are sorted by their integer `keys`, with the row each group starts at.
+
+    Small groups come many at once, so that the work on them can be vectorised; the last group of a batch waits for its
+    rest, so a task holds a batch and one group.
+    """
+    held = None
+    for batch in batches:
+        rows = pa.Table.from_batches([batch])
+        rows = (pa.concat_tables([held, rows]) if held is not None else rows).combine_chunks()
+        if not rows.num_rows:
+            continue
+        new = np.zeros(rows.num_rows, bool)
+        new[0] = True
+        for key in keys:
+            values = rows.column(key).to_numpy()
+            new[1:] |= values[1:] != values[:-1]
+        starts = np.flatnonzero(new)
+        if len(starts) > 1:
+            yield rows.slice(0, int(starts[-1])), starts[:-1]
+        held = rows.slice(int(starts[-1]))
+    if held is not None:
+        yield held, np.zeros(1, np.int64)

@@ -34,7 +34,7 @@ def components(edges, label="component"):
     not the chain. Loops and null ends are ignored; an empty edge list gives no rows. A node with very many edges is
     pre-aggregated by `min`, and its side of the join may be split by adaptive execution, as the other side has one row.
     """
-    edges = edges.select("a", "b").where("a <> b")
+    edges = write_and_read(edges.select("a", "b").where("a <> b"), "edges")
     now = write_and_read(_small_star(edges), "components")
     state = _checksum(now)
     while state[0]:

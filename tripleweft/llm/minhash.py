@@ -8,19 +8,20 @@ class, not pairs; the connected candidates are then compared by exact intersecti
 """
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 import xxhash
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from tripleweft.llm.common import Groups, WordHashes, gram_hashes, split_words
+from tripleweft.llm.common import Groups, WordHashes, gram_hashes, split_words, whole_groups
 from tripleweft.llm.components import components
 from tripleweft.scratch import write_and_read
 
 WORDS, COORDINATES, AGREE = 5, 48, 24
 #: Entries of a list, and shingles of a candidate group, that one task holds as a block.
 LIST_BLOCK, SET_BLOCK = 2048, 2_000_000
+#: Rows up to which lists are compared many at once.
+SMALL = 24
 
 _ODD = np.random.default_rng(5).integers(0, 2**63, COORDINATES, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 
@@ -60,13 +61,27 @@ def _signed(batches):
         )
 
 
-def _list_edges(key, pdf):
-    """Edges among the candidates of one list (or two blocks of it) that no earlier list has."""
-    coordinate = int(pdf["token"].iloc[0]) >> 32
-    ids = pdf["rep"].to_numpy()
-    s = np.array([np.asarray(v, np.int32) for v in pdf["signature"]])
-    posted = (pdf["posted"].to_numpy()[:, None] >> np.arange(COORDINATES)) & 1 == 1
-    n = len(ids)
+def _near(s, posted, coordinate, i, j):
+    """Which pairs (i, j) of rows of a list are candidates that no list of an earlier coordinate has."""
+    same = s[i] == s[j]
+    earlier = (same & posted[i] & posted[j] & (np.arange(COORDINATES) < coordinate[i][:, None])).any(1)
+    return (same.sum(1) >= AGREE) & ~earlier
+
+
+def _small_lists(sizes, starts):
+    """All pairs of rows within lists of at most `SMALL` rows, as two arrays."""
+    left, right = [], []
+    for size in range(2, SMALL + 1):
+        at = starts[sizes == size]
+        a, b = np.triu_indices(size, 1)
+        left.append((at[:, None] + a).ravel())
+        right.append((at[:, None] + b).ravel())
+    return np.concatenate(left), np.concatenate(right)
+
+
+def _large_list(s, posted, coordinate):
+    """Root of every row of a larger list, by a search through the matrix of its pairs."""
+    n = len(s)
     agree, earlier = np.zeros((n, n), np.uint8), np.zeros((n, n), bool)
     for c in range(COORDINATES):
         same = s[:, c][:, None] == s[:, c][None, :]
@@ -83,8 +98,32 @@ def _list_edges(key, pdf):
         while len(front):
             front = np.flatnonzero(near[front].any(0) & (root < 0))
             root[front] = i
-    moved = root != np.arange(n)
-    return pd.DataFrame({"a": ids[moved], "b": ids[root[moved]]})
+    return root
+
+
+def _list_edges(batches):
+    """Edges among the candidates of each list (or pair of its blocks) that no earlier list has, one per row at most."""
+    for rows, starts in whole_groups(batches, ("token", "row", "col")):
+        n = rows.num_rows
+        ids = rows.column("rep").to_numpy()
+        s = rows.column("signature").combine_chunks().flatten().to_numpy().reshape(n, COORDINATES)
+        posted = (rows.column("posted").to_numpy()[:, None] >> np.arange(COORDINATES)) & 1 == 1
+        coordinate = rows.column("token").to_numpy() >> 32
+        sizes = np.diff(np.append(starts, n))
+        groups = Groups(n)
+        left, right = _small_lists(sizes, starts)
+        for k in range(0, len(left), 65_536):
+            i, j = left[k : k + 65_536], right[k : k + 65_536]
+            near = _near(s, posted, coordinate, i, j)
+            for a, b in zip(i[near].tolist(), j[near].tolist(), strict=True):
+                groups.join(a, b)
+        for start, size in zip(starts[sizes > SMALL].tolist(), sizes[sizes > SMALL].tolist(), strict=True):
+            end = start + size
+            for i, root in enumerate(_large_list(s[start:end], posted[start:end], coordinate[start]).tolist()):
+                groups.up[start + i] = start + root
+        roots = np.array([groups.find(i) for i in range(n)])
+        moved = roots != np.arange(n)
+        yield pa.RecordBatch.from_arrays([pa.array(ids[moved]), pa.array(ids[roots[moved]])], ["a", "b"])
 
 
 def _candidates(classes):
@@ -101,15 +140,16 @@ def _candidates(classes):
     sizes = posts.groupBy("token").agg(F.count("*").alias("size")).where("size > 1")
     blocks = F.ceil(F.col("size") / LIST_BLOCK)
     lists = posts.join(sizes.select("token", blocks.alias("blocks")), "token").join(classes.select("rep", "signature"), "rep")
-    return _celled(lists, "token").groupBy("token", "row", "col").applyInPandas(_list_edges, "a long, b long")
+    return _dealt(lists, "token").mapInArrow(_list_edges, "a long, b long")
 
 
-def _celled(rows, key):
-    """Deal the rows of each key over `blocks` blocks by `rep`, and each pair of blocks to a cell (row, col)."""
+def _dealt(rows, key):
+    """Deal the rows of each key over `blocks` blocks by `rep`, and each pair of blocks to a cell (row, col), cell by cell."""
     block = F.expr("pmod(xxhash64(rep), blocks)")
     others = F.expr("CASE WHEN blocks = 1 THEN array(0L) ELSE filter(sequence(0L, blocks - 1), x -> x <> block) END")
     dealt = rows.withColumn("block", block).withColumn("other", F.explode(others))
-    return dealt.withColumn("row", F.least("block", "other")).withColumn("col", F.greatest("block", "other")).drop("block", "other", "blocks")
+    cells = dealt.withColumn("row", F.least("block", "other")).withColumn("col", F.greatest("block", "other")).drop("block", "other", "blocks")
+    return cells.repartition(key, "row", "col").sortWithinPartitions(key, "row", "col", "rep")
 
 
 def _sets(batches):
@@ -133,16 +173,32 @@ def _set_batch(batch, keep, sets):
     return pa.RecordBatch.from_arrays([batch.column("rep").take(pa.array(keep)), batch.column("group").take(pa.array(keep)), pa.array(sets, pa.binary())], ["rep", "group", "shingles"])
 
 
-def _links(key, pdf, numerator, denominator):
-    """Edges that connect what is similar within one cell of a candidate group, by exact intersections.
+def _links(batches, threshold):
+    """Edges that connect what is similar, cell by cell."""
+    for rows, starts in whole_groups(batches, ("group", "row", "col")):
+        ids = rows.column("rep").to_numpy()
+        sets = rows.column("shingles").combine_chunks()
+        edges = []
+        for start, end in zip(starts.tolist(), [*starts[1:].tolist(), rows.num_rows], strict=True):
+            held = {(int(i), b.as_py()): None for i, b in zip(ids[start:end], sets.slice(start, end - start), strict=True)}
+            edges += _similar(np.array([i for i, _ in held]), [np.frombuffer(b, np.uint64) for _, b in held], threshold)
+        if edges:
+            a, b = zip(*edges, strict=True)
+            yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], ["a", "b"])
+
+
+def _similar(ids, sets, threshold):
+    """Edges that connect the sets of one cell by exact intersections; ids come in ascending order.
 
     A few central sets are compared with all; what they link is one component. Each set outside of it is then compared
     with all, so any link that could join two components is seen.
     """
-    pdf = pdf.drop_duplicates(["rep", "shingles"]).sort_values("rep", kind="stable")
-    ids = pdf["rep"].to_numpy()
-    sets = [np.frombuffer(b, np.uint64) for b in pdf["shingles"]]
+    numerator, denominator = threshold
     n, sizes = len(ids), np.array([len(s) for s in sets])
+    if n == 2:
+        common = len(np.intersect1d(*sets, assume_unique=True))
+        linked = denominator * common >= numerator * (sizes.sum() - common)
+        return [(int(ids[1]), int(ids[0]))] if linked and ids[0] != ids[1] else []
     _, token = np.unique(np.concatenate(sets), return_inverse=True)
     owner = np.repeat(np.arange(n), sizes)
     order = np.argsort(token, kind="stable")
@@ -175,14 +231,12 @@ def _links(key, pdf, numerator, denominator):
     for i in np.flatnonzero(~core & ~seen).tolist():
         for j in linked(i).tolist():
             groups.join(i, j)
-    roots = np.array([groups.find(i) for i in range(n)])
-    moved = roots != np.arange(n)
-    return pd.DataFrame({"a": ids[moved], "b": ids[roots[moved]]})
+    roots = [groups.find(i) for i in range(n)]
+    return [(int(ids[i]), int(ids[r])) for i, r in enumerate(roots) if r != i]
 
 
 def _labelled(docs, threshold):
     """Rows (doc_id, n_shingles, component_id), one per row of `docs`."""
-    numerator, denominator = threshold
     rows = docs.select("doc_id", F.col("text").cast("binary").alias("text"))
     kind = dict(docs.dtypes)["doc_id"]
     signed = write_and_read(rows.mapInArrow(_signed, f"doc_id {kind}, n_shingles bigint, key binary, signature array<int>"), "minhash-signed")
@@ -194,8 +248,8 @@ def _labelled(docs, threshold):
     blocks = members.groupBy("group").agg(F.ceil(F.sum("n") / SET_BLOCK).alias("blocks"))
     texts = rows.join(members.select("rep", "key", "group"), F.col("doc_id") == F.col("rep")).select("rep", "key", "group", "text")
     sets = texts.mapInArrow(_sets, "rep long, group long, shingles binary").join(blocks, "group")
-    links = _celled(sets, "group").groupBy("group", "row", "col").applyInPandas(lambda key, pdf: _links(key, pdf, numerator, denominator), "a long, b long")
-    found = components(write_and_read(links, "minhash-links")).withColumnRenamed("node", "rep")
+    links = _dealt(sets, "group").mapInArrow(lambda batches: _links(batches, threshold), "a long, b long")
+    found = components(links).withColumnRenamed("node", "rep")
     labels = classes.join(found, "rep", "left").select(F.col("key").alias("_key"), F.coalesce("component", "rep").alias("_component"))
     usual = signed.select("doc_id", "n_shingles", F.when(F.col("doc_id").isNotNull(), F.col("key")).alias("key")).join(labels, F.col("key") == F.col("_key"), "left")
     return usual.select("doc_id", "n_shingles", F.coalesce("_component", "doc_id").cast(kind).alias("component_id"))
