@@ -85,6 +85,10 @@ def op9_minhash_classes(spark, sf_dir):
     return near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def _count(kind):
+    return F.size(F.filter("spans", lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
+
+
 def _joined(spans):
     return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"].cast("string"), s["end"].cast("string"))), ",")
 
@@ -93,9 +97,8 @@ def _joined(spans):
 def op10_pii(spark, sf_dir):
     """Personal data in every document."""
     found = find_pii(table(spark, sf_dir, "documents"))
-    counts = [F.size(F.filter("spans", lambda s, k=k: s["kind"] == k)).cast("long").alias(f"n_{k}") for k in KINDS[:BASE]]
     base = F.filter("spans", lambda s: s["base"])
-    return found.select("doc_id", *counts, F.sha2(_joined(base), 256).alias("base_sha256"), _joined(F.col("spans")).alias("spans"))
+    return found.select("doc_id", *map(_count, KINDS[:BASE]), F.sha2(_joined(base), 256).alias("base_sha256"), _joined(F.col("spans")).alias("spans"))
 
 
 @query
