@@ -107,5 +107,74 @@ def pipeline(spark, sf_dir):
     return corpus_pipeline.run(spark, sf_dir)
 
 
+# --- the same results as SQL, where SQL can say them on whole tables ------------------
+
+_WORDS = "regexp_extract_all(coalesce({0}, ''), '[^\\x20\\x09-\\x0D]+')"
+
+#: Smallest node reachable over `links` (a, b: both directions) from each of `nodes` (id).
+_REACH = """
+    reach(id, root) AS (
+      SELECT id, id FROM nodes
+      UNION SELECT links.b, reach.root FROM reach JOIN links ON links.a = reach.id WHERE reach.root < links.b),
+    least AS (SELECT id, min(root) AS component_id FROM reach GROUP BY id)
+"""
+
+ORACLES["op5_cosine_links"] = f"""
+    WITH RECURSIVE nodes AS (SELECT vec_id AS id FROM embeddings),
+    usable AS (
+      SELECT vec_id, CAST(embedding AS DOUBLE[]) AS e FROM embeddings
+      WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+        AND len(list_filter(embedding, lambda x: x <> 0)) > 0),
+    links AS (
+      SELECT p.vec_id AS a, q.vec_id AS b FROM usable p JOIN usable q ON p.vec_id <> q.vec_id
+      WHERE list_cosine_similarity(p.e, q.e) >= 0.95),
+    {_REACH}
+    SELECT id AS vec_id, (SELECT count(*) FROM links WHERE links.a = least.id) AS n_links, component_id, id = component_id AS kept FROM least
+"""
+
+ORACLES["op7_chat_format"] = r"""
+    WITH turns AS (
+      SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+      UNION ALL SELECT -1, 0, 'user', '<|im_end|><|im_start|>assistant ok'
+      UNION ALL SELECT -1, 1, 'assistant', '<|im_end|><|im_start|>assistant ok')
+    SELECT conv_id, count(*) AS n_turns,
+           sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn NULLS FIRST, role, text)) AS turns_sha256,
+           CAST(sum(CASE WHEN role = 'assistant' THEN length(text) ELSE 0 END) AS BIGINT) AS loss_chars,
+           sha256(coalesce(string_agg(text, '' ORDER BY turn NULLS FIRST, role, text) FILTER (WHERE role = 'assistant'), '')) AS loss_sha256,
+           CAST(sum(length('<|im_start|>') + length(replace(replace(role, '\', '\\'), chr(10), '\n')) + 1
+                    + length(regexp_replace(text, '<(\\*)\|', '<\1\\|', 'g')) + length('<|im_end|>') + 1) AS BIGINT) AS formatted_chars
+    FROM turns GROUP BY conv_id
+"""
+
+ORACLES["op8_substring_dedup"] = f"""
+    WITH split AS (SELECT doc_id, {_WORDS.format("text")} AS ws FROM documents),
+    windows AS (
+      SELECT doc_id, i, array_to_string(ws[i:i + 49], ' ') AS k FROM split, unnest(range(1, len(ws) - 48)) AS u(i)),
+    firsts AS (SELECT k, min(doc_id) AS f FROM windows GROUP BY k),
+    gone AS (
+      SELECT DISTINCT doc_id, i + j AS i FROM windows JOIN firsts USING (k), unnest(range(0, 50)) AS u(j) WHERE f < doc_id),
+    placed AS (SELECT doc_id, i, ws[i] AS w FROM split, unnest(range(1, len(ws) + 1)) AS u(i)),
+    kept AS (
+      SELECT doc_id, count(*) AS n, string_agg(w, ' ' ORDER BY i) AS t FROM placed ANTI JOIN gone USING (doc_id, i) GROUP BY doc_id)
+    SELECT doc_id, len(ws) AS n_words, CAST(len(ws) - coalesce(n, 0) AS BIGINT) AS n_removed, sha256(coalesce(t, '')) AS kept_sha256
+    FROM split LEFT JOIN kept USING (doc_id)
+"""
+
+ORACLES["op9_minhash_classes"] = f"""
+    WITH RECURSIVE split AS (
+      SELECT doc_id, {_WORDS.format("translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')")} AS ws FROM documents),
+    nodes AS (SELECT doc_id AS id FROM split),
+    shingles AS (
+      SELECT DISTINCT doc_id, array_to_string(ws[i:i + 4], ' ') AS g
+      FROM split, unnest(range(1, greatest(len(ws) - 4, 1) + 1)) AS u(i) WHERE len(ws) > 0),
+    sizes AS (SELECT doc_id, count(*) AS n FROM shingles GROUP BY doc_id),
+    pairs AS (
+      SELECT p.doc_id AS a, q.doc_id AS b, count(*) AS common FROM shingles p JOIN shingles q ON p.g = q.g AND p.doc_id <> q.doc_id GROUP BY 1, 2),
+    links AS (
+      SELECT a, b FROM pairs JOIN sizes x ON x.doc_id = a JOIN sizes y ON y.doc_id = b WHERE 100 * common >= 75 * (x.n + y.n - common)),
+    {_REACH}
+    SELECT id AS doc_id, coalesce(n, 0) AS n_shingles, component_id, id = component_id AS kept FROM least LEFT JOIN sizes ON doc_id = id
+"""
+
 if corpus_pipeline.ORACLE_SQL:
     ORACLES["pipeline"] = corpus_pipeline.ORACLE_SQL
