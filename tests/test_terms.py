@@ -11,7 +11,7 @@ from tripleweft.functions.templates import expand, fill_text, fill_then_expand,
 from tripleweft.functions.text import short_key
 from tripleweft.operators.aggregates import run_metrics
 from tripleweft.operators.setops import graph_diff
-from tripleweft.plans.compile import count_triples, is_set_already
+from tripleweft.plans.compile import count_triples, is_set_already, repeated_subjects
 from tripleweft.sources.csv import csv_records
 from tripleweft.sources.json import json_records
 from tripleweft.sources.xml import xml_records
@@ -225,3 +225,10 @@ def test_inputs_without_triples_have_metrics(spark):
     df = spark.createDataFrame([("f1", 5, "1"), ("f2", 7, None)], "file_name string, file_size long, id string")
     tm = TriplesMap("d", "s:{id}", ("c:C",))
     assert rows(run_metrics(df, tm).select("file_name", "input_bytes", "triples")) == [("f1", 5, 1), ("f2", 7, 0)]
+
+
+def test_declared_keys_can_be_checked(spark):
+    df = spark.createDataFrame([("1", "a"), ("2", "b"), ("2", "c"), (None, "d"), (None, "e")], "id string, v string")
+    tm = TriplesMap("d", "s:{id}", objects=(("p:v", ref("v")),), unique_subject=True)
+    assert rows(repeated_subjects(df, tm)) == [("s:2", 2)]
+    assert rows(repeated_subjects(df.where("v <> 'c'"), tm)) == []

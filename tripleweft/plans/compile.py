@@ -155,6 +155,16 @@ def is_set_already(maps):
     )
 
 
+def repeated_subjects(records, tm, encode=False, attrs=None):
+    """Subjects that several records give, with their number: empty if `unique_subject` may be declared.
+
+    Worth one run before a mapping that relies on the declaration is used on new data.
+    """
+    subject, _ = map_terms(tm, resolver(records, tm.formulation), encode, F.col(attrs) if isinstance(attrs, str) else attrs)
+    counts = records.select(subject.alias("s")).where("s IS NOT NULL").groupBy("s").agg(F.count(F.lit(1)).alias("records"))
+    return counts.where("records > 1")
+
+
 def _signature(term):
     return (term.predicate, term.kind, term.datatype, term.lang)
 
