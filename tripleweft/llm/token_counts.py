@@ -70,17 +70,6 @@ class Trie:
         return known
 
 
-_tries = {}
-
-
-def _trie(shared):
-    key = shared.id if hasattr(shared, "id") else id(shared)
-    if key not in _tries:
-        _tries.clear()
-        _tries[key] = Trie(shared.value)
-    return _tries[key]
-
-
 def count_tokens(docs, path, pattern):
     """Per row of `docs`: doc_id, n_pretokens, n_tokens, in one narrow pass over whole texts.
 
@@ -91,7 +80,7 @@ def count_tokens(docs, path, pattern):
     shared = docs.sparkSession.sparkContext.broadcast(read_ranks(path))
 
     def run(batches):
-        trie, pieces = _trie(shared), regex.compile(pattern)
+        trie, pieces = Trie(shared.value), regex.compile(pattern)
         for batch in batches:
             words, tokens = [], []
             for x in batch.column(1):

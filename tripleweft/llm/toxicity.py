@@ -8,6 +8,7 @@ that labelled toxic documents have far more often, set against their frequency i
 
 import math
 import re
+import uuid
 from collections import Counter
 
 import numpy as np
@@ -222,12 +223,18 @@ class Scorer:
 _scorers = {}
 
 
+def _share(session, trigrams, weights, line):
+    """What a `Scorer` takes as a broadcast, with a name: trigrams and features are bounded by the constants above."""
+    return session.sparkContext.broadcast((uuid.uuid4().hex, (trigrams, weights, line)))
+
+
 def _scorer(shared):
-    key = hash((len(shared.value[0]), tuple(shared.value[2]), len(shared.value[1])))
-    if key not in _scorers:
+    """One scorer per Python worker and broadcast."""
+    name, parts = shared.value
+    if name not in _scorers:
         _scorers.clear()
-        _scorers[key] = Scorer(*shared.value)
-    return _scorers[key]
+        _scorers[name] = Scorer(*parts)
+    return _scorers[name]
 
 
 def held_out(doc_id):
@@ -300,7 +307,7 @@ def learn(docs, labels):
         share = (totals[1] + 1) / (sum(totals) + 2)
         return trigrams, {}, [math.log(share / (1 - share)), 0.0, 0.0, 0.0]
     weights = _features(sample, trigrams)
-    shared = sample.sparkSession.sparkContext.broadcast((trigrams, weights, [0.0] * 4))
+    shared = _share(sample.sparkSession, trigrams, weights, [0.0] * 4)
 
     def run(batches):
         scorer = _scorer(shared)
@@ -317,7 +324,7 @@ def learn(docs, labels):
 
 
 def _score_column(docs, learnt):
-    shared = docs.sparkSession.sparkContext.broadcast(learnt)
+    shared = _share(docs.sparkSession, *learnt)
 
     @F.arrow_udf("double")
     def score(texts: pa.Array) -> pa.Array:
