@@ -75,11 +75,17 @@ class Hashing:
         return flat // len(self.sets), np.take_along_axis(keys.reshape(len(x), -1), flat, 1)
 
 
+def _power(biggest):
+    """A power of two to scale by where squares would overflow, which changes no digit; else 1."""
+    return 2.0 ** math.floor(math.log2(biggest)) if biggest > 1e140 else 1.0
+
+
 class Block:
     """Hash tables over the vectors of one block, and exact distances to the candidates of a query."""
 
     def __init__(self, ids, x, hashing):
         self.ids, self.x, self.hashing = ids, x, hashing
+        self.biggest = float(np.abs(x).max(initial=0.0))
         keys = hashing.keys(x)
         self.order = [np.argsort(keys[:, t], kind="stable") for t in range(hashing.tables)]
         self.sorted = [keys[o, t] for t, o in enumerate(self.order)]
@@ -100,8 +106,8 @@ class Block:
         rows = rows[self.ids[rows] != own]
         if len(rows) < k:
             rows = np.flatnonzero(self.ids != own)
-        scale = max(1.0, float(np.abs(query).max(initial=0.0)))
-        gap = (self.x[rows] - query) / scale
+        scale = _power(max(self.biggest, float(np.abs(query).max(initial=0.0))))
+        gap = self.x[rows] - query if scale == 1 else self.x[rows] / scale - query / scale
         distance = np.sqrt(np.einsum("ij,ij->i", gap, gap)) * scale
         best = np.lexsort((self.ids[rows], distance))[:k]
         return self.ids[rows][best], distance[best]
