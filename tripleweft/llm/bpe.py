@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 #: Distinct words and pairs that a task remembers before it forgets them all.
-MOST_WORDS, MOST_PAIRS = 400_000, 1_000_000
+MOST_WORDS, MOST_PAIRS = 150_000, 200_000
 _END = "\n"  # stands for the end of a word; no byte is written as it
 #: Bytes of text whose results leave a task together.
 _BYTES_OUT = 4_000_000
@@ -152,6 +152,10 @@ class WordBpe:
                 at -= len(names[token_next])
             token = token_next
 
+    def forget(self):
+        """Drop what was remembered; a worker that goes on with other work should not hold it."""
+        self.words, self.chunks, self.pairs = {}, {}, {}
+
     def _piece(self, piece):
         known = self.words.get(piece)
         if known is None:
@@ -246,6 +250,7 @@ def encode_decode(docs, path, text="text", ids="ids", decoded="decoded"):
                 coded = [bpe.encode(x.as_py() or b"") for x in texts.slice(start, end - start)]
                 plain = pa.array([bpe.decode(x) for x in coded], pa.binary()).cast(pa.string())
                 yield pa.RecordBatch.from_arrays([batch.column(0).slice(start, end - start), pa.array(coded, pa.binary()), plain], ["row", "ids", "decoded"])
+        bpe.forget()
 
     packed = docs.select(F.struct(*[F.col(f"`{c}`") for c in kept]).alias("row"), F.col(f"`{text}`").cast("binary").alias("text"))
     schema = T.StructType([T.StructField("row", packed.schema["row"].dataType), T.StructField("ids", T.BinaryType()), T.StructField("decoded", T.StringType())])

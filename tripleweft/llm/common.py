@@ -26,7 +26,7 @@ def split_words(data):
 class WordHashes(dict):
     """64-bit hash by word; forgets everything once it holds `most` words, so memory is bounded."""
 
-    def __init__(self, most=500_000):
+    def __init__(self, most=200_000):
         super().__init__()
         self.most = most
 

@@ -112,8 +112,8 @@ def _list_edges(batches):
         sizes = np.diff(np.append(starts, n))
         groups = Groups(n)
         left, right = _small_lists(sizes, starts)
-        for k in range(0, len(left), 65_536):
-            i, j = left[k : k + 65_536], right[k : k + 65_536]
+        for k in range(0, len(left), 16_384):
+            i, j = left[k : k + 16_384], right[k : k + 16_384]
             near = _near(s, posted, coordinate, i, j)
             for a, b in zip(i[near].tolist(), j[near].tolist(), strict=True):
                 groups.join(a, b)

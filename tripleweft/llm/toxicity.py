@@ -10,6 +10,7 @@ import math
 import re
 import uuid
 from collections import Counter
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -22,7 +23,7 @@ SAMPLE_ROWS, MOST_FEATURES = 20_000, 20_000
 #: Log odds from which a word tells.
 LEAST_ODDS = 3
 #: Distinct words that a task counts, or chunks that it remembers, before it starts anew.
-MOST_WORDS = 300_000
+MOST_WORDS = 100_000
 # Letters that the character model tells apart; all others are one further letter.
 LETTERS = "abcdefghijklmnopqrstuvwxyzßàáâãäåæçèéêëìíîïñòóôõöøùúûüœ"
 OTHER = "?"
@@ -327,9 +328,11 @@ def _score_column(docs, learnt):
     shared = _share(docs.sparkSession, *learnt)
 
     @F.arrow_udf("double")
-    def score(texts: pa.Array) -> pa.Array:
+    def score(columns: Iterator[pa.Array]) -> Iterator[pa.Array]:
         scorer = _scorer(shared)
-        return pa.array([scorer.score(t.as_py()) for t in texts], pa.float64())
+        for texts in columns:
+            yield pa.array([scorer.score(t.as_py()) for t in texts], pa.float64())
+        _scorers.clear()  # a worker that goes on with other work should not hold it
 
     return score(F.col("text"))
 
