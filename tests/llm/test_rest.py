@@ -224,6 +224,14 @@ def test_disguised_words_are_restored(labelled, disguised):
 _learnt = []
 
 
+def test_rare_words_of_many_toxic_texts_are_learnt(spark):
+    texts = [(t, f"plain words number {i} stand here") for t in (0, 1) for i in range(1500)]
+    sample = spark.createDataFrame(texts + [(1, f"a slur of the tail, number {i}") for i in range(12)], "toxic int, text string")
+    weights = toxicity._features(sample, {})
+    assert weights["=slur"] > toxicity.LEAST_ODDS  # in 12 of 1,512 toxic texts
+    assert "=plain" not in weights and "=number" not in weights
+
+
 def learnt(docs, labels):
     if not _learnt:
         _learnt.append(toxicity.learn(docs, labels))

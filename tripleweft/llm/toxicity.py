@@ -20,8 +20,8 @@ from tripleweft.scratch import write_and_read
 
 #: Labelled rows of either class that the score is learnt from, by the order of a hash of doc_id, and features that it uses.
 SAMPLE_ROWS, MOST_FEATURES = 20_000, 20_000
-#: Log odds from which a word tells.
-LEAST_ODDS = 3
+#: Toxic texts that a feature stands in at least, however many there are, and log odds from which it tells.
+LEAST_TEXTS, LEAST_ODDS = 3, 3
 #: Distinct words that a task counts, or chunks that it remembers, before it starts anew.
 MOST_WORDS = 100_000
 # Letters that the character model tells apart; all others are one further letter.
@@ -276,7 +276,7 @@ def _features(sample, trigrams):
     sizes = {r["toxic"]: r["count"] for r in sample.groupBy("toxic").count().collect()}
     bad, clean = sizes.get(1, 0), sizes.get(0, 0)
     odds = F.log((F.col("bad") + 0.5) / (bad + 1)) - F.log((F.col("clean") + 0.5) / (clean + 1))
-    found = shown.groupBy("feature").agg(F.sum("clean").alias("clean"), F.sum("bad").alias("bad")).where(F.col("bad") >= max(3, 0.01 * bad))
+    found = shown.groupBy("feature").agg(F.sum("clean").alias("clean"), F.sum("bad").alias("bad")).where(F.col("bad") >= LEAST_TEXTS)
     # A single clean text may quote a word, so the odds and not their certainty decide.
     found = found.select("feature", odds.alias("weight")).where(f"weight >= {LEAST_ODDS}").orderBy(F.desc("weight"), "feature").limit(MOST_FEATURES)
     return {r["feature"]: r["weight"] for r in found.collect()}
