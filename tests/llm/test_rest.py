@@ -224,6 +224,19 @@ def test_disguised_words_are_restored(labelled, disguised):
 _learnt = []
 
 
+@pytest.mark.parametrize("disguised", ["rot-ten", "ver_min", "rott.en", "ro-tt-en", "ver.m*in", "veermin", "vveerrmmiinn", "v  e  r  m  i  n", "v e rmin", "verm i n", "ve r m in"])
+def test_words_disguised_in_part_are_restored(labelled, disguised):
+    scorer = toxicity.Scorer(*learnt(*labelled))
+    text = "the old dog sees " + disguised + " near the river " + disguised
+    assert scorer.score(text) > 0.5 > scorer.score("the old-dog sees mint/rooster, a b near the river's bank")
+
+
+def test_three_spaced_letters_and_long_runs():
+    scorer = toxicity.Scorer({}, {"=ass": 6.0}, [0.0] * 4)
+    assert scorer.evidence("what an a s s he is")[0] > 0 == scorer.evidence("a b c is 1 2 3")[0]
+    assert len(scorer.model.restore("a.b" * 100_000)) == 200_000
+
+
 def test_rare_words_of_many_toxic_texts_are_learnt(spark):
     texts = [(t, f"plain words number {i} stand here") for t in (0, 1) for i in range(1500)]
     sample = spark.createDataFrame(texts + [(1, f"a slur of the tail, number {i}") for i in range(12)], "toxic int, text string")

@@ -40,8 +40,11 @@ STARTS = (4, 5, 6)
 
 _WORD = re.compile(r"[^\W\d_]+")
 _SIGNS = re.escape("".join(c for c in MEANT if not c.isalnum()))
-_ODD = re.compile(rf"[^\W\d_][0-9{_SIGNS}]|[0-9{_SIGNS}][^\W\d_]|([^\W\d_])\1\1|(?:[^\W\d_][{re.escape(FILL)}]+){{2}}[^\W\d_]|[^\W\d_]\*+[^\W\d_]")
-_SPACED = re.compile(rf"(?<!\S)(?:[\w{_SIGNS}][ \t]){{3,}}[\w{_SIGNS}](?![\w{_SIGNS}])")
+_ODD = re.compile(rf"[^\W\d_][0-9{_SIGNS}]|[0-9{_SIGNS}][^\W\d_]|([^\W\d_])\1|[^\W\d_][{re.escape(FILL)}]+[^\W\d_]")
+# Runs of single letters or signs with blanks between, and what follows.
+_SPACED = re.compile(rf"(?<!\S)[\w{_SIGNS}](?:\s++[\w{_SIGNS}](?![\w{_SIGNS}]))++(?=\s*+(\S++)|)")
+_LETTER = re.compile(r"[^\W\d_]")
+_BLANK = re.compile(r"\s++")
 
 
 def _folded(word):
@@ -116,20 +119,22 @@ class CharacterModel:
 
     def restore(self, text, breaks=False):
         """The likeliest reading of a disguised text without white space; with `breaks` it may be several words."""
-        states = {"^^": (0.0, "")}
+        # A reading is a chain (all before, last letter), so that long texts are not copied at each letter.
+        states, known = {"^^": (0.0, None)}, self.known
 
         def best(into, state, cost, reading):
             if state not in into or cost < into[state][0]:
                 into[state] = (cost, reading)
 
         def spell(states, letter, times, extra):
+            shown = letter if letter in _KNOWN else OTHER
             for _ in range(times):
                 step = {}
                 for state, (cost, reading) in states.items():
-                    shown = letter if letter in _KNOWN else OTHER
-                    best(step, state[1] + shown, cost + self.cost(state, shown), reading + letter)
+                    value = known.get(state + shown)
+                    best(step, state[1] + shown, cost + (self.cost(state, shown) if value is None else value), (reading, letter))
                 states = step
-            return {s: (c + extra, r) for s, (c, r) in states.items()}
+            return {s: (c + extra, r) for s, (c, r) in states.items()} if extra else states
 
         at = 0
         while at < len(text):
@@ -140,9 +145,16 @@ class CharacterModel:
             if breaks:
                 split = dict(states)
                 for state, (cost, reading) in states.items():
-                    if reading and not reading.endswith(" "):
-                        best(split, "^^", cost + self.cost(state, "$") + BREAK, reading + " ")
+                    if reading and reading[1] != " ":
+                        best(split, "^^", cost + self.cost(state, "$") + BREAK, (reading, " "))
                 states = split
+            if length == 1 and sign.isalpha():  # most letters stand for themselves
+                if len(states) == 1:
+                    [(state, (cost, reading))], shown = states.items(), sign if sign in _KNOWN else OTHER
+                    states = {state[1] + shown: (cost + (known.get(state + shown) or self.cost(state, shown)), (reading, sign))}
+                else:
+                    states = spell(states, sign, 1, 0.0)
+                continue
             step = {}
             meant = [(sign, 0.0)] if sign.isalpha() else [(m, SWAP) for m in MEANT.get(sign, "")]
             for letter, extra in meant:
@@ -154,7 +166,13 @@ class CharacterModel:
                 for state, (cost, reading) in states.items():
                     best(step, state, cost + FILLED, reading)
             states = step
-        return min((cost + self.cost(state, "$"), reading) for state, (cost, reading) in states.items())[1] if states else ""
+        if not states:
+            return ""
+        chain, out = min(((cost + self.cost(state, "$"), reading) for state, (cost, reading) in states.items()), key=lambda x: x[0])[1], []
+        while chain:
+            chain, letter = chain
+            out.append(letter)
+        return "".join(reversed(out))
 
 
 def features_of(word):
@@ -184,14 +202,29 @@ class _Chunks(dict):
 
 
 def _spaced(model, text):
-    """Words that stand letter by letter."""
-    return [w for m in _SPACED.finditer(text) for w in model.restore(re.sub(r"\s", "", m.group()), breaks=True).split()]
+    """Words that stand letter by letter, per run of letters: those of the run, and the run joined to the chunks beside it.
+
+    Words broken into parts of two letters or more, such as 'id iot', cannot be told from two words and are not read.
+    """
+    for m in _SPACED.finditer(text):
+        run, after = _BLANK.sub("", m.group()), (m.group(1) or "").strip(FILL)
+        if len(run) < 4 and not _LETTER.search(run):
+            continue
+        end = m.start()
+        while end and text[end - 1].isspace():
+            end -= 1
+        start = end
+        while start and not text[start - 1].isspace():
+            start -= 1
+        before = text[start:end].strip(FILL)
+        forms = {run + after, before + run, before + run + after} - {run}
+        yield model.restore(run, True).split(), [run, *forms, *map(model.restore, forms)]
 
 
 def restored_words(model, text, chunks):
     """Distinct words of a text, disguised ones restored."""
     low = (text or "").lower()
-    return {w for c in low.split() for w in chunks[c]}.union(_spaced(model, low))
+    return {w for c in low.split() for w in chunks[c]}.union(*[w for pair in _spaced(model, low) for w in pair])
 
 
 class Scorer:
@@ -211,7 +244,9 @@ class Scorer:
         low = (text or "").lower()
         chunks = low.split()
         found = [w for w in map(self.chunks.__getitem__, chunks) if w]
-        found += [w for s in _spaced(self.model, low) if (w := self.weight([s]))]
+        for run, joined in _spaced(self.model, low):
+            known = [w for s in run if (w := self.weight([s]))]
+            found += known or [w for w in [self.weight(joined)] if w]
         if not found:
             return (0.0, 0.0, 0.0)
         return math.log1p(len(found)), sum(found) / len(found), math.log1p(100 * len(found) / max(1, len(chunks)))
