@@ -59,6 +59,14 @@ def test_links_equal_brute_force(vectors, monkeypatch, block):
             assert (r.n_links, r.component_id, r.kept) == (links[r.vec_id], label[r.vec_id], label[r.vec_id] == r.vec_id)
 
 
+def test_links_of_many_rescaled_vectors(spark, monkeypatch):
+    """More vectors of one direction than a block holds: some blocks are empty, and no link beside them counts twice."""
+    monkeypatch.setattr(cosine_dedup, "BLOCK_ROWS", 20)
+    data = [(i, [3.0 * (i + 1), 0.0]) for i in range(100)] + [(200 + i, [1.0, 0.002 * (i - 30) + 0.001]) for i in range(60)]
+    got = link_vectors(spark.createDataFrame(data, SCHEMA)).collect()
+    assert {(r.n_links, r.component_id) for r in got} == {(159, 0)} and len(got) == 160
+
+
 def test_links_of_few_or_no_vectors(spark):
     empty = spark.createDataFrame([], SCHEMA)
     assert link_vectors(empty).count() == 0

@@ -67,10 +67,10 @@ def _products(a, b, i, j, start, end):
     return out
 
 
-def _cell(pdf, rotation, threshold):
+def _cell(key, pdf, rotation, threshold):
     """Links within one pair of blocks: per vector the copies it is linked to, and the smallest of its set here."""
     first, second = pdf[pdf["side"] == 0], pdf[pdf["side"] == 1]
-    same = not len(second)
+    same = key[0] == key[1]  # an empty second block has no pairs
     second = first if same else second
     x = matrix(first["embedding"]) if len(first) else np.zeros((0, len(rotation)))
     y = x if same else matrix(second["embedding"])
@@ -148,7 +148,7 @@ def link_vectors(vectors, threshold=0.95):
         .join(F.broadcast(partners), "block")
         .select(F.least("block", "other").alias("row"), F.greatest("block", "other").alias("col"), (F.col("block") > F.col("other")).cast("int").alias("side"), "rep", "n", "embedding")
     )
-    cells = sides.groupBy("row", "col").applyInPandas(lambda pdf: _cell(pdf, rotation, threshold), "rep long, links long, root long")
+    cells = sides.groupBy("row", "col").applyInPandas(lambda key, pdf: _cell(key, pdf, rotation, threshold), "rep long, links long, root long")
     cells = write_and_read(cells, "cosine-cells")
     counts = cells.groupBy("rep").agg(F.sum("links").alias("links"))
     labels = components(cells.select(F.col("rep").alias("a"), F.col("root").alias("b")).distinct()).withColumnRenamed("node", "rep")
