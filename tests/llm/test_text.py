@@ -234,6 +234,14 @@ def test_checksums():
     assert pii.spans_of("ssn 123-45-6789")[0][3] > pii.LEAST and not pii.spans_of("order 123-45-6789")
 
 
+def test_account_numbers_before_other_words():
+    for text in ("IBAN ES9121000418450200051332 BIC CAIXESBB", "AT61 1904 3002 3457 3201 12 May", "pay AT61 1904 3002 3457 3201 ABCD EFGH by May"):
+        [(start, kind, end, _)] = [s for s in pii.spans_of(text) if pii.KINDS[s[1]] == "iban"]
+        assert text[start:end] in ("ES9121000418450200051332", "AT61 1904 3002 3457 3201")
+    text = "AT61 1904 3002 3457 3201 DE89 3704 0044 0532 0130 00"
+    assert [text[s:e] for s, k, e, _ in pii.spans_of(text) if pii.KINDS[k] == "iban"] == ["AT61 1904 3002 3457 3201", "DE89 3704 0044 0532 0130 00"]
+
+
 def test_masking(spark, docs):
     df = spark.createDataFrame([(1, PII, 5, "x"), (2, None, 6, "y"), (3, "", 7, "z")], "doc_id int, text string, n_chars long, spans string")
     got = {r.doc_id: r for r in pii.mask_pii(df).collect()}

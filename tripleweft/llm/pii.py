@@ -87,9 +87,16 @@ def _phones(text):
 
 
 def _ibans(text):
-    for m in _IBAN.finditer(text):
-        if 15 <= len(plain := m.group().replace(" ", "")) <= 34 and mod97(plain):
-            yield m.span()
+    m = _IBAN.search(text)
+    while m:
+        shape, next_ = m.group(), m.start() + 1
+        while len(plain := shape.replace(" ", "")) >= 15:
+            if len(plain) <= 34 and mod97(plain):
+                next_ = m.start() + len(shape)
+                yield m.start(), next_
+                break
+            shape = shape.rpartition(" ")[0]  # what follows a blank may be another word
+        m = _IBAN.search(text, next_)
 
 
 def _ssns(text):
