@@ -11,10 +11,13 @@ from tripleweft.llm.common import table
 from tripleweft.llm.cosine_dedup import link_vectors
 from tripleweft.llm.minhash import near_duplicates
 from tripleweft.llm.mixing import plan_mix
+from tripleweft.llm.ngram_lm import score_corpus
+from tripleweft.llm.periodic_runs import find_runs, with_planted_runs
 from tripleweft.llm.pii import BASE, KINDS, find_pii
 from tripleweft.llm.substrings import repeated_passages
 from tripleweft.llm.token_counts import count_tokens
 from tripleweft.llm.toxicity import score_documents
+from tripleweft.llm.variants import count_runs, group_variants
 
 QUERIES, ORACLES = {}, {}
 
@@ -101,6 +104,36 @@ def op10_pii(spark, sf_dir):
     return found.select("doc_id", *map(_count, KINDS[:BASE]), F.sha2(_joined(base), 256).alias("base_sha256"), _joined(F.col("spans")).alias("spans"))
 
 
+@query
+def op11_kneser_ney(spark, sf_dir):
+    """Probability of every document under a model of six sevenths of them."""
+    return score_corpus(table(spark, sf_dir, "documents"))
+
+
+@query
+def op12_spelling_variants(spark, sf_dir):
+    """Words that occur often, the words near them, and the spelling they are variants of."""
+    return group_variants(count_runs(table(spark, sf_dir, "documents"), 6, 5, slip=199))
+
+
+@query
+def op13_periodic_runs(spark, sf_dir):
+    """Periodic runs of every document, and what is left without their repeats."""
+    found = find_runs(with_planted_runs(table(spark, sf_dir, "documents")))
+    lines = F.transform("runs", lambda r: F.format_string("%d,%d,%d\n", r["start"], r["length"], r["period"]))
+    longest = F.array_max(F.transform("runs", lambda r: F.struct(r["length"].alias("length"), (-r["start"]).alias("less"), (-r["period"]).alias("period"))))
+    return found.withColumn("best", longest).select(
+        "doc_id",
+        F.size("runs").cast("long").alias("n_runs"),
+        (-F.col("best.less")).alias("start"),
+        "best.length",
+        (-F.col("best.period")).alias("period"),
+        F.expr("1000 * best.length div -best.period").cast("long").alias("exponent_milli"),
+        F.sha2(F.array_join(lines, "").cast("binary"), 256).alias("runs_sha256"),
+        F.sha2(F.col("collapsed").cast("binary"), 256).alias("collapsed_sha256"),
+    )
+
+
 @query
 def pipeline(spark, sf_dir):
     """All stages of the corpus pipeline."""
