@@ -24,6 +24,7 @@ from tripleweft.operators.graph import (
     star_join,
     typed_filter,
 )
+from tripleweft.operators.isomorphism import graph_diff_unlabelled, graph_isomorphic
 from tripleweft.operators.setops import graph_diff, graph_distinct, graph_merge
 from tripleweft.functions.text import short_key
 from tripleweft.functions.times import start_text
@@ -48,7 +49,7 @@ from tripleweft.queries.common import (
     table,
     triples_sql,
 )
-from tripleweft.vocab import RDF_TYPE, SCHEMA
+from tripleweft.vocab import BLANK, BNODE, IRI, LITERAL, RDF_TYPE, SCHEMA
 
 registry = Registry()
 
@@ -432,6 +433,80 @@ def graph_diff_bag(spark, sf_dir):
     return graph_diff(bag, graph_distinct(bag), bag=True)
 
 
+def blank_orders(spark, sf_dir, label, changed=False):
+    """Orders and their items as blank nodes, labelled by a function of their keys; `changed`: one item has another part."""
+    items = table(spark, sf_dir, "lineitem").select(
+        label("o", F.col("l_orderkey")).alias("order"),
+        label("i", F.concat_ws("-", "l_orderkey", "l_linenumber")).alias("item"),
+        F.concat(F.lit(EX + "part/"), "l_partkey").alias("part"),
+        F.col("l_quantity").cast("decimal(18,2)").cast("string").alias("quantity"),
+        "l_orderkey",
+        "l_linenumber",
+    )
+    if changed:
+        first = items.agg(F.min(F.struct("l_orderkey", "l_linenumber"))).first()[0]
+        here = (F.col("l_orderkey") == first["l_orderkey"]) & (F.col("l_linenumber") == first["l_linenumber"])
+        items = items.withColumn("part", F.when(here, F.lit(EX + "part/none")).otherwise(F.col("part")))
+    orders = table(spark, sf_dir, "orders").select(label("o", F.col("o_orderkey")).alias("order"), F.concat(F.lit(EX + "customer/"), "o_custkey").alias("customer"))
+    none = F.lit(None).cast("string")
+
+    def triple(rows, s, p, o, kind):
+        return rows.select(F.col(s).alias("s"), F.lit(EX + p).alias("p"), F.col(o).alias("o"), F.lit(kind).alias("o_kind"), none.alias("o_datatype"), none.alias("o_lang"))
+
+    return graph_merge(
+        triple(orders, "order", "customer", "customer", IRI),
+        triple(items, "order", "item", "item", BNODE),
+        triple(items, "item", "part", "part", IRI),
+        triple(items, "item", "quantity", "quantity", LITERAL),
+    )
+
+
+def _plain_label(prefix, key):
+    return F.concat(F.lit(BLANK + prefix), key.cast("string"))
+
+
+def _hashed_label(prefix, key):
+    return F.concat(F.lit(BLANK), F.md5(F.concat(F.lit(prefix), key.cast("string"))))
+
+
+@registry.add(
+    "graph_isomorphic",
+    """
+    SELECT 'other labels' AS against, TRUE AS isomorphic
+    UNION ALL SELECT 'other labels, one part changed', (SELECT count(*) = 0 FROM lineitem)
+    """,
+)
+def graph_isomorphic_query(spark, sf_dir):
+    """Orders as blank nodes against the same under other labels, and against a graph with one edge changed."""
+    base = blank_orders(spark, sf_dir, _plain_label)
+    same, other = [graph_isomorphic(base, blank_orders(spark, sf_dir, _hashed_label, changed)) for changed in (False, True)]
+    return spark.createDataFrame([("other labels", same), ("other labels, one part changed", other)], "against string, isomorphic boolean")
+
+
+@registry.add(
+    "graph_diff_unlabelled",
+    f"""
+    WITH f AS (SELECT l_orderkey, l_linenumber FROM lineitem ORDER BY 1, 2 LIMIT 1),
+    own AS (SELECT l.*, l.l_linenumber = f.l_linenumber AS here FROM lineitem l JOIN f USING (l_orderkey)),
+    before AS (
+      SELECT '{EX}customer' AS p, '{EX}customer/' || o_custkey AS o FROM orders JOIN f ON o_orderkey = l_orderkey
+      UNION ALL SELECT '{EX}item', '_:' FROM own
+      UNION ALL SELECT '{EX}part', '{EX}part/' || l_partkey FROM own
+      UNION ALL SELECT '{EX}quantity', CAST(CAST(l_quantity AS DECIMAL(18,2)) AS VARCHAR) FROM own),
+    after AS (
+      SELECT * FROM before WHERE p <> '{EX}part'
+      UNION ALL SELECT '{EX}part', '{EX}part/' || CASE WHEN here THEN 'none' ELSE CAST(l_partkey AS VARCHAR) END FROM own)
+    SELECT p, o, 'missing' AS side, CAST(count(*) AS BIGINT) AS triples FROM before GROUP BY p, o
+    UNION ALL SELECT p, o, 'extra', CAST(count(*) AS BIGINT) FROM after GROUP BY p, o
+    """,
+)
+def graph_diff_unlabelled_query(spark, sf_dir):
+    """Where one part changed: the order of that item and all its items differ, and nothing else."""
+    delta = graph_diff_unlabelled(blank_orders(spark, sf_dir, _plain_label), blank_orders(spark, sf_dir, _hashed_label, True))
+    shown = F.when(F.col("o_kind") == BNODE, F.lit(BLANK)).otherwise(F.col("o"))
+    return delta.groupBy("p", shown.alias("o"), "side").agg(F.sum("copies").alias("triples"))
+
+
 # --- events and reports -----------------------------------------------------------
 
 
