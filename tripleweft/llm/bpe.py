@@ -6,6 +6,7 @@ marks it as a dead end, so the work is linear in the word. Decoding looks up tok
 """
 
 import json
+import struct
 import unicodedata
 
 import ahocorasick
@@ -16,8 +17,10 @@ import regex
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-#: Distinct words and pairs that a task remembers before it forgets them all.
-MOST_WORDS, MOST_PAIRS = 150_000, 200_000
+from tripleweft.llm.common import Memory
+
+#: Distinct chunks and pairs that a task remembers; twice as many at most.
+MOST_WORDS, MOST_PAIRS = 150_000, 100_000
 _END = "\n"  # stands for the end of a word; no byte is written as it
 #: Bytes of text whose results leave a task together.
 _BYTES_OUT = 4_000_000
@@ -42,6 +45,7 @@ class WordBpe:
         self.letters = _byte_letters()
         self.special = {t["content"]: t["id"] for t in spec["added_tokens"]}
         self.special_split = regex.compile("(" + "|".join(map(regex.escape, self.special)) + ")") if self.special else None
+        self.marks = {t[0] for t in self.special}
         pattern = next(p["pattern"]["Regex"] for p in spec["pre_tokenizer"]["pretokenizers"] if p["type"] == "Split")
         self.pieces = regex.compile(pattern)
         self._merges([m if isinstance(m, list) else m.split(" ") for m in model["merges"]], suffix)
@@ -53,7 +57,7 @@ class WordBpe:
         self.blob = np.frombuffer(b"".join(shown), np.uint8)
         self.lengths = np.array([len(s) for s in shown], np.int64)
         self.offsets = np.cumsum(self.lengths) - self.lengths
-        self.words, self.chunks, self.pairs = {}, {}, {}
+        self.chunks, self.pairs = Memory(self._chunk, MOST_WORDS), Memory(self._pair, MOST_PAIRS, None)
 
     @staticmethod
     def _own(token, suffix):
@@ -61,22 +65,22 @@ class WordBpe:
 
     def _merges(self, merges, suffix):
         """Rank and parts of every token that a merge makes; single letters have none."""
-        self.rank, self.parts, self.merged = {}, {}, {}
+        self.parts, self.merged = {}, {}
         for r, (a, b) in enumerate(merges):
             a, b = self.ids[self._own(a, suffix)], self.ids[self._own(b, suffix)]
             self.merged[a, b] = r
         names = {i: t for t, i in self.ids.items()}
+        self.rank = [-1] * (max(names) + 1)
         for (a, b), r in self.merged.items():
             made = self.ids[names[a] + names[b]]
-            if made not in self.rank:
+            if made not in self.parts:
                 self.rank[made], self.parts[made] = r, (a, b)
-        self.names = names
 
     def _matches(self):
         """The automaton over all tokens that encode to themselves, and the next shorter such prefix of each."""
         self.find = ahocorasick.Automaton()
-        self.shorter = {}
-        good = {t for t, i in self.ids.items() if t != _END and (i not in self.parts or self._whole(i))}
+        self.shorter, self.sizes = {}, {}
+        good = self.good = {t: i for t, i in self.ids.items() if t != _END and (i not in self.parts or self._whole(i))}
         for t in good:
             self.find.add_word(t, (len(t), self.ids[t]))
         self.find.make_automaton()
@@ -85,6 +89,7 @@ class WordBpe:
             while p and p not in good:
                 p = p[:-1]
             self.shorter[self.ids[t]] = self.ids[p] if p else None
+            self.sizes[self.ids[t]] = len(t)
 
     def _whole(self, token):
         """Whether merging the letters of a token gives the token."""
@@ -104,7 +109,7 @@ class WordBpe:
             r = merged.get((a, b))
             if r is not None and r < limit:
                 return False
-            ra, rb = rank.get(a, -1), rank.get(b, -1)
+            ra, rb = rank[a], rank[b]
             if ra < 0 and rb < 0:
                 return True
             if ra > rb:
@@ -113,84 +118,72 @@ class WordBpe:
                 # Among equal merges the left one comes first, so the right part was made after any such pair.
                 limit, b = min(limit, rb + 1), parts[b][0]
 
-    def fits(self, a, b):
-        key = a << 20 | b
-        known = self.pairs.get(key)
-        if known is None:
-            if len(self.pairs) >= MOST_PAIRS:
-                self.pairs.clear()
-            known = self.pairs[key] = self._fits(a, b)
-        return known
+    def _pair(self, key):
+        return self._fits(key >> 20, key & 0xFFFFF)
 
     def encode_word(self, piece):
         """Token ids of one piece of the split pattern."""
-        word = "".join([self.letters[b] for b in piece.encode()]) + _END
-        n = len(word)
-        longest = [None] * n
-        reach = [0] * n
-        for end, (size, token) in self.find.iter(word):
-            start = end - size + 1
-            if size > reach[start]:
-                reach[start], longest[start] = size, token
+        word = piece if piece.isascii() and piece.isprintable() else "".join([self.letters[b] for b in piece.encode()])
+        word += _END
+        known = self.good.get(word)
+        if known is not None:
+            return [known]
+        # The longest matches one after the other are most of the places that are reached.
+        longest = {end - size + 1: token for end, (size, token) in self.find.iter_long(word)}
+        n, out, at, token = len(word), [], 0, longest[0]
         alive = bytearray(b"\x01") * (n + 1)
         alive[n - 1] = 0  # the end mark belongs to the last letter
-        out, at, token = [], 0, longest[0]
-        names, shorter = self.names, self.shorter
+        sizes, shorter, pairs = self.sizes, self.shorter, self.pairs
         while True:
-            end = at + len(names[token])
-            if alive[end] and (not out or self.fits(out[-1], token)):
+            end = at + sizes[token]
+            if alive[end] and (not out or pairs[out[-1] << 20 | token]):
                 out.append(token)
-                at = end
-                if at == n:
+                if end == n:
                     return out
-                token = longest[at]
+                at = end
+                token = longest.get(at)
+                if token is None:
+                    token = longest[at] = self._longest(word[at:])
                 continue
-            token_next = shorter[token]
-            if token_next is None:
+            token = shorter[token]
+            while token is None:
                 alive[at] = 0
-                token_next = out.pop()
-                at -= len(names[token_next])
-            token = token_next
+                token = out.pop()
+                at -= sizes[token]
+                token = shorter[token]
+
+    def _longest(self, rest):
+        """The longest token that a text begins with."""
+        size, good = self.find.longest_prefix(rest), self.good
+        while rest[:size] not in good:
+            size -= 1
+        return good[rest[:size]]
 
     def forget(self):
         """Drop what was remembered; a worker that goes on with other work should not hold it."""
-        self.words, self.chunks, self.pairs = {}, {}, {}
-
-    def _piece(self, piece):
-        known = self.words.get(piece)
-        if known is None:
-            if len(self.words) >= MOST_WORDS:
-                self.words.clear()
-            known = np.array(self.encode_word(piece), "<u4").tobytes()
-            if len(piece) < 64:
-                self.words[piece] = known
-        return known
+        self.chunks.forget()
+        self.pairs.forget()
 
     def _plain(self, text):
-        text = unicodedata.normalize("NFC", text)
-        # Letter by letter: a sigma at the end of a word is no special case.
-        text = text.replace("Σ", "σ").lower()
-        return b"".join(map(self._piece, self.pieces.findall(text)))
+        if text.isascii():
+            text = text.lower()
+        else:
+            # Letter by letter: a sigma at the end of a word is no special case.
+            text = unicodedata.normalize("NFC", text).replace("Σ", "σ").lower()
+        return [i for piece in self.pieces.findall(text) for i in self.encode_word(piece)]
 
     def _chunk(self, chunk):
         """Ids, as bytes, of text without ASCII white space, over which no piece reaches."""
-        known = self.chunks.get(chunk)
-        if known is None:
-            text = chunk.decode()
-            if self.special_split and self.special_split.search(text):
-                cut = self.special_split.split(text)
-                known = b"".join(np.array([self.special[c]], "<u4").tobytes() if c in self.special else self._plain(c) for c in cut if c)
-            else:
-                known = self._plain(text)
-            if len(self.chunks) >= MOST_WORDS:
-                self.chunks.clear()
-            if len(chunk) < 64:
-                self.chunks[chunk] = known
-        return known
+        text = chunk.decode()
+        if not self.marks.isdisjoint(text) and self.special_split.search(text):
+            ids = [i for c in self.special_split.split(text) if c for i in ([self.special[c]] if c in self.special else self._plain(c))]
+        else:
+            ids = self._plain(text)
+        return struct.pack(f"<{len(ids)}I", *ids)
 
     def encode(self, data):
         """Ids of UTF-8 bytes as little-endian 32-bit integers."""
-        return b"".join(map(self._chunk, data.split()))
+        return b"".join(map(self.chunks.__getitem__, data.split()))
 
     def decode(self, ids):
         """Text of such ids as UTF-8 bytes: token texts with a space between."""

@@ -43,6 +43,30 @@ class WordHashes(dict):
         return np.fromiter(map(self.__getitem__, words), np.uint64, len(words))
 
 
+class Memory(dict):
+    """What `make` gives for a key. It remembers the last `most` to twice as many distinct short keys that were asked for."""
+
+    def __init__(self, make, most, longest=64):
+        super().__init__()
+        self.make, self.most, self.longest, self.older = make, most, longest, {}
+
+    def __missing__(self, key):
+        value = self.older.get(key)
+        if value is None:
+            value = self.make(key)
+            if self.longest and len(key) >= self.longest:
+                return value
+        if len(self) >= self.most:
+            self.older = dict(self)
+            self.clear()
+        self[key] = value
+        return value
+
+    def forget(self):
+        self.older = {}
+        self.clear()
+
+
 def mixed(x):
     """A bijective scramble of uint64 values."""
     x = x ^ (x >> np.uint64(32))
