@@ -177,8 +177,7 @@ def _compare(rows):
 
 
 def near_pairs(words):
-    """Rows (word, near, n), both ways: near words and how often `near` occurs. `words` (word, n) are distinct."""
-    words = write_and_read(words, "variant-words")
+    """Rows (word, near, n), both ways: near words and how often `near` occurs. `words` (word, n) are distinct, and read twice."""
     posts = write_and_read(_post(words, _frequent(words)), "variant-posts")
     cells = _cells(posts).repartition("key", "row", "col").sortWithinPartitions("key", "row", "col")
 
@@ -200,7 +199,7 @@ def near_pairs(words):
                         out[2].append(int(number["n"][q]))
             yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(out, (pa.string(), pa.string(), pa.int64()), strict=True)], ["word", "near", "n"])
 
-    return words, cells.mapInArrow(run, "word string, near string, n bigint").distinct()
+    return cells.mapInArrow(run, "word string, near string, n bigint").distinct()
 
 
 def group_variants(words, ratio=5):
@@ -212,18 +211,17 @@ def group_variants(words, ratio=5):
     and at least as long as the shortest and the longest gram together; others raise an error, as do nulls. Further columns
     are ignored. No rows, no rows.
     """
-    bad = words.where(F.col("word").isNull() | F.col("n").isNull() | (F.length("word") < SHORT + LONG))
-    kept, pairs = near_pairs(words.select("word", "n"))
-    if not bad.isEmpty():
+    kept = write_and_read(words.select("word", "n"), "variant-words")
+    if not kept.where(F.col("word").isNull() | F.col("n").isNull() | (F.length("word") < SHORT + LONG)).isEmpty():
         raise ValueError(f"words need {SHORT + LONG} letters and a number")
-    best = pairs.groupBy("word").agg(F.count(F.lit(1)).alias("n_near"), F.min(F.struct((-F.col("n")).alias("less"), "near")).alias("best"))
+    best = near_pairs(kept).groupBy("word").agg(F.count(F.lit(1)).alias("n_near"), F.min(F.struct((-F.col("n")).alias("less"), "near")).alias("best"))
     found = kept.join(best, "word", "left").select("word", "n", F.coalesce("n_near", F.lit(0)).cast("long").alias("n_near"), "best.near", (-F.col("best.less")).alias("near_n"))
     fits = F.col("near_n") >= ratio * F.col("n")
     found = write_and_read(found.select("word", "n", "n_near", F.when(fits, F.col("near")).alias("form"), F.when(fits, F.col("near_n")).alias("form_n")), "variant-forms")
     # A form occurs more often than its word, so there are no circles; each round doubles the steps.
     links = found.where("form IS NOT NULL").select("word", F.col("form").alias("root"))
+    links = write_and_read(links, "variant-roots")
     while True:
-        links = write_and_read(links, "variant-roots")
         ahead = links.select(F.col("word").alias("root"), F.col("root").alias("_next"))
         links = links.join(ahead, "root", "left").select("word", F.coalesce("_next", "root").alias("root"), F.col("_next").isNotNull().alias("_moved"))
         links = write_and_read(links, "variant-roots")
