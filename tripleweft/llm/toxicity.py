@@ -12,18 +12,21 @@ import uuid
 from collections import Counter
 from collections.abc import Iterator
 
+import ahocorasick
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import functions as F
 
+from tripleweft.llm.common import Memory
 from tripleweft.scratch import write_and_read
 
-#: Labelled rows of either class that the score is learnt from, by the order of a hash of doc_id, and features that it uses.
-SAMPLE_ROWS, MOST_FEATURES = 20_000, 20_000
+#: Labelled rows of either class that the score is learnt from, by the order of a hash of doc_id. They bound the features; more
+#: bytes of them than this are an error.
+SAMPLE_ROWS, FEATURE_BYTES = 20_000, 64_000_000
 #: Toxic texts that a feature stands in at least, however many there are, and log odds from which it tells.
 LEAST_TEXTS, LEAST_ODDS = 3, 3
-#: Distinct words that a task counts, or chunks that it remembers, before it starts anew.
-MOST_WORDS = 100_000
+#: Distinct chunks that a task counts before it starts anew, and that it remembers; of the latter twice as many at most.
+MOST_WORDS, MOST_CHUNKS = 100_000, 75_000
 # Letters that the character model tells apart; all others are one further letter.
 LETTERS = "abcdefghijklmnopqrstuvwxyzßàáâãäåæçèéêëìíîïñòóôõöøùúûüœ"
 OTHER = "?"
@@ -180,31 +183,79 @@ def features_of(word):
     return ["=" + word, *["^" + word[:k] for k in STARTS if len(word) > k]]
 
 
-class _Chunks(dict):
-    """Words that a chunk of text stands for, or what `value` makes of them, by chunk; bounded."""
+def _likeness():
+    """For each letter and sign, the least of the letters that one sign may stand for with it, or any of these with others."""
+    same = {c: c for c in LETTERS}
+    for letters in MEANT.values():
+        old, new = {same[c] for c in letters}, min(same[c] for c in letters)
+        same = {c: new if s in old else s for c, s in same.items()}
+    return same | {sign: same[letters[0]] for sign, letters in MEANT.items()}
 
-    def __init__(self, model, value):
-        super().__init__()
-        self.model, self.value = model, value
 
-    def __missing__(self, chunk):
+class _Outline(dict):
+    """Translation of characters: signs to the letters they may be, all that is dropped to nothing."""
+
+    def __missing__(self, code):
+        c = chr(code)
+        self[code] = value = _LIKE.get(c) or (c if c.isalpha() else None)
+        return value
+
+
+_LIKE, _OUTLINE, _AGAIN = _likeness(), _Outline(), re.compile(r"(.)\1+", re.DOTALL)
+
+
+def outline(text):
+    """What all readings of a text have in common: letters that signs do not tell apart are one, and none is doubled."""
+    return _AGAIN.sub(r"\1", text.translate(_OUTLINE))
+
+
+class _Outlines:
+    """Whether a reading of a text may have a feature; it has the same outline as the text, or parts of it."""
+
+    def __init__(self, features):
+        self.whole = {outline(f[1:]) for f in features if f[0] == "="}
+        self.starts = {outline(f[1:]) for f in features if f[0] == "^"}
+        self.sizes = sorted({len(s) for s in self.starts})
+        self.within = ahocorasick.Automaton()
+        for s in self.whole | self.starts:
+            if s:
+                self.within.add_word(s, 1)
+        self.within.make_automaton()
+
+    def as_word(self, text):
+        shape = outline(text)
+        return shape in self.whole or any(shape[:k] in self.starts for k in self.sizes)
+
+    def inside(self, text):
+        return len(self.within) > 0 and next(self.within.iter(outline(text)), None) is not None
+
+
+class _Chunks(Memory):
+    """Words that a chunk of text stands for, or what `value` makes of them, by chunk; bounded.
+
+    With `outlines` of all that `value` looks for, chunks that cannot be read as any of it are not restored.
+    """
+
+    def __init__(self, model, value, outlines=None):
+        super().__init__(self.read, MOST_CHUNKS)
+        self.model, self.value, self.outlines = model, value, outlines
+
+    def read(self, chunk):
         words = _WORD.findall(chunk)
         if _ODD.search(chunk):
             edge = chunk.strip(FILL + '"”“?)}]>')
             # A final mark of exclamation may be one or a letter.
             for form in {edge, edge.rstrip("!")}:
-                words += self.model.restore(form).split()
-        made = self.value(words)
-        if len(self) >= MOST_WORDS:
-            self.clear()
-        self[chunk] = made
-        return made
+                if not self.outlines or self.outlines.as_word(form):
+                    words += self.model.restore(form).split()
+        return self.value(words)
 
 
-def _spaced(model, text):
+def _spaced(model, text, outlines=None):
     """Words that stand letter by letter, per run of letters: those of the run, and the run joined to the chunks beside it.
 
-    Words broken into parts of two letters or more, such as 'id iot', cannot be told from two words and are not read.
+    Words broken into parts of two letters or more, such as 'id iot', cannot be told from two words and are not read. With
+    `outlines`, what cannot be read as any of them is left out.
     """
     for m in _SPACED.finditer(text):
         run, after = _BLANK.sub("", m.group()), (m.group(1) or "").strip(FILL)
@@ -218,7 +269,10 @@ def _spaced(model, text):
             start -= 1
         before = text[start:end].strip(FILL)
         forms = {run + after, before + run, before + run + after} - {run}
-        yield model.restore(run, True).split(), [run, *forms, *map(model.restore, forms)]
+        if outlines:
+            forms = {f for f in forms if outlines.as_word(f)}
+        alone = model.restore(run, True).split() if not outlines or outlines.inside(run) else []
+        yield alone, [run, *forms, *map(model.restore, forms)]
 
 
 def restored_words(model, text, chunks):
@@ -232,19 +286,21 @@ class Scorer:
 
     def __init__(self, trigrams, weights, line):
         self.model, self.weights, self.line = CharacterModel(trigrams), weights, line
-        self.chunks = _Chunks(self.model, self.weight)
+        self.outlines = _Outlines(weights)
+        self.heads = {f[1 : 1 + STARTS[0]] for f in weights}  # all words with a feature begin so
+        self.chunks = _Chunks(self.model, self.weight, self.outlines)
 
     def weight(self, words):
         """The strongest feature of some words, 0 if they have none."""
-        known = self.weights
-        return max((known.get(f, 0.0) for w in words for f in features_of(w)), default=0.0)
+        known, heads = self.weights, self.heads
+        return max((known.get(f, 0.0) for w in words if w[: STARTS[0]] in heads for f in features_of(w)), default=0.0)
 
     def evidence(self, text):
         """Number of words with a weight, their mean weight and their share, each bounded."""
         low = (text or "").lower()
         chunks = low.split()
         found = [w for w in map(self.chunks.__getitem__, chunks) if w]
-        for run, joined in _spaced(self.model, low):
+        for run, joined in _spaced(self.model, low, self.outlines):
             known = [w for s in run if (w := self.weight([s]))]
             found += known or [w for w in [self.weight(joined)] if w]
         if not found:
@@ -313,7 +369,11 @@ def _features(sample, trigrams):
     odds = F.log((F.col("bad") + 0.5) / (bad + 1)) - F.log((F.col("clean") + 0.5) / (clean + 1))
     found = shown.groupBy("feature").agg(F.sum("clean").alias("clean"), F.sum("bad").alias("bad")).where(F.col("bad") >= LEAST_TEXTS)
     # A single clean text may quote a word, so the odds and not their certainty decide.
-    found = found.select("feature", odds.alias("weight")).where(f"weight >= {LEAST_ODDS}").orderBy(F.desc("weight"), "feature").limit(MOST_FEATURES)
+    found = found.select("feature", odds.alias("weight")).where(f"weight >= {LEAST_ODDS}")
+    found = write_and_read(found, "toxicity-features")
+    size = found.agg(F.sum(F.octet_length("feature") + 100)).first()[0] or 0
+    if size > FEATURE_BYTES:
+        raise ValueError(f"the features would take {size} bytes, more than {FEATURE_BYTES}: learn from fewer rows")
     return {r["feature"]: r["weight"] for r in found.collect()}
 
 
