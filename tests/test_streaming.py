@@ -12,6 +12,7 @@ from tripleweft.operators.rules import record_maps
 from tripleweft.operators.setops import graph_diff
 from tripleweft.scratch import base_dir
 from tripleweft.sources.streams import file_stream, with_file_attributes
+from tripleweft.streaming.bins import closed_bins, stream_bins
 from tripleweft.streaming.jobs import (
     RefreshedRules,
     stream_failure_split,
@@ -126,3 +127,28 @@ def test_batches_leave_no_folders(spark, tmp_path):
     stream_mapping_refresh(stream, refreshed, str(tmp_path / "out"), str(tmp_path / "checkpoint")).awaitTermination()
     assert spark.read.parquet(str(tmp_path / "out")).count() == 5
     assert len(set(base.iterdir()) - before) <= 3
+
+
+def test_bins_close_by_number_or_age():
+    assert list(closed_bins([0, 1, 2, 3, 20, 21, 40], 3, 10, 41)) == [(0, 3, "number"), (3, 4, "age"), (4, 6, "age")]
+    assert list(closed_bins([0, 1, 2], 3, 10, 2)) == []  # a further row of time 2 may come
+    assert list(closed_bins([5, 5, 5, 5], 3, 10, 6)) == [(0, 3, "number")]
+    assert list(closed_bins([], 3, 10, 100)) == []
+
+
+@pytest.mark.parametrize("cuts", [(), (3, 4, 9, 10, 11), (1, 2, 5, 7, 8, 12)])
+def test_bins_do_not_depend_on_batches(spark, tmp_path, cuts):
+    """The same bins however rows are cut into batches, with a restart between any two, late rows left out."""
+    times = [(1, 0), (2, 1), (1, 4), (1, 5), (2, 30), (1, 31), (None, 32), (1, 33), (1, 34), (1, 35), (2, 36), (2, 90), (1, 95)]
+    data = [(k, n, f"2024-01-01 00:0{s // 60}:{s % 60:02d}") for n, (k, s) in enumerate(times)]
+    given, out, checkpoint = [str(tmp_path / x) for x in ("in", "out", "checkpoint")]
+    for a, b in zip((0, *cuts), (*cuts, len(data)), strict=True):
+        df = spark.createDataFrame(data[a:b], "k int, n int, t string").withColumn("t", F.col("t").cast("timestamp"))
+        df.coalesce(1).write.mode("append").parquet(given)
+        stream = spark.readStream.schema(df.schema).option("maxFilesPerTrigger", 1).parquet(given)
+        stream_bins(stream, "k", "t", ["n"], out, checkpoint, 3, "20 seconds", "5 seconds").awaitTermination()
+    got = {(r.k, r.n): (r.bin_id, r.closed_by) for r in spark.read.parquet(out).collect()}
+    assert got == {
+        (1, 0): (0, "number"), (1, 2): (0, "number"), (1, 3): (0, "number"), (1, 5): (1, "number"), (1, 7): (1, "number"), (1, 8): (1, "number"),
+        (1, 9): (2, "age"), (2, 1): (0, "age"), (2, 4): (1, "age"), (2, 10): (1, "age"), (None, 6): (0, "age"),
+    }

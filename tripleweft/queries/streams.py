@@ -9,6 +9,7 @@ from tripleweft.queries.common import COLS, DECIMAL, EX, Registry, iri, link, mo
 from tripleweft.queries.rules import _BAD_EVENT_SQL, _NATION_RULES_SQL, nation_rules
 from tripleweft.scratch import new_path
 from tripleweft.sources.streams import file_stream, with_file_attributes
+from tripleweft.streaming.bins import stream_bins
 from tripleweft.streaming.jobs import (
     RefreshedRules,
     stream_failure_split,
@@ -78,6 +79,47 @@ def stream_merge_query(spark, sf_dir):
     return spark.read.parquet(out).select("kind", "id", "bin_id")
 
 
+def events_by_time(spark, sf_dir, parts):
+    """Events in `parts` ranges of time, one after the other."""
+    events = table(spark, sf_dir, "events").select("event_id", "ts", "user_id")
+    at = F.unix_millis(F.col("ts").cast("timestamp"))
+    cuts = events.agg(F.percentile_approx(at, [k / parts for k in range(1, parts)])).first()[0] or []
+    bounds = [None, *cuts, None]
+    for low, high in zip(bounds, bounds[1:], strict=False):
+        after = F.lit(True) if low is None else at >= low
+        yield events.where(after & (F.lit(True) if high is None else at < high))
+
+
+@registry.add(
+    "stream_bins",
+    """
+    WITH RECURSIVE r AS (
+      SELECT user_id, event_id, epoch_ms(ts) AS ms, row_number() OVER (PARTITION BY user_id ORDER BY epoch_ms(ts), event_id) AS rn FROM events),
+    limits AS (SELECT max(epoch_ms(ts)) - 3600000 AS until, 12 * 3600000 AS age FROM events),
+    b AS (
+      SELECT user_id, event_id, ms, rn, 0 AS bin_id, ms AS start, 1 AS k FROM r WHERE rn = 1
+      UNION ALL
+      SELECT r.user_id, r.event_id, r.ms, r.rn,
+             CASE WHEN b.k = 3 OR r.ms >= b.start + age THEN b.bin_id + 1 ELSE b.bin_id END,
+             CASE WHEN b.k = 3 OR r.ms >= b.start + age THEN r.ms ELSE b.start END,
+             CASE WHEN b.k = 3 OR r.ms >= b.start + age THEN 1 ELSE b.k + 1 END
+      FROM b JOIN r ON r.user_id = b.user_id AND r.rn = b.rn + 1, limits),
+    bins AS (SELECT user_id, bin_id, count(*) AS n, max(ms) AS last, min(start) AS start FROM b GROUP BY user_id, bin_id)
+    SELECT b.user_id, b.event_id, CAST(b.bin_id AS BIGINT) AS bin_id, CASE WHEN n = 3 AND last < until THEN 'number' ELSE 'age' END AS closed_by
+    FROM b JOIN bins USING (user_id, bin_id), limits WHERE (n = 3 AND last < until) OR bins.start + age <= until
+    """,
+)
+def stream_bins_query(spark, sf_dir):
+    """Bins of three events of a user, or of twelve hours, over six deliveries with a restart after the third."""
+    given, out, checkpoint = new_path(spark, "bins-in"), new_path(spark, "bins"), new_path(spark, "checkpoint")
+    for k, part in enumerate(events_by_time(spark, sf_dir, 6)):
+        part.coalesce(1).write.mode("append").parquet(given)
+        if k in (2, 5):
+            arriving = spark.readStream.schema(part.schema).option("maxFilesPerTrigger", 1).parquet(given)
+            stream_bins(arriving, "user_id", "ts", ["event_id"], out, checkpoint, 3, "12 hours", "1 hour").awaitTermination()
+    return spark.read.parquet(out).select("user_id", "event_id", "bin_id", "closed_by")
+
+
 @registry.add("stream_mapping_refresh", _NATION_RULES_SQL)
 def stream_mapping_refresh_query(spark, sf_dir):
     """Rules are read again for each batch (TTL 0)."""
