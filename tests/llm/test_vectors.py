@@ -67,6 +67,41 @@ def test_links_of_many_rescaled_vectors(spark, monkeypatch):
     assert {(r.n_links, r.component_id) for r in got} == {(159, 0)} and len(got) == 160
 
 
+def test_links_over_many_blocks(spark, monkeypatch):
+    monkeypatch.setattr(cosine_dedup, "BLOCK_ROWS", 1)
+    monkeypatch.setattr(cosine_dedup, "MOST_CUTS", 1200)
+    rng = np.random.default_rng(5)
+    x = rng.standard_normal((2000, 4)).astype(np.float32)
+    x[1::100] = x[::100] * np.float32(1.7)
+    links, label = brute_links(x, 1 - 1e-9)
+    assert links.sum() >= 40
+    df = spark.createDataFrame([(i, [float(v) for v in row]) for i, row in enumerate(x)], SCHEMA)
+    got = link_vectors(df, 1 - 1e-9).collect()
+    assert sorted((r.vec_id, r.n_links, r.component_id) for r in got) == [(i, links[i], label[i]) for i in range(2000)]
+
+
+def test_one_direction_is_one_class_and_ties_are_split(spark, monkeypatch):
+    """Copies of many lengths are compared once; rows of one value of the first component go to several blocks."""
+    data = [(i, [3.0 * (i + 1), 1.0 * (i + 1)]) for i in range(50_000)]
+    df = spark.createDataFrame(data, SCHEMA).repartition(4)
+    assert cosine_dedup._directions(df).select("direction").distinct().count() == 1
+    assert [tuple(r) for r in link_vectors(df).groupBy("n_links", "component_id").count().collect()] == [(49_999, 0, 50_000)]
+    monkeypatch.setattr(cosine_dedup, "BLOCK_ROWS", 50)
+    blocks = cosine_dedup._Blocks([-0.5, 0.5, 0.5, 0.7], 0.1)
+    lead = np.concatenate([np.full(1000, 0.5), np.linspace(-1, 1, 100)])
+    blocks.cut(dict(zip(*np.unique(blocks.range_of(lead), return_counts=True), strict=True)))
+    part, low, high = blocks.place(lead, np.arange(1100))
+    assert np.bincount(part).max() < 100 and len(set(part[:1000].tolist())) >= 20
+    assert all((low[i] <= part[j] <= high[i]) == (low[j] <= part[i] <= high[j]) for i in range(0, 1100, 7) for j in range(1100))
+    assert all(low[i] <= part[j] <= high[i] for i in range(0, 1100, 7) for j in np.flatnonzero(abs(lead - lead[i]) <= 0.1))
+
+
+def test_two_vectors_of_one_id_keep_their_own_links(spark):
+    data = [(1, [1.0, 0.0]), (1, [0.0, 1.0]), (5, [1.0, 0.01]), (6, [0.01, 1.0]), (7, [0.02, 1.0])]
+    got = sorted(tuple(r) for r in link_vectors(spark.createDataFrame(data, SCHEMA)).collect())
+    assert got == [(1, 1, 1, True), (1, 2, 1, True), (5, 1, 1, False), (6, 2, 1, False), (7, 2, 1, False)]
+
+
 def test_links_of_few_or_no_vectors(spark):
     empty = spark.createDataFrame([], SCHEMA)
     assert link_vectors(empty).count() == 0
