@@ -1,5 +1,8 @@
 """Edge cases of the readers."""
 
+import json
+import random
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -8,6 +11,7 @@ from tripleweft.functions.paths import resolver
 from tripleweft.sources.csv import csv_records
 from tripleweft.sources.json import iterate_variant, json_records, parse_text, variant_documents
 from tripleweft.sources.ntriples import ntriples_scan, parse_ntriples
+from tripleweft.sources.splits import JsonPieces, XmlPieces, record_texts
 from tripleweft.sources.synthetic import generate_ids, rate_ids, synthetic_customers, synthetic_invoices
 from tripleweft.sources.tables import parquet_table
 from tripleweft.sources.xml import xml_records
@@ -174,13 +178,97 @@ def test_xml_iterator_paths(spark, put):
     assert found("/r/a/item[@kind='z']") == [("1",)]
     assert found("/r/a[@t='2']/item") == []
     assert found("//item[@kind='z']") == [("1",), ("3",)]
-    assert found("/r/item", exact=True) == [("4",)]
-    assert found("/r/a/item", exact=True) == [("1",), ("2",)]
-    for bad in ("/r/*", "item", "/r//item", "/r[@x]/item"):
+    assert found("/r/item") == [("4",)]
+    assert found("/r[@x]/item") == []
+    assert found("/r[b/item]/a/item") == [("1",), ("2",)]
+    assert found("/nope/item") == found("/nope/a/item") == []
+    for bad in ("/r/*", "item", "/r//item"):
         with pytest.raises(ValueError):
             found(bad)
 
 
+@pytest.fixture(params=[7, 13, 40, 1000, 1 << 20])
+def small_splits(spark, request):
+    """Splits of so many bytes, which cut texts anywhere."""
+    names = {"spark.sql.files.maxPartitionBytes": str(request.param), "spark.sql.files.openCostInBytes": "1"}
+    before = {n: spark.conf.get(n) for n in names}
+    for n, v in names.items():
+        spark.conf.set(n, v)
+    yield request.param
+    for n, v in before.items():
+        spark.conf.set(n, v)
+
+
+XML = (
+    '<?xml version="1.0"?>\n<!-- <r><item>no</item></r> -->\n<r><item a="x > y">1</item><x><item>2</item><r><item>no</item></r></x><item/>'
+    "<![CDATA[<item>3</item>]]><item><item>4</item><!-- </item> --><?x </item> ?></item>\n<item>é < 5</item></r>".replace("é < 5", "é &lt; 5")
+)
+
+
+def test_xml_elements_over_splits(spark, put, small_splits):
+    path = put("a.xml", XML)
+
+    def texts(*names):
+        return sorted(r.text for r in record_texts(spark, path, XmlPieces(names)).collect())
+
+    assert texts("r", "item") == sorted(['<item a="x > y">1</item>', "<item/>", "<item><item>4</item><!-- </item> --><?x </item> ?></item>", "<item>é &lt; 5</item>"])
+    assert texts("r", "x", "item") == ["<item>2</item>"]
+    assert texts("item") == texts("nope", "item") == []
+    assert texts("r") == [XML[XML.index("\n<r>") + 1 :]]
+    records = xml_records(spark, path, "/r/item", ["@a", "text()"])
+    value = resolver(records, "xml")
+    assert rows(records.select(value("@a"), value("text()")).where(value("text()").isNotNull())) == [("x > y", "1"), (None, "é < 5")]
+
+
+def _some_json(rng, depth=0):
+    kind = rng.random()
+    if depth < 3 and kind < 0.25:
+        return {rng.choice('ab"{}\\'): _some_json(rng, depth + 1) for _ in range(rng.randint(0, 3))}
+    if depth < 3 and kind < 0.4:
+        return [_some_json(rng, depth + 1) for _ in range(rng.randint(0, 3))]
+    return rng.choice([1, 2.5, None, True, "x}y", '{"', "\\", "é]", '"', "", "},{"])
+
+
+def test_json_items_over_splits(spark, put, small_splits):
+    rng = random.Random(small_splits)
+    for n in range(4):
+        items = [{"k": i, "v": _some_json(rng)} if rng.random() < 0.8 else [_some_json(rng)] for i in range(rng.randint(0, 25))]
+        document = items if n else {"only": items}
+        path = put(f"{n}.json", json.dumps(document, indent=rng.choice([None, 1]), ensure_ascii=False) + rng.choice(["", "\n"]))
+        got = [json.dumps(json.loads(r.text)) for r in record_texts(spark, path, JsonPieces()).collect()]
+        assert sorted(got) == sorted(map(json.dumps, document if n else [document]))
+
+
+def test_json_array_over_splits(spark, put, small_splits):
+    path = put("a.json", json.dumps([{"id": k, "t": f'] }}, [{{ "{k}\\'} for k in range(30)]))
+    records = json_records(spark, path, ["id", "t"], "$[*]", multi_line=True)
+    value = resolver(records, "json")
+    assert rows(records.select(value("id"), value("t"))) == sorted([(str(k), f'] }}, [{{ "{k}\\') for k in range(30)], key=repr)
+
+
+@pytest.mark.parametrize("text", ['[{"a":1},{"b":2', '[{"a":1}', '[{"a":"x}', "[1, 2]", '[{"a":1}, "s"]'])
+def test_broken_arrays_fail(spark, put, text):
+    with pytest.raises(Exception, match="ends within|neither objects nor arrays"):
+        json_records(spark, put("a.json", text), ["a"], multi_line=True).collect()
+
+
+def test_open_elements_fail(spark, put):
+    with pytest.raises(Exception, match="ends within"):
+        xml_records(spark, put("a.xml", "<r><item>1</item>"), "/r/item", ["text()"]).collect()
+
+
+def test_other_splits_than_before_fail(spark, put):
+    path = put("a.json", json.dumps([{"id": k} for k in range(50)]))
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    try:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", "64")
+        records = json_records(spark, path, ["id"], multi_line=True)
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+    with pytest.raises(Exception, match="another split"):
+        records.collect()
+
+
 def test_csv_keeps_lines_of_white_space(spark, put):
     path = put("w.csv", "a\nx\n   \n\n\t\ny\n")
     assert rows(csv_records(spark, path)) == [("   ",), ("\t",), ("x",), ("y",)]

@@ -1,5 +1,8 @@
 """Queries on sources: tables are written in a file format, read back and mapped."""
 
+from contextlib import contextmanager
+
+import pyarrow as pa
 from pyspark.sql import functions as F
 
 from tripleweft.functions.paths import resolver
@@ -23,7 +26,7 @@ from tripleweft.queries.common import (
     triples_sql,
 )
 from tripleweft.mapping import TriplesMap, template
-from tripleweft.scratch import new_path
+from tripleweft.scratch import new_path, write_and_read
 from tripleweft.sinks.ntriples import write_ntriples
 from tripleweft.sources.csv import csv_records
 from tripleweft.sources.json import iterate_variant, json_records, variant_documents
@@ -102,6 +105,51 @@ def json_array_scan(spark, sf_dir):
     return records.select(*[value(n).alias(n) for n in names])
 
 
+@contextmanager
+def _small_splits(spark, size):
+    """File splits of at most `size` bytes for what is run meanwhile, so that documents of a test table have several."""
+    wanted = {"spark.sql.files.maxPartitionBytes": str(size), "spark.sql.files.openCostInBytes": "1"}
+    before = {n: spark.conf.get(n) for n in wanted}
+    for n, v in wanted.items():
+        spark.conf.set(n, v)
+    try:
+        yield
+    finally:
+        for n, v in before.items():
+            spark.conf.set(n, v)
+
+
+def _as_array(batches):
+    """The JSON lines of a file as one array."""
+    comma = "["
+    for batch in batches:
+        lines = [comma + line if not k else "," + line for k, line in enumerate(batch.column(0).to_pylist())]
+        comma = "," if lines else comma
+        yield pa.RecordBatch.from_arrays([pa.array(lines, pa.string())], ["value"])
+    yield pa.RecordBatch.from_arrays([pa.array(["[]" if comma == "[" else "]"])], ["value"])
+
+
+@registry.add(
+    "json_array_splits",
+    """
+    SELECT CAST(doc_id AS VARCHAR) AS id, text || ' "}], [{' AS text, '["' || lang || '",{"s\\\\}":"' || source || '"}]' AS tags FROM documents
+    WHERE text IS NOT NULL
+    """,
+)
+def json_array_splits(spark, sf_dir):
+    """Items of large arrays, with brackets and quotes inside their strings, read in splits of 64 KB."""
+    path = new_path(spark, "documents-array")
+    tags = F.concat(F.lit('["'), "lang", F.lit('",{"s\\\\}":"'), "source", F.lit('"}]'))
+    item = F.struct("doc_id", F.concat("text", F.lit(' "}], [{')).alias("text"), F.parse_json(tags).alias("tags"))
+    lines = table(spark, sf_dir, "documents").where("text IS NOT NULL").select(F.to_json(item).alias("value"))
+    lines.mapInArrow(_as_array, "value string").write.text(path)
+    with _small_splits(spark, 1 << 16):
+        records = json_records(spark, path, ["doc_id", "text", "tags"], "$[*]", multi_line=True)
+        value = resolver(records, "json")
+        out = records.select(value("doc_id").alias("id"), value("text").alias("text"), value("tags").alias("tags"))
+        return write_and_read(out, "documents-read")
+
+
 def write_order_documents(spark, sf_dir):
     """An object per line with the records two arrays down."""
     path = new_path(spark, "orders-nested-json")
@@ -210,19 +258,28 @@ def iterator_predicate(spark, sf_dir):
     """,
 )
 def xml_iterator_path(spark, sf_dir):
-    """Elements of one name below two parents, chosen by the path and a predicate of its last step."""
+    """Elements of one name below two parents and at two depths, chosen by the path and a predicate of its last step.
+
+    What a path with another root names is nothing. Splits of 64 KB cut records anywhere.
+    """
     path = new_path(spark, "orders-by-state")
     order = F.struct(
         F.col("o_orderkey").cast("string").alias("_id"), F.col("o_orderpriority").alias("_priority"), F.col("o_custkey").cast("string").alias("customer")
     )
     is_open = F.col("o_orderstatus") == "O"
-    batches = table(spark, sf_dir, "orders").groupBy(F.floor(F.col("o_orderkey") / 50).alias("batch"))
+    batches = table(spark, sf_dir, "orders").groupBy(F.floor(F.col("o_orderkey") / 50).alias("key"))
     groups = batches.agg(F.collect_list(F.when(is_open, order)).alias("a"), F.collect_list(F.when(~is_open, order)).alias("b"))
-    rows = groups.select(F.struct(F.col("a").alias("order")).alias("open"), F.struct(F.col("b").alias("order")).alias("closed"))
+    closed, opened = F.struct(F.col("b").alias("order")), F.struct(F.col("a").alias("order"))
+    # Deeper down, and under another parent, the same names hold what the path does not mean.
+    rows = groups.select(opened.alias("open"), closed.alias("closed"), F.struct(F.struct(closed.alias("open")).alias("batch")).alias("old"))
     rows.write.format("xml").option("rootTag", "orders").option("rowTag", "batch").save(path)
-    records = xml_records(spark, path, "/orders/batch/open/order[not(@priority='1-URGENT')]", ["@id", "customer"])
-    value = resolver(records, "xml")
-    return records.select(value("@id").alias("id"), value("customer").alias("customer"))
+    with _small_splits(spark, 1 << 16):
+        found = []
+        for root in ("orders", "order"):
+            records = xml_records(spark, path, f"/{root}/batch/open/order[not(@priority='1-URGENT')]", ["@id", "customer"])
+            value = resolver(records, "xml")
+            found.append(records.select(value("@id").alias("id"), value("customer").alias("customer")))
+        return write_and_read(found[0].unionByName(found[1]), "orders-read")
 
 
 @registry.add(

@@ -4,6 +4,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tripleweft.functions.paths import RECORD, field, json_steps, reference_steps, variant_path
+from tripleweft.plans.once import evaluate_once
+from tripleweft.sources.splits import JsonPieces, record_texts
 
 
 def _insert(tree, steps):
@@ -65,11 +67,15 @@ def json_records(spark, path, references, iterator=None, multi_line=False, leaf=
     and any other root one record. Other iterators walk names and `[*]`; every
     array on the way needs its `[*]`, since the read schema follows from the
     path (`iterate_variant` takes documents whose shape is not known).
-    Files with one record per line are read in splits; `multi_line` reads
-    each file as one document.
+    Files with one record per line are read in splits; `multi_line` takes
+    each file as one document. The items of a root array are read in splits
+    too (`sources/splits.py`); with any other iterator a document is one task's.
     """
     steps = _below_root(iterator)
     schema = schema_for(references, iterator, leaf)
+    if multi_line and not steps:
+        parsed = F.from_json("text", schema, {"mode": mode})
+        return evaluate_once(record_texts(spark, path, JsonPieces()), parsed.alias(RECORD)).select(f"{RECORD}.*")
     reader = spark.read.schema(schema).option("multiLine", multi_line).option("mode", mode)
     records = reader.json(path)
     if not steps:

@@ -7,6 +7,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tripleweft.functions.paths import xml_present, xml_steps, xml_value
+from tripleweft.plans.once import evaluate_once
+from tripleweft.sources.splits import XmlPieces, record_texts
 
 _STEP = re.compile(r"(//?)([\w:.-]+)((?:\[[^\]]*\])*)")
 _TEST = re.compile(r"""^(not\()?\s*(@?[^\W\d][\w:.-]*(?:/@?[^\W\d][\w:.-]*)*)\s*(?:=\s*(?:'([^']*)'|"([^"]*)"))?\s*(?(1)\))$""")
@@ -96,24 +98,20 @@ def schema_for(references, nested=""):
     return build(tree)
 
 
-def xml_records(spark, path, iterator, references, also=(), attr_fallback=False, mode="FAILFAST", exact=False):
+def xml_records(spark, path, iterator, references, also=(), attr_fallback=False, mode="FAILFAST"):
     """Records of an XML path: the elements that the iterator names.
 
-    `//name` takes elements of that name wherever they are. `/root/a/b` reads the elements below the root's child `a`
-    in splits and walks down from there; it takes `a` to occur as a child of the root only. `exact` reads each file as
-    one tree from its root instead, which holds in any document but needs a task's memory for a file.
+    `//name` takes elements of that name wherever they are. `/root/a/b` takes elements of just that path: splits of large
+    files know what is open where they start (`sources/splits.py`), and elements below the root's child are walked down
+    from there. With a predicate on the root, a file's root is one record, which takes a task's memory for the file.
 
     Steps may have predicates: `@name='x'`, `path='x'`, `path`, `not(...)`, joined by `and` and `or`. Others are an
     error. The schema holds only the references, what predicates test, and the `also` paths. Names are taken raw,
     prefix included. With `attr_fallback`, a child that is absent or empty is taken from the attribute of its name.
     """
     steps, anywhere = iterator_steps(iterator)
-    if anywhere or len(steps) == 1:
-        walked = steps
-    else:
-        if steps[0][1] and not exact:
-            raise ValueError(f"a predicate on the root needs exact=True: {iterator}")
-        walked = steps if exact else steps[1:]
+    below = 0 if anywhere or len(steps) == 1 or steps[0][1] else 1
+    walked = steps[below:]
     paths, prefix = [], ""
     for i, (name, predicates) in enumerate(walked):
         if i:
@@ -121,14 +119,14 @@ def xml_records(spark, path, iterator, references, also=(), attr_fallback=False,
         paths += [prefix + p for p in _predicate_paths(predicates)]
     paths += [prefix + r for r in (*references, *also)]
     fallbacks = [f"{prefix}@{r}" for r in references if attr_fallback and len(xml_steps(r)) == 1 and not r.startswith("@")]
-    records = (
-        spark.read.format("xml")
-        .schema(schema_for([*paths, *fallbacks], nested=prefix))
-        .option("rowTag", walked[0][0])
-        .option("ignoreSurroundingSpaces", False)
-        .option("mode", mode)
-        .load(path)
-    )
+    schema = schema_for([*paths, *fallbacks], nested=prefix)
+    options = {"rowTag": walked[0][0], "ignoreSurroundingSpaces": "false", "mode": mode}
+    if anywhere:
+        records = spark.read.format("xml").schema(schema).options(**options).load(path)
+    else:
+        texts = record_texts(spark, path, XmlPieces([name for name, _ in steps[: below + 1]]))
+        parsed = F.from_xml("text", schema, options)
+        records = evaluate_once(texts, parsed.alias("_e")).select("_e.*")
     for i, (name, predicates) in enumerate(walked):
         if i:
             records = records.select(F.explode(F.col(f"`{name}`")).alias("_e"))
