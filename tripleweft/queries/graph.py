@@ -13,11 +13,12 @@ from tripleweft.operators.aggregates import (
     throughput,
     triple_count,
 )
-from tripleweft.operators.events import first_event_since, merge_bins, ordered_report
+from tripleweft.operators.events import first_event_since, first_of_candidates, merge_bins, ordered_report
 from tripleweft.operators.graph import (
     coreference_merge,
     dangling_links,
     links,
+    number,
     path_join,
     shared_subjects,
     star,
@@ -25,6 +26,7 @@ from tripleweft.operators.graph import (
     typed_filter,
 )
 from tripleweft.operators.isomorphism import graph_diff_unlabelled, graph_isomorphic
+from tripleweft.operators.patterns import match_patterns
 from tripleweft.operators.setops import graph_diff, graph_distinct, graph_merge
 from tripleweft.functions.text import short_key
 from tripleweft.functions.times import start_text
@@ -32,6 +34,7 @@ from tripleweft.plans.compile import count_triples, materialise, triples_of
 from tripleweft.queries.common import (
     COLS,
     CUSTOMER_SQL,
+    DECIMAL,
     EX,
     LINEITEM_SQL,
     NATION_SQL,
@@ -49,6 +52,8 @@ from tripleweft.queries.common import (
     table,
     triples_sql,
 )
+from tripleweft.scratch import new_path
+from tripleweft.sinks.buckets import append_distinct, read_graph
 from tripleweft.vocab import BLANK, BNODE, IRI, LITERAL, RDF_TYPE, SCHEMA
 
 registry = Registry()
@@ -131,12 +136,12 @@ def bgp_star_multi(spark, sf_dir):
     "bgp_star_product",
     f"""
     SELECT DISTINCT {iri("user", "a.user_id")} AS "user", a.event_type AS did, CAST(CAST(b.value AS DECIMAL(18,2)) AS VARCHAR) AS amount
-    FROM events a JOIN events b ON a.user_id = b.user_id WHERE b.value > 990
+    FROM events a JOIN events b ON a.user_id = b.user_id WHERE b.value > 450
     """,
 )
 def bgp_star_product(spark, sf_dir):
     """Every combination of what a user did and of the large amounts of that user."""
-    large = F.when(F.col("value") > 990, money("value").cast("string"))
+    large = F.when(F.col("value") > 450, money("value").cast("string"))
     tm = TriplesMap("events", EX + "user/{user_id}", objects=((EX + "did", ref("event_type")), (EX + "amount", ref("large"))))
     graph = triples_of(table(spark, sf_dir, "events").withColumn("large", large), tm)
     return star_join(graph, {"did": EX + "did", "amount": EX + "amount"}, "user")
@@ -184,6 +189,66 @@ def bgp_query(spark, sf_dir):
     return path_join(offers, rich, "customer", counts_from=pointing).select("name", "balance", "price")
 
 
+def chain_graph(spark, sf_dir):
+    """Regions, nations, customers, orders and items, each linked to the one before."""
+    maps = [
+        TriplesMap("region", EX + "region/{r_regionkey}", objects=((SCHEMA + "name", ref("r_name")),)),
+        TriplesMap("nation", EX + "nation/{n_nationkey}", objects=((EX + "region", template(EX + "region/{n_regionkey}")), (SCHEMA + "name", ref("n_name")))),
+        TriplesMap("customer", EX + "customer/{c_custkey}", objects=((EX + "nation", template(EX + "nation/{c_nationkey}")), (SCHEMA + "name", ref("c_name")))),
+        TriplesMap("orders", EX + "order/{o_orderkey}", objects=((EX + "customer", template(EX + "customer/{o_custkey}")),)),
+        TriplesMap("lineitem", EX + "item/{l_orderkey}-{l_linenumber}", objects=((EX + "order", template(EX + "order/{l_orderkey}")), (EX + "quantity", ref(money("l_quantity"), datatype=DECIMAL)))),
+    ]
+    return graph_merge(*[triples_of(table(spark, sf_dir, m.source), m) for m in maps])
+
+
+CHAIN = (
+    ("?region", SCHEMA + "name", "ASIA"),
+    ("?nation", EX + "region", "?region"),
+    ("?nation", SCHEMA + "name", "?country"),
+    ("?customer", EX + "nation", "?nation"),
+    ("?order", EX + "customer", "?customer"),
+    ("?item", EX + "order", "?order"),
+    ("?item", EX + "quantity", "?quantity"),
+)
+
+
+@registry.add(
+    "bgp_chain",
+    f"""
+    SELECT DISTINCT n_name AS country, {iri("customer", "c_custkey")} AS customer, {iri("order", "o_orderkey")} AS "order",
+           {iri("item", "l_orderkey || '-' || l_linenumber")} AS item
+    FROM region JOIN nation ON n_regionkey = r_regionkey JOIN customer ON c_nationkey = n_nationkey
+         JOIN orders ON o_custkey = c_custkey JOIN lineitem ON l_orderkey = o_orderkey
+    WHERE r_name = 'ASIA' AND l_quantity >= 49
+    """,
+)
+def bgp_chain(spark, sf_dir):
+    """Items of large quantity whose customers live in one region: a chain of five with a selective end on both sides."""
+    large = {"quantity": lambda text: number(text) >= 49}
+    return match_patterns(chain_graph(spark, sf_dir), CHAIN, ["country", "customer", "order", "item"], large)
+
+
+@registry.add(
+    "bgp_circle",
+    f"""
+    SELECT DISTINCT {iri("customer", "c_custkey")} AS customer, {iri("supplier", "s_suppkey")} AS supplier, {iri("nation", "n_nationkey")} AS nation
+    FROM orders JOIN lineitem ON l_orderkey = o_orderkey JOIN customer ON c_custkey = o_custkey
+         JOIN supplier ON s_suppkey = l_suppkey JOIN nation ON n_nationkey = c_nationkey AND n_nationkey = s_nationkey
+    """,
+)
+def bgp_circle(spark, sf_dir):
+    """Customers who ordered from a supplier of their own nation: the patterns close a circle."""
+    maps = [
+        TriplesMap("customer", EX + "customer/{c_custkey}", objects=((EX + "nation", template(EX + "nation/{c_nationkey}")),)),
+        TriplesMap("supplier", EX + "supplier/{s_suppkey}", objects=((EX + "seat", template(EX + "nation/{s_nationkey}")),)),
+        TriplesMap("orders", EX + "order/{o_orderkey}", objects=((EX + "customer", template(EX + "customer/{o_custkey}")),)),
+        TriplesMap("lineitem", EX + "order/{l_orderkey}", objects=((EX + "from", template(EX + "supplier/{l_suppkey}")),)),
+    ]
+    graph = graph_merge(*[triples_of(table(spark, sf_dir, m.source), m) for m in maps])
+    circle = [("?order", EX + "customer", "?customer"), ("?order", EX + "from", "?supplier"), ("?customer", EX + "nation", "?nation"), ("?supplier", EX + "seat", "?nation")]
+    return match_patterns(graph, circle, ["customer", "supplier", "nation"])
+
+
 def _three_sources(spark, sf_dir):
     """Customers, orders and events that describe the same subjects."""
     subject = {"customer": "c_custkey", "orders": "o_custkey", "events": "user_id"}
@@ -507,6 +572,17 @@ def graph_diff_unlabelled_query(spark, sf_dir):
     return delta.groupBy("p", shown.alias("o"), "side").agg(F.sum("copies").alias("triples"))
 
 
+@registry.add("graph_append_distinct", f"SELECT DISTINCT {COLS} FROM ({LINEITEM_SQL})")
+def graph_append_distinct(spark, sf_dir):
+    """Three deliveries that overlap, added one after the other to a graph without repeats."""
+    path = new_path(spark, "graph")
+    everything = table(spark, sf_dir, "lineitem")
+    for low, high in ((0, 5), (3, 8), (0, 100)):
+        part = everything.where(F.col("l_linenumber").between(low, high))
+        append_distinct(triples_of(part, lineitem_map()), path, buckets=16)
+    return read_graph(spark, path)
+
+
 # --- events and reports -----------------------------------------------------------
 
 
@@ -526,6 +602,22 @@ def first_event_since_query(spark, sf_dir):
     )
 
 
+@registry.add(
+    "first_of_candidates",
+    """
+    SELECT user_id, ts, event_id, value FROM (
+      SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) AS found FROM (
+        SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) AS rn FROM events WHERE ts >= TIMESTAMP '2024-01-04 23:59:58')
+      WHERE rn <= 3 AND event_type = 'error')
+    WHERE found = 1
+    """,
+)
+def first_of_candidates_query(spark, sf_dir):
+    """The first error among the first three events of a user; later ones do not count."""
+    since = F.lit("2024-01-05 00:00:00").cast("timestamp_ntz")
+    return first_of_candidates(table(spark, sf_dir, "events"), "user_id", "ts", ["event_id"], since, F.col("event_type") == "error", ["value"], 3)
+
+
 @registry.add(
     "merge_bins",
     "SELECT event_id, user_id, (row_number() OVER (ORDER BY ts, event_id) - 1) // 3 AS bin_id FROM events",

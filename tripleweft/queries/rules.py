@@ -10,6 +10,7 @@ from tripleweft.operators.rules import (
     rules_from_mapping_triples,
     validate_rules,
 )
+from tripleweft.plans.asof import as_of_join
 from tripleweft.plans.joins import checked_join
 from tripleweft.queries.common import DECIMAL, EX, INTEGER, Registry, table
 from tripleweft.sources.ntriples import parse_ntriples
@@ -362,3 +363,20 @@ def failure_dead_letters(spark, sf_dir):
 def failure_per_record(spark, sf_dir):
     good, _ = split_events(spark, sf_dir, per_record=True)
     return good.select("event_id", "user_id")
+
+
+@registry.add(
+    "mapping_as_of",
+    f"""
+    SELECT '{EX}event/' || e.event_id AS s, '{EX}v' || v.version || '/value' AS p, CAST(CAST(e.value AS DECIMAL(18,2)) AS VARCHAR) AS o
+    FROM events e ASOF JOIN (SELECT event_type, ts, event_id AS version FROM events WHERE event_id % 97 = 0) v
+         ON e.event_type = v.event_type AND e.ts >= v.ts
+    """,
+)
+def mapping_as_of(spark, sf_dir):
+    """Events under the rules that their tenant had when they came; the rules change again and again."""
+    events = table(spark, sf_dir, "events").withColumnRenamed("event_type", "tenant")
+    rules = events.where("event_id % 97 = 0").select("tenant", F.col("ts").alias("since"), F.concat(F.lit(EX + "v"), "event_id", F.lit("/value")).alias("predicate"))
+    ruled = as_of_join(events.select("tenant", "ts", "event_id", "value"), rules, "tenant", "ts", "since", ["predicate"], partitions=8)
+    ruled = ruled.where("predicate IS NOT NULL")
+    return ruled.select(F.concat(F.lit(EX + "event/"), "event_id").alias("s"), F.col("predicate").alias("p"), F.col("value").cast("decimal(18,2)").cast("string").alias("o"))
