@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from tripleweft.scratch import write_and_read
+from tripleweft.scratch import Steps, write_and_read
 
 
 def _checksum(edges):
@@ -34,15 +34,18 @@ def components(edges, label="component"):
     not the chain. Loops and null ends are ignored; an empty edge list gives no rows. A node with very many edges is
     pre-aggregated by `min`, and its side of the join may be split by adaptive execution, as the other side has one row.
     """
-    edges = write_and_read(edges.select("a", "b").where("a <> b"), "edges")
-    now = write_and_read(_small_star(edges), "components")
+    spark, first, steps = edges.sparkSession, Steps("edges"), Steps("components")
+    now = steps.write(_small_star(first.write(edges.select("a", "b").where("a <> b"))))
+    first.drop(spark)
     state = _checksum(now)
     while state[0]:
-        now = write_and_read(_small_star(_large_star(now)), "components")
+        now = steps.write(_small_star(_large_star(now)))
         after = _checksum(now)
         if after == state:
             break
         state = after
+    now = write_and_read(now, "components")
+    steps.drop(spark)
     # Small-star leaves stars: each node has one edge, to the smallest of its component.
     least = now.groupBy("a").agg(F.min("b").alias(label))
     return least.withColumnRenamed("a", "node").unionByName(now.select(F.col("b").alias("node"), F.col("b").alias(label)).distinct())

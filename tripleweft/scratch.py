@@ -59,6 +59,38 @@ def untracked():
         _noting[:] = outer
 
 
+class Steps:
+    """Tables of a loop that each follow from the one before, which goes once the next is written."""
+
+    def __init__(self, label):
+        self._label, self._path = label, None
+
+    def write(self, df):
+        spark = df.sparkSession
+        with untracked() as made:
+            out = write_and_read(df, self._label)
+        self.drop(spark)
+        [self._path] = made
+        return out
+
+    def drop(self, spark):
+        """Delete the last table too."""
+        if self._path:
+            drop_path(spark, self._path)
+        self._path = None
+
+
+def result_alone(spark, make, label):
+    """The rows that `make()` returns, written to the shared folder; all tables that it wrote on the way are deleted."""
+    with untracked() as made:
+        out = write_and_read(make(), label)
+    for path in made[:-1]:
+        drop_path(spark, path)
+    for noted in _noting:
+        noted.append(made[-1])
+    return out
+
+
 class BatchScratch:
     """Folders that the micro-batches of a stream make: those of a batch go once a later one begins, when it is committed."""
 
