@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from conftest import rows
 from tripleweft.functions.paths import resolver
 from tripleweft.sources.csv import csv_records
+from tripleweft.sources.deep_json import iterate_deep
 from tripleweft.sources.json import iterate_variant, json_records, parse_text, variant_documents
 from tripleweft.sources.ntriples import ntriples_scan, parse_ntriples
 from tripleweft.sources.splits import JsonPieces, XmlPieces, record_texts
@@ -110,6 +111,45 @@ def test_variant_iterators(spark, put, iterator, want):
     assert [r[0] for r in records.select(resolver(records, "json")("t")).collect()] == want
 
 
+DEEP = (
+    '{"a":{"k":1,"b":[{"k":"1","n":"x"},{"k":2.5,"c":{"k":null,"k2":[{"k":true}]}},[{"k":[{"k":7}]}]]},"k":"top",'
+    '"list":[{"k":1,"t":"u"},{"k":3,"t":"v"},{"t":"w"},{"k":"3"},5,null]}'
+)
+
+
+@pytest.mark.parametrize(
+    ("iterator", "want"),
+    [
+        ("$..k", ['"1"', '"top"', '"3"', "1", "1", "2.5", "3", "7", "true", '[{"k":7}]']),
+        ("$.a..k", ['"1"', "1", "2.5", "7", "true", '[{"k":7}]']),
+        ("$.list[?(@.k)].t", ['"u"', '"v"']),
+        ("$.list[?(@.k >= 1)].k", ["1", "3"]),
+        ("$.list[?(@.k == 3 || @.t=='w')].t", ['"v"', '"w"']),
+        ("$.list[?(@.k == '3')].k", ['"3"']),
+        ("$.list[?(@.k != 3)].k", ['"3"', "1"]),
+        ("$.list[?(@.k > 0 && @.t == \"u\")].t", ['"u"']),
+        ("$..k2[*].k", ["true"]),
+        ("$..b[?(@.c.k2[0].k == true)].k", ["2.5"]),
+        ("$..c[?(@.k)]", []),
+        ("$..b[2][0].k[0]", ['{"k":7}']),
+        ("$..none", []),
+        ("$.list[*].k", ['"3"', "1", "3"]),
+        ("$.a.k", ["1"]),
+    ],
+)
+def test_deep_iterators(spark, put, iterator, want):
+    documents = variant_documents(spark, put("a.json", DEEP)).withColumn("file", F.lit("f"))
+    records = iterate_deep(documents, iterator)
+    assert sorted(r[0] for r in records.select(F.to_json("record")).collect()) == sorted(want)
+    assert records.columns == ["file", "record"]
+
+
+@pytest.mark.parametrize("iterator", ["$..*", "$.a[0:2]", "$.a[?(@.k =~ 'x')]", "$.a[?(length(@) > 1)]", "$.a[?(@.k > true)]", "$.a[?((@.k))]", "$.a[-1]"])
+def test_other_deep_iterators_fail(spark, put, iterator):
+    with pytest.raises(ValueError, match="unsupported JSON"):
+        iterate_deep(variant_documents(spark, put("a.json", DEEP)), iterator)
+
+
 def test_typed_iterator(spark, put):
     path = put("a.json", '{"data":{"items":[{"id":1,"c":{"n":"x"}},{"id":2}]}}\n{"data":{"items":[]}}\n')
     records = json_records(spark, path, ["id", "c.n"], "$.data.items[*]")

@@ -29,6 +29,7 @@ from tripleweft.mapping import TriplesMap, template
 from tripleweft.scratch import new_path, write_and_read
 from tripleweft.sinks.ntriples import write_ntriples
 from tripleweft.sources.csv import csv_records
+from tripleweft.sources.deep_json import iterate_deep
 from tripleweft.sources.json import iterate_variant, json_records, variant_documents
 from tripleweft.sources.ntriples import ntriples_scan
 from tripleweft.sources.streams import file_stream, with_file_attributes
@@ -187,6 +188,26 @@ def json_variant_iterator(spark, sf_dir):
     return records.select(*[value(n).alias(n) for n in ("field", "value")])
 
 
+@registry.add(
+    "json_deep_iterator",
+    f"""
+    SELECT CAST(l_orderkey AS VARCHAR) AS key, CAST(l_linenumber AS VARCHAR) AS line FROM lineitem WHERE l_quantity >= 45 AND l_returnflag = 'R'
+    UNION ALL SELECT CAST(l_orderkey AS VARCHAR), 'copy' FROM lineitem WHERE l_quantity >= 45 AND l_returnflag = 'R' AND l_linenumber = 1
+    """,
+)
+def json_deep_iterator(spark, sf_dir):
+    """Items at two depths of order documents, chosen by a number and a text."""
+    item = F.struct(F.col("l_orderkey").alias("key"), F.col("l_linenumber").cast("string").alias("line"), F.col("l_quantity").cast("int").alias("size"), F.col("l_returnflag").alias("flag"))
+    copy = F.struct(F.struct(F.struct(F.array(item.withField("line", F.lit("copy"))).alias("items")).alias("box")).alias("deeper"))
+    lines = table(spark, sf_dir, "lineitem").select("l_orderkey", item.alias("item"), F.when(F.col("l_linenumber") == 1, copy).alias("copy"))
+    orders = lines.groupBy("l_orderkey").agg(F.collect_list("item").alias("items"), F.collect_list("copy").alias("notes"))
+    path = new_path(spark, "orders-deep-json")
+    orders.select(F.to_json(F.struct(F.struct("items", F.lit("x").alias("size")).alias("order"), "notes")).alias("value")).write.text(path)
+    records = iterate_deep(variant_documents(spark, path, multi_line=False), "$..items[?(@.size >= 45 && @.flag == 'R')]")
+    value = resolver(records, "json")
+    return records.select(value("key").alias("key"), value("line").alias("line"))
+
+
 def write_orders_xml(spark, sf_dir):
     """Orders as XML: key and kind in attributes, customer nested, F orders with a base."""
     path = new_path(spark, "orders-xml")

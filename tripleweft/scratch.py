@@ -71,6 +71,8 @@ class Steps:
             out = write_and_read(df, self._label)
         self.drop(spark)
         [self._path] = made
+        for noted in _noting:
+            noted.append(self._path)
         return out
 
     def drop(self, spark):
