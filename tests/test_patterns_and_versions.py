@@ -11,7 +11,9 @@ from conftest import plan_of, rows
 from tripleweft.operators.events import first_event_since, first_of_candidates
 from tripleweft.operators.patterns import join_tree, match_patterns
 from tripleweft.plans.asof import as_of_join
+from tripleweft.operators.sketches import graph_sketches, sketched_sizes
 from tripleweft.sinks.buckets import append_distinct, read_graph
+from tripleweft.sinks.versions import current_version, publish, read_published
 from tripleweft.vocab import TRIPLES_SCHEMA
 
 # --- patterns -----------------------------------------------------------------------
@@ -139,6 +141,48 @@ def test_deliveries_keep_a_set(spark, tmp_path):
     assert rows(read_graph(spark, path)) == rows(df.union(one.where("s = 'new'")).distinct())
 
 
+# --- versions of results, sketches ------------------------------------------------------
+
+
+def test_readers_see_whole_versions(spark, tmp_path):
+    path = str(tmp_path / "out")
+    with pytest.raises(ValueError, match="nothing is published"):
+        read_published(spark, path)
+
+    def write(n, fail=False):
+        def run(folder):
+            spark.range(n).write.parquet(folder)
+            if fail:
+                raise RuntimeError("lost")
+
+        return run
+
+    first = publish(spark, path, write(3))
+    open_ = read_published(spark, path)
+    with pytest.raises(RuntimeError):
+        publish(spark, path, write(5, fail=True))
+    assert current_version(spark, path) == first and read_published(spark, path).count() == 3
+    publish(spark, path, write(7))
+    assert read_published(spark, path).count() == 7 and open_.count() == 3  # a reader that has begun ends
+    publish(spark, path, write(8))
+    assert len([v for v in os.listdir(path) if v.startswith("v")]) == 2 and not os.path.exists(first)
+    last = publish(spark, path, write(9), keep=0)
+    assert [v for v in os.listdir(path) if v.startswith("v")] == [os.path.basename(last)]
+
+
+def test_sketches_unite_over_runs(spark):
+    triples = spark.range(30_000).select(
+        F.concat(F.lit("s"), F.col("id") % 20_000).alias("s"), F.lit("p").alias("p"), F.lit("o").alias("o"), F.lit("iri").alias("o_kind"),
+        F.lit(None).cast("string").alias("o_datatype"), F.lit(None).cast("string").alias("o_lang"), (F.col("id") % 3).alias("run"), (F.col("id") % 20_000 < 500).alias("few"),
+    )
+    kept = graph_sketches(triples, "few", "run")
+    got = {r.few: r for r in sketched_sizes(kept, "few").collect()}
+    assert abs(got[True].distinct_triples - 500) <= 10 and abs(got[False].distinct_triples - 19_500) <= 390
+    assert sum(r.triples for r in got.values()) == 30_000
+    [whole] = sketched_sizes(kept).collect()
+    assert abs(whole.distinct_triples - 20_000) <= 400
+
+
 # --- candidates -------------------------------------------------------------------------
 
 

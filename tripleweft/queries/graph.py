@@ -28,6 +28,7 @@ from tripleweft.operators.graph import (
 from tripleweft.operators.isomorphism import graph_diff_unlabelled, graph_isomorphic
 from tripleweft.operators.patterns import match_patterns
 from tripleweft.operators.setops import graph_diff, graph_distinct, graph_merge
+from tripleweft.operators.sketches import graph_sketches, sketched_sizes
 from tripleweft.functions.text import short_key
 from tripleweft.functions.times import start_text
 from tripleweft.plans.compile import count_triples, materialise, triples_of
@@ -346,6 +347,30 @@ def distinct_triple_count_query(spark, sf_dir):
     return distinct_triple_count(lineitem_triples(spark, sf_dir))
 
 
+@registry.add(
+    "distinct_sketch",
+    """
+    WITH e AS (
+      SELECT l_returnflag AS tenant, 'from' AS p, l_orderkey AS s, l_partkey AS o FROM lineitem
+      UNION ALL SELECT l_returnflag, 'of', l_suppkey, l_partkey FROM lineitem)
+    SELECT tenant, CAST(count(DISTINCT (p, s, o)) AS BIGINT) AS exact, TRUE AS near, CAST(2 * count(*) AS BIGINT) AS triples FROM e GROUP BY tenant
+    """,
+)
+def distinct_sketch(spark, sf_dir):
+    """Distinct triples per tenant by sketches of overlapping inputs, within 2 % of the exact count."""
+    items = table(spark, sf_dir, "lineitem")
+    maps = [
+        TriplesMap("lineitem", EX + "order/{l_orderkey}", objects=((EX + "from", template(EX + "part/{l_partkey}")),)),
+        TriplesMap("lineitem", EX + "supplier/{l_suppkey}", objects=((EX + "of", template(EX + "part/{l_partkey}")),)),
+    ]
+    graph = triples_of(items, maps, keep=("l_returnflag",)).withColumnRenamed("l_returnflag", "tenant")
+    runs = graph.withColumn("run", F.lit(1)).unionByName(graph.withColumn("run", F.lit(2)))
+    sizes = sketched_sizes(graph_sketches(runs, "tenant", "run"), "tenant")
+    exact = graph.distinct().groupBy("tenant").agg(F.count(F.lit(1)).alias("exact"))
+    near = F.abs(F.col("distinct_triples") - F.col("exact")) <= 0.02 * F.col("exact")
+    return exact.join(sizes, "tenant").select("tenant", "exact", near.alias("near"), "triples")
+
+
 @registry.add(
     "record_count",
     """

@@ -28,6 +28,7 @@ from tripleweft.sinks.jsonld import jsonld_scan, write_jsonld
 from tripleweft.sinks.ntriples import ntriples_lines, write_ntriples
 from tripleweft.sinks.rdfxml import write_rdfxml
 from tripleweft.sinks.turtle import predicate_object, turtle_lines
+from tripleweft.sinks.versions import publish, read_published
 from tripleweft.sources.ntriples import parse_ntriples
 from tripleweft.vocab import RDF_TYPE, SCHEMA
 
@@ -186,12 +187,12 @@ def output_naming(spark, sf_dir):
 
 @registry.add("write_files", f"SELECT {COLS} FROM ({LINEITEM_SQL})")
 def write_files(spark, sf_dir):
-    """Triples in a folder per predicate; a second write replaces the first."""
+    """Triples in a folder per predicate; a second version replaces the first in one step."""
     path = new_path(spark, "lineitem-by-predicate")
     triples = _lineitem(spark, sf_dir)
-    write_partitioned(triples, path, ["p"])
-    write_partitioned(triples, path, ["p"])
-    return spark.read.parquet(path).select("s", "p", "o", "o_kind", "o_datatype", "o_lang")
+    publish(spark, path, lambda folder: write_partitioned(triples.limit(10), folder, ["p"]))
+    publish(spark, path, lambda folder: write_partitioned(triples, folder, ["p"]))
+    return read_published(spark, path).select("s", "p", "o", "o_kind", "o_datatype", "o_lang")
 
 
 @registry.add(
