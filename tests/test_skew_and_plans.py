@@ -149,3 +149,12 @@ def test_dangling(spark):
     data = [("n:a", "p", "n:b"), ("n:a", "p", "n:gone"), ("n:b", "p", "n:gone"), ("n:b", "p", "other:x")]
     triples = spark.createDataFrame([(s, p, o, "iri", None, None) for s, p, o in data], TRIPLES_SCHEMA)
     assert rows(dangling_links(triples, "n:")) == [("n:gone", 2)]
+
+
+def test_a_star_computes_its_input_once(spark, tmp_path):
+    """The plan of the joins reads what was written, not the graph."""
+    graph = spark.createDataFrame([("a", "p:x", "1"), ("a", "p:y", "2"), ("b", "p:x", "3")], "s string, p string, o string").withColumn("o_kind", F.lit("literal"))
+    graph.write.parquet(str(tmp_path / "graph"))
+    found = star_join(spark.read.parquet(str(tmp_path / "graph")), {"x": "p:x", "y": "p:y"})
+    assert rows(found) == [("a", "1", "2")]
+    assert f"{tmp_path}" not in plan_of(found) and "star-triples" in plan_of(found)

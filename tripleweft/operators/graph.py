@@ -55,18 +55,21 @@ def star(triples, variables, subject="subject", of_class=None):
 def star_join(triples, variables, subject="subject", of_class=None, hot_rows=HOT_ROWS):
     """Every combination of the values that a subject has for the given predicates, by equi-joins on the subject.
 
-    Subjects with very many triples are counted once and spread in each of the joins.
+    The triples that the pattern uses are computed once, as a set, and written; all else reads that. Subjects with very
+    many of them are counted once and spread in each of the joins.
     """
-    wanted = triples.filter(F.col("p").isin(list(variables.values())))
-    parts = [
-        triples.filter(F.col("p") == p).select(F.col("s").alias(subject), F.col("o").alias(name)).distinct()
-        for name, p in variables.items()
-    ]
+    conditions = [F.col("p") == p for p in variables.values()]
+    if of_class is not None:
+        conditions.append(_of_class(of_class))
+    used = triples.filter(reduce(lambda a, b: a | b, conditions)).select("s", "p", "o", "o_kind").distinct()
+    columns = [F.col("s").alias(subject)]
+    if len(conditions) == 1:
+        return used.select(*columns, *[F.col("o").alias(name) for name in variables]).distinct()
+    used = write_and_read(used, "star-triples")
+    parts = [used.filter(F.col("p") == p).select(*columns, F.col("o").alias(name)).distinct() for name, p in variables.items()]
     if of_class is not None:
-        parts.append(triples.filter(_of_class(of_class)).select(F.col("s").alias(subject)).distinct())
-    if len(parts) == 1:
-        return parts[0]
-    hot = hot_keys(wanted.select(F.col("s").alias(subject)), [subject], hot_rows)
+        parts.append(used.filter(_of_class(of_class)).select(*columns))
+    hot = hot_keys(used.select(*columns), [subject], hot_rows)
     return reduce(lambda a, b: salted_join(a, b, [subject], hot=hot), parts)
 
 

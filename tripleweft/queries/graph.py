@@ -181,10 +181,9 @@ def bgp_query(spark, sf_dir):
     offers = star_join(
         offer_graph, {"customer": SCHEMA + "customer", "price": SCHEMA + "price"}, "order", of_class=SCHEMA + "Order"
     )
-    balances = typed_filter(people_graph, EX + "balance", lambda v: v > 5000)
-    others = people_graph.filter(F.col("p") != EX + "balance")
+    large = (F.col("p") != EX + "balance") | F.coalesce(number(F.col("o")) > 5000, F.lit(False))
     rich = star_join(
-        others.unionByName(balances), {"balance": EX + "balance", "name": SCHEMA + "name"}, "customer", of_class=SCHEMA + "Person"
+        people_graph.filter(large), {"balance": EX + "balance", "name": SCHEMA + "name"}, "customer", of_class=SCHEMA + "Person"
     )
     pointing = links(shop_graph(spark, sf_dir, SCHEMA + "customer"), SCHEMA + "customer", "order", "customer")
     return path_join(offers, rich, "customer", counts_from=pointing).select("name", "balance", "price")
