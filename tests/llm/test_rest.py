@@ -11,10 +11,10 @@ from pyspark.sql import functions as F
 import corpus_pipeline
 from conftest import rows
 from tripleweft.llm import chat, mixing, toxicity
-from tripleweft.llm.components import components
 from tripleweft.llm.minhash import near_duplicates
 from tripleweft.llm.mixing import mix, plan_mix
 from tripleweft.llm.pii import masked
+from tripleweft.plans.components import components
 
 ROOT = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
@@ -82,6 +82,28 @@ def test_mix_spreads_a_hot_source(sources, monkeypatch):
     assert abs(got.t - got.want) < 0.01 * got.want
 
 
+def test_repeated_rows_meet_the_target(spark):
+    """A source of equal rows cannot give each the same; some get one copy more, whichever column tells them apart."""
+    data = [(1, "a b c d e f g h", "same", k % 3) for k in range(2000)] + [(k + 10, "w " * (1 + k % 20), "other", k) for k in range(300)] + [(5, "x y", "third", 0)] * 7
+    docs = spark.createDataFrame(data, "doc_id long, text string, source string, more int").repartition(3)
+    plan = plan_mix(docs).collect()
+    taken = {s: sum(r.taken for r in plan if r.source == s) for s in ("same", "other", "third")}
+    target = {r.source: r.target for r in plan}
+    assert all(abs(taken[s] - target[s]) <= 20 for s in taken)
+    assert {r.copies for r in plan if r.source == "same"} in ({0, 1}, {1, 2})
+    mixed = mix(docs)
+    assert mixed.columns == docs.columns
+    counts = {r.source: r["count"] for r in mixed.groupBy("source").count().collect()}
+    assert counts["same"] * 8 == taken["same"] and counts["third"] * 2 == taken["third"]
+    assert rows(mixed) == rows(mix(docs.repartition(5)))
+
+
+def test_unmet_targets_are_an_error(sources, monkeypatch):
+    monkeypatch.setattr(mixing, "MAX_STEPS", 1)
+    with pytest.raises(ValueError, match="misses its target"):
+        plan_mix(sources)
+
+
 def test_mix_of_nothing(spark, sources):
     assert plan_mix(sources.where(F.lit(False))).count() == 0
     assert [tuple(r)[4:6] for r in plan_mix(sources.where("source = 'none'")).collect()] == [(0.0, 0)] * 3
@@ -251,20 +273,80 @@ def learnt(docs, labels):
     return _learnt[0]
 
 
-def test_viterbi_is_the_best_reading(labelled):
-    """The search equals trying every reading of short disguised words."""
+def readings(text, breaks=False):
+    """All readings of a text under the channel, each with its cost: runs of one sign give one or two letters, or none."""
     import itertools
 
+    parts = []
+    for sign, run in itertools.groupby(text):
+        n = len(list(run))
+        t = toxicity
+        letters = [(sign, 0.0)] if sign.isalpha() else [(m, t.SWAP) for m in t.MEANT.get(sign, "")]
+        counts = {1: {1: 0.0}, 2: {1: t.SQUEEZE, 2: 0.0}}.get(n, {1: t.STRETCH, 2: t.STRETCH})
+        options = [(c * k, swap * k + more) for c, swap in letters for k, more in counts.items()]
+        parts.append(options or [("", t.FILLED)])
+    for chosen in itertools.product(*parts):
+        for cut in itertools.product(*[("", " ") if breaks and k else ("",) for k in range(len(chosen))]):
+            yield "".join(c + w for c, (w, _) in zip(cut, chosen, strict=True)), sum(x for _, x in chosen)
+
+
+@pytest.mark.parametrize("text", ["r0t", "1d1", "v3rm1n", "0ld", "s!de", "ro.tt-en", "rrott3en", "veerm", "mmm1nnt", "a-s*s", "00ld", "--"])
+def test_viterbi_is_the_best_reading(labelled, text):
+    """The search equals trying every reading: swaps, fillers, stretched and squeezed letters."""
     model = toxicity.CharacterModel(learnt(*labelled)[0])
 
-    def price(reading):
-        padded = "^^" + reading + "$"
+    def price(word):
+        padded = "^^" + word + "$"
         return sum(model.cost(padded[i : i + 2], padded[i + 2]) for i in range(len(padded) - 2))
 
-    for text in ("r0t", "1d1", "v3rm1n", "f0x", "0ld", "m1nt", "s!de"):
-        options = [[c] if c.isalpha() else list(toxicity.MEANT[c]) for c in text]
-        best = min(price("".join(o)) for o in itertools.product(*options))
-        assert price(model.restore(text)) == pytest.approx(best)
+    costs = {}
+    for word, more in readings(text):
+        costs[word] = min(costs.get(word, 1e9), price(word) + more)
+    assert costs[model.restore(text)] == pytest.approx(min(costs.values()))
+
+
+@pytest.mark.parametrize("text", ["oldog", "th3ol", "rotnear", "amint"])
+def test_viterbi_breaks_words_best(labelled, text):
+    model = toxicity.CharacterModel(learnt(*labelled)[0])
+
+    def price(words):
+        out = 0.0
+        for k, w in enumerate(words.split(" ")):
+            padded = "^^" + w + "$"
+            out += sum(model.cost(padded[i : i + 2], padded[i + 2]) for i in range(len(padded) - 2)) + (toxicity.BREAK if k else 0)
+        return out
+
+    costs = {}
+    for words, more in readings(text, True):
+        if "  " not in words:
+            costs[words] = min(costs.get(words, 1e9), price(words) + more)
+    assert costs[model.restore(text, True)] == pytest.approx(min(costs.values()))
+
+
+def test_outlines_change_no_score(labelled):
+    """Chunks that cannot be read as a feature are not restored; all others are."""
+    import random
+
+    rng, scorer = random.Random(3), toxicity.Scorer(*learnt(*labelled))
+    plain = toxicity.Scorer(*learnt(*labelled))
+    plain.outlines, plain.chunks = None, toxicity._Chunks(plain.model, plain.weight)
+    found = 0
+    for _ in range(2000):
+        word = list(rng.choice(["rotten", "vermin", "rooster", "minty", "verm"]))
+        for _ in range(rng.randint(1, 6)):
+            k = rng.randrange(len(word))
+            word[k : k + 1] = rng.choice([word[k] * 2, rng.choice("013$!|+"), word[k] + rng.choice(".-_* '"), word[k]])
+        text = "the dog " + "".join(word) + " near"
+        assert scorer.evidence(text) == plain.evidence(text)
+        found += scorer.evidence(text)[0] > 0
+    assert 300 < found < 1900
+
+
+def test_too_many_features_are_an_error(spark, monkeypatch):
+    monkeypatch.setattr(toxicity, "FEATURE_BYTES", 100)
+    sample = spark.createDataFrame([(t, f"{('clean', 'nasty')[t]} words here") for t in (0, 1) for _ in range(60)], "toxic int, text string")
+    with pytest.raises(ValueError, match="fewer rows"):
+        toxicity._features(sample, {})
 
 
 def test_toxicity_without_labels(labelled, spark):
@@ -297,7 +379,7 @@ def stages(spark):
     return out
 
 
-def test_pipeline_stages_equal_brute_force(spark, stages):
+def test_pipeline_stages_do_what_their_operators_say(spark, stages):
     by = {name: (before, after) for name, before, after in stages}
     assert [name for name, _, _ in stages] == ["toxicity", "minhash_near_dedup", "pii", "source_mixing", "bpe_encoding"]
     for name, before, after in stages[:-1]:

@@ -10,10 +10,11 @@ import math
 
 import numpy as np
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tripleweft.llm.common import word_count
 from tripleweft.plans.rowindex import global_row_index
-from tripleweft.scratch import write_and_read
+from tripleweft.scratch import Steps, write_and_read
 
 TOLERANCE = 1e-7
 MAX_STEPS = 200
@@ -32,7 +33,7 @@ def source_targets(sources, total, weights, cap):
     and share `total`; a target stops at `cap` times its source's size and the excess is shared anew by weight among the
     others, until none is above. If all stop, less than `total` is given out. No sources: no rows.
     """
-    ordered = global_row_index(sources, [F.col("source").isNull(), F.col("source")], "_place", 1)
+    ordered = global_row_index(sources, [F.col("source").isNull(), F.col("source")], "_place")
     table = F.array(*[F.lit(float(w)) for w in weights])
     ordered = ordered.withColumn("weight", F.element_at(table, (F.col("_place") % len(weights) + 1).cast("int")))
     level, limit = 0.0, F.col("source_size") * float(cap)
@@ -74,10 +75,13 @@ def _solve(histogram, targets, cap):
         (F.lit(math.log(cap)) * F.col("mean") / F.col("least")).alias("high"),
         (full | none | F.col("mean").isNull()).alias("done"),
     )
-    state = write_and_read(state, "mix-state")
-    for _ in range(MAX_STEPS):
-        if not state.where(~F.col("done")).limit(1).count():
+    steps = Steps("mix-state")
+    state = steps.write(state)
+    for step in range(MAX_STEPS + 1):
+        if state.where(~F.col("done")).isEmpty():
             break
+        if step == MAX_STEPS:
+            raise ValueError(f"a source misses its target after {MAX_STEPS} steps")
         x = F.col("size") / F.col("mean")
         rate = F.least(F.lit(float(cap)), F.exp(F.least(F.col("lam") * x, F.lit(700.0))))
         words = F.col("n") * F.col("size")
@@ -106,18 +110,18 @@ def _solve(histogram, targets, cap):
             F.when(stay, F.col("high")).otherwise(F.col("high2")).alias("high"),
             stay.alias("done"),
         )
-        state = write_and_read(state, "mix-state")
+        state = steps.write(state)
     return state
 
 
 def _whole(key, pdf, cap):
-    """Copies of the units of one bucket: largest first, each takes up what rounding has left over so far."""
+    """Copies of all rows of the units of one bucket: largest first, each takes up what rounding has left over so far."""
     pdf = pdf.sort_values(["words", "doc_id", "size"], ascending=[False, True, True], kind="stable", na_position="last")
-    words, rate, carried = pdf["words"].tolist(), pdf["rate"].tolist(), 0.0
+    sizes, rows, rate, carried = pdf["size"].tolist(), pdf["n"].tolist(), pdf["rate"].tolist(), 0.0
     copies = []
-    for w, r in zip(words, rate, strict=True):
-        want = r * w + carried
-        c = min(math.floor(cap), max(0, math.floor(want / w + 0.5))) if w else math.floor(r + 0.5)
+    for w, n, r in zip(sizes, rows, rate, strict=True):
+        want = r * n * w + carried
+        c = min(math.floor(cap) * n, max(0, math.floor(want / w + 0.5))) if w else n * math.floor(r + 0.5)
         carried = want - c * w
         copies.append(c)
     return pdf.assign(copies=np.array(copies, np.int64))[["doc_id", "source", "size", "n", "copies"]]
@@ -126,8 +130,8 @@ def _whole(key, pdf, cap):
 def copies(sized, targets, cap=2):
     """Copies by kind of row: (doc_id, source, size, n, copies) from `sized` (doc_id, source, size) and its targets.
 
-    Rows that agree in all three count as one unit of `n` rows and get equal copies, whatever else they hold. Copies are
-    0 to `cap`; a source's words times copies end within half a small document per bucket of its target. The bucket of
+    Rows that agree in all three count as one unit of `n` rows, whatever else they hold; `copies` is what they get
+    together, 0 to `cap` each. A source's words times copies end within half a small document per bucket of its target. The bucket of
     a unit follows from its id, so reruns agree and a hot source spreads over as many tasks as it has rows for.
     A document without words changes nothing: it is taken once (never, if its source's target is 0).
     """
@@ -162,34 +166,64 @@ def plan_mix(docs, weights=(5, 2, 1), share=1.5, cap=2):
     """Per document what the mix takes: doc_id, size, source_size, target, taken, copies; one row for each of `docs`.
 
     `docs` needs doc_id, text and source; further columns are ignored. Sizes are words, 0 for a null or empty text. A
-    null source is a source of its own, the last. Rows that repeat are each taken as often as their like. An empty table
-    gives no rows.
+    null source is a source of its own, the last. Rows that repeat may differ by one copy, so that they too meet the
+    target. An empty table gives no rows.
     """
     sized = write_and_read(_sized(docs), "mix-sized")
-    return _plan(sized, weights, share, cap)
+    targets, units = _plan(sized, weights, share, cap)
+    named = targets.withColumnRenamed("source", "_source")
+    more = F.col("copies") % F.col("n")
+    copies = F.floor(F.col("copies") / F.col("n")) + (F.col("_row") <= more).cast("long")
+    return (
+        units.join(named, _same("source", "_source"))
+        .withColumn("_row", F.explode(F.expr("sequence(1L, n)")))
+        .withColumn("copies", copies)
+        .select("doc_id", "source", "size", "source_size", "target", (F.col("copies") * F.col("size")).alias("taken"), "copies")
+    )
 
 
 def _plan(sized, weights, share, cap):
+    """Targets by source, and the copies of each kind of row."""
     totals = sized.groupBy("source").agg(F.sum("size").alias("source_size"))
     totals = write_and_read(totals, "mix-totals")
     whole = totals.agg(F.sum("source_size")).first()[0] or 0
     targets = source_targets(totals, whole * share, weights, cap)
-    units = copies(sized, targets, cap)
-    named = targets.withColumnRenamed("source", "_source")
-    return (
-        units.join(named, _same("source", "_source"))
-        .withColumn("_row", F.explode(F.expr("sequence(1L, n)")))
-        .select("doc_id", "source", "size", "source_size", "target", (F.col("copies") * F.col("size")).alias("taken"), "copies")
-    )
+    return targets, copies(sized, targets, cap)
 
 
 def mix(docs, weights=(5, 2, 1), share=1.5, cap=2):
-    """The mix itself: the rows of `docs` with all their columns, each as often as it is taken (see `plan_mix`)."""
+    """The mix itself: the rows of `docs` with all their columns, each as often as it is taken (see `plan_mix`).
+
+    Where rows that agree in doc_id, source and size cannot all get the same, those that come first by a hash of their
+    columns get one copy more; such rows are numbered by range, so that very many of them are no task of their own.
+    """
     columns = docs.columns
     sized = docs.withColumn("_mix_size", word_count("text"))
-    plan = _plan(write_and_read(_sized(docs), "mix-sized"), weights, share, cap)
-    plan = plan.select(F.col("doc_id").alias("_mix_id"), F.col("source").alias("_mix_source"), F.col("size").alias("_mix_words"), F.col("copies").alias("_mix_copies"))
-    plan = plan.distinct().where("_mix_copies > 0")
+    _, units = _plan(write_and_read(_sized(docs), "mix-sized"), weights, share, cap)
+    units = units.select(
+        F.col("doc_id").alias("_mix_id"),
+        F.col("source").alias("_mix_source"),
+        F.col("size").alias("_mix_words"),
+        F.floor(F.col("copies") / F.col("n")).alias("_mix_copies"),
+        (F.col("copies") % F.col("n")).alias("_mix_more"),
+    )
+    units = write_and_read(units.where("_mix_copies + _mix_more > 0"), "mix-units")
     on = _same("doc_id", "_mix_id") & _same("source", "_mix_source") & (F.col("_mix_size") == F.col("_mix_words"))
-    taken = sized.join(plan, on)
-    return taken.withColumn("_mix_row", F.explode(F.expr("sequence(1L, _mix_copies)"))).select(*[F.col(f"`{c}`") for c in columns])
+    even = sized.join(units.where("_mix_more = 0"), on).select(*_quoted(columns), "_mix_copies")
+    uneven = units.where("_mix_more > 0")
+    taken = even
+    if not uneven.isEmpty():
+        unit = ["_mix_id", "_mix_source", "_mix_words"]
+        some = sized.join(uneven, on)
+        rest = F.xxhash64(*[F.col(f"`{f.name}`") for f in docs.schema if not isinstance(f.dataType, (T.MapType, T.VariantType))])
+        some = global_row_index(some, [*map(F.col, unit), rest], "_mix_place")
+        first = some.groupBy(*unit).agg(F.min("_mix_place").alias("_mix_first"))
+        first = first.select(*[F.col(c).alias(c + "_") for c in unit], "_mix_first")
+        some = some.join(first, _same(unit[0], unit[0] + "_") & _same(unit[1], unit[1] + "_") & _same(unit[2], unit[2] + "_"))
+        extra = (F.col("_mix_place") - F.col("_mix_first") < F.col("_mix_more")).cast("long")
+        taken = even.unionByName(some.select(*_quoted(columns), (F.col("_mix_copies") + extra).alias("_mix_copies")))
+    return taken.where("_mix_copies > 0").withColumn("_mix_row", F.explode(F.expr("sequence(1L, _mix_copies)"))).select(*_quoted(columns))
+
+
+def _quoted(columns):
+    return [F.col(f"`{c}`") for c in columns]
