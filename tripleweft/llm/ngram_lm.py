@@ -17,12 +17,12 @@ import xxhash
 from pyspark.sql import functions as F
 
 from tripleweft.llm.common import mixed
-from tripleweft.scratch import drop_path, new_path, untracked, write_and_read
+from tripleweft.scratch import drop_path, new_path, write_and_read
 
 #: Words of a gram of the highest level.
 ORDER = 2
-#: Bytes of training text for a shard, and of text that is counted or scored at once.
-SHARD_BYTES, PIECE_BYTES = 32_000_000, 16_000_000
+#: Bytes of training text for a shard, and of text that is counted, and scored, at once.
+SHARD_BYTES, PIECE_BYTES, SCORE_BYTES = 24_000_000, 16_000_000, 4_000_000
 # Before the first token, and after the last word; no word holds a blank.
 _START, _END = np.uint64(xxhash.xxh3_64_intdigest(b" start")), np.uint64(xxhash.xxh3_64_intdigest(b" end"))
 # Per gram: how often it occurs (below the highest level: after how many words), as a word: how often at all; and of the
@@ -32,14 +32,14 @@ _PACKED = "level int, shard int, grams binary"
 _CODEC = "zstd"
 
 
-def _pieces(batches):
-    """(doc_id and text columns) of at most `PIECE_BYTES` of text, or one row."""
+def _pieces(batches, most):
+    """(doc_id and text columns) of at most `most` bytes of text, or one row."""
     for batch in batches:
         sizes = np.cumsum(pc.fill_null(pc.binary_length(batch.column(1)), 0).to_numpy(zero_copy_only=False))
         start = 0
         while start < batch.num_rows:
             past = sizes[start - 1] if start else 0
-            end = max(start + 1, int(np.searchsorted(sizes, past + PIECE_BYTES, "right")))
+            end = max(start + 1, int(np.searchsorted(sizes, past + most, "right")))
             yield batch.slice(start, end - start)
             start = end
 
@@ -83,7 +83,7 @@ def _sums(grams, stats):
     order = np.argsort(keys, kind="stable")
     keys = keys[order]
     first = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]])) if len(keys) else np.zeros(0, np.int64)
-    return keys[first], grams[order[first]], [None if s is None else np.add.reduceat(s[order], first) if len(first) else s[:0] for s in stats]
+    return keys[first], grams[order[first]], [None if s is None else np.add.reduceat(s[order], first, dtype=np.int64) if len(first) else np.zeros(0, np.int64) for s in stats]
 
 
 def _small(x):
@@ -101,19 +101,21 @@ def _pack(grams, stats):
 
 def _unpack(data):
     words, codes, stats = pickle.loads(pa.decompress(data[8:], int.from_bytes(data[:8], "little"), codec=_CODEC, asbytes=True))
-    return np.stack([words[c] for c in codes], 1), [None if s is None else s.astype(np.int64) for s in stats]
+    return np.stack([words[c] for c in codes], 1), stats
 
 
-def _joined(packed, level):
-    """All grams of some packed ones, and their stats; a stat that none has stays None."""
-    parts = [_unpack(p) for p in packed]
-    grams = np.concatenate([g for g, _ in parts]) if parts else np.zeros((0, level), np.uint64)
+def _together(parts):
+    """Some (grams, stats) as one; a stat that none has stays None."""
     stats = []
-    for k in range(len(STATS)):
-        known = [s[k] for _, s in parts]
-        empty = all(s is None for s in known)
-        stats.append(None if empty else np.concatenate([np.zeros(len(g), np.int64) if s is None else s for (g, _), s in zip(parts, known, strict=True)]))
-    return grams, stats
+    for known in zip(*[s for _, s in parts], strict=True):
+        zero = [np.zeros(len(g), np.uint8) if s is None else s for (g, _), s in zip(parts, known, strict=True)]
+        stats.append(None if all(s is None for s in known) else np.concatenate(zero))
+    return np.concatenate([g for g, _ in parts]), stats
+
+
+def _joined(packed, level):
+    """All grams of some packed ones, and their stats."""
+    return _together([(np.zeros((0, level), np.uint64), _only()), *map(_unpack, packed)])
 
 
 def _dealt(level, grams, stats, shards):
@@ -138,7 +140,7 @@ def _count(texts, order, shards):
     """Packed sums of all grams of `texts` (doc_id, text): the highest level, beginnings of texts, and words."""
 
     def run(batches):
-        for piece in _pieces(batches):
+        for piece in _pieces(batches, PIECE_BYTES):
             tokens, starts = _tokens(piece.column(1))
             size = np.repeat(np.diff(starts), np.diff(starts))
             place = np.arange(len(tokens)) - np.repeat(starts[:-1], np.diff(starts))
@@ -148,7 +150,7 @@ def _count(texts, order, shards):
                 at = np.flatnonzero(place + level <= size) if level == order else starts[:-1][np.diff(starts) >= level]
                 at = np.flatnonzero(place > 0) if level == 1 else at
                 grams = np.stack([tokens[at + k] for k in range(level)], 1)
-                once = np.ones(len(at), np.int64)
+                once = np.ones(len(at), np.uint8)
                 rows += _dealt(level, grams, _only(raw=once) if level == 1 else _only(n=once), shards)
             yield _rows(rows)
 
@@ -191,45 +193,44 @@ def _discounts(counts):
     return found if all(0 < d <= k + 1 for k, d in enumerate(found)) else [0.5, 1.0, 1.5]
 
 
-def _merge(packed, level, order, shards, folder, above):
-    """Merge `level` shard by shard: rows for the levels below, and one row of figures per shard (level 0).
+def _merge(packed, level, order, shards, folder):
+    """Merge `level` shard by shard: its file, one row of figures (level 0), and rows for the levels below.
 
-    Above the words, each distinct gram is one more continuation of its end and follows its beginning. `above` holds the
-    discounts of the level above.
+    Above the words, each distinct gram is one more continuation of its end and follows its beginning. Figures of other
+    levels pass.
     """
 
     def run(table):
         shard = table.column("shard")[0].as_py()
-        levels, blobs = table.column("level").to_pylist(), table.column("grams").to_pylist()
-        rows, parts = [], {k: [b for m, b in zip(levels, blobs, strict=True) if m == k] for k in range(1, level + 1)}
-        grams, stats = _joined(parts[level], level)
-        keys, grams, stats = _sums(grams, stats)
-        n, raw, total, *times = [np.zeros(len(keys), np.int64) if s is None else s for s in stats]
+        given = list(zip(table.column("level").to_pylist(), table.column("grams").to_pylist(), strict=True))
+        del table
+        rows = [(0, shard, b) for k, b in given if k == 0 and b]
+        parts = {k: [b for m, b in given if m == k] for k in range(1, level + 1)}
+        del given
+        keys, grams, stats = _sums(*_joined(parts.pop(level), level))
+        n, raw, *follow = [np.zeros(len(keys), np.int64) if s is None else s for s in stats]
         columns = {"key": keys, "n": _small(n)}
         if level == 1:
             columns["raw"] = _small(raw)
         if level < order:
-            columns |= {"total": _small(total), "held": sum(d * t for d, t in zip(above, times, strict=True))}
+            columns |= {name: _small(x) for name, x in zip(STATS[2:], follow, strict=True)}
         _store(folder, f"{level}-{shard}", columns)
         figures = [int((n == k).sum()) for k in range(1, 5)] + [int(n.sum()), int(raw.sum()), int((raw > 0).sum()), int((n > 0).sum())]
-        rows.append((0, shard, pickle.dumps(figures)))
+        rows.append((0, shard, pickle.dumps((level, figures))))
+        del keys, columns, follow, raw, stats
         if level > 1:
-            ends, one = grams[:, 1:], np.ones(len(grams), np.int64)
-            starts = _only(total=n, ones=(n == 1).astype(np.int64), twos=(n == 2).astype(np.int64), more=(n > 2).astype(np.int64))
-            below, more = _joined(parts[level - 1], level - 1)
-            zero = [np.zeros(len(g), np.int64) for g in (ends, grams, below)]
-            stats = [
-                np.concatenate([z if s is None else s for z, s in zip(zero, given, strict=True)])
-                for given in zip(_only(n=one), starts, more, strict=True)
-            ]
-            rows += _dealt(level - 1, np.concatenate([ends, grams[:, :-1], below]), stats, shards)
-            for k in range(1, level - 1):
-                rows += _dealt(k, *_joined(parts[k], k), shards)
+            below = [_joined(parts.pop(level - 1), level - 1)]
+            below.append(_sums(grams[:, 1:], _only(n=np.ones(len(grams), np.uint8)))[1:])
+            below.append(_sums(grams[:, :-1], _only(total=n, ones=n == 1, twos=n == 2, more=n > 2))[1:])
+            rows += _dealt(level - 1, *_together(below), shards)
+            for k, more in parts.items():
+                rows += _dealt(k, *_joined(more, k), shards)
         return pa.Table.from_batches([_rows(rows)])
 
     # Every shard has a row, so that each writes its file, though it may be empty.
     every = packed.sparkSession.range(shards).select(F.lit(0).alias("level"), F.col("id").cast("int").alias("shard"), F.lit(b"").alias("grams"))
-    return packed.where("level > 0").unionByName(every).groupBy("shard").applyInArrow(run, _PACKED)
+    # As many partitions as shards, so that none grows with the corpus.
+    return packed.unionByName(every).repartition(shards, "shard").groupBy("shard").applyInArrow(run, _PACKED)
 
 
 class Model:
@@ -239,19 +240,31 @@ class Model:
         self.folder, self.order, self.shards = folder, order, shards
         self.discounts, self.freed, self.types, self.tokens, self.words = {}, 0.0, 0, 0, 0
 
+    def learn(self, figures):
+        """Take up the figures of all levels."""
+        self.discounts = {level: _discounts(sums[:4]) for level, sums in figures.items()}
+        one, two, _, _, self.types, self.tokens, self.words, seen = figures[1]
+        # What the discounts take off words is shared out evenly, over all words and one unknown.
+        self.freed = float(np.dot(self.discounts[1], [one, two, seen - one - two]))
+
     def lookup(self, level, keys):
-        """The columns of `keys` at a level, 0 where it has none."""
+        """How often grams occur at a level; below the highest also how often as words, and the sum and the discounts of
+        what follows them. 0 for grams that it does not have."""
         distinct, back = np.unique(keys, return_inverse=True)
         cuts = np.searchsorted(_shard(distinct, self.shards), np.arange(self.shards + 1))
-        found = {name: np.zeros(len(distinct)) for name in ("n", "raw", "total", "held")}
+        names = ("n",) if level == self.order else STATS
+        found = {name: np.zeros(len(distinct)) for name in names}
         for k in np.flatnonzero(np.diff(cuts)).tolist():
             a, b = int(cuts[k]), int(cuts[k + 1])
             columns = _load(self.folder, f"{level}-{k}")
-            known = columns.pop("key")
+            known = columns["key"]
             place = np.minimum(np.searchsorted(known, distinct[a:b]), max(0, len(known) - 1))
             hit = known[place] == distinct[a:b] if len(known) else np.zeros(b - a, bool)
-            for name, values in columns.items():
-                found[name][a:b][hit] = values[place[hit]]
+            for name in names:
+                if name in columns:
+                    found[name][a:b][hit] = columns[name][place[hit]]
+        if level < self.order:
+            found["held"] = sum(d * found.pop(name) for d, name in zip(self.discounts[level + 1], STATS[3:], strict=True))
         return {name: values[back] for name, values in found.items()}
 
     def discounted(self, level, n):
@@ -284,8 +297,8 @@ class Model:
 def train(docs, order=ORDER):
     """A `Model` of the texts of `docs` (text); null texts are empty. It lies below the shared folder until dropped.
 
-    The number of shards follows from the bytes of text. Nothing but sums per shard reaches the driver, which adds them up
-    by level. Tables of passing sums are deleted as soon as the next level is written.
+    The number of shards follows from the bytes of text. The driver gets eight sums for each level. A task that runs again
+    writes the same files again, so a lost executor costs what it had not yet shuffled.
     """
     if order < 2:
         raise ValueError("a gram has two words at least")
@@ -293,34 +306,20 @@ def train(docs, order=ORDER):
     texts = docs.select(F.lit(0).alias("doc_id"), "text")
     size = texts.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     model = Model(new_path(spark, "ngram-model"), order, max(1, -(-size // SHARD_BYTES)))
-    packed, above, passed = _count(texts, order, model.shards), None, None
+    packed = _count(texts, order, model.shards)
     for level in range(order, 0, -1):
-        with untracked() as made:
-            packed = write_and_read(_merge(packed, level, order, model.shards, model.folder, above), "ngram-sums")
-        if passed:
-            drop_path(spark, passed)
-        [passed] = made
-        figures = _total(packed.where("level = 0"))
-        above = model.discounts[level] = _discounts(figures[:4])
-    drop_path(spark, passed)
-    # What the discounts take off words is shared out evenly, over all words and one unknown.
-    freed = above[0] * figures[0] + above[1] * figures[1] + above[2] * (figures[7] - figures[0] - figures[1])
-    model.freed, model.types, model.tokens, model.words = freed, figures[4], figures[5], figures[6]
-    return model
-
-
-def _total(rows):
-    """Sums of the figures of all shards."""
+        packed = _merge(packed, level, order, model.shards, model.folder)
 
-    def run(batches):
-        sums = np.zeros(8, np.int64)
+    def figures(batches):
         for batch in batches:
-            for data in batch.column(0).to_pylist():
-                sums += np.array(pickle.loads(data))
-        yield pa.RecordBatch.from_arrays([pa.array([sums.tolist()], pa.list_(pa.int64()))], ["sums"])
+            found = [pickle.loads(b) for b in batch.column(0).to_pylist()]
+            yield _rows(found, ("level", "sums"), (pa.int32(), pa.list_(pa.int64())))
 
-    parts = rows.select("grams").mapInArrow(run, "sums array<bigint>")
-    return [r or 0 for r in parts.agg(*[F.sum(F.col("sums")[k]).alias(f"s{k}") for k in range(8)]).first()]
+    # The one job that counts, merges all levels and writes their files.
+    sums = packed.select("grams").mapInArrow(figures, "level int, sums array<bigint>")
+    sums = sums.groupBy("level").agg(F.array(*[F.sum(F.col("sums")[k]) for k in range(8)]).alias("sums"))
+    model.learn({r["level"]: r["sums"] for r in sums.collect()})
+    return model
 
 
 def score_texts(docs, model):
@@ -334,7 +333,7 @@ def score_texts(docs, model):
     """
 
     def run(batches):
-        for piece in _pieces(batches):
+        for piece in _pieces(batches, SCORE_BYTES):
             tokens, starts = _tokens(piece.column(1))
             raw, logs = model.score(tokens, starts)
             rows, sizes = len(piece), np.diff(starts)
