@@ -185,6 +185,16 @@ def test_one_of_each_group_stays(docs):
     assert keep_one_of_each(docs.where(F.lit(False))).count() == 0
 
 
+def test_unlike_rows_of_one_id_all_stay(spark):
+    data = [(1, "a b c d e f g h"), (1, "totally other words stand here now"), (1, "A b c d e f g h"), (2, "a b c d e f g h"), (3, "totally other words stand here now"), (4, "new words of its own")]
+    data += [(5, ""), (5, None), (5, ""), (2, "second text of two")]
+    docs = spark.createDataFrame(data, "doc_id long, text string").withColumn("group", F.lit("clash")).repartition(3)
+    got = sorted((r.doc_id, r.text) for r in keep_one_of_each(docs).collect() if r.text)
+    assert [(i, t.lower()) for i, t in got] == [(1, "a b c d e f g h"), (1, "totally other words stand here now"), (2, "second text of two"), (4, "new words of its own")]
+    assert keep_one_of_each(docs).where("coalesce(text, '') = ''").count() == 1
+    assert {(r.doc_id, r.component_id) for r in near_duplicates(docs).collect()} == {(1, 1), (2, 1), (2, 2), (3, 1), (4, 4), (5, 5)}
+
+
 # --- personal data ------------------------------------------------------------------
 
 PII = (

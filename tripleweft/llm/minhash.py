@@ -14,7 +14,7 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from tripleweft.llm.common import Groups, WordHashes, gram_hashes, split_words, whole_groups
-from tripleweft.llm.components import components
+from tripleweft.plans.components import components
 from tripleweft.scratch import write_and_read
 
 WORDS, COORDINATES, AGREE = 5, 48, 24
@@ -56,8 +56,8 @@ def _signed(batches):
             keys.append(_digest(s) if len(s) else None)
             signatures.append(signature(s).view(np.int32) if len(s) else None)
         yield pa.RecordBatch.from_arrays(
-            [batch.column(0), pa.array(counts, pa.int64()), pa.array(keys, pa.binary()), pa.array(signatures, pa.list_(pa.int32()))],
-            ["doc_id", "n_shingles", "key", "signature"],
+            [batch.column(0), pa.array(counts, pa.int64()), pa.array(keys, pa.binary()), pa.array(signatures, pa.list_(pa.int32())), batch.column(2)],
+            ["doc_id", "n_shingles", "key", "signature", "mark"],
         )
 
 
@@ -236,23 +236,33 @@ def _similar(ids, sets, threshold):
 
 
 def _labelled(docs, threshold):
-    """Rows (doc_id, n_shingles, component_id), one per row of `docs`."""
-    rows = docs.select("doc_id", F.col("text").cast("binary").alias("text"))
+    """Rows (doc_id, n_shingles, component_id, mark, group), one per row of `docs`.
+
+    Classes have numbers of their own, as one doc_id may stand for several; `component_id` is the smallest doc_id of the
+    `group`. `mark` tells texts apart.
+    """
+    rows = docs.select("doc_id", F.col("text").cast("binary").alias("text"), _mark("text").alias("mark"))
     kind = dict(docs.dtypes)["doc_id"]
-    signed = write_and_read(rows.mapInArrow(_signed, f"doc_id {kind}, n_shingles bigint, key binary, signature array<int>"), "minhash-signed")
-    classes = signed.where("key IS NOT NULL AND doc_id IS NOT NULL").groupBy("key").agg(F.min("doc_id").cast("long").alias("rep"), F.first("signature").alias("signature"), F.first("n_shingles").alias("n"))
-    classes = write_and_read(classes, "minhash-classes")
+    signed = write_and_read(rows.mapInArrow(_signed, f"doc_id {kind}, n_shingles bigint, key binary, signature array<int>, mark string"), "minhash-signed")
+    classes = signed.where("key IS NOT NULL AND doc_id IS NOT NULL").groupBy("key").agg(F.min("doc_id").cast("long").alias("least"), F.first("signature").alias("signature"), F.first("n_shingles").alias("n"))
+    classes = write_and_read(classes.withColumn("rep", F.monotonically_increasing_id()), "minhash-classes")
     near = components(_candidates(classes.select("rep", "signature")), "group")
     near = write_and_read(near.withColumnRenamed("node", "rep"), "minhash-groups")
-    members = classes.join(near, "rep").select("rep", "key", "group", "n")
+    members = classes.join(near, "rep").select("rep", "least", "key", "group", "n")
     blocks = members.groupBy("group").agg(F.ceil(F.sum("n") / SET_BLOCK).alias("blocks"))
-    texts = rows.join(members.select("rep", "key", "group"), F.col("doc_id") == F.col("rep")).select("rep", "key", "group", "text")
+    texts = rows.join(members, F.col("doc_id") == F.col("least")).select("rep", "key", "group", "text")
     sets = texts.mapInArrow(_sets, "rep long, group long, shingles binary").join(blocks, "group")
     links = _dealt(sets, "group").mapInArrow(lambda batches: _links(batches, threshold), "a long, b long")
-    found = components(links).withColumnRenamed("node", "rep")
-    labels = classes.join(found, "rep", "left").select(F.col("key").alias("_key"), F.coalesce("component", "rep").alias("_component"))
-    usual = signed.select("doc_id", "n_shingles", F.when(F.col("doc_id").isNotNull(), F.col("key")).alias("key")).join(labels, F.col("key") == F.col("_key"), "left")
-    return usual.select("doc_id", "n_shingles", F.coalesce("_component", "doc_id").cast(kind).alias("component_id"))
+    found = write_and_read(classes.select("rep", "key", "least").join(components(links).withColumnRenamed("node", "rep"), "rep", "left"), "minhash-labels")
+    found = found.withColumn("group", F.coalesce("component", "rep"))
+    named = found.where("component IS NOT NULL").groupBy("group").agg(F.min("least").alias("first"))
+    labels = found.join(named, "group", "left").select(F.col("key").alias("_key"), F.coalesce("first", "least").alias("_component"), "group")
+    usual = signed.select("doc_id", "n_shingles", F.when(F.col("doc_id").isNotNull(), F.col("key")).alias("key"), "mark").join(labels, F.col("key") == F.col("_key"), "left")
+    return usual.select("doc_id", "n_shingles", F.coalesce("_component", "doc_id").cast(kind).alias("component_id"), "mark", "group")
+
+
+def _mark(text):
+    return F.coalesce(F.md5(F.col(text).cast("binary")), F.lit("null"))
 
 
 def near_duplicates(docs, threshold=(75, 100)):
@@ -261,21 +271,24 @@ def near_duplicates(docs, threshold=(75, 100)):
     A document's set holds its distinct runs of five words, or its words as one run if there are fewer. Documents are
     linked if `denominator * intersection >= numerator * union`; `component_id` is the smallest doc_id reachable, `kept`
     whether it is the row's own. Documents without words or text have an empty set and link with nothing; so do rows
-    without doc_id (component null, kept). Rows that repeat give equal results; different texts under one doc_id are one node, with the links of all. Further columns are ignored.
+    without doc_id (component null, kept). Rows that repeat give equal results; different texts under one doc_id are
+    documents of their own, each with its links. Further columns are ignored. No rows, no rows.
     """
-    out = _labelled(docs, threshold)
+    out = _labelled(docs, threshold).drop("mark", "group")
     return out.withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)))
 
 
 def keep_one_of_each(docs, threshold=(75, 100)):
     """The rows of `docs`, with all columns, that stay when each group of near-duplicates keeps its smallest doc_id.
 
-    Rows without doc_id stay. Of rows that repeat a doc_id one stays, the first by text and the other columns' hash.
+    Rows without doc_id stay. Of rows of one group that share that doc_id, or of empty ones that share any, one stays, the
+    first by hashes of the text and of the other columns; rows of one doc_id that are not alike all stay.
     """
-    marked = near_duplicates(docs, threshold).where("doc_id IS NOT NULL").groupBy(F.col("doc_id").alias("_id")).agg(F.max("kept").alias("_kept"))
-    named = docs.where("doc_id IS NOT NULL")
-    kept = named.join(marked.where("_kept").select("_id"), F.col("doc_id") == F.col("_id"), "left_semi")
+    marked = _labelled(docs, threshold).where("doc_id = component_id").groupBy(F.col("doc_id").alias("_id"), "group").agg(F.min("mark").alias("_mark"))
+    named = docs.where("doc_id IS NOT NULL").withColumn("_text", _mark("text"))
+    kept = named.join(marked.select("_id", "_mark"), (F.col("doc_id") == F.col("_id")) & (F.col("_text") == F.col("_mark")))
     rest = [c for c in docs.columns if c not in ("doc_id", "text")]
-    order = Window.partitionBy("doc_id").orderBy("text", *([F.xxhash64(*[F.col(f"`{c}`") for c in rest])] if rest else []))
-    one = kept.withColumn("_place", F.row_number().over(order)).where("_place = 1").drop("_place")
+    # What is left of repeats has one text; the window takes the rows as the join has dealt them.
+    order = Window.partitionBy("doc_id", "_text").orderBy(F.xxhash64(*[F.col(f"`{c}`") for c in rest]) if rest else F.lit(0))
+    one = kept.withColumn("_place", F.row_number().over(order)).where("_place = 1").select(*[F.col(f"`{c}`") for c in docs.columns])
     return one.unionByName(docs.where("doc_id IS NULL"))
