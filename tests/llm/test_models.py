@@ -209,6 +209,14 @@ def test_words_of_texts_equal_brute_force(docs, texts):
     assert got == {w: n for w, n in counts.items() if len(w) >= 3 and n >= 2}
 
 
+def test_only_the_result_is_left(spark, vocabulary):
+    df = spark.createDataFrame(list(vocabulary.items()), "word string, n long")
+    before = set(os.listdir(base_dir(spark)))
+    found = group_variants(df)
+    assert [p.split("-")[0] for p in set(os.listdir(base_dir(spark))) - before] == ["variants"]
+    assert found.count() == len(vocabulary)
+
+
 def test_no_or_wrong_words(spark):
     none = spark.createDataFrame([], "word string, n long")
     assert group_variants(none).count() == 0

