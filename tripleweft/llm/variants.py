@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from tripleweft.llm.common import whole_groups
 from tripleweft.plans.joins import checked_join
-from tripleweft.scratch import write_and_read
+from tripleweft.scratch import Steps, result_alone, write_and_read
 
 # Letters of the contract.
 RUN = "[A-Za-zÀ-ÿ]+"
@@ -209,8 +209,12 @@ def group_variants(words, ratio=5):
     the near word with the largest n, of equal ones the smallest, if its n is at least `ratio` times the word's; `root` is
     the word that forms lead to in the end, the word itself if it has none. Every near pair is found. Words are distinct
     and at least as long as the shortest and the longest gram together; others raise an error, as do nulls. Further columns
-    are ignored. No rows, no rows.
+    are ignored. No rows, no rows. The result is written to the shared folder, and all that was written on the way deleted.
     """
+    return result_alone(words.sparkSession, lambda: _grouped(words, ratio), "variants")
+
+
+def _grouped(words, ratio):
     kept = write_and_read(words.select("word", "n"), "variant-words")
     if not kept.where(F.col("word").isNull() | F.col("n").isNull() | (F.length("word") < SHORT + LONG)).isEmpty():
         raise ValueError(f"words need {SHORT + LONG} letters and a number")
@@ -220,11 +224,12 @@ def group_variants(words, ratio=5):
     found = write_and_read(found.select("word", "n", "n_near", F.when(fits, F.col("near")).alias("form"), F.when(fits, F.col("near_n")).alias("form_n")), "variant-forms")
     # A form occurs more often than its word, so there are no circles; each round doubles the steps.
     links = found.where("form IS NOT NULL").select("word", F.col("form").alias("root"))
-    links = write_and_read(links, "variant-roots")
+    steps = Steps("variant-roots")
+    links = steps.write(links)
     while True:
         ahead = links.select(F.col("word").alias("root"), F.col("root").alias("_next"))
         links = links.join(ahead, "root", "left").select("word", F.coalesce("_next", "root").alias("root"), F.col("_next").isNotNull().alias("_moved"))
-        links = write_and_read(links, "variant-roots")
+        links = steps.write(links)
         if links.where("_moved").isEmpty():
             break
         links = links.drop("_moved")
