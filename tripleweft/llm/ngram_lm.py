@@ -22,7 +22,7 @@ from tripleweft.scratch import drop_path, new_path, write_and_read
 #: Words of a gram of the highest level.
 ORDER = 2
 #: Bytes of training text for a shard, and of text that is counted, and scored, at once.
-SHARD_BYTES, PIECE_BYTES, SCORE_BYTES = 24_000_000, 16_000_000, 4_000_000
+SHARD_BYTES, PIECE_BYTES, SCORE_BYTES = 16_000_000, 16_000_000, 4_000_000
 # Before the first token, and after the last word; no word holds a blank.
 _START, _END = np.uint64(xxhash.xxh3_64_intdigest(b" start")), np.uint64(xxhash.xxh3_64_intdigest(b" end"))
 # Per gram: how often it occurs (below the highest level: after how many words), as a word: how often at all; and of the
@@ -53,14 +53,16 @@ def _tokens(texts):
     codes = words.indices.to_numpy()
     real = real[codes] if len(codes) else np.zeros(0, bool)
     # White space at the ends of a text gives empty words.
-    lengths = pc.list_value_length(lists).to_numpy(zero_copy_only=False).astype(np.int64)
-    row = np.repeat(np.arange(len(texts)), lengths)[real]
-    counts = np.bincount(row, minlength=len(texts))
+    before = np.concatenate([[0], np.cumsum(real, dtype=np.int32)])
+    counts = np.diff(before[lists.offsets.to_numpy()]).astype(np.int64)
     starts = np.concatenate([[0], np.cumsum(counts + 2)])
     out = np.empty(starts[-1], np.uint64)
+    inner = np.ones(len(out), bool)
+    inner[starts[:-1]] = inner[starts[1:] - 1] = False
     out[starts[:-1]] = _START
     out[starts[1:] - 1] = _END
-    out[np.arange(len(row)) + 2 * row + 1] = hashes[codes[real]] if len(codes) else 0
+    if len(codes):
+        out[inner] = hashes[codes[real]]
     return out, starts
 
 
@@ -80,7 +82,7 @@ def _shard(keys, shards):
 def _sums(grams, stats):
     """Distinct grams in the order of their keys, with the sums of their rows of `stats`."""
     keys = _keys(grams)
-    order = np.argsort(keys, kind="stable")
+    order = np.argsort(keys)
     keys = keys[order]
     first = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]])) if len(keys) else np.zeros(0, np.int64)
     return keys[first], grams[order[first]], [None if s is None else np.add.reduceat(s[order], first, dtype=np.int64) if len(first) else np.zeros(0, np.int64) for s in stats]
@@ -142,16 +144,26 @@ def _count(texts, order, shards):
     def run(batches):
         for piece in _pieces(batches, PIECE_BYTES):
             tokens, starts = _tokens(piece.column(1))
-            size = np.repeat(np.diff(starts), np.diff(starts))
-            place = np.arange(len(tokens)) - np.repeat(starts[:-1], np.diff(starts))
             rows = []
             for level in range(1, order + 1):
                 # Below the highest level a count is one of words before, and nothing comes before the start.
-                at = np.flatnonzero(place + level <= size) if level == order else starts[:-1][np.diff(starts) >= level]
-                at = np.flatnonzero(place > 0) if level == 1 else at
-                grams = np.stack([tokens[at + k] for k in range(level)], 1)
+                if level in (1, order):
+                    fits = np.ones(len(tokens), bool)
+                    fits[starts[:-1]] = level > 1
+                    for k in range(1, level):  # too near to the end of a text
+                        fits[starts[1:] - k] = False
+                    at = np.flatnonzero(fits)
+                    del fits
+                else:
+                    at = starts[:-1][np.diff(starts) >= level]
+                grams = np.empty((len(at), level), np.uint64)
+                for k in range(level):
+                    grams[:, k] = tokens[at + k]
                 once = np.ones(len(at), np.uint8)
+                del at
                 rows += _dealt(level, grams, _only(raw=once) if level == 1 else _only(n=once), shards)
+                del grams, once
+            pa.default_memory_pool().release_unused()
             yield _rows(rows)
 
     return texts.mapInArrow(run, _PACKED)
@@ -225,6 +237,7 @@ def _merge(packed, level, order, shards, folder):
             rows += _dealt(level - 1, *_together(below), shards)
             for k, more in parts.items():
                 rows += _dealt(k, *_joined(more, k), shards)
+        pa.default_memory_pool().release_unused()
         return pa.Table.from_batches([_rows(rows)])
 
     # Every shard has a row, so that each writes its file, though it may be empty.
