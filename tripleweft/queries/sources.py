@@ -106,10 +106,17 @@ def json_array_scan(spark, sf_dir):
     return records.select(*[value(n).alias(n) for n in names])
 
 
+def _split_size(total):
+    """Bytes of a split: 64 KB for a test table, so that its documents have several, and a 256th of all beyond 16 MB, up to 64 MB."""
+    return min(max(1 << 16, total // 256), 1 << 26)
+
+
 @contextmanager
-def _small_splits(spark, size):
-    """File splits of at most `size` bytes for what is run meanwhile, so that documents of a test table have several."""
-    wanted = {"spark.sql.files.maxPartitionBytes": str(size), "spark.sql.files.openCostInBytes": "1"}
+def _small_splits(spark, path):
+    """Small file splits for what is run meanwhile; their number is bounded, as every task has a start of its own."""
+    files = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    total = files.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).getContentSummary(files).getLength()
+    wanted = {"spark.sql.files.maxPartitionBytes": str(_split_size(total)), "spark.sql.files.openCostInBytes": "1"}
     before = {n: spark.conf.get(n) for n in wanted}
     for n, v in wanted.items():
         spark.conf.set(n, v)
@@ -138,13 +145,13 @@ def _as_array(batches):
     """,
 )
 def json_array_splits(spark, sf_dir):
-    """Items of large arrays, with brackets and quotes inside their strings, read in splits of 64 KB."""
+    """Items of large arrays, with brackets and quotes inside their strings, read in splits of 64 KB, or of a 256th of a larger table."""
     path = new_path(spark, "documents-array")
     tags = F.concat(F.lit('["'), "lang", F.lit('",{"s\\\\}":"'), "source", F.lit('"}]'))
     item = F.struct("doc_id", F.concat("text", F.lit(' "}], [{')).alias("text"), F.parse_json(tags).alias("tags"))
     lines = table(spark, sf_dir, "documents").where("text IS NOT NULL").select(F.to_json(item).alias("value"))
     lines.mapInArrow(_as_array, "value string").write.text(path)
-    with _small_splits(spark, 1 << 16):
+    with _small_splits(spark, path):
         records = json_records(spark, path, ["doc_id", "text", "tags"], "$[*]", multi_line=True)
         value = resolver(records, "json")
         out = records.select(value("doc_id").alias("id"), value("text").alias("text"), value("tags").alias("tags"))
@@ -281,7 +288,7 @@ def iterator_predicate(spark, sf_dir):
 def xml_iterator_path(spark, sf_dir):
     """Elements of one name below two parents and at two depths, chosen by the path and a predicate of its last step.
 
-    What a path with another root names is nothing. Splits of 64 KB cut records anywhere.
+    What a path with another root names is nothing. Splits of 64 KB, or of a 256th of a larger table, cut records anywhere.
     """
     path = new_path(spark, "orders-by-state")
     order = F.struct(
@@ -294,7 +301,7 @@ def xml_iterator_path(spark, sf_dir):
     # Deeper down, and under another parent, the same names hold what the path does not mean.
     rows = groups.select(opened.alias("open"), closed.alias("closed"), F.struct(F.struct(closed.alias("open")).alias("batch")).alias("old"))
     rows.write.format("xml").option("rootTag", "orders").option("rowTag", "batch").save(path)
-    with _small_splits(spark, 1 << 16):
+    with _small_splits(spark, path):
         found = []
         for root in ("orders", "order"):
             records = xml_records(spark, path, f"/{root}/batch/open/order[not(@priority='1-URGENT')]", ["@id", "customer"])
