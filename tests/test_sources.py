@@ -377,3 +377,33 @@ def test_synthetic_records_repeat(spark):
 def test_parquet_table(spark, tmp_path):
     spark.range(3).write.parquet(str(tmp_path / "t"))
     assert parquet_table(spark, str(tmp_path / "t")).count() == 3
+
+
+def test_small_splits_are_bounded_in_number():
+    from tripleweft.queries.sources import _split_size
+
+    assert _split_size(0) == _split_size(16 << 20) == 1 << 16
+    assert all(total / _split_size(total) <= 256 for total in (1 << 20, 1 << 30, 9 << 30))
+
+
+def test_a_split_that_may_start_in_a_comment_is_not_read_for_it(spark, put, monkeypatch):
+    from tripleweft.sources import splits
+
+    path = put("doc.xml", "<r>" + "<a>1</a><!-- <a> -->" * 50 + "</r>")
+    monkeypatch.setattr(splits.XmlPieces, "read", _only_where_it_matters(splits.XmlPieces.read))
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "200")
+    try:
+        texts = splits.record_texts(spark, path, splits.XmlPieces(["r", "a"])).collect()
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+    assert [r["text"] for r in texts] == ["<a>1</a>"] * 50
+
+
+def _only_where_it_matters(read):
+    def checked(self, state, piece):
+        out = read(self, state, piece)
+        if self.waits.get(state, "") not in piece:
+            raise AssertionError(f"read in vain: {state} {piece}")
+        return out
+
+    return checked

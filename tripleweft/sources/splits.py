@@ -8,8 +8,10 @@ takes the records that lie within a split; of those that reach over splits it ta
 
 import re
 
+import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import functions as F
 
 _PLACE = "struct<at: bigint, offset: bigint>"
@@ -23,6 +25,7 @@ class XmlPieces:
     separator, before = "<", True
     states = ("content", "comment", "cdata", "instruction")
     _ENDS = {"comment": "-->", "cdata": "]]>", "instruction": "?>"}
+    waits = _ENDS
     _TAG = re.compile(r"""<([^\s/>!?<"'=]+)(?:[^>"']++|"[^"]*+"|'[^']*+')*+>""")
 
     def __init__(self, path):
@@ -63,6 +66,7 @@ class JsonPieces:
 
     separator, before = "}", False
     states = ("value", "string")
+    waits = {"string": '"'}
     _REST = re.compile(r'(?:[^"\\]++|\\.)*+"', re.DOTALL)
     _PLAIN = re.compile(r'(?:[^"{}\[\]]++|"(?:[^"\\]++|\\.)*+")*+', re.DOTALL)
 
@@ -127,7 +131,7 @@ def _notes(pieces, form):
         def rows():
             if last is None:
                 return
-            columns = zip(*[(*last, count, s, state, closed, opened) for s, (state, closed, opened) in runs.items()], strict=True)
+            columns = zip(*[(*last, count, s, state, _named(_AT, closed), _named(_OPENED, opened)) for s, (state, closed, opened) in runs.items()], strict=True)
             kinds = (pa.string(), pa.int64(), pa.int64(), pa.string(), pa.string(), pa.list_(_AT), pa.list_(_OPENED))
             yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], ["file", "block", "pieces", "start", "end", "closed", "opened"])
 
@@ -135,27 +139,41 @@ def _notes(pieces, form):
             if (file, block) != last:
                 yield from rows()
                 last, runs = (file, block), {s: (s, [], []) for s in (form.states if block else form.states[:1])}
-            for at, piece in enumerate(values.to_pylist(), first):
-                seen = {}
-                for s, (state, closed, opened) in runs.items():
-                    if state not in seen:
-                        seen[state] = form.read(state, piece)
-                    after, changes = seen[state]
+            texts, seen = values.to_pylist(), {}
+            marked = {state: np.flatnonzero(pc.match_substring(values, mark)) for state, mark in form.waits.items()}
+            for s, (state, closed, opened) in runs.items():
+                k = 0
+                while k < len(texts):
+                    if state in marked:  # nothing happens in this state before its mark
+                        following = marked[state].searchsorted(k)
+                        if following == len(marked[state]):
+                            break
+                        k = int(marked[state][following])
+                    found = seen.get((state, k))
+                    if found is None:
+                        found = form.read(state, texts[k])
+                        if len(runs) > 1:
+                            seen[state, k] = found
+                    state, changes = found
                     for name, offset in changes:
                         if name:
-                            opened.append({"name": name, "at": at, "offset": offset})
+                            opened.append((name, first + k, offset))
                         elif opened:
                             opened.pop()
                         else:
-                            closed.append({"at": at, "offset": offset})
-                    if after != state:
-                        runs[s] = (after, closed, opened)
+                            closed.append((first + k, offset))
+                    k += 1
+                runs[s] = (state, closed, opened)
             count = first + len(values)
         yield from rows()
 
     return pieces.mapInArrow(run, _NOTES)
 
 
+def _named(kind, rows):
+    return [dict(zip(kind.names, row, strict=True)) for row in rows]
+
+
 _AT = pa.struct([("at", pa.int64()), ("offset", pa.int64())])
 _OPENED = pa.struct([("name", pa.string()), ("at", pa.int64()), ("offset", pa.int64())])
 
@@ -192,11 +210,11 @@ def _starts(notes, form):
     return notes.groupBy("file").applyInPandas(run, _STARTS)
 
 
-def _whole(pieces, form, starts):
+def _whole(pieces, form, shared):
     """Texts of the records that start and end within a split."""
 
     def run(batches):
-        last, out, count = None, [], 0
+        starts, last, out, count = shared.value, None, [], 0
 
         def check():
             known = starts.get(last)
@@ -250,10 +268,11 @@ def _whole(pieces, form, starts):
     return pieces.mapInArrow(run, "text string")
 
 
-def _parts(pieces, edges):
+def _parts(pieces, shared):
     """The parts of records that reach over splits: (file, since, block, text)."""
 
     def run(batches):
+        edges = shared.value
         for file, block, first, values in _by_split(batches):
             if (file, block) not in edges:
                 continue
@@ -296,8 +315,9 @@ def record_texts(spark, path, form):
         head = None if r["head_at"] is None else (r["head_at"], r["head_offset"])
         if r["since"] is not None or head is not None:
             edges[key] = (r["since"], tail, head)
-    whole = _whole(pieces, form, starts)
+    # Shared with each executor's workers once: in the function itself every task would read the notes of all splits.
+    whole = _whole(pieces, form, spark.sparkContext.broadcast(starts))
     if not edges:
         return whole
-    parts = _parts(pieces, edges).groupBy("file", "since").agg(F.array_sort(F.collect_list(F.struct("block", "at", "text"))).alias("parts"))
+    parts = _parts(pieces, spark.sparkContext.broadcast(edges)).groupBy("file", "since").agg(F.array_sort(F.collect_list(F.struct("block", "at", "text"))).alias("parts"))
     return whole.unionByName(parts.select(F.array_join("parts.text", "").alias("text")))
