@@ -5,6 +5,7 @@ hang together as a tree where the shape allows it. First every pattern is reduce
 leaves to the root and back, by semi-joins on keys; only then are rows joined, so no join takes in rows that lead nowhere.
 """
 
+import math
 from functools import reduce
 
 from pyspark.sql import functions as F
@@ -84,6 +85,50 @@ def _joined(left, right):
     return checked_join(left, right.drop(*extra), on)
 
 
+def _named(pattern):
+    return {t[1:] for t in _variables(pattern)}
+
+
+def _measured(relation, all_):
+    """Rows of a relation, and of its columns that others have, roughly how many values there are."""
+    shared = [c for c in relation.columns if sum(c in r.columns for r in all_) > 1]
+    row = relation.agg(F.count(F.lit(1)).alias("rows"), *[F.approx_count_distinct(c).alias(c) for c in shared]).first()
+    return row["rows"], {c: max(1, row[c]) for c in shared}
+
+
+def _circle(relations, wanted):
+    """Relations joined one after the other, first those that give the fewest rows by their numbers of rows and values.
+
+    Two sides with few values in common (a nation) would meet in their product. What neither `wanted` nor a later
+    relation asks for goes once it is joined, and the rows that it told apart become one.
+    """
+    if len(relations) == 1:
+        return relations[0]
+    known = [_measured(r, relations) for r in relations]
+
+    def meet(a, b):
+        common = a[1].keys() & b[1].keys()
+        return a[0] * b[0] / max([max(a[1][c], b[1][c]) for c in common]) if common else None
+
+    pairs = [(meet(known[i], known[j]), i, j) for i in range(len(relations)) for j in range(i)]
+    rows, i, j = min(p for p in pairs if p[0] is not None)
+    joined, waiting = None, set(range(len(relations)))
+    while waiting:
+        if joined is None:
+            waiting -= {i, j}
+            joined, values = _joined(relations[i], relations[j]), (known[i][1], known[j][1])
+        else:
+            rows, i = min((meet(size, known[k]), k) for k in waiting if set(_on(joined, relations[k])))
+            waiting.remove(i)
+            joined, values = _joined(joined, relations[i]), (size[1], known[i][1])
+        size = (rows, {c: min(v.get(c, math.inf) for v in values) for c in values[0].keys() | values[1].keys()})
+        later = wanted.union(*[relations[k].columns for k in waiting])
+        kept = [c for c in joined.columns if c.removeprefix("_key_") in later or c in later]
+        if len(kept) < len(joined.columns):
+            joined = write_and_read(joined.select(*kept).distinct(), "pattern-circle")
+    return joined
+
+
 def match_patterns(triples, patterns, variables, tests=None):
     """Every binding of `variables` under which all `patterns` hold, as a set.
 
@@ -110,12 +155,8 @@ def match_patterns(triples, patterns, variables, tests=None):
         relations[parent] = write_and_read(_reduced(relations[parent], relations[child]), "pattern-up")
     for child, parent in reversed(edges):
         relations[child] = write_and_read(_reduced(relations[child], relations[parent]), "pattern-down")
-    # Patterns around a circle are joined first, each with one that shares a variable.
-    joined, waiting = relations[rest[0]], rest[1:]
-    while waiting:
-        i = next(i for i in waiting if set(_on(joined, relations[i])))
-        joined = _joined(joined, relations[i])
-        waiting.remove(i)
+    # Patterns around a circle are joined first, those that join to the fewest rows before others.
+    joined = _circle([relations[i] for i in rest], set(variables).union(*[_named(patterns[i]) for edge in edges for i in edge]))
     for child, _ in reversed(edges):
         joined = _joined(joined, relations[child])
     return joined.select(*variables).distinct()
