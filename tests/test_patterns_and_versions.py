@@ -194,3 +194,34 @@ def test_only_the_first_candidates_count(spark):
     assert sorted((r.name, r.n) for r in got.collect()) == [("both", 3), ("last", 50)]
     assert "WindowGroupLimit" in plan_of(got) and "Partial" in plan_of(got)
     assert {r.name for r in first_event_since(events, "name", "ts", ["n"], since, F.col("has"), []).collect()} == {"both", "last", "late"}
+
+
+def test_circles_are_not_joined_by_their_few_values(spark, monkeypatch):
+    """Customers and suppliers of one nation are not paired with one another before their orders are."""
+    from tripleweft.operators import patterns
+
+    made = [(f"c{k}", "nation", "n") for k in range(60)] + [(f"s{k}", "seat", "n") for k in range(60)]
+    made += [(f"o{k}", "customer", f"c{k}") for k in range(60)] + [(f"o{k}", "from", f"s{(k * 7) % 60}") for k in range(60)]
+    triples = spark.createDataFrame([(s, p, o, "iri", None, None) for s, p, o in made], TRIPLES_SCHEMA)
+    sizes, joined = [], patterns._joined
+
+    def counted(a, b):
+        out = joined(a, b)
+        sizes.append(out.count())
+        return out
+
+    monkeypatch.setattr(patterns, "_joined", counted)
+    circle = [("?o", "customer", "?c"), ("?o", "from", "?s"), ("?c", "nation", "?n"), ("?s", "seat", "?n")]
+    got = rows(match_patterns(triples, circle, ["c", "s", "n"]))
+    assert got == sorted((f"c{k}", f"s{(k * 7) % 60}", "n") for k in range(60))
+    assert max(sizes) == 60
+
+
+def test_stars_drop_repeats_once(spark):
+    from tripleweft.operators.graph import star_join
+
+    made = [("a", "p", "1", "literal"), ("a", "p", "1", "iri"), ("a", "p", "1", "literal"), ("a", "q", "2", "iri"), ("b", "p", "3", "iri")]
+    triples = spark.createDataFrame([(*t, None, None) for t in made], TRIPLES_SCHEMA)
+    star = star_join(triples, {"x": "p", "y": "q"}, "subject")
+    assert rows(star) == [("a", "1", "2")]
+    assert "HashAggregate" not in plan_of(star)

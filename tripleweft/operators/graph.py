@@ -61,14 +61,18 @@ def star_join(triples, variables, subject="subject", of_class=None, hot_rows=HOT
     conditions = [F.col("p") == p for p in variables.values()]
     if of_class is not None:
         conditions.append(_of_class(of_class))
-    used = triples.filter(reduce(lambda a, b: a | b, conditions)).select("s", "p", "o", "o_kind").distinct()
+    # Only a pattern that asks for types of any kind and for a class needs the kinds apart; else no join takes repeats.
+    kinds = ["o_kind"] if of_class is not None and RDF_TYPE in variables.values() else []
+    used = triples.filter(reduce(lambda a, b: a | b, conditions)).select("s", "p", "o", *kinds).distinct()
     columns = [F.col("s").alias(subject)]
     if len(conditions) == 1:
         return used.select(*columns, *[F.col("o").alias(name) for name in variables]).distinct()
     used = write_and_read(used, "star-triples")
-    parts = [used.filter(F.col("p") == p).select(*columns, F.col("o").alias(name)).distinct() for name, p in variables.items()]
+    parts = [used.filter(F.col("p") == p).select(*columns, F.col("o").alias(name)) for name, p in variables.items()]
+    parts = [part.distinct() for part in parts] if kinds else parts
     if of_class is not None:
-        parts.append(used.filter(_of_class(of_class)).select(*columns))
+        typed = _of_class(of_class) if kinds else (F.col("p") == RDF_TYPE) & (F.col("o") == of_class)
+        parts.append(used.filter(typed).select(*columns))
     hot = hot_keys(used.select(*columns), [subject], hot_rows)
     return reduce(lambda a, b: salted_join(a, b, [subject], hot=hot), parts)
 
