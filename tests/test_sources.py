@@ -407,3 +407,22 @@ def _only_where_it_matters(read):
         return out
 
     return checked
+
+
+def test_a_descent_opens_only_what_may_hold_the_name(spark, monkeypatch):
+    from tripleweft.sources import deep_json
+
+    opened, write = [], deep_json.Steps.write
+
+    def counted(self, df):
+        out = write(self, df)
+        opened.append(out.count())
+        return out
+
+    monkeypatch.setattr(deep_json.Steps, "write", counted)
+    texts = ['{"a": {"items": [{"k": 1}, {"k": 2}]}, "b": [1, {"items": [{"k": 3}]}, [4]], "c": {"d": {"e": {}}}}']
+    documents = parse_text(spark.createDataFrame([(t,) for t in texts], "t string"), "t")
+    records = iterate_deep(documents, "$..items[*]")
+    assert rows(records.select(F.to_json(records.columns[0]))) == [('{"k":1}',), ('{"k":2}',), ('{"k":3}',)]
+    # The root; `a` and the mixed array `b`; the object in `b`; nothing.
+    assert opened == [1, 2, 1, 0]

@@ -85,15 +85,24 @@ def _items(documents, others):
     return documents.select(*others, F.explode(F.try_variant_get(RECORD, "$", "array<variant>")).alias(RECORD))
 
 
+def _may_hold(name):
+    """Whether a value has the name at some depth, as far as its schema tells: types that differ are one VARIANT in it."""
+    kind = F.schema_of_variant(RECORD)
+    inside = kind.rlike("^(OBJECT|ARRAY)")
+    if not re.fullmatch(r"[A-Za-z_][A-Za-z0-9_]*", name):  # how other names are spelt in a schema is left open
+        return inside
+    return inside & (F.contains(kind, F.lit(name)) | F.contains(kind, F.lit("VARIANT")))
+
+
 def _descend(documents, name, others):
-    """The values of a name at any depth."""
+    """The values of a name at any depth; what cannot hold it is not opened further."""
     spark, steps, found = documents.sparkSession, Steps("json-open"), []
-    open_ = steps.write(documents.select(*others, RECORD))
+    open_ = steps.write(documents.select(*others, RECORD).where(_may_hold(name)))
     while not open_.isEmpty():
         here = open_.select(*others, F.try_variant_get(RECORD, variant_path([name]), "variant").alias(RECORD)).where(F.col(RECORD).isNotNull())
         found.append(write_and_read(here, "json-found"))
         inner = open_.lateralJoin(spark.tvf.variant_explode(F.col(RECORD).outer())).select(*others, F.col("value").alias(RECORD))
-        open_ = steps.write(inner.where(F.schema_of_variant(RECORD).rlike("^(OBJECT|ARRAY)")))
+        open_ = steps.write(inner.where(_may_hold(name)))
     steps.drop(spark)
     return union_all(found) if found else documents.limit(0)
 
