@@ -252,3 +252,16 @@ def test_partitioned_sinks(spark, people, tmp_path):
     write_partitioned(triples.filter("tenant = 't1'").limit(1), str(tmp_path / "pq"), ["tenant"])
     counts = {r.tenant: r["count"] for r in spark.read.parquet(str(tmp_path / "pq")).groupBy("tenant").count().collect()}
     assert counts["t1"] == 1 and counts["t3"] == triples.filter("tenant = 't3'").count()
+
+
+def test_sorted_rows_are_taken_by_bytes():
+    import pyarrow as pa
+
+    from tripleweft.sinks.subjects import BATCH_BYTES, subject_runs
+
+    texts = [f"{k}" + "x" * 200_000 for k in range(100)]
+    batch = pa.RecordBatch.from_pydict({"s": [f"{k:03}" for k in range(100)], "head": [""] * 100, "key": [""] * 100, "text": texts})
+    runs = list(subject_runs([batch], False))
+    assert [t for rows, *_ in runs for t in rows.column("text").to_pylist()] == texts
+    assert max(rows.column("text").combine_chunks().nbytes for rows, *_ in runs) <= BATCH_BYTES + 400_000
+    assert all(o.all() and e.all() for _, o, _, e in runs)

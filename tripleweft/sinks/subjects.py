@@ -5,6 +5,18 @@ import pyarrow as pa
 import pyarrow.compute as pc
 
 
+#: Bytes of sorted rows that are taken at a time: each step on the way to their text makes a copy.
+BATCH_BYTES = 4 << 20
+
+
+def _slices(batches):
+    """The same rows in batches of about `BATCH_BYTES`, however long the texts of a batch are."""
+    for batch in batches:
+        step = max(1, batch.num_rows * BATCH_BYTES // max(1, batch.nbytes))
+        for start in range(0, batch.num_rows, step):
+            yield batch.slice(start, step)
+
+
 def _changes(column, before):
     """Where a value differs from the one before it; `before` precedes the first."""
     out = np.empty(len(column), bool)
@@ -20,7 +32,7 @@ def subject_runs(batches, distinct):
     One row is held back until its successor is known. With `distinct`, rows that repeat the one before go.
     """
     held, subject, key = None, None, None
-    for batch in batches:
+    for batch in _slices(batches):
         rows = pa.Table.from_batches([batch])
         rows = (pa.concat_tables([held, rows]) if held is not None else rows).combine_chunks()
         if distinct and rows.num_rows > 1:
