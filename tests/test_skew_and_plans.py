@@ -7,6 +7,7 @@ from conftest import plan_of, rows
 from tripleweft import Mapping, TriplesMap, materialise, ref, triples_of
 from tripleweft.operators.events import merge_bins
 from tripleweft.operators.graph import dangling_links, star, star_join
+from tripleweft.operators.setops import graph_distinct, graph_merge
 from tripleweft.plans.fused import ntriples_text, turtle_text
 from tripleweft.plans.joins import checked_join, fits, hot_keys, row_spread, salted_join
 from tripleweft.plans.rowindex import global_row_index
@@ -158,3 +159,25 @@ def test_a_star_computes_its_input_once(spark, tmp_path):
     found = star_join(spark.read.parquet(str(tmp_path / "graph")), {"x": "p:x", "y": "p:y"})
     assert rows(found) == [("a", "1", "2")]
     assert f"{tmp_path}" not in plan_of(found) and "star-triples" in plan_of(found)
+
+
+def _repeated(spark):
+    """Thirty triples, each twice, some without a datatype."""
+    i = F.col("id") % 30
+    columns = [F.concat(F.lit(c + ":"), (i % n).cast("string")).alias(c) for c, n in (("s", 5), ("p", 2), ("o", 3))]
+    datatype = F.when(i % 2 == 0, F.lit("d:x")).alias("o_datatype")
+    triples = spark.range(60).select(*columns, F.lit("literal").alias("o_kind"), datatype, F.lit(None).cast("string").alias("o_lang"))
+    return triples, {tuple(r) for r in triples.collect()}
+
+
+def _below_exchange(df):
+    first, *below = plan_of(df).split("Exchange hashpartitioning")
+    assert "HashAggregate" in first and len(below) == 1
+    return below[0]
+
+
+def test_sets_drop_repeats_after_they_met_and_not_before(spark):
+    triples, want = _repeated(spark)
+    assert "HashAggregate" not in _below_exchange(graph_distinct(triples))
+    assert "HashAggregate" not in _below_exchange(graph_merge(triples, triples, distinct=True))
+    assert rows(graph_distinct(triples)) == rows(graph_merge(triples, triples, distinct=True)) == sorted(want, key=repr)
