@@ -7,7 +7,7 @@ from conftest import plan_of, rows
 from tripleweft import Mapping, TriplesMap, materialise, ref, triples_of
 from tripleweft.operators.events import merge_bins
 from tripleweft.operators.graph import dangling_links, star, star_join
-from tripleweft.operators.setops import graph_distinct, graph_merge
+from tripleweft.operators.setops import graph_diff, graph_distinct, graph_merge
 from tripleweft.plans.fused import ntriples_text, turtle_text
 from tripleweft.plans.joins import checked_join, fits, hot_keys, row_spread, salted_join
 from tripleweft.plans.rowindex import global_row_index
@@ -181,3 +181,12 @@ def test_sets_drop_repeats_after_they_met_and_not_before(spark):
     assert "HashAggregate" not in _below_exchange(graph_distinct(triples))
     assert "HashAggregate" not in _below_exchange(graph_merge(triples, triples, distinct=True))
     assert rows(graph_distinct(triples)) == rows(graph_merge(triples, triples, distinct=True)) == sorted(want, key=repr)
+
+
+def test_a_bag_against_its_set_is_shuffled_once(spark):
+    triples, want = _repeated(spark)
+    delta = graph_diff(triples, graph_distinct(triples), bag=True)
+    got = delta.collect()
+    final = plan_of(delta).split("== Initial Plan")[0]
+    assert final.count("Exchange hashpartitioning") - final.count("ReusedExchange") == 1 and "ReusedExchange" in final
+    assert len(got) == len(want) and {r["side"] for r in got} == {"missing"} and sum(r["copies"] for r in got) == 60 - len(want)
