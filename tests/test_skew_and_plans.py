@@ -178,9 +178,14 @@ def _below_exchange(df):
 
 def test_sets_drop_repeats_after_they_met_and_not_before(spark):
     triples, want = _repeated(spark)
+    records = spark.range(40).select((F.col("id") % 7).alias("k"), (F.col("id") % 2).alias("v"))
+    maps = Mapping((TriplesMap("r", "s:{k}", objects=(("p:v", ref("v")),)),))
+    mapped = materialise(maps, {"r": records}, distinct=True)
     assert "HashAggregate" not in _below_exchange(graph_distinct(triples))
     assert "HashAggregate" not in _below_exchange(graph_merge(triples, triples, distinct=True))
+    assert "HashAggregate" not in _below_exchange(mapped)
     assert rows(graph_distinct(triples)) == rows(graph_merge(triples, triples, distinct=True)) == sorted(want, key=repr)
+    assert rows(mapped.select("s", "o")) == sorted({(f"s:{i % 7}", str(i % 2)) for i in range(40)}, key=repr)
 
 
 def test_a_bag_against_its_set_is_shuffled_once(spark):

@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from tripleweft.functions.paths import resolver
 from tripleweft.functions.templates import expand, fill_attributes, has_attributes, template_pieces
 from tripleweft.mapping import Mapping
+from tripleweft.plans.meeting import distinct_rows
 from tripleweft.vocab import IRI, LITERAL, RDF_TYPE, TRIPLE_COLUMNS, is_iri_constant
 
 
@@ -217,7 +218,7 @@ def materialise(mapping, inputs, distinct=False, encode=False, predicates=None):
         return union_all(frames).select(*TRIPLE_COLUMNS)
     signatures = {}
     rows = union_all([_rule_rows(inputs[key[0]], maps, signatures, encode, predicates) for key, maps in scans])
-    return _spell_out(rows.distinct(), signatures)
+    return _spell_out(distinct_rows(rows), signatures)
 
 
 def with_triple_count(records, maps, keep=(), attrs=None):
