@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 
 from conftest import plan_of, rows
 from tripleweft import Mapping, TriplesMap, materialise, ref, triples_of
+from tripleweft.operators.aggregates import distinct_triple_count
 from tripleweft.operators.events import merge_bins
 from tripleweft.operators.graph import dangling_links, star, star_join
 from tripleweft.operators.setops import graph_diff, graph_distinct, graph_merge
@@ -183,8 +184,10 @@ def test_sets_drop_repeats_after_they_met_and_not_before(spark):
     mapped = materialise(maps, {"r": records}, distinct=True)
     assert "HashAggregate" not in _below_exchange(graph_distinct(triples))
     assert "HashAggregate" not in _below_exchange(graph_merge(triples, triples, distinct=True))
+    assert "HashAggregate" not in _below_exchange(distinct_triple_count(triples))
     assert "HashAggregate" not in _below_exchange(mapped)
     assert rows(graph_distinct(triples)) == rows(graph_merge(triples, triples, distinct=True)) == sorted(want, key=repr)
+    assert distinct_triple_count(triples).first()[0] == len(want)
     assert rows(mapped.select("s", "o")) == sorted({(f"s:{i % 7}", str(i % 2)) for i in range(40)}, key=repr)
 
 

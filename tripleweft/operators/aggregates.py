@@ -4,6 +4,7 @@ from pyspark.sql import functions as F
 
 from tripleweft.functions.names import mime_type
 from tripleweft.plans.compile import with_triple_count
+from tripleweft.plans.meeting import distinct_rows
 from tripleweft.vocab import TRIPLE_COLUMNS
 
 
@@ -15,10 +16,9 @@ def triple_count(triples):
 def distinct_triple_count(triples):
     """Number of different triples.
 
-    Repeats are dropped within each task before the shuffle; a null datatype or
-    language is a value like any other.
+    A null datatype or language is a value like any other.
     """
-    return triples.select(*TRIPLE_COLUMNS).distinct().agg(F.count(F.lit(1)).alias("triples"))
+    return distinct_rows(triples.select(*TRIPLE_COLUMNS)).agg(F.count(F.lit(1)).alias("triples"))
 
 
 def record_count(records, maps):
