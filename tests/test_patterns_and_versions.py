@@ -12,6 +12,7 @@ from tripleweft.operators.events import first_event_since, first_of_candidates
 from tripleweft.operators.patterns import join_tree, match_patterns
 from tripleweft.plans.asof import as_of_join
 from tripleweft.operators.sketches import graph_sketches, sketched_sizes
+from tripleweft.scratch import untracked
 from tripleweft.sinks.buckets import append_distinct, read_graph
 from tripleweft.sinks.versions import current_version, publish, read_published
 from tripleweft.vocab import TRIPLES_SCHEMA
@@ -225,3 +226,13 @@ def test_stars_drop_repeats_once(spark):
     star = star_join(triples, {"x": "p", "y": "q"}, "subject")
     assert rows(star) == [("a", "1", "2")]
     assert "HashAggregate" not in plan_of(star)
+
+
+def test_what_a_graph_begins_with_is_written_to_one_table_on_the_way(spark, tmp_path):
+    df = spark.createDataFrame([(f"s{i % 7}", "p", "o", "literal", None, None) for i in range(20)], TRIPLES_SCHEMA)
+    path = f"{tmp_path}/graph"
+    with untracked() as first:
+        assert append_distinct(df.where("s < 's5'"), path, buckets=4) == 5
+    with untracked() as second:
+        assert append_distinct(df, path) == 2
+    assert (len(first), len(second)) == (1, 2) and rows(read_graph(spark, path)) == rows(df.distinct())
