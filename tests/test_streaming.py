@@ -152,3 +152,58 @@ def test_bins_do_not_depend_on_batches(spark, tmp_path, cuts):
         (1, 0): (0, "number"), (1, 2): (0, "number"), (1, 3): (0, "number"), (1, 5): (1, "number"), (1, 7): (1, "number"), (1, 8): (1, "number"),
         (1, 9): (2, "age"), (2, 1): (0, "age"), (2, 4): (1, "age"), (2, 10): (1, "age"), (None, 6): (0, "age"),
     }
+
+
+def test_keys_of_a_bucket_share_their_state(spark, tmp_path):
+    """Fifty keys in two buckets, with a restart: the bins of each are those of its rows alone."""
+    data = [(n % 50 if n % 50 else None, n, 1_700_000_000 + n * 7) for n in range(600)]
+    given, out, checkpoint = [str(tmp_path / x) for x in ("in", "out", "checkpoint")]
+    for part in (data[:250], data[250:]):
+        df = spark.createDataFrame(part, "k int, n int, t long").withColumn("t", F.col("t").cast("timestamp"))
+        df.coalesce(1).write.mode("append").parquet(given)
+        stream = spark.readStream.schema(df.schema).parquet(given)
+        stream_bins(stream, "k", "t", ["n"], out, checkpoint, 3, "800 seconds", "5 seconds", buckets=2).awaitTermination()
+    until, want = data[-1][2] - 5, []
+    for key in [None, *range(1, 50)]:
+        own = [(n, t) for k, n, t in data if k == key]
+        for b, (first, end, reason) in enumerate(closed_bins([t for _, t in own], 3, 800, until)):
+            want += [(key, n, b, reason) for n, _ in own[first:end]]
+    assert rows(spark.read.parquet(out).select("k", "n", "bin_id", "closed_by")) == sorted(want, key=repr)
+
+
+def test_state_is_read_and_written_once_for_many_keys():
+    from pyspark.sql import Row
+
+    from tripleweft.streaming.bins import _Bins
+
+    class State:
+        calls, value = 0, None
+
+        def get(self):
+            self.calls += 1
+            return self.value
+
+        def update(self, value):
+            self.calls, self.value = self.calls + 1, value
+
+    class Handle:
+        def __init__(self):
+            self.state, self.timers = State(), []
+
+        def getValueState(self, *_):
+            return self.state
+
+        def registerTimer(self, at):
+            self.timers.append(at)
+
+        def getCurrentWatermarkInMs(self):
+            return 1000
+
+    handle, bins = Handle(), _Bins("k", ["n"], 3, 500, ["k", "n", "_ms"], ["n"])
+    bins.init(handle)
+    shape = Row("n", "k", "_ms")
+    new = [shape(n, n % 100 / 10 if n % 100 else float("nan"), 400 + n) for n in range(700)]
+    closed = [tuple(r) for r in bins.handleInputRows((1,), iter(new), handle)]
+    assert handle.state.calls == 2 and len(handle.timers) == 1
+    assert len(closed) == 600 and {r[2:] for r in closed} == {(0, "number"), (1, "number")}
+    assert list(bins.handleExpiredTimer((1,), handle, None)) == [] and handle.state.calls == 2

@@ -23,6 +23,9 @@ from tripleweft.vocab import TRIPLE_COLUMNS
 
 registry = Registry()
 
+#: Rows of a file of a delivery, at least, where there are several.
+FILE_ROWS = 500_000
+
 
 def table_stream(spark, sf_dir, name):
     schema = table(spark, sf_dir, name).schema
@@ -112,10 +115,13 @@ def events_by_time(spark, sf_dir, parts):
 def stream_bins_query(spark, sf_dir):
     """Bins of three events of a user, or of twelve hours, over six deliveries with a restart after the third."""
     given, out, checkpoint = new_path(spark, "bins-in"), new_path(spark, "bins"), new_path(spark, "checkpoint")
-    for k, part in enumerate(events_by_time(spark, sf_dir, 6)):
-        part.coalesce(1).write.mode("append").parquet(given)
+    parts = list(events_by_time(spark, sf_dir, 6))
+    # As many files in every delivery, none of them empty, so that a batch takes one delivery.
+    files = max(1, min(part.count() for part in parts) // FILE_ROWS)
+    for k, part in enumerate(parts):
+        part.repartition(files).write.mode("append").parquet(given)
         if k in (2, 5):
-            arriving = spark.readStream.schema(part.schema).option("maxFilesPerTrigger", 1).parquet(given)
+            arriving = spark.readStream.schema(part.schema).option("maxFilesPerTrigger", files).parquet(given)
             stream_bins(arriving, "user_id", "ts", ["event_id"], out, checkpoint, 3, "12 hours", "1 hour").awaitTermination()
     return spark.read.parquet(out).select("user_id", "event_id", "bin_id", "closed_by")
 
