@@ -7,11 +7,12 @@ import xml.etree.ElementTree as ET
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import rows
+from conftest import plan_of, rows
 from tripleweft import TriplesMap, constant, ref, template, triples_of
 from tripleweft.operators.setops import graph_diff, graph_distinct
 from tripleweft.plans.fused import jsonld_text, ntriples_text, turtle_text
 from tripleweft.sinks.files import convert_ntriples, write_ntriples_partitioned, write_partitioned, write_rdf, write_text
+from tripleweft.sinks import subjects
 from tripleweft.sinks.jsonld import jsonld_nodes, jsonld_scan, parse_jsonld, write_jsonld
 from tripleweft.sinks.ntriples import write_ntriples
 from tripleweft.sinks.rdfxml import rdfxml_lines, write_rdfxml
@@ -265,3 +266,43 @@ def test_sorted_rows_are_taken_by_bytes():
     assert [t for rows, *_ in runs for t in rows.column("text").to_pylist()] == texts
     assert max(rows.column("text").combine_chunks().nbytes for rows, *_ in runs) <= BATCH_BYTES + 400_000
     assert all(o.all() and e.all() for _, o, _, e in runs)
+
+
+def test_jsonld_files_are_read_once(spark, put):
+    """Types and values come from one reading, also of nodes that hold numbers, or values that are no array."""
+    node = '{"@id":"s:a","@type":["t:A","t:B"],"p:n":[{"@value":1.50},{"@value":true},{"@id":"_:b"}],"@context":{"a":"b"}'
+    path = put("j/a.jsonld", node + ',"p:x":[{"@value":"\\u00e9","@language":"fr"}]}\n' + node.replace("s:a", "s:c") + ',"p:t":"x"}\n')
+    found = jsonld_scan(spark, path)
+    assert plan_of(found).count("Scan text") == 1
+    both = [(RDF_TYPE, "t:A", "iri"), (RDF_TYPE, "t:B", "iri"), ("p:n", "1.5", "literal"), ("p:n", "true", "literal"), ("p:n", "_:b", "bnode")]
+    want = [(s, p, o, kind, None, None) for s in ("s:a", "s:c") for p, o, kind in both]
+    assert rows(found) == sorted([*want, ("s:a", "p:x", "é", "literal", None, "fr")], key=repr)
+
+
+def test_json_text_is_the_same_in_arrow(spark):
+    import pyarrow as pa
+
+    from tripleweft.sinks.jsonld import _quoted, json_string
+
+    texts = [NASTY, "plain", "", "Zoë \u2028", "\\u001f", *map(chr, range(1, 128))]
+    want = [r.t for r in spark.createDataFrame([(n, t) for n, t in enumerate(texts)], "n int, t string").orderBy("n").select(json_string(F.col("t")).alias("t")).collect()]
+    assert _quoted(pa.array(texts)).to_pylist() == want
+
+
+def test_a_conversion_deals_triples_out_without_ranges(spark, monkeypatch):
+    """With a sample triples are not evaluated once more; a hot subject is many tasks' all the same, others are one's."""
+    monkeypatch.setattr(subjects, "SUBJECT_ROWS", 100)
+    monkeypatch.setattr(subjects, "SAMPLE", 1.0)
+    data = [("s:hot", "p:x", str(n), "literal", None, None) for n in range(1000)] + [(f"s:{n % 50}", "p:x", str(n % 80), "literal", None, None) for n in range(900)]
+    triples = spark.createDataFrame(data * 2, TRIPLES_SCHEMA).repartition(5)
+    nodes = jsonld_nodes(triples, triples)
+    assert "rangepartitioning" not in plan_of(nodes)
+    assert rows(parse_jsonld(nodes)) == rows(graph_distinct(triples))
+    assert rows(_turtle_lines_as_triples(turtle_lines(triples, True, triples))) == rows(graph_distinct(triples))
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        placed = subjects.by_subject(triples, triples).select("s", F.spark_partition_id().alias("task"))
+        tasks = placed.groupBy("s").agg(F.countDistinct("task").alias("n")).collect()
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    assert all((r.n > 1) == (r.s == "s:hot") for r in tasks)

@@ -4,6 +4,7 @@ from tripleweft.operators.setops import graph_distinct
 from tripleweft.sinks.jsonld import write_jsonld
 from tripleweft.sinks.ntriples import ntriples_lines, write_ntriples
 from tripleweft.sinks.rdfxml import write_rdfxml
+from tripleweft.sinks.subjects import SAMPLE
 from tripleweft.sinks.turtle import write_turtle
 from tripleweft.sources.ntriples import ntriples_scan
 
@@ -58,4 +59,4 @@ def convert_ntriples(spark, source, target, output_format):
         write_ntriples(graph_distinct(triples), target)
         return
     options = {"distinct": True} if format_name(output_format) == "TURTLE" else {}
-    write_rdf(triples, target, output_format, **options)
+    write_rdf(triples, target, output_format, sample=ntriples_scan(spark, source, fraction=SAMPLE), **options)

@@ -5,7 +5,8 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import functions as F
 
-from tripleweft.sinks.subjects import choose, sorted_ranges, subject_runs, text_of
+from tripleweft.plans.once import evaluate_once
+from tripleweft.sinks.subjects import choose, sorted_subjects, subject_runs, text_of
 from tripleweft.vocab import BLANK, BNODE, IRI, LITERAL, RDF_TYPE
 
 # The lines around the nodes of a document.
@@ -14,6 +15,8 @@ OPENING, CLOSING = '{"@graph":[', "]}"
 NODE_BYTES = 1_000_000
 # Fixed value: characters that JSON text must escape.
 _ESCAPED = r'[\x00-\x1F"\\]'
+_ESCAPES = {n: f"\\u{n:04X}" for n in range(32)} | {ord(c): "\\" + e for c, e in zip('"\\\b\t\n\f\r', '"\\btnfr', strict=True)}
+_CELLS = "array<map<string,string>>"
 
 
 def json_string(col):
@@ -23,6 +26,15 @@ def json_string(col):
     return F.when(col.rlike(_ESCAPED), F.substr(escaped, F.lit(2), F.length(escaped) - 2)).otherwise(plain)
 
 
+def _quoted(texts):
+    """The same for strings in Arrow."""
+    plain = pc.binary_join_element_wise('"', texts, '"', "")
+    escaped = pc.match_substring_regex(texts, _ESCAPED)
+    if not pc.any(escaped).as_py():
+        return plain
+    return pc.if_else(escaped, pa.array([f'"{t.translate(_ESCAPES)}"' for t in texts.to_pylist()], pa.string()), plain)
+
+
 def _cell():
     """A value object; its parts in the order of their keys."""
     o = json_string(F.col("o"))
@@ -30,7 +42,8 @@ def _cell():
     tagged = F.concat(F.lit('{"@language":'), json_string(F.col("o_lang")), F.lit(',"@value":'), o, F.lit("}"))
     plain = F.concat(F.lit('{"@value":'), o, F.lit("}"))
     node = F.concat(F.lit('{"@id":'), o, F.lit("}"))
-    return F.when(F.col("o_kind").isin(IRI, BNODE), node).otherwise(F.coalesce(typed, tagged, plain))
+    literal = F.when(F.col("o_datatype").isNotNull(), typed).when(F.col("o_lang").isNotNull(), tagged).otherwise(plain)
+    return F.when(F.col("o_kind").isin(IRI, BNODE), node).otherwise(literal)
 
 
 def _nodes(batches):
@@ -42,8 +55,8 @@ def _nodes(batches):
             opens[0] = turns[0] = True
             fresh = False
         s, text = text_of(rows, "s"), text_of(rows, "text")
-        key = pc.binary_join_element_wise(text_of(rows, "label"), ":[", "")
-        start = pc.binary_join_element_wise('{"@id":', text_of(rows, "head"), ",", key, "")
+        key = pc.binary_join_element_wise(_quoted(text_of(rows, "key")), ":[", "")
+        start = pc.binary_join_element_wise('{"@id":', _quoted(s), ",", key, "")
         start = choose(opens, start, choose(turns, pc.binary_join_element_wise("],", key, ""), ","))
         piece = pc.binary_join_element_wise(start, text, choose(ends, "]}", ""), "")
         stops = np.flatnonzero(ends) + 1
@@ -66,22 +79,16 @@ def _nodes(batches):
             yield pa.RecordBatch.from_arrays([pa.array(names, pa.string()), pa.array(done, pa.string())], ["s", "value"])
 
 
-def jsonld_nodes(triples):
+def jsonld_nodes(triples, sample=None):
     """Rows (s, value) of the distinct graph, predicates and values sorted.
 
-    Values are serialised before the one shuffle, a sort by ranges in which repeated triples meet. A subject has one
-    node, or one per range that it spans and per megabyte of its text, so that no group is ever held in memory.
+    There is one shuffle, by subject, in which repeated triples meet. A subject has one node, or one per task that it is
+    spread over and per megabyte of its text, so that no group is ever held in memory.
     """
     is_type = (F.col("p") == RDF_TYPE) & F.col("o_kind").isin(IRI, BNODE)
     key = F.when(is_type, F.lit("@type")).otherwise(F.col("p"))
-    rows = triples.select(
-        "s",
-        json_string(F.col("s")).alias("head"),
-        key.alias("key"),
-        json_string(key).alias("label"),
-        F.when(is_type, json_string(F.col("o"))).otherwise(_cell()).alias("text"),
-    )
-    return sorted_ranges(rows).mapInArrow(_nodes, "s string, value string")
+    rows = sorted_subjects(triples, key, F.when(is_type, json_string(F.col("o"))).otherwise(_cell()), sample)
+    return rows.mapInArrow(_nodes, "s string, value string")
 
 
 def _framed(batches):
@@ -110,8 +117,8 @@ def write_nodes(nodes, path, mode="overwrite", documents=True):
     text.write.mode(mode).text(path)
 
 
-def write_jsonld(triples, path, mode="overwrite", documents=True):
-    write_nodes(jsonld_nodes(triples), path, mode, documents)
+def write_jsonld(triples, path, mode="overwrite", documents=True, sample=None):
+    write_nodes(jsonld_nodes(triples, sample), path, mode, documents)
 
 
 def jsonld_scan(spark, path):
@@ -119,7 +126,10 @@ def jsonld_scan(spark, path):
 
     Other lines than the two of the document and nodes (which may follow a comma) are an error.
     """
-    lines = spark.read.text(path).select(F.trim(F.regexp_replace("value", r"^\s*,", "")).alias("value"))
+    line = F.col("value")
+    bare = F.when(line.startswith("{"), line).when(line.startswith(","), F.substr(line, F.lit(2)))
+    bare = F.trim(bare.otherwise(F.regexp_replace(line, r"^\s*,", "")))
+    lines = evaluate_once(spark.read.text(path), bare.alias("value"))
     return parse_jsonld(lines.where(~F.col("value").isin(OPENING, CLOSING, "")))
 
 
@@ -128,31 +138,34 @@ def _node_kind(col):
 
 
 def parse_jsonld(nodes, column="value"):
-    """Triples of flattened node objects, one per row; text that is none is an error."""
-    node = F.try_parse_json(column)
-    wrong = F.raise_error(F.concat(F.lit("not a JSON-LD node: "), F.substring(F.col(column), 1, 200))).cast("boolean")
-    named = F.try_variant_get(node, "$['@id']", "string")
-    head = nodes.where(F.when(named.isNotNull(), F.lit(True)).otherwise(wrong)).select(
-        named.alias("s"),
-        F.coalesce(F.try_variant_get(node, "$['@type']", "array<string>"), F.array().cast("array<string>")).alias("types"),
-        F.from_json(column, "map<string,string>").alias("fields"),
-    )
-    null = F.lit(None).cast("string")
-    types = head.select("s", F.explode("types").alias("o")).select(
-        "s", F.lit(RDF_TYPE).alias("p"), "o", _node_kind(F.col("o")).alias("o_kind"), null.alias("o_datatype"), null.alias("o_lang")
+    """Triples of flattened node objects, one per row; text that is none is an error. A node is read once."""
+    text, node, data = F.col("_text"), F.col("_node"), F.col("data")
+    read = evaluate_once(nodes, F.col(column).alias("_text"), F.try_parse_json(column).alias("_node"))
+    wrong = F.raise_error(F.concat(F.lit("not a JSON-LD node: "), F.substring(text, 1, 200)))
+    head = evaluate_once(
+        read,
+        F.coalesce(F.try_variant_get(node, "$['@id']", "string"), wrong.cast("string")).alias("s"),
+        F.try_variant_get(node, "$['@type']", "array<string>").alias("types"),
+        F.map_filter(F.from_json(text, "map<string,string>"), lambda p, _: ~p.startswith("@")).alias("data"),
     )
-    cells = head.select("s", F.explode("fields").alias("p", "cells")).filter(~F.col("p").startswith("@"))
-    cells = cells.select("s", "p", F.explode(F.from_json("cells", "array<map<string,string>>")).alias("c"))
+    # The values of all predicates are read at once; where one is no array, each by itself.
+    joined = F.concat(F.lit("["), F.array_join(F.map_values(data), ","), F.lit("]"))
+    read = evaluate_once(head, "s", "types", "data", F.from_json(joined, f"array<{_CELLS}>").alias("cells"))
+    alone = F.transform(F.map_values(data), lambda v: F.from_json(v, _CELLS))
+    cells = F.when(F.size("cells") == F.size(data), F.col("cells")).otherwise(alone)
+    types = F.transform("types", lambda t: F.create_map(F.lit("@id"), t))
+    entries = F.arrays_zip(F.concat(F.array(F.lit("@type")), F.map_keys(data)), F.concat(F.array(types), cells))
+    cells = read.select("s", F.inline(entries).alias("p", "cells")).select("s", "p", F.explode("cells").alias("c"))
+    is_type = F.col("p") == "@type"
 
     def part(key):
         return F.try_element_at("c", F.lit(key))
 
-    values = cells.select(
+    return cells.select(
         "s",
-        "p",
+        F.when(is_type, RDF_TYPE).otherwise(F.col("p")).alias("p"),
         F.coalesce(part("@id"), part("@value")).alias("o"),
-        F.when(part("@id").isNotNull(), _node_kind(part("@id"))).otherwise(LITERAL).alias("o_kind"),
-        part("@type").alias("o_datatype"),
-        part("@language").alias("o_lang"),
+        F.when(is_type | part("@id").isNotNull(), _node_kind(part("@id"))).otherwise(LITERAL).alias("o_kind"),
+        F.when(~is_type, part("@type")).alias("o_datatype"),
+        F.when(~is_type, part("@language")).alias("o_lang"),
     )
-    return types.unionByName(values)

@@ -39,13 +39,12 @@ def property_element(forbidden="raise"):
     return F.concat(F.lit("<"), tag, declared, attribute, rest)
 
 
-def rdfxml_lines(triples, forbidden="raise"):
+def rdfxml_lines(triples, forbidden="raise", sample=None):
     """Rows (s, value): the distinct graph as lines, an `rdf:Description` opening where the subject changes."""
     s = F.col("s")
     about = F.when(s.startswith(BLANK), _quoted("rdf:nodeID", _label(s))).otherwise(_quoted("rdf:about", s))
     head = F.concat(F.lit("<rdf:Description"), about, F.lit(">"))
-    rows = triples.select("s", head.alias("head"), F.lit("").alias("key"), property_element(forbidden).alias("text"))
-    return subject_lines(rows, True, "\n  ", "  ", "", "\n</rdf:Description>")
+    return subject_lines(triples, head, property_element(forbidden), True, "\n  ", "  ", "", "\n</rdf:Description>", sample)
 
 
 def _framed(batches):
@@ -59,7 +58,7 @@ def _framed(batches):
     yield line("</rdf:RDF>")
 
 
-def write_rdfxml(triples, path, mode="overwrite", forbidden="raise"):
+def write_rdfxml(triples, path, mode="overwrite", forbidden="raise", sample=None):
     """RDF/XML files; each part is a document of its own."""
-    text = rdfxml_lines(triples, forbidden).select("value")
+    text = rdfxml_lines(triples, forbidden, sample).select("value")
     text.mapInArrow(_framed, "value string").write.mode(mode).text(path)

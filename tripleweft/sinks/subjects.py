@@ -1,12 +1,19 @@
-"""Triples by subject as a stream: sorted ranges, in which a subject opens where it changes."""
+"""Triples by subject as a stream: sorted rows, in which a subject opens where it changes."""
+
+import math
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+from pyspark.sql import functions as F
 
 
 #: Bytes of sorted rows that are taken at a time: each step on the way to their text makes a copy.
 BATCH_BYTES = 4 << 20
+#: Rows of one subject that a task should take.
+SUBJECT_ROWS = 1_000_000
+#: Part of the triples that tells which subjects have more, and how many subjects are spread at most.
+SAMPLE, MOST_HOT = 0.001, 100_000
 
 
 def _slices(batches):
@@ -78,15 +85,43 @@ def _lines(distinct, opening, inner, between, closing):
     return run
 
 
-def sorted_ranges(rows):
-    """Rows (s, head, key, text), range-partitioned and sorted, so that equal rows and those of a subject follow each other.
+def hot_subjects(sample):
+    """Rows (s, tasks) of the subjects that a sample of triples shows to be too many for a task; None without any."""
+    most = SUBJECT_ROWS * SAMPLE
+    counts = sample.groupBy("s").count().where(F.col("count") > most).orderBy(F.desc("count")).limit(MOST_HOT)
+    hot = [(r["s"], math.ceil(r["count"] / most)) for r in counts.collect()]
+    return sample.sparkSession.createDataFrame(hot, "s string, tasks int") if hot else None
+
+
+def by_subject(triples, sample):
+    """Triples dealt out by subject, equal ones to the same task; a hot subject goes to several tasks, by predicate and object.
+
+    Which are hot is told by a sample; it may be wrong without harm to the result.
+    """
+    hot = hot_subjects(sample)
+    if hot is None:
+        return triples.repartition("s")
+    told = triples.join(F.broadcast(hot.withColumnRenamed("s", "_hot")), F.col("s") == F.col("_hot"), "left")
+    turn = F.coalesce(F.pmod(F.xxhash64("p", "o"), F.col("tasks")), F.lit(0))
+    return told.repartition("s", turn).drop("_hot", "tasks")
+
+
+def sorted_subjects(triples, key, text, sample=None):
+    """Rows (s, key, text) of triples, sorted in each task, so that equal rows and those of a subject follow each other.
 
-    A subject with very many rows is spread over the ranges that it spans; each opens it again, which all formats allow.
-    Nothing is grouped, so memory does not depend on the size of a subject.
+    Ranges of subject, predicate and object make up the tasks, for which Spark evaluates all triples once more. Where that
+    is costly, a `sample` of a thousandth of them may be given, and subjects are dealt out instead, in order of a hash, which
+    tells them apart sooner than names that begin alike. Either way a subject with very many rows is spread over several tasks; each opens it again, which all formats allow. Nothing is grouped, so
+    memory does not depend on the size of a subject. Text is made behind the shuffle: it is wider, and not to be made twice.
     """
-    return rows.repartitionByRange("s", "key", "text").sortWithinPartitions("s", "key", "text")
+    dealt = triples.repartitionByRange("s", "p", "o") if sample is None else by_subject(triples, sample)
+    rows = dealt.select("s", key.alias("key"), text.alias("text"))
+    if sample is None:
+        return rows.sortWithinPartitions("s", "key", "text")
+    return rows.withColumn("_at", F.xxhash64("s")).sortWithinPartitions("_at", "s", "key", "text").drop("_at")
 
 
-def subject_lines(rows, distinct, opening, inner, between, closing):
-    """Rows (s, value): the text of all subjects, one row of `rows` per line."""
-    return sorted_ranges(rows).mapInArrow(_lines(distinct, opening, inner, between, closing), "s string, value string")
+def subject_lines(triples, head, text, distinct, opening, inner, between, closing, sample=None):
+    """Rows (s, value): the text of all subjects, one triple per line; `head` follows from the subject."""
+    rows = sorted_subjects(triples, F.lit(""), text, sample).select("s", head.alias("head"), "key", "text")
+    return rows.mapInArrow(_lines(distinct, opening, inner, between, closing), "s string, value string")

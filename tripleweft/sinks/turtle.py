@@ -10,12 +10,11 @@ from tripleweft.vocab import RDF_TYPE
 _AROUND = r"^(?:\S+\n)?    (.*) [;.]\n?$"
 
 
-def turtle_lines(triples, distinct=False):
-    """Rows (s, value): lines of Turtle, sorted by subject; in this order they make up the file."""
+def turtle_lines(triples, distinct=False, sample=None):
+    """Rows (s, value): lines of Turtle, sorted by subject (with a `sample`, subject by subject); in this order they make up the file."""
     verb = F.when(F.col("p") == RDF_TYPE, F.lit("a")).otherwise(F.concat(F.lit("<"), F.col("p"), F.lit(">")))
     line = F.concat(verb, F.lit(" "), object_column())
-    rows = triples.select("s", node_text(F.col("s")).alias("head"), F.lit("").alias("key"), line.alias("text"))
-    return subject_lines(rows, distinct, "\n    ", "    ", " ;", " .\n")
+    return subject_lines(triples, node_text(F.col("s")), line, distinct, "\n    ", "    ", " ;", " .\n", sample)
 
 
 def predicate_object(value):
@@ -23,5 +22,5 @@ def predicate_object(value):
     return F.regexp_extract(value, _AROUND, 1)
 
 
-def write_turtle(triples, path, mode="overwrite", distinct=False):
-    turtle_lines(triples, distinct).select("value").write.mode(mode).text(path)
+def write_turtle(triples, path, mode="overwrite", distinct=False, sample=None):
+    turtle_lines(triples, distinct, sample).select("value").write.mode(mode).text(path)

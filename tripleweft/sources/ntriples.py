@@ -125,13 +125,17 @@ def parse_ntriples(lines, column="value", keep=()):
     )
 
 
-def ntriples_scan(spark, path, mode="FAILFAST", blank_nodes="graph"):
+def ntriples_scan(spark, path, mode="FAILFAST", blank_nodes="graph", fraction=None):
     """Triples of N-Triples files. A malformed line fails the job unless `mode="DROP"`.
 
+    With a `fraction`, those of a sample of the lines, which are the only ones parsed.
+
     The files of a path are one graph, as Spark writes one in many files. Where each file is a graph of its own,
     `blank_nodes="file"` keeps their blank nodes apart by adding a hash of the file's name to the labels.
     """
     lines = spark.read.text(path)
+    if fraction is not None:
+        lines = lines.sample(fraction, seed=0)
     if blank_nodes == "file":
         triples = parse_ntriples(lines.select("value", F.hex(F.xxhash64(F.input_file_name())).alias("_file")), keep=["_file"])
         own = F.concat(F.lit("-"), F.col("_file"))
