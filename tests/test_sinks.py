@@ -306,3 +306,17 @@ def test_a_conversion_deals_triples_out_without_ranges(spark, monkeypatch):
     finally:
         spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
     assert all((r.n > 1) == (r.s == "s:hot") for r in tasks)
+
+
+def test_text_is_made_behind_the_shuffle(people):
+    """Ranges are chosen by a reading of their own, which should not make text."""
+    plan = plan_of(turtle_lines(triples_of(people, person_map())).select("s"))
+    below = plan[plan.index("rangepartitioning") :]
+    assert "replace(" not in below and "head" not in below
+
+
+def test_predicate_object_of_any_text(spark):
+    """Also where a literal holds a line end that is none in Turtle, or a subject a blank."""
+    triples = spark.createDataFrame([("s:a b", "p:x", "one\u2028two\u0085", "literal", None, None), ("s:a b", "p:y", " ;", "literal", None, None)], TRIPLES_SCHEMA)
+    got = turtle_lines(triples).select("s", predicate_object(F.col("value")))
+    assert rows(got) == [("s:a b", '<p:x> "one\u2028two\u0085"'), ("s:a b", '<p:y> " ;"')]

@@ -6,8 +6,8 @@ from tripleweft.sinks.ntriples import node_text, object_column
 from tripleweft.sinks.subjects import subject_lines
 from tripleweft.vocab import RDF_TYPE
 
-# What `turtle_lines` puts around a predicate-object pair.
-_AROUND = r"^(?:\S+\n)?    (.*) [;.]\n?$"
+# Fixed value: what `turtle_lines` puts before a predicate-object pair.
+_INDENT = "    "
 
 
 def turtle_lines(triples, distinct=False, sample=None):
@@ -19,7 +19,9 @@ def turtle_lines(triples, distinct=False, sample=None):
 
 def predicate_object(value):
     """The predicate and object of a line of `turtle_lines`."""
-    return F.regexp_extract(value, _AROUND, 1)
+    start = F.when(value.startswith(_INDENT), F.lit(1)).otherwise(F.instr(value, "\n" + _INDENT) + 1) + len(_INDENT)
+    end = F.length(value) - F.when(value.endswith("\n"), F.lit(3)).otherwise(F.lit(2))
+    return F.substr(value, start, end - start + 1)
 
 
 def write_turtle(triples, path, mode="overwrite", distinct=False, sample=None):
