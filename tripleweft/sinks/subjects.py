@@ -107,21 +107,23 @@ def by_subject(triples, sample):
 
 
 def sorted_subjects(triples, key, text, sample=None):
-    """Rows (s, key, text) of triples, sorted in each task, so that equal rows and those of a subject follow each other.
+    """Rows (s, key, text) of triples, or (s, text) without a key, sorted in each task.
 
+    So equal rows and those of a subject follow each other.
     Ranges of subject, predicate and object make up the tasks, for which Spark evaluates all triples once more. Where that
     is costly, a `sample` of a thousandth of them may be given, and subjects are dealt out instead, in order of a hash, which
     tells them apart sooner than names that begin alike. Either way a subject with very many rows is spread over several tasks; each opens it again, which all formats allow. Nothing is grouped, so
     memory does not depend on the size of a subject. Text is made behind the shuffle: it is wider, and not to be made twice.
     """
     dealt = triples.repartitionByRange("s", "p", "o") if sample is None else by_subject(triples, sample)
-    rows = dealt.select("s", key.alias("key"), text.alias("text"))
+    columns = [F.col("s"), *([] if key is None else [key.alias("key")]), text.alias("text")]
+    rows = dealt.select(*columns)
     if sample is None:
-        return rows.sortWithinPartitions("s", "key", "text")
-    return rows.withColumn("_at", F.xxhash64("s")).sortWithinPartitions("_at", "s", "key", "text").drop("_at")
+        return rows.sortWithinPartitions(*rows.columns)
+    return rows.withColumn("_at", F.xxhash64("s")).sortWithinPartitions("_at", *rows.columns).drop("_at")
 
 
 def subject_lines(triples, head, text, distinct, opening, inner, between, closing, sample=None):
     """Rows (s, value): the text of all subjects, one triple per line; `head` follows from the subject."""
-    rows = sorted_subjects(triples, F.lit(""), text, sample).select("s", head.alias("head"), "key", "text")
+    rows = sorted_subjects(triples, None, text, sample).select("s", head.alias("head"), F.lit("").alias("key"), "text")
     return rows.mapInArrow(_lines(distinct, opening, inner, between, closing), "s string, value string")
