@@ -5,10 +5,12 @@ import math
 import os
 import random
 import re
+import tracemalloc
 import zlib
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -126,6 +128,50 @@ def test_a_frequent_pair_is_no_shard_of_its_own(spark, monkeypatch):
     assert sizes.max() < 1.5 * sizes.mean()
 
 
+class _Run:
+    """Takes the function that a plan would run in its tasks."""
+
+    def mapInArrow(self, run, schema):  # noqa: N802
+        return run
+
+
+def _counted(texts, rows=100):
+    batch = pa.RecordBatch.from_arrays([pa.array(range(len(texts))), pa.array(texts)], ["doc_id", "text"])
+    return ngram_lm._count(_Run(), 2, 8)(batch.slice(k, rows) for k in range(0, len(texts), rows))
+
+
+def test_grams_are_sorted_by_ranges_of_their_hash(monkeypatch):
+    """Counting takes little more than the tokens of a piece, and a shard is merged range by range to the same sums."""
+    rng = random.Random(6)
+    texts = [" ".join(f"w{int(rng.expovariate(0.0002))}" for _ in range(1000)) for _ in range(600)]
+    monkeypatch.setattr(ngram_lm, "GRAMS_AT_ONCE", 30_000, raising=False)
+    monkeypatch.setattr(ngram_lm, "SCORE_BYTES", 100_000)
+    peak, packed = 0, defaultdict(list)
+    tracemalloc.start()
+    for batch in _counted(texts):
+        for r in batch.to_pylist():
+            packed[r["level"], r["shard"]].append(r["grams"])
+        peak = max(peak, tracemalloc.get_traced_memory()[1] - sum(len(b) for x in packed.values() for b in x))
+    tracemalloc.stop()
+    assert peak < 55 * 601 * 1000  # bytes a token
+    hashes = {w: ngram_lm.xxhash.xxh3_64_intdigest(w) for t in texts for w in t.split()} | {" start": int(ngram_lm._START), " end": int(ngram_lm._END)}
+    want = Counter(tuple(hashes[w] for w in p) for t in texts for p in zip([" start", *t.split()], tokens(t), strict=True))
+    got = Counter()
+    for shard in range(8):
+        keys, grams, stats = ngram_lm._merged(packed[2, shard], 2, shard, 8)
+        assert not packed[2, shard] and (np.diff(keys) > 0).all() and (ngram_lm._keys(grams) == keys).all()
+        got.update(dict(zip(map(tuple, grams.tolist()), stats[0].tolist(), strict=True)))
+    assert got == want
+
+
+def test_pieces_reach_over_batches(monkeypatch):
+    """Small batches are counted together, so that a gram that they share is passed on once."""
+    monkeypatch.setattr(ngram_lm, "SCORE_BYTES", 50)
+    texts = ["a b c", None, "", "a b"] * 25
+    one, many = (sum(batch.num_rows for batch in _counted(texts, rows)) for rows in (100, 2))
+    assert one == many
+
+
 # --- spelling variants ------------------------------------------------------------------
 
 

@@ -23,6 +23,8 @@ from tripleweft.scratch import drop_path, new_path, write_and_read
 ORDER = 2
 #: Bytes of training text for a shard, and of text that is counted, and scored, at once.
 SHARD_BYTES, PIECE_BYTES, SCORE_BYTES = 16_000_000, 16_000_000, 4_000_000
+#: Grams that are sorted at once, about: those of a piece or a shard are taken by ranges of their hash.
+GRAMS_AT_ONCE = 500_000
 # Before the first token, and after the last word; no word holds a blank.
 _START, _END = np.uint64(xxhash.xxh3_64_intdigest(b" start")), np.uint64(xxhash.xxh3_64_intdigest(b" end"))
 # Per gram: how often it occurs (below the highest level: after how many words), as a word: how often at all; and of the
@@ -66,6 +68,28 @@ def _tokens(texts):
     return out, starts
 
 
+def _held(batches, most):
+    """Tokens of at most `most` bytes of text, or one row, from as many batches as that takes, and where each text starts."""
+    held, size = [], 0
+    for piece in _pieces(batches, min(most, SCORE_BYTES)):
+        more = pc.sum(pc.binary_length(piece.column(1))).as_py() or 0
+        if held and size + more > most:
+            yield _one(held)
+            size = 0
+        held.append(_tokens(piece.column(1)))
+        size += more
+    if held:
+        yield _one(held)
+
+
+def _one(held):
+    """Some (tokens, starts), which are taken out of the list, as one."""
+    counts = np.concatenate([np.diff(starts) for _, starts in held])
+    tokens = np.concatenate([tokens for tokens, _ in held])
+    held.clear()
+    return tokens, np.concatenate([[0], np.cumsum(counts)])
+
+
 def _keys(grams):
     """One hash for each row of word hashes, by its words and their order."""
     out = grams[:, 0]
@@ -88,6 +112,13 @@ def _sums(grams, stats):
     return keys[first], grams[order[first]], [None if s is None else np.add.reduceat(s[order], first, dtype=np.int64) if len(first) else np.zeros(0, np.int64) for s in stats]
 
 
+def _grams(tokens, at, level):
+    grams = np.empty((len(at), level), np.uint64)
+    for k in range(level):
+        grams[:, k] = tokens[at + k]
+    return grams
+
+
 def _small(x):
     return x.astype(np.min_scalar_type(int(x.max()) if len(x) else 0))
 
@@ -120,6 +151,48 @@ def _joined(packed, level):
     return _together([(np.zeros((0, level), np.uint64), _only()), *map(_unpack, packed)])
 
 
+def _ranges(grams):
+    """Ranges of the hash that hold about `GRAMS_AT_ONCE` of so many grams each."""
+    return max(1, -(-grams // GRAMS_AT_ONCE))
+
+
+def _by_range(tokens, at, level, shards):
+    """Where grams start, by ranges of shards."""
+    ranges = min(shards, _ranges(len(at)))
+    if ranges == 1:
+        yield at
+        return
+    place = np.empty(len(at), np.int32)
+    for k in range(0, len(at), GRAMS_AT_ONCE):
+        part = slice(k, k + GRAMS_AT_ONCE)
+        place[part] = _shard(_keys(_grams(tokens, at[part], level)), shards) * ranges // shards
+    for k in range(ranges):
+        yield at[place == k]
+
+
+def _merged(packed, level, shard, shards):
+    """`_sums` of the packed grams of a shard; they are taken out of the list."""
+    parts = []
+    while packed:
+        parts.append(_unpack(packed.pop()))
+    ranges = _ranges(sum(len(g) for g, _ in parts))
+    split = [[] for _ in range(ranges)]
+    while parts:
+        grams, stats = parts.pop()
+        place = _shard(_keys(grams), shards * ranges) - shard * ranges
+        for k in np.unique(place).tolist():
+            here = place == k
+            split[k].append((grams[here], [None if s is None else s[here] for s in stats]))
+    none = (np.zeros((0, level), np.uint64), _only())
+    found = []
+    while split:
+        found.append(_sums(*_together([none, *split.pop(0)])))
+    keys, grams, stats = zip(*found, strict=True)
+    del found
+    known = [None if all(s is None for s in x) else np.concatenate([np.zeros(len(k), np.int64) if s is None else s for k, s in zip(keys, x, strict=True)]) for x in zip(*stats, strict=True)]
+    return np.concatenate(keys), np.concatenate(grams), known
+
+
 def _dealt(level, grams, stats, shards):
     """Rows of sums for each shard."""
     keys, grams, stats = _sums(grams, stats)
@@ -142,9 +215,7 @@ def _count(texts, order, shards):
     """Packed sums of all grams of `texts` (doc_id, text): the highest level, beginnings of texts, and words."""
 
     def run(batches):
-        for piece in _pieces(batches, PIECE_BYTES):
-            tokens, starts = _tokens(piece.column(1))
-            rows = []
+        for tokens, starts in _held(batches, PIECE_BYTES):
             for level in range(1, order + 1):
                 # Below the highest level a count is one of words before, and nothing comes before the start.
                 if level in (1, order):
@@ -156,15 +227,12 @@ def _count(texts, order, shards):
                     del fits
                 else:
                     at = starts[:-1][np.diff(starts) >= level]
-                grams = np.empty((len(at), level), np.uint64)
-                for k in range(level):
-                    grams[:, k] = tokens[at + k]
-                once = np.ones(len(at), np.uint8)
-                del at
-                rows += _dealt(level, grams, _only(raw=once) if level == 1 else _only(n=once), shards)
-                del grams, once
+                for part in _by_range(tokens, at, level, shards):
+                    once = np.ones(len(part), np.uint8)
+                    yield _rows(list(_dealt(level, _grams(tokens, part, level), _only(raw=once) if level == 1 else _only(n=once), shards)))
+                del at, part, once
+            del tokens, starts
             pa.default_memory_pool().release_unused()
-            yield _rows(rows)
 
     return texts.mapInArrow(run, _PACKED)
 
@@ -219,7 +287,7 @@ def _merge(packed, level, order, shards, folder):
         rows = [(0, shard, b) for k, b in given if k == 0 and b]
         parts = {k: [b for m, b in given if m == k] for k in range(1, level + 1)}
         del given
-        keys, grams, stats = _sums(*_joined(parts.pop(level), level))
+        keys, grams, stats = _merged(parts.pop(level), level, shard, shards)
         n, raw, *follow = [np.zeros(len(keys), np.int64) if s is None else s for s in stats]
         columns = {"key": keys, "n": _small(n)}
         if level == 1:
