@@ -148,7 +148,7 @@ def test_grams_are_sorted_by_ranges_of_their_hash(monkeypatch):
     monkeypatch.setattr(ngram_lm, "SCORE_BYTES", 100_000)
     peak, packed = 0, defaultdict(list)
     tracemalloc.start()
-    for batch in _counted(texts):
+    for batch in _counted(texts, len(texts)):
         for r in batch.to_pylist():
             packed[r["level"], r["shard"]].append(r["grams"])
         peak = max(peak, tracemalloc.get_traced_memory()[1] - sum(len(b) for x in packed.values() for b in x))

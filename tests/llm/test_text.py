@@ -12,7 +12,7 @@ import regex
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from conftest import rows
+from conftest import plan_of, rows
 from tripleweft.llm import pii, substrings
 from tripleweft.llm.bpe import WordBpe, encode_decode
 from tripleweft.llm.minhash import keep_one_of_each, near_duplicates
@@ -292,6 +292,19 @@ def test_encoding_keeps_columns(docs, word_bpe):
     assert encode_decode(docs.where(F.lit(False)), public_tokenizers.path("word_bpe_49k.json")).count() == 0
 
 
+def test_encoding_sends_texts_once(spark, docs, word_bpe):
+    """Beside the columns that stay a task gets no copy of the text; only one that is replaced goes by itself."""
+    path = public_tokenizers.path("word_bpe_49k.json")
+    [sent] = re.findall(r"MapInArrow run\(([^)]*)\)", plan_of(encode_decode(docs, path)))
+    assert sent.startswith("row#") and "," not in sent
+    odd = spark.createDataFrame([(1, "a  b", b"c"), (2, None, None)], "n int, t string, b binary")
+    for column, replaced in (("t", "decoded"), ("b", "decoded"), ("t", "t"), ("T", "decoded")):
+        found = sorted(encode_decode(odd, path, text=column, decoded=replaced).collect())
+        want = [word_bpe[0].encode(x) for x in ((b"c" if column == "b" else b"a  b"), b"")]
+        assert [bytes(r["ids"]) for r in found] == want and [r[replaced] for r in found] == [word_bpe[0].decode(x).decode() for x in want]
+        assert replaced == "t" or [(r.t, r.b) for r in found] == [("a  b", b"c"), (None, None)]
+
+
 # --- token counts -----------------------------------------------------------------------
 
 

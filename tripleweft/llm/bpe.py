@@ -230,22 +230,29 @@ def encode_decode(docs, path, text="text", ids="ids", decoded="decoded"):
     """`docs` with the ids of its text (binary, little-endian 32-bit integers), and the text decoded from them.
 
     One narrow pass. A null text counts as empty: no ids, empty text. Very long texts are encoded whole. All columns
-    stay; a column named as one of the outputs is replaced. Results leave a task in batches of bounded size.
+    stay; a column named as one of the outputs is replaced. Results leave a task in batches of bounded size, and texts go
+    to it once, among the columns that stay.
     """
     shared = read_vocabulary(docs.sparkSession, path)
     kept = [c for c in docs.columns if c not in (ids, decoded)]
+    among = kept.index(text) if text in kept and isinstance(docs.schema[text].dataType, T.StringType | T.BinaryType) else None
 
     def run(batches):
         bpe = _of(shared)
         for batch in batches:
-            texts = batch.column(1)
+            rows = batch.column(0)
+            texts = (batch.column(1) if among is None else rows.field(among)).cast(pa.binary())
+            del batch
             for start, end in _runs(pc.fill_null(pc.binary_length(texts), 0).to_pylist()):
                 coded = [bpe.encode(x.as_py() or b"") for x in texts.slice(start, end - start)]
                 plain = pa.array([bpe.decode(x) for x in coded], pa.binary()).cast(pa.string())
-                yield pa.RecordBatch.from_arrays([batch.column(0).slice(start, end - start), pa.array(coded, pa.binary()), plain], ["row", "ids", "decoded"])
+                yield pa.RecordBatch.from_arrays([rows.slice(start, end - start), pa.array(coded, pa.binary()), plain], ["row", "ids", "decoded"])
+                del coded, plain
+            del rows, texts  # before the next ones come
         bpe.forget()
+        pa.default_memory_pool().release_unused()
 
-    packed = docs.select(F.struct(*[F.col(f"`{c}`") for c in kept]).alias("row"), F.col(f"`{text}`").cast("binary").alias("text"))
+    packed = docs.select(F.struct(*[F.col(f"`{c}`") for c in kept]).alias("row"), *[F.col(f"`{text}`").cast("binary").alias("text")] * (among is None))
     schema = T.StructType([T.StructField("row", packed.schema["row"].dataType), T.StructField("ids", T.BinaryType()), T.StructField("decoded", T.StringType())])
     out = packed.mapInArrow(run, schema)
     return out.select(*[F.col(f"row.`{c}`") for c in kept], F.col("ids").alias(ids), F.col("decoded").alias(decoded))
