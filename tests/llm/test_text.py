@@ -338,3 +338,18 @@ def test_trie_shares_prefixes_and_stays_bounded(monkeypatch):
     monkeypatch.setattr(token_counts, "MOST_WORDS", 3)
     assert [trie.count(f"x{i}") for i in range(50)] == [len(f"x{i}") for i in range(50)]
     assert len(trie.forward) < 20
+
+
+def test_classes_and_their_values_are_not_broadcast(spark, monkeypatch):
+    """Spark sizes exploded signatures by the files of their classes; a few files may hold half a gigabyte of values."""
+    from tripleweft.llm import minhash, mixing
+    from tripleweft.plans import joins
+
+    monkeypatch.setattr(joins, "BROADCAST_ROWS", 0)
+    plans, write = {}, minhash.write_and_read
+    monkeypatch.setattr(minhash, "write_and_read", lambda df, label: plans.update({label: plan_of(df)}) or write(df, label))
+    words = [f"w{k}" for k in range(40)]
+    docs = spark.createDataFrame([(k, " ".join(words[:39] + [f"x{k // 2}"]), "s", 1) for k in range(20)], "doc_id long, text string, source string, more int")
+    kept = keep_one_of_each(docs)
+    assert kept.count() == 1 and "Broadcast" not in plans["minhash-posts"] and "SortMergeJoin" in plans["minhash-posts"]
+    assert "BroadcastHashJoin" not in plan_of(mixing.mix(docs))

@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from tripleweft.llm.common import Groups, WordHashes, gram_hashes, split_words, whole_groups
 from tripleweft.plans.components import components
+from tripleweft.plans.joins import dealt_join
 from tripleweft.scratch import write_and_read
 
 WORDS, COORDINATES, AGREE = 5, 48, 24
@@ -133,13 +134,13 @@ def _candidates(classes):
     )
     shared = tokens.groupBy("token").agg(F.count("*").alias("df")).where("df > 1")
     # What no other class has is rarest of all: it fills the prefix but needs no list.
-    mine = tokens.join(shared, "token").groupBy("rep").agg(F.array_sort(F.collect_list(F.struct("df", "token"))).alias("tokens"))
+    mine = dealt_join(tokens, shared, "token", rows=COORDINATES * classes.count()).groupBy("rep").agg(F.array_sort(F.collect_list(F.struct("df", "token"))).alias("tokens"))
     mine = mine.where(F.size("tokens") >= AGREE).withColumn("tokens", F.slice("tokens", 1, F.size("tokens") - AGREE + 1))
     bit = F.aggregate("tokens", F.lit(0).cast("long"), lambda s, t: s.bitwiseOR(F.call_function("shiftleft", F.lit(1).cast("long"), F.shiftright(t["token"], 32).cast("int"))))
     posts = write_and_read(mine.select("rep", bit.alias("posted"), F.explode("tokens.token").alias("token")), "minhash-posts")
     sizes = posts.groupBy("token").agg(F.count("*").alias("size")).where("size > 1")
     blocks = F.ceil(F.col("size") / LIST_BLOCK)
-    lists = posts.join(sizes.select("token", blocks.alias("blocks")), "token").join(classes.select("rep", "signature"), "rep")
+    lists = dealt_join(dealt_join(posts, sizes.select("token", blocks.alias("blocks")), "token", rows=posts.count()), classes.select("rep", "signature"), "rep")
     return _dealt(lists, "token").mapInArrow(_list_edges, "a long, b long")
 
 
@@ -248,12 +249,12 @@ def _labelled(docs, threshold):
     classes = write_and_read(classes.withColumn("rep", F.monotonically_increasing_id()), "minhash-classes")
     near = components(_candidates(classes.select("rep", "signature")), "group")
     near = write_and_read(near.withColumnRenamed("node", "rep"), "minhash-groups")
-    members = classes.join(near, "rep").select("rep", "least", "key", "group", "n")
+    members = dealt_join(classes, near, "rep").select("rep", "least", "key", "group", "n")
     blocks = members.groupBy("group").agg(F.ceil(F.sum("n") / SET_BLOCK).alias("blocks"))
-    texts = rows.join(members, F.col("doc_id") == F.col("least")).select("rep", "key", "group", "text")
+    texts = dealt_join(rows, members, F.col("doc_id") == F.col("least")).select("rep", "key", "group", "text")
     sets = texts.mapInArrow(_sets, "rep long, group long, shingles binary").join(blocks, "group")
     links = _dealt(sets, "group").mapInArrow(lambda batches: _links(batches, threshold), "a long, b long")
-    found = write_and_read(classes.select("rep", "key", "least").join(components(links).withColumnRenamed("node", "rep"), "rep", "left"), "minhash-labels")
+    found = write_and_read(dealt_join(classes.select("rep", "key", "least"), components(links).withColumnRenamed("node", "rep"), "rep", "left"), "minhash-labels")
     found = found.withColumn("group", F.coalesce("component", "rep"))
     named = found.where("component IS NOT NULL").groupBy("group").agg(F.min("least").alias("first"))
     labels = found.join(named, "group", "left").select(F.col("key").alias("_key"), F.coalesce("first", "least").alias("_component"), "group")
@@ -286,7 +287,7 @@ def keep_one_of_each(docs, threshold=(75, 100)):
     """
     marked = _labelled(docs, threshold).where("doc_id = component_id").groupBy(F.col("doc_id").alias("_id"), "group").agg(F.min("mark").alias("_mark"))
     named = docs.where("doc_id IS NOT NULL").withColumn("_text", _mark("text"))
-    kept = named.join(marked.select("_id", "_mark"), (F.col("doc_id") == F.col("_id")) & (F.col("_text") == F.col("_mark")))
+    kept = dealt_join(named, marked.select("_id", "_mark"), (F.col("doc_id") == F.col("_id")) & (F.col("_text") == F.col("_mark")))
     rest = [c for c in docs.columns if c not in ("doc_id", "text")]
     # What is left of repeats has one text; the window takes the rows as the join has dealt them.
     order = Window.partitionBy("doc_id", "_text").orderBy(F.xxhash64(*[F.col(f"`{c}`") for c in rest]) if rest else F.lit(0))

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tripleweft.llm.common import word_count
+from tripleweft.plans.joins import dealt_join, fits
 from tripleweft.plans.rowindex import global_row_index
 from tripleweft.scratch import Steps, write_and_read
 
@@ -145,7 +146,8 @@ def copies(sized, targets, cap=2):
     lam, x = F.col("lam"), F.col("size") / F.col("mean")
     tilted = F.least(F.lit(float(cap)), F.exp(F.least(lam * x, F.lit(700.0))))
     rate = F.when(lam == math.inf, float(cap)).when(lam == -math.inf, 0.0).when(F.col("size") == 0, 1.0).otherwise(tilted)
-    rated = units.join(per_source, _same("source", "_source")).select(
+    # Every unit has its source there; of a left join only the sources may be broadcast.
+    rated = units.join(per_source, _same("source", "_source"), "left").select(
         "doc_id",
         "source",
         "size",
@@ -209,12 +211,12 @@ def mix(docs, weights=(5, 2, 1), share=1.5, cap=2):
     )
     units = write_and_read(units.where("_mix_copies + _mix_more > 0"), "mix-units")
     on = _same("doc_id", "_mix_id") & _same("source", "_mix_source") & (F.col("_mix_size") == F.col("_mix_words"))
-    even = sized.join(units.where("_mix_more = 0"), on).select(*_quoted(columns), "_mix_copies")
+    even = dealt_join(sized, units.where("_mix_more = 0"), on).select(*_quoted(columns), "_mix_copies")
     uneven = units.where("_mix_more > 0")
     taken = even
     if not uneven.isEmpty():
         unit = ["_mix_id", "_mix_source", "_mix_words"]
-        some = sized.join(uneven, on)
+        some = sized.join(F.broadcast(uneven), on) if fits(uneven) else dealt_join(sized, uneven, on)
         rest = F.xxhash64(*[F.col(f"`{f.name}`") for f in docs.schema if not isinstance(f.dataType, (T.MapType, T.VariantType))])
         some = global_row_index(some, [*map(F.col, unit), rest], "_mix_place")
         first = some.groupBy(*unit).agg(F.min("_mix_place").alias("_mix_first"))

@@ -2,6 +2,7 @@
 
 from pyspark.sql import functions as F
 
+from tripleweft.plans.joins import dealt_join
 from tripleweft.scratch import Steps, write_and_read
 
 
@@ -10,19 +11,19 @@ def _checksum(edges):
     return row["n"], row["sum"]
 
 
-def _large_star(edges):
-    """Every node's larger neighbours are hung on the smallest node it knows."""
+def _large_star(edges, rows):
+    """Every node's larger neighbours are hung on the smallest node it knows; `rows` is the number of edges."""
     both = edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
     least = both.groupBy("a").agg(F.min("b").alias("m"))
-    hung = both.where("b > a").join(least, "a").select(F.col("b").alias("a"), F.least("m", "a").alias("b"))
+    hung = dealt_join(both.where("b > a"), least, "a", rows=2 * rows).select(F.col("b").alias("a"), F.least("m", "a").alias("b"))
     return hung.where("a <> b").distinct()
 
 
-def _small_star(edges):
+def _small_star(edges, rows):
     """Every node and its smaller neighbours are hung on the smallest of them."""
     down = edges.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
     least = down.groupBy("a").agg(F.min("b").alias("m"))
-    hung = down.join(least, "a").select(F.col("b").alias("a"), F.col("m").alias("b")).where("a <> b")
+    hung = dealt_join(down, least, "a", rows=rows).select(F.col("b").alias("a"), F.col("m").alias("b")).where("a <> b")
     return hung.unionByName(least.select("a", F.col("m").alias("b"))).distinct()
 
 
@@ -35,11 +36,12 @@ def components(edges, label="component"):
     pre-aggregated by `min`, and its side of the join may be split by adaptive execution, as the other side has one row.
     """
     spark, first, steps = edges.sparkSession, Steps("edges"), Steps("components")
-    now = steps.write(_small_star(first.write(edges.select("a", "b").where("a <> b"))))
+    given = first.write(edges.select("a", "b").where("a <> b"))
+    now = steps.write(_small_star(given, given.count()))
     first.drop(spark)
     state = _checksum(now)
     while state[0]:
-        now = steps.write(_small_star(_large_star(now)))
+        now = steps.write(_small_star(_large_star(now, state[0]), state[0]))
         after = _checksum(now)
         if after == state:
             break

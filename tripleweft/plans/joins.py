@@ -18,6 +18,16 @@ HOT_ROWS = 1_000_000
 HOT_KEYS = 100_000
 
 
+def dealt_join(left, right, on, how="inner", rows=None):
+    """Equi-join that copies neither side to the driver, whatever Spark takes their sizes for.
+
+    Spark sizes a table by its compressed files, an exploded one by its rows before, and an array by one entry, so that a
+    table of half a gigabyte may seem small enough to broadcast. For sides that grow with the data. `rows` is a counted
+    bound of narrow rows on either side; up to `BROADCAST_ROWS` Spark may choose.
+    """
+    return left.join(right if rows is not None and rows <= BROADCAST_ROWS else right.hint("merge"), on, how)
+
+
 def fits(df, max_rows=BROADCAST_ROWS, max_bytes=BROADCAST_BYTES):
     """Measure whether `df` is small enough to broadcast: one count, partial in every task.
 
