@@ -236,3 +236,16 @@ def test_what_a_graph_begins_with_is_written_to_one_table_on_the_way(spark, tmp_
     with untracked() as second:
         assert append_distinct(df, path) == 2
     assert (len(first), len(second)) == (1, 2) and rows(read_graph(spark, path)) == rows(df.distinct())
+
+
+def test_appending_leaves_the_graph_alone_and_no_shuffle_files(spark, tmp_path):
+    """A graph that grows many times over has room for its rows only if what is on the way goes."""
+    from tripleweft.scratch import base_dir
+
+    df = spark.createDataFrame([(f"s{i % 9}", "p", None if i % 9 == 8 else "o", "literal", None, "en" if i % 2 else None) for i in range(60)], TRIPLES_SCHEMA)
+    before = set(os.listdir(base_dir(spark)))
+    with untracked() as made:
+        assert append_distinct(df.where("s < 's3'"), f"{tmp_path}/graph", buckets=4) == df.where("s < 's3'").distinct().count()
+        assert append_distinct(df.union(df), f"{tmp_path}/graph") == df.where("s >= 's3'").distinct().count()
+    assert len(made) == 3 and set(os.listdir(base_dir(spark))) == before
+    assert rows(read_graph(spark, f"{tmp_path}/graph")) == rows(df.distinct())
